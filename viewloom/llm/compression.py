@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.text import column_bytes, slices
+from viewloom.llm.text import column_bytes, sample, slices
 
 BLOCK = 2048
 
@@ -77,18 +77,20 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[list[fl
     return inner.tolist(), float(w[-1] - inner @ middle)
 
 
-def train(labelled: DataFrame, most: int = 4000, most_chars: int = 20_000, dictionary: int = 48 * 1024, seed: int = 0) -> Model:
-    """Fit on (doc_id, text, label): a seeded sample of at most ``most`` texts of each label, the first ``most_chars`` characters of each.
+def train(docs: DataFrame, labels: DataFrame, most: int = 4000, most_chars: int = 100_000, dictionary: int = 64 * 1024, seed: int = 0) -> Model:
+    """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label).
 
-    Half of the sample trains the dictionaries, the other half the calibration.
+    The sample has at most ``most`` texts of each label, those first in a seeded hash order, of ``most_chars`` characters at most.
+    Half of it trains the dictionaries, the other half the calibration.
     """
     import zstandard as zstd
 
-    clean = labelled.where("label in (0, 1)").withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id")))
-    picked = {}
-    for label in (0, 1):
-        top = clean.where(F.col("label") == label).select("_h", "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, most_chars).alias("text"))
-        picked[label] = [r["text"].encode() for r in top.orderBy("_h", "doc_id").limit(most).collect()]
+    clean = labels.where("label in (0, 1)")
+    ids = sample(clean.where("label = 0"), most, seed).unionByName(sample(clean.where("label = 1"), most, seed))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= most_chars)
+    found = rows.join(F.broadcast(ids.dropDuplicates(["doc_id"])), "doc_id").select("doc_id", "label", "text").collect()
+    found.sort(key=lambda r: (r["doc_id"] * 0x9E3779B97F4A7C15 % 2**64, r["text"]))
+    picked = {label: [r["text"].encode() for r in found if r["label"] == label][:most] for label in (0, 1)}
     if min(map(len, picked.values())) < 8:
         n0, n1 = len(picked[0]), len(picked[1])
         return Model(b"", b"", offset=float(np.log((n1 + 1) / (n0 + 1))))

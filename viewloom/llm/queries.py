@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import compression, mixing, packing
+from viewloom.llm import compression, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,10 +26,29 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    learned = rules.train(docs, labels)
+    judged = rules.statistics(docs, ["doc_id"]).withColumn("rule", rules.verdict(learned))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return judged.select("doc_id", *rules.LONGS, failed.alias("base_failed"), (~failed & F.col("rule").isNull()).alias("kept"), "rule")
+
+
+def op6_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    allowed = remainder(3) != 1
+    model = toxicity.train(docs.where(allowed), labels.where(allowed))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where("label is not null")
-    model = compression.train(docs.select("doc_id", "text").join(labels.where(remainder(4) != 2), "doc_id"))
+    model = compression.train(docs, labels.where(remainder(4) != 2))
     scored = compression.score(docs, model, ["doc_id"])
     return scored.select(
         "doc_id",
@@ -45,5 +64,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op7_compression_quality, op9_packing)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op4_decision_list, op6_pu_toxicity, op7_compression_quality, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}

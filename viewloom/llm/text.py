@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
 _RNG = np.random.default_rng(20240611)
@@ -65,11 +66,11 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw, at - at[0]
 
 
-def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of every word; a word never crosses a document's edge."""
+def word_spans(raw: np.ndarray, at: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; a word never crosses a document's edge.  ``apart``: for each byte, is it between words?"""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~_SPACE[raw]
+    word = ~apart[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[at] = True
     start, end = word.copy(), word.copy()
@@ -92,10 +93,10 @@ def _hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
     return mix(out)
 
 
-def word_values(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_values(column: pa.Array, lower: bool = True, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit values of all words of a column in order, and for each row where its words begin (n + 1 entries)."""
     raw, at = column_bytes(column)
-    start, end = word_spans(raw, at)
+    start, end = word_spans(raw, at, apart)
     return _hash_spans(raw, start, end, lower), np.searchsorted(start, at)
 
 
@@ -153,6 +154,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22) ->
             i = j
 
 
+def sample(rows: DataFrame, most: int, seed: int = 0) -> DataFrame:
+    """The rows of at most ``most`` ids (``doc_id``), those first in a seeded hash order.
+
+    Ids are picked from the id column alone, so no text is sorted or sent; the list of ids that is broadcast has ``most`` entries.
+    """
+    ids = rows.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most)
+    return rows.join(F.broadcast(ids), "doc_id")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
