@@ -14,6 +14,7 @@ rows; other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,26 +36,39 @@ PIECES = T.StructType(
         T.StructField("offset", T.LongType()),
     ]
 )
-SEPARATOR = "<|endoftext|>"
+MARK = "\x00"
+_KEPT: dict[str, WordIds] = {}
 
 
 class WordIds:
     """Token ids of whole texts from a cache of white-space words.
 
     For a tokenizer whose pre-tokenizer drops white space and never joins across it, the ids of a text are
-    those of its words one after the other.  New words are encoded together, ``SEPARATOR`` between them.
+    those of its words one after the other.  New words are encoded many at a time and parted again by the ids that end
+    a piece; where their number is not the expected one, a mark between the words parts them.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most_words
-        self.cut = self.tokenizer.token_to_id(SEPARATOR)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.clear()
 
+    @classmethod
+    def kept(cls, path: str) -> WordIds:
+        """The one of this Python worker, which later tasks find filled."""
+        if path not in _KEPT:
+            _KEPT[path] = cls(path)
+        return _KEPT[path]
+
     def clear(self) -> None:
         class Index(dict):
             def __missing__(self, word: bytes) -> int:
@@ -64,31 +78,63 @@ class WordIds:
         self.index, self.flat, self.used = Index(), np.zeros(1 << 16, np.uint32), 0
         self.begin = np.zeros(1, np.int64)
 
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        texts, out = [w.decode("utf-8", "replace") for w in words], [[]] * len(words)
-        plain = [i for i, w in enumerate(texts) if "<|" not in w] if self.cut is not None else []
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([SEPARATOR.join(texts[i] for i in g) for g in groups], add_special_tokens=False), strict=True):
-            ids = found.ids
-            a = np.array(ids)
-            ends = [*np.flatnonzero(a == self.cut).tolist(), len(ids)]
+    def _many(self, texts: list[str], pieces: list[int]) -> list[list[int]] | None:
+        """Ids of words that have so many pieces each, encoded as one text; None if their total number is another."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1
+        last = np.cumsum(pieces)
+        if len(ends) != last[-1] or ends[-1] != len(ids):
+            return None
+        cut = [0, *ends[last - 1].tolist()]
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def _marked(self, texts: list[str]) -> list[list[int]]:
+        """Ids of any words, a mark between them, or each by itself where a word holds the mark or a special token may be meant."""
+        out: list[list[int]] = [[]] * len(texts)
+        plain = [i for i, w in enumerate(texts) if "<|" not in w and MARK not in w] if self.mark is not None else []
+        if plain:
+            ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(texts[i] for i in plain)], add_special_tokens=False)[0].ids
             at = 0
-            for i, end in zip(group, ends, strict=True):
+            for i, end in zip(plain, [*np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)], strict=True):
                 out[i] = ids[at:end]
                 at = end + 1
-        rest = sorted(set(range(len(words))) - set(plain))
+        rest = sorted(set(range(len(texts))) - set(plain))
         for i, found in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = found.ids
         return out
 
+    def _encode(self, words: list[bytes]) -> list[list[int]]:
+        texts, out = [w.decode("utf-8", "replace") for w in words], [[]] * len(words)
+        letters, pieces, others = [], [], []
+        for i, w in enumerate(texts):
+            if w.isalpha():
+                letters.append(i)
+                pieces.append(1)
+            elif w[-1] in ".,|!?" and w[:-1].isalpha():
+                letters.append(i)
+                pieces.append(2)
+            else:
+                others.append(i)
+        for k in range(0, len(letters), 256):
+            group = letters[k : k + 256]
+            own = [texts[i] for i in group]
+            for i, ids in zip(group, self._many(own, pieces[k : k + 256]) or self._marked(own), strict=True):
+                out[i] = ids
+        for k in range(0, len(others), 256):
+            group = others[k : k + 256]
+            for i, ids in zip(group, self._marked([texts[i] for i in group]), strict=True):
+                out[i] = ids
+        return out
+
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.index) > self.most:
             self.clear()
         known = len(self.index)
         lookup = self.index.__getitem__
-        found = [np.fromiter(map(lookup, text.split()), np.int64) for text in texts]
+        split = [text.split() for text in texts]
+        found = [np.fromiter(map(lookup, w), np.int64, len(w)) for w in split]
         if len(self.index) > known:
-            new = self._encode(list(self.index)[known:])
+            new = self._encode(list(itertools.islice(self.index, known, None)))
             lengths = np.fromiter(map(len, new), np.int64, len(new))
             flat = np.fromiter((x for ids in new for x in ids), np.uint32, int(lengths.sum()))
             while self.used + len(flat) > len(self.flat):
@@ -147,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, d
     """Pack every document's ids plus ``end_id``; one row per piece, with its ids as little-endian unsigned 32-bit bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels = WordIds(tokenizer), Levels(window)
+        words, levels = WordIds.kept(tokenizer), Levels(window)
         sequence = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import compression, mixing, packing, rules, toxicity
+from viewloom.llm import compression, hmm, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,11 @@ def remainder(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op1_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score(table(spark, sf_dir, "documents"), remainder(10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -64,5 +69,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op4_decision_list, op6_pu_toxicity, op7_compression_quality, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op4_decision_list, op6_pu_toxicity, op7_compression_quality, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
