@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import ann, compression, hmm, mixing, packing, rules, toxicity
+from viewloom.llm import ann, blocks, compression, hmm, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,6 +44,11 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.LONGS, failed.alias("base_failed"), (~failed & F.col("rule").isNull()).alias("kept"), "rule")
 
 
+def op5_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return blocks.extract(pages, blocks.train(pages), ["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
@@ -73,5 +78,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op6_pu_toxicity, op7_compression_quality, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
