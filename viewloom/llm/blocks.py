@@ -170,7 +170,8 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
     for i, (b, y) in enumerate(zip(page, label, strict=True)):
         rest = [x for x in b.path if x not in MAIN and x not in OTHER]
         if y == 1:
-            out.append(Block(b.text, (*rest[:2], *tags(new_main), *rest[2:]), b.linked))
+            inner = rest[2:] if rng.random() < 0.7 else [str(x) for x in rng.choice(["div", "ul", "ol", "li", "h2", "h3", "blockquote", "td", "table", "section", "p", "pre"], 2)]
+            out.append(Block(b.text, (*rest[:2], *tags(new_main), *inner), b.linked))
         elif y == 0:
             out.append(Block(b.text, (*rest[:2], *tags([outside[i % 2]]), *rest[2:]), b.linked))
         else:

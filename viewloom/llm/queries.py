@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import ann, blocks, compression, hmm, mixing, packing, rules, toxicity
+from viewloom.llm import ann, blocks, compression, hmm, jaccard, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -73,10 +73,14 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
