@@ -63,10 +63,12 @@ def frequency(parts: DataFrame) -> np.ndarray:
 
 
 def rare_first(tokens: np.ndarray, starts: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of each row from rare to frequent (ties by value), and their counters."""
+    """The tokens of each row, given ascending, from rare to frequent (ties by value), and their counters."""
     count = sketch[slots(tokens)]
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    order = np.lexsort((tokens, count, owner))
+    key = (np.minimum(count, (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (tokens >> np.uint64(20))
+    order = np.empty(len(tokens), np.int64)
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        order[a:b] = np.argsort(key[a:b], kind="stable") + a
     return tokens[order], count[order]
 
 
