@@ -229,15 +229,19 @@ def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.groupBy("key", "i", "j").applyInPandas(search, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) for every row: exact components of the links of similarity 0.75 and more."""
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """(doc_id, keys, n_shingles, node, component_id) for every row: exact components of the links of similarity 0.75 and more.
+
+    ``keys``: further whole-number columns to carry.
+    """
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *(F.col(k).cast("long").alias(k) for k in keys), F.col(text).alias("text"))
 
     def units(batch: pa.RecordBatch) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
-        return [batch.column(0)], *shingles(batch.column(1))
+        return batch.columns[:-1], *shingles(batch.column(batch.num_columns - 1))
 
-    rows, sketch = S.split_rows(spark, units, ["doc_id"], "doc_id long", docs)
+    names = ["doc_id", *keys]
+    rows, sketch = S.split_rows(spark, units, names, ", ".join(f"{k} long" for k in names), docs)
     held = spark.sparkContext.broadcast(sketch)
     nodes = kept(keyed(docs, held))
     cell = kept(cells(nodes))
@@ -266,5 +270,5 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     smallest = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root")).join(smallest, "root").select("node", "component_id")
     return rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        *names, F.col("n").alias("n_shingles"), "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
