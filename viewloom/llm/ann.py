@@ -30,6 +30,25 @@ class Index:
     rotation: np.ndarray  # dimensions + 1, squared
     centroids: np.ndarray  # rotated
     longest: float  # squared length to which vectors are lifted
+    sample: np.ndarray  # original vectors, and their ids
+    ids: np.ndarray
+    lists: np.ndarray  # and the list of each
+
+    def kth(self, q: np.ndarray, own: np.ndarray, near: np.ndarray, k: int) -> np.ndarray:
+        """For each query the k-th largest inner product among the sampled vectors of the lists it probes, its own row left out; -inf for fewer.
+
+        At least k of the vectors that the query scans are no worse, so whatever is worse can't be among its k nearest.
+        """
+        out = np.full(len(q), -np.inf)
+        if len(self.sample) <= k:
+            return out
+        for i in range(0, len(q), 256):
+            probed = np.zeros((len(q[i : i + 256]), len(self.centroids)), bool)
+            np.put_along_axis(probed, near[i : i + 256], True, 1)
+            inner = q[i : i + 256] @ self.sample.T
+            inner[~probed[:, self.lists] | (own[i : i + 256, None] == self.ids)] = -np.inf
+            out[i : i + 256] = np.partition(inner, len(self.sample) - k, axis=1)[:, len(self.sample) - k]
+        return out
 
     def lifted(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """Vectors with the added dimension (0 for queries), rotated."""
@@ -58,13 +77,13 @@ def build(vectors: DataFrame, lists: int, k: int, reach: float, most: int = 20_0
     """
     ids = vectors.select("vec_id").distinct().orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(most)
     longest = vectors.agg(F.max(F.aggregate("e", F.lit(0.0), lambda a, v: a + v * v)).alias("m")).first()["m"]
-    rows = [np.array(r["e"]) for r in vectors.join(F.broadcast(ids), "vec_id").orderBy("vec_id").limit(2 * most).collect()]
-    sizes = np.bincount([len(r) for r in rows]) if rows else np.zeros(2, int)
+    rows = [(np.array(r["e"]), r["vec_id"]) for r in vectors.join(F.broadcast(ids), "vec_id").orderBy("vec_id").limit(2 * most).collect()]
+    sizes = np.bincount([len(r) for r, _ in rows]) if rows else np.zeros(2, int)
     width = int(sizes.argmax())
-    x = np.array([r for r in rows if len(r) == width]).reshape(-1, width)
+    x = np.array([r for r, _ in rows if len(r) == width]).reshape(-1, width)
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((width + 1, width + 1)))
-    index = Index(rotation, np.zeros((1, width + 1)), float(longest or 0.0))
+    index = Index(rotation, np.zeros((1, width + 1)), float(longest or 0.0), x, np.array([v for r, v in rows if len(r) == width]), np.zeros(len(x), int))
     if len(x):
         z = np.unique(index.lifted(x).round(12), axis=0)
         centres = z[rng.choice(len(z), min(lists, len(z)), replace=False)]
@@ -82,23 +101,23 @@ def build(vectors: DataFrame, lists: int, k: int, reach: float, most: int = 20_0
     k = min(k, len(x) - 1)
     nearest_k = np.argpartition(-inner, k - 1, axis=1)[:, :k]
     place = np.argsort(np.argsort((index.centroids**2).sum(1) - 2 * index.lifted(x[asked], True) @ index.centroids.T, axis=1), axis=1)
-    of = index.near(z, 1)[:, 0]
+    of = index.lists = index.near(z, 1)[:, 0]
     ranks = np.sort(np.take_along_axis(place, of[nearest_k], 1).ravel())
     return index, width, int(ranks[min(len(ranks) - 1, int(np.ceil(reach * len(ranks))))]) + 1
 
 
-def scanned(x: np.ndarray, q: np.ndarray, k: int, cut: int = 16, strict: float = 2.1) -> np.ndarray:
+def scanned(x: np.ndarray, q: np.ndarray, k: int, most: float = np.inf, cut: int = 16, strict: float = 2.1) -> np.ndarray:
     """Adaptive dimension scan of rotated candidates for one rotated query: the candidates that were never abandoned.
 
     The hypothesis that a candidate is within the k-th distance so far is rejected when its partial distance over d of D
-    dimensions exceeds d / D * (1 + strict / sqrt(d))**2 times that distance.
+    dimensions exceeds d / D * (1 + strict / sqrt(d))**2 times that distance.  ``most``: a distance that the k-th is known not to exceed.
     """
     alive, width = np.arange(len(x)), x.shape[1]
     if len(alive) <= 2 * k:
         return alive
     part = ((x[:, :cut] - q[:cut]) ** 2).sum(1)
     some = np.argpartition(part, 2 * k - 1)[: 2 * k]  # those nearest so far, in full, give the first k-th distance
-    worst = np.partition(((x[some] - q) ** 2).sum(1), k - 1)[k - 1]
+    worst = min(most, np.partition(((x[some] - q) ** 2).sum(1), k - 1)[k - 1])
     for d in range(cut, width + cut, cut):
         d = min(d, width)
         limit = worst if d == width else worst * d / width * (1 + strict / np.sqrt(d)) ** 2
@@ -127,7 +146,7 @@ def cells(counts: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]
     return out
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 1024, reach: float = 0.95, vec_id: str = "vec_id", embedding: str = "embedding", seed: int = 0) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: float = 0.95, vec_id: str = "vec_id", embedding: str = "embedding", seed: int = 0) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for every query row, among all other rows.
 
     There are twice as many lists as the square root of the number of vectors, 4,096 at most.  Lists share cells of about ``cell`` vectors, and a list of
@@ -154,7 +173,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 1024, reach: f
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                near = held.value.near(held.value.lifted(np.array(b["e"].tolist()), True), n_probe)
+                e = np.array(b["e"].tolist())
+                near = held.value.near(held.value.lifted(e, True), n_probe)
+                # of the 2 k-th: should the test abandon a few of those by mistake, k are left still
+                least = held.value.kth(e, b["vec_id"].to_numpy(), near, 2 * k) - 1e-9
                 to: list[dict[int, list[int]]] = []
                 for lists in near.tolist():
                     own: dict[int, list[int]] = {}
@@ -164,12 +186,12 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 1024, reach: f
                     to.append(own)
                 times = [len(x) for x in to]
                 yield pd.DataFrame(
-                    {"to_cell": [c for x in to for c in x], "query": b["vec_id"].repeat(times), "q": b["e"].repeat(times), "lists": [v for x in to for v in x.values()]}
+                    {"to_cell": [c for x in to for c in x], "query": b["vec_id"].repeat(times), "q": b["e"].repeat(times), "least": least.repeat(times), "lists": [v for x in to for v in x.values()]}
                 )
 
     places = F.broadcast(spark.createDataFrame(dealt or [(0, 0, 1)], "list int, first int, own int"))
     placed = listed.join(places, "list").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("own"))).cast("int").alias("cell"), "vec_id", "e", "list")
-    asked = rows.where(is_query).mapInPandas(probes, "to_cell int, query long, q array<double>, lists array<int>")
+    asked = rows.where(is_query).mapInPandas(probes, "to_cell int, query long, q array<double>, least double, lists array<int>")
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -177,13 +199,15 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 1024, reach: f
             left = left.sort_values("list", kind="stable")
             x, ids, of = np.array(left["e"].tolist()), left["vec_id"].to_numpy(), left["list"].to_numpy()
             z, q = held.value.lifted(x), np.array(right["q"].tolist())
-            asking, u = right["query"].to_numpy(), held.value.lifted(np.array(right["q"].tolist()), True)
+            least, asking, u = right["least"].to_numpy(), right["query"].to_numpy(), held.value.lifted(np.array(right["q"].tolist()), True)
             for i, lists in enumerate(right["lists"]):
                 spans = [np.arange(*np.searchsorted(of, [name, name + 1])) for name in lists]
                 inside = np.concatenate(spans)
                 inside = inside[ids[inside] != asking[i]]
-                j = inside[scanned(z[inside], u[i], k)]
+                most = held.value.longest + q[i] @ q[i] - 2 * least[i]
+                j = inside[scanned(z[inside], u[i], k, most)]
                 score = x[j] @ q[i]
+                j, score = j[score >= least[i]], score[score >= least[i]]
                 best = np.lexsort((ids[j], -score))[:k]
                 found.append((np.full(len(best), asking[i]), ids[j[best]], score[best]))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [[], [], []]
