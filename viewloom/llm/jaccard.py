@@ -19,17 +19,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import column_bytes, distinct, forget, kept, slices, windows, word_values
+from viewloom.llm.text import distinct, forget, kept, release, slices, windows, word_values
 
 GROUPS = 256
 NUMERATOR, DENOMINATOR = 75, 100
-LEADERS = 3
+LEADERS = 2
 BLOCK = 2048
 
 
@@ -43,17 +42,17 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
 
 
 def points(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Group counts of each row, as 16-bit numbers (65,535: that many or more, which the bound takes as without limit)."""
+    """Group counts of each row, as bytes (255: that many or more, which the bound takes as without limit)."""
     owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     group = (tokens & np.uint64(GROUPS - 1)).astype(np.int64)
     counts = np.bincount(owner * GROUPS + group, minlength=(len(starts) - 1) * GROUPS).reshape(-1, GROUPS)
-    return np.minimum(counts, 65_535).astype("<u2")
+    return np.minimum(counts, 255).astype(np.uint8)
 
 
 def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The most that the sets of two points can share: the sum of coordinate minima."""
     least = np.minimum(x, y)
-    return least.sum(-1, dtype=np.int64) + (1 << 40) * (least == 65_535).any(-1)
+    return least.sum(-1, dtype=np.int64) + (1 << 40) * (least == 255).any(-1)
 
 
 def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -64,7 +63,7 @@ def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class CountTree:
     """An R-tree over count vectors, packed by halving along the widest coordinate; a node keeps its coordinates' maxima and its sizes' range."""
 
-    LEAF = 16
+    LEAF = 32
 
     def __init__(self, x: np.ndarray, n: np.ndarray):
         self.x, self.n = x, n
@@ -74,24 +73,40 @@ class CountTree:
         top, sizes = self.x[own].max(0), (int(self.n[own].min()), int(self.n[own].max()))
         if len(own) <= self.LEAF:
             return top, sizes, own, None
-        some = np.column_stack([self.x[own], np.minimum(self.n[own], 65_535)]).astype(np.int64)
+        some = np.column_stack([self.x[own].astype(np.int64), self.n[own]])
         own = own[np.argsort(some[:, (some.max(0) - some.min(0)).argmax()], kind="stable")]
         return top, sizes, None, (self._pack(own[: len(own) // 2]), self._pack(own[len(own) // 2 :]))
 
-    def search(self, point: np.ndarray, n: int) -> np.ndarray:
-        """Members that may be similar enough to a point of a set of ``n``."""
-        out, stack = [], [self.root] if self.root else []
-        low, high = -(-NUMERATOR * n // DENOMINATOR), n * DENOMINATOR // NUMERATOR
+    def search(self, points_: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, member) that may be similar enough; all queries go down the tree together."""
+        low, high = -(-NUMERATOR * sizes // DENOMINATOR), sizes * DENOMINATOR // NUMERATOR
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        stack = [(self.root, np.arange(len(sizes)))] if self.root else []
         while stack:
-            top, (least, most), own, below = stack.pop()
-            if most < low or least > high or bound(top, point) < needed(max(least, low), n):
+            (top, (least, most), own, below), q = stack.pop()
+            q = q[(most >= low[q]) & (least <= high[q])]
+            q = q[bound(points_[q], top) >= needed(np.maximum(least, low[q]), sizes[q])]
+            if not len(q):
                 continue
             if below:
-                stack.extend(below)
-            else:
-                fine = (self.n[own] >= low) & (self.n[own] <= high) & (bound(self.x[own], point) >= needed(self.n[own], n))
-                out.append(own[fine])
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
+                stack.extend((x, q) for x in below)
+                continue
+            for i in range(0, len(q), 1024):
+                a, b = (v.ravel() for v in np.meshgrid(q[i : i + 1024], own, indexing="ij"))
+                fine = possible(points_, sizes, a, self.x, self.n, b)
+                first.append(a[fine])
+                second.append(b[fine])
+        return np.concatenate(first), np.concatenate(second)
+
+
+def possible(x: np.ndarray, n: np.ndarray, a: np.ndarray, y: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs (a of x, b of y) pass the length filter and the bound."""
+    fine = NUMERATOR * np.maximum(n[a], m[b]) <= DENOMINATOR * np.minimum(n[a], m[b])
+    rest = np.flatnonzero(fine)
+    for i in range(0, len(rest), 1 << 14):
+        at = rest[i : i + (1 << 14)]
+        fine[at] = bound(x[a[at]], y[b[at]]) >= needed(n[a[at]], m[b[at]])
+    return fine
 
 
 def keyed(docs: DataFrame, sketch) -> DataFrame:
@@ -122,7 +137,7 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
 
 
 def cells(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, leader) of all keys that two nodes or more share; a row for each of the key's first ``LEADERS`` nodes as leader."""
+    """(key, node, n, l1, n1, l2, n2) of all keys that two nodes or more share, with the key's first two nodes and their sizes."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,44 +145,54 @@ def cells(nodes: DataFrame) -> DataFrame:
             times = np.diff(starts)
             yield pa.record_batch([pa.array(keys), pa.array(batch.column(0).to_numpy().repeat(times)), pa.array(batch.column(1).to_numpy().astype(np.int32).repeat(times))], names=["key", "node", "n"])
 
+    names = ["key", "node", "n", "l1", "n1", "l2", "n2"]
+
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by key; the last run of a batch goes on in the next one
-        pending: list[np.ndarray] = []
-        leaders: list[int] = []
-        last = None
+        # rows come sorted by key; of a batch's last run its first two rows are remembered, as it may go on in the next batch
+        before: list[np.ndarray] = []
+        shown = True  # have all remembered rows been given out?
         for batch in batches:
-            key, node, n = (c.to_numpy() for c in batch.columns)
-            if not len(key):
+            if not batch.num_rows:
                 continue
-            out = []
-            edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            begins, ends = edge[:-1], edge[1:]
-            if last is not None and key[0] != last:
-                pending, leaders = [], []
-            whole = np.flatnonzero((ends - begins > 1) | (begins == 0) | (ends == len(key)))
-            for a, b in zip(begins[whole].tolist(), ends[whole].tolist(), strict=True):
-                if a:
-                    pending, leaders = [], []
-                held = [np.array([key[a:b], node[a:b], n[a:b]])]
-                own = leaders + node[a : min(b, a + LEADERS)].tolist()
-                if len(pending) + (b - a) + len(leaders) >= 2 or leaders:
-                    held = pending + held
-                    pending = []
-                    known = own[:LEADERS]
-                    rows = np.concatenate(held, 1)
-                    out += [np.vstack([rows, np.full(rows.shape[1], x)]) for x in known]
-                    leaders = known
-                else:
-                    pending, leaders = held, []
-                if b < len(key):
-                    pending, leaders = [], []
-            last = key[-1]
-            if out:
-                rows = np.concatenate(out, 1)
-                yield pa.record_batch([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2].astype(np.int32)), pa.array(rows[3])], names=["key", "node", "n", "leader"])
+            rows = [c.to_numpy().astype(np.int64) for c in batch.columns]
+            goes_on = bool(before) and before[0][0] == rows[0][0]
+            if goes_on:  # put the remembered rows before the batch's own
+                rows = [np.concatenate([[b[i] for b in before], r]) for i, r in enumerate(rows)]
+            extra = len(before) if goes_on else 0
+            key, node, n = rows
+            edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+            size = np.diff(np.append(edge, len(key)))
+            run = np.repeat(np.arange(len(edge)), size)
+            one, two = edge[run], np.minimum(edge[run] + 1, len(key) - 1)
+            give = size[run] > 1
+            if extra and shown:
+                give[:extra] = False
+            at = np.flatnonzero(give)
+            last = edge[-1]
+            before = [np.array([key[i], node[i], n[i]]) for i in range(last, min(last + LEADERS, len(key)))]
+            shown = len(key) - last > 1
+            if len(at):
+                columns = [key[at], node[at], n[at].astype(np.int32), node[one[at]], n[one[at]].astype(np.int32), node[two[at]], n[two[at]].astype(np.int32)]
+                yield pa.record_batch([pa.array(c) for c in columns], names=names)
 
     spread_out = nodes.select("node", "n", "prefix").mapInArrow(spread, "key long, node long, n int")
-    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "key long, node long, n int, leader long")
+    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "key long, node long, n int, l1 long, n1 int, l2 long, n2 int")
+
+
+def stars(cell: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes and their keys' first nodes that pass the length filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n, *leaders = (c.to_numpy() for c in batch.columns)
+            found = []
+            for leader, m in ((leaders[0], leaders[1]), (leaders[2], leaders[3])):
+                fine = (node != leader) & (NUMERATOR * np.maximum(n, m).astype(np.int64) <= DENOMINATOR * np.minimum(n, m).astype(np.int64))
+                found.append(np.column_stack([np.maximum(node, leader), np.minimum(node, leader)])[fine])
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    return cell.select("node", "n", "l1", "n1", "l2", "n2").mapInArrow(run, "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -197,8 +222,9 @@ def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (S.flat(batch.column(k), "<u2")[0].reshape(-1, GROUPS) for k in (4, 5))
-                keep = pa.array(bound(x, y) >= needed(batch.column(2).to_numpy(), batch.column(3).to_numpy()))
+                x, y = (S.flat(batch.column(k), np.uint8)[0].reshape(-1, GROUPS) for k in (4, 5))
+                each = np.arange(batch.num_rows)
+                keep = pa.array(possible(x, batch.column(2).to_numpy(), each, y, batch.column(3).to_numpy(), each))
                 yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return joined.mapInArrow(run, "a long, b long")
@@ -212,21 +238,56 @@ def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
     rows = rows.join(nodes.select("node", "n", "point"), "node")
 
-    def search(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.frombuffer(b"".join(part["point"]), "<u2").reshape(-1, GROUPS)
-        n, node, root, block = (part[c].to_numpy() for c in ("n", "node", "root", "block"))
-        across = part["i"].iat[0] != part["j"].iat[0]
-        inside = np.flatnonzero(block == part["i"].iat[0])
-        asking = np.flatnonzero(block == part["j"].iat[0]) if across else inside
-        tree, found = CountTree(x[inside], n[inside]), []
-        for q in asking.tolist():
-            near = inside[tree.search(x[q], int(n[q]))]
-            near = near[(root[near] != root[q]) & (across | (near < q))]
-            found.append(np.column_stack([np.full(len(near), node[q]), node[near]]))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.max(1), "b": pairs.min(1)}) if len(pairs) else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    names = ["key", "i", "j", "block", "node", "root", "n", "point"]
+
+    def work(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+        cell, block, root, node, n, x = (rows[c] for c in ("cell", "block", "root", "node", "n", "point"))
+        begin = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
+        size = np.diff(np.append(begin, len(cell)))
+        found = [np.zeros((0, 2), np.int64)]
+        # cells of one leaf: all their pairs, cells by cells of equal size
+        for s in np.unique(size[size <= CountTree.LEAF]):
+            own = begin[size == s]
+            for p in range(int(s)):
+                for q in range(p):
+                    found.append(np.column_stack([own + p, own + q]))
+        for b, s in zip(begin[size > CountTree.LEAF].tolist(), size[size > CountTree.LEAF].tolist(), strict=True):
+            own = np.arange(b, b + s)
+            across = rows["i"][b] != rows["j"][b]
+            inside, asking = (own[block[own] == rows[c][b]] for c in ("i", "j"))
+            q, m = CountTree(x[inside], n[inside]).search(x[asking], n[asking])
+            a, c = asking[q], inside[m]
+            found.append(np.column_stack([a, c])[across | (c < a)])
+        pairs = np.concatenate(found)
+        a, b = pairs[:, 0], pairs[:, 1]
+        fine = (root[a] != root[b]) & ((block[a] != block[b]) | (rows["i"][a] == rows["j"][a]))
+        a, b = a[fine], b[fine]
+        fine = possible(x, n, a, x, n, b)
+        pairs = np.unique(np.column_stack([np.maximum(node[a], node[b]), np.minimum(node[a], node[b])])[fine], axis=0)
+        return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"]) if len(pairs) else None
 
-    return rows.groupBy("key", "i", "j").applyInPandas(search, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = {c: batch.column(i).to_numpy() for i, c in enumerate(names[:-1])} | {"point": S.flat(batch.column(len(names) - 1), np.uint8)[0].reshape(-1, GROUPS)}
+            own["cell"] = np.stack([own["key"], own["i"].astype(np.int64) << 32 | own["j"].astype(np.int64)], 1)
+            rows = own if held is None else {c: np.concatenate([held[c], own[c]]) for c in own}
+            new = np.flatnonzero((rows["cell"][1:] != rows["cell"][:-1]).any(1)) + 1
+            cut = int(new[-1]) if len(new) else 0
+            if cut:
+                whole = {c: v[:cut] for c, v in rows.items()}
+                whole["cell"] = np.cumsum(np.concatenate([[0], (whole["cell"][1:] != whole["cell"][:-1]).any(1)]))
+                if (out := work(whole)) is not None:
+                    yield out
+            held = {c: v[cut:].copy() for c, v in rows.items()}
+        if held is not None:
+            held["cell"] = np.zeros(len(held["key"]), np.int64)
+            if (out := work(held)) is not None:
+                yield out
+
+    return rows.select(names).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
@@ -244,15 +305,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     rows, sketch = S.split_rows(spark, units, names, ", ".join(f"{k} long" for k in names), docs)
     held = spark.sparkContext.broadcast(sketch)
     nodes = kept(keyed(docs, held))
+    release(spark)
     cell = kept(cells(nodes))
-    stars = cell.where("node <> leader").where((NUMERATOR * F.greatest("n", F.lit(0)) > 0)).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
-    candidates = kept(passing(stars, nodes))
+    release(spark)
+    candidates = kept(passing(stars(cell), nodes))
     wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
-    links = kept(S.verified(candidates, kept(sets_of(docs, wanted)), NUMERATOR, DENOMINATOR))
+    own = kept(sets_of(docs, wanted))
+    links = kept(S.verified(candidates, own, NUMERATOR, DENOMINATOR))
+    forget(spark, own, candidates)
+    release(spark)
     first = S.components(links)
 
     # second round: cells of several components, one cell for each set of members
-    member = cell.select("key", "node").distinct().join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    member = cell.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     open_keys = (
         member.groupBy("key")
         .agg(F.count("*").alias("c"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), F.min("root").alias("r"), F.max("root").alias("s"))
@@ -262,8 +327,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     )
     rest = kept(member.join(open_keys.select("key"), "key"))
     more = kept(searched(rest, nodes))
+    forget(spark, cell, rest)
+    release(spark)
     wanted = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node")))
-    added = kept(S.verified(more, kept(sets_of(docs, wanted)), NUMERATOR, DENOMINATOR))
+    own = kept(sets_of(docs, wanted))
+    added = kept(S.verified(more, own, NUMERATOR, DENOMINATOR))
+    forget(spark, own, more, nodes)
     final = S.components(links.unionByName(added))
     labels = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")

@@ -8,6 +8,7 @@ All helpers work on the raw buffers of an Arrow batch, so no Python object is ma
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -183,11 +184,17 @@ def kept(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def forget(spark: SparkSession, *frames: DataFrame | None) -> None:
+def release(spark: SparkSession) -> None:
+    """Let go of what Spark keeps for plans that nothing refers to any more, shuffle files above all."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def forget(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove tables written by ``kept`` once nothing reads them any more."""
     jvm = spark.sparkContext._jvm
     for df in frames:
-        for f in {os.path.dirname(x) for x in (df.inputFiles() if df is not None else [])}:
+        for f in {os.path.dirname(x) for x in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(f)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
