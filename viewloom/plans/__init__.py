@@ -1,0 +1,41 @@
+"""The three main workloads, end to end."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from viewloom.functions.arrays import is_present
+from viewloom.operators.annotations import frame_count_consistency
+from viewloom.operators.stereo import join_stereo_frames, projection_matrices, triangulate
+from viewloom.operators.sync import match_length, pair_views, sync_frames
+from viewloom.schemas import PARTS
+
+
+def consistency_statistics(segments: DataFrame) -> DataFrame:
+    """Clips by subtask: with equal counts across views, with unequal ones, and in a single view."""
+    kinds = dict(zip(("equal", "unequal", "single"), frame_count_consistency(segments), strict=True))
+    rows = None
+    for kind, df in kinds.items():
+        own = df.select("subtask", F.lit(kind).alias("kind"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy("subtask").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
+
+
+def synchronised(frames: DataFrame, left: str = "CAM_LL", right: str = "CAM_LR", tolerance_ms: int = 3_600_000) -> DataFrame:
+    """Frame pairs of two views, after both are cut to the participant's shorter length."""
+    both = frames.where(F.col("view").isin(left, right))
+    trimmed, _ = match_length(both, ["participant"], ["participant", "view"])
+    side = lambda v: trimmed.where(F.col("view") == v)
+    return sync_frames(side(left), side(right), ["participant"], tolerance_ms)
+
+
+def reconstructed(landmarks: DataFrame, calibration: DataFrame, parts: list[str] | None = None) -> DataFrame:
+    """3D points of every frame that both views and a calibration cover."""
+    parts = parts or PARTS
+    seen = landmarks.withColumns({p: F.when(is_present(F.col(p)), F.col(p)) for p in parts})
+    stereo = join_stereo_frames(seen, projection_matrices(calibration), parts=parts)
+    return triangulate(stereo, ["participant", "pair", "frame_idx"], parts)
+
+
+__all__ = ["consistency_statistics", "pair_views", "reconstructed", "synchronised"]

@@ -1,0 +1,119 @@
+"""Readers and writers of the recordings' files."""
+
+from __future__ import annotations
+
+import io
+import os
+import uuid
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from viewloom.schemas import ANNOTATION, CALIBRATION, EXTENSION_VIDEO, TASK_PLAN
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(os.environ.get("TMPDIR", "/tmp"), "viewloom-checkpoints")
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def read_catalog(spark: SparkSession, root: str, exts: tuple[str, ...] = EXTENSION_VIDEO) -> DataFrame:
+    """(path, length, modified) of all files below a folder with one of the extensions; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    ends = F.lit(False)
+    for e in exts:
+        ends |= F.lower("path").endswith(e)
+    return files.where(ends).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def read_annotations(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
+    """Label exports (arrays of videos with their tricks) with their source file; and the records of another structure, kept aside."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*ANNOTATION.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = spark.read.schema(schema).option("multiLine", True).json(glob).withColumn("file", F.col("_metadata.file_name"))
+    good = F.col("video_url").isNotNull() & F.col("tricks").isNotNull()
+    return rows.where(good).select("file", "video_url", "tricks"), rows.where(~good)
+
+
+def read_task_plan(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON map of participants to their tasks in order, as (participant, position, task); positions start at 1."""
+    text = spark.read.option("wholetext", True).text(path)
+    plan = text.select(F.explode(F.from_json("value", TASK_PLAN)).alias("participant", "tasks"))
+    return plan.select("participant", F.posexplode("tasks").alias("position", "task")).withColumn("position", F.col("position") + 1)
+
+
+def unpivot_task_plan(wide: DataFrame, key: str = "participant", prefix: str = "Task_") -> DataFrame:
+    """Columns Task_1, Task_2, ... as (participant, position, task); empty ones left out."""
+    columns = [c for c in wide.columns if c.startswith(prefix)]
+    long = wide.unpivot([key], columns, "slot", "task")
+    return long.select(key, F.substring_index("slot", "_", -1).cast("int").alias("position"), "task").where("task is not null and task <> ''")
+
+
+def check_widths(frames: DataFrame, sizes: dict[str, int], width: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Frames whose parts are null or of their size and width, and the others."""
+    fine = F.lit(True)
+    for part, n in sizes.items():
+        fine &= F.col(part).isNull() | ((F.size(part) == n) & F.forall(part, lambda p: F.size(p) == width))
+    return frames.where(fine), frames.where(~fine)
+
+
+def read_landmarks(spark: SparkSession, path: str, sizes: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Per-frame part arrays from Parquet; and the rows of another width, kept aside."""
+    return check_widths(spark.read.parquet(path), sizes)
+
+
+def write_landmarks(frames: DataFrame, path: str, sizes: dict[str, int]) -> None:
+    """Write frames; a part of another width ends the job with an error."""
+    for part, n in sizes.items():
+        bad = F.col(part).isNotNull() & (F.size(part) != n)
+        frames = frames.withColumn(part, F.when(bad, F.raise_error(F.lit(f"{part} is not of {n} points"))).otherwise(F.col(part)))
+    frames.write.mode("overwrite").parquet(path)
+
+
+def read_calibrations(spark: SparkSession, glob: str) -> DataFrame:
+    """npz calibration files ``participant_pair.npz`` as one row each; arrays are flattened row by row."""
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    columns = {"left_mtx": "left_mtx", "right_mtx": "right_mtx", "left_dist": "left_dist", "right_dist": "right_dist", "R": "R", "T": "T"}
+
+    def decode(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with np.load(io.BytesIO(content), allow_pickle=False) as z:
+                    stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                    who, _, pair = stem.partition("_")
+                    row = {"participant": who, "pair": pair.removesuffix("_stereo"), "retval": float(z["retval"]) if "retval" in z else None}
+                    rows.append(row | {c: z[k].astype(float).ravel().tolist() if k in z else None for c, k in columns.items()})
+            yield pd.DataFrame(rows, columns=CALIBRATION.names)
+
+    return files.mapInPandas(decode, CALIBRATION)
+
+
+def write_by_view_subtask(rows: DataFrame, path: str, most_per_file: int = 100_000, salt: int = 8) -> None:
+    """Laid out as view=../subtask=..; a large subtask is written by ``salt`` tasks, so none holds it alone."""
+    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if dict(rows.dtypes)[c] in ("string", "bigint", "int", "double")]), F.lit(salt))
+    rows.repartition("view", "subtask", spread).write.option("maxRecordsPerFile", most_per_file).partitionBy("view", "subtask").mode("overwrite").parquet(path)
+
+
+def append_new_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """The distinct new rows that are not among the existing ones; nulls equal nulls."""
+    left, right = new.distinct().alias("n"), existing.distinct().alias("e")
+    same = F.lit(True)
+    for c in new.columns:
+        same &= F.col(f"n.{c}").eqNullSafe(F.col(f"e.{c}"))
+    return left.join(right, same, "left_anti")
+
+
+def write_report(rows: DataFrame, path: str, fmt: str = "csv") -> None:
+    """CSV with a header (nested columns as JSON text), or JSON."""
+    if fmt == "csv":
+        nested = {c: F.to_json(c) for c, k in rows.dtypes if k.startswith(("map", "struct", "array"))}
+        rows.withColumns(nested).write.mode("overwrite").option("header", True).csv(path)
+    else:
+        rows.write.mode("overwrite").format(fmt).save(path)

@@ -1,0 +1,57 @@
+"""Structured Streaming forms: incremental features, a live label feed, two live views paired in time."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from viewloom.functions.frames import look_direction
+from viewloom.operators.catalog import pending
+
+
+def incremental_features(spark: SparkSession, source: str, schema, work: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, per_run: int = 100) -> StreamingQuery:
+    """Process the files that are new since the last run, ``per_run`` at a time, and append the results with their ``file``.
+
+    A run that is repeated after a failure appends nothing twice: files that the sink has already are left out.
+    """
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_run).parquet(source).withColumn("file", F.col("_metadata.file_name"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        try:
+            done = own.read.parquet(sink).select("file")
+        except Exception as e:  # the first run finds no sink
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
+                raise
+            done = own.createDataFrame([], "file string")
+        work(pending(batch, done)).write.mode("append").parquet(sink)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def labelled(angles: DataFrame) -> DataFrame:
+    return angles.withColumn("label", look_direction(F.col("x"), F.col("y")))
+
+
+def live_look_direction(angles: DataFrame, watermark: str = "10 seconds", window: str = "1 second") -> DataFrame:
+    """Frames of each label in every tumbling window of event time ``ts``; the same on a batch and on a stream."""
+    frames = labelled(angles)
+    if frames.isStreaming:
+        frames = frames.withWatermark("ts", watermark)
+    g = frames.groupBy(F.window("ts", window), "label").agg(F.count("*").alias("frames"))
+    return g.select(F.col("window.start").alias("start"), "label", "frames")
+
+
+def stream_sync(left: DataFrame, right: DataFrame, keys: list[str], tolerance: str, watermark: str = "1 minute") -> DataFrame:
+    """All pairs of two live views at most ``tolerance`` apart in event time ``ts``; both watermarks bound the state."""
+    a = left.select(*(F.col(k).alias(f"l_{k}") for k in keys), F.col("frame_idx").alias("l_idx"), F.col("ts").alias("l_ts"))
+    b = right.select(*(F.col(k).alias(f"r_{k}") for k in keys), F.col("frame_idx").alias("r_idx"), F.col("ts").alias("r_ts"))
+    if a.isStreaming:
+        a, b = a.withWatermark("l_ts", watermark), b.withWatermark("r_ts", watermark)
+    near = F.expr(f"r_ts between l_ts - interval {tolerance} and l_ts + interval {tolerance}")
+    for k in keys:
+        near &= F.col(f"l_{k}") == F.col(f"r_{k}")
+    return a.join(b, near).select(*(F.col(f"l_{k}").alias(k) for k in keys), "l_idx", "r_idx", "l_ts", "r_ts")
