@@ -40,7 +40,7 @@ def read_annotations(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFra
 
 def read_task_plan(spark: SparkSession, path: str) -> DataFrame:
     """A JSON map of participants to their tasks in order, as (participant, position, task); positions start at 1."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     plan = text.select(F.explode(F.from_json("value", TASK_PLAN)).alias("participant", "tasks"))
     return plan.select("participant", F.posexplode("tasks").alias("position", "task")).withColumn("position", F.col("position") + 1)
 
