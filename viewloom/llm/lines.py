@@ -5,10 +5,10 @@ their sets is 0.8 or more; a line is removed when it matches a line in an earlie
 number, signature of the set), null ids first.
 
 Equal sets are one node with its first place.  Each node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
-that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from 128 parity bits of
-each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the most similar
-earlier one alone, so groups of near copies don't list their pairs; what these candidates don't settle is searched again for all its candidates.
-Candidates are verified on the sets.
+that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from parity bits of
+each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the ``FIRST`` most similar
+earlier ones alone, so groups of near copies don't list their pairs; the members of cells that hold more are kept, and a node that its first candidates don't settle
+is searched there for all of them.  Candidates are verified on the sets.
 
 Defined results: null and empty texts have no lines that take part and stay as they are; repeated rows (same id and text) lose the same lines, rows of one id and different texts are told apart by a hash of the text;
 an empty table gives no rows.
@@ -24,12 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import _hash_spans, column_bytes, distinct, kept, slices, word_spans
+from viewloom.llm.text import _hash_spans, column_bytes, distinct, forget, kept, release, slices, word_spans
 
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
 BLOCK = 8192
-CELL = "cell long, node long, n int, pos int, doc long, line int, p long, q long, block int, other int"
+FIRST = 3
+WIDE, WIDE_BITS = 96, 512
+#: n and position, line and both blocks are packed in one number each: rows are many.
+CELL = "cell long, node long, size long, doc long, line long, bits long, wide binary"
+NAMES = [c.split(" ")[0] for c in CELL.split(", ")]
 
 
 def line_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -49,23 +53,30 @@ def line_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return owner[use], number[use].astype(np.int32), words[keep], np.concatenate([[0], np.cumsum(n[use])])
 
 
-def parity(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each set, in two words: each token flips one.  Sets differ in as many tokens as bits, at least."""
-    bit = np.uint64(1) << ((tokens >> np.uint64(7)) & np.uint64(63))
-    second = (tokens >> np.uint64(13)) & np.uint64(1) == 1
-    out = []
-    for own in (np.where(second, np.uint64(0), bit), np.where(second, bit, np.uint64(0))):
-        run = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(own)]) if len(own) else np.zeros(1, np.uint64)
-        out.append((run[starts[1:]] ^ run[starts[:-1]]).view(np.int64))
-    return out[0], out[1]
+def parity(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64 bits of each set: each token flips one.  Sets differ in as many tokens as bits, at least."""
+    run = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.uint64(1) << ((tokens >> np.uint64(7)) & np.uint64(63)))]) if len(tokens) else np.zeros(1, np.uint64)
+    return (run[starts[1:]] ^ run[starts[:-1]]).view(np.int64)
+
+
+def wide_parity(tokens: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """``WIDE_BITS`` such bits of the sets of ``WIDE`` tokens and more, null for smaller ones."""
+    n = np.diff(starts)
+    large = np.flatnonzero(n >= WIDE)
+    out: list[bytes | None] = [None] * len(n)
+    for i in large.tolist():
+        bit = ((tokens[starts[i] : starts[i + 1]] >> np.uint64(20)) % np.uint64(WIDE_BITS)).astype(np.int64)
+        out[i] = np.packbits(np.bincount(bit, minlength=WIDE_BITS) & 1).tobytes()
+    return pa.array(out, pa.binary())
 
 
 def prefix_lengths(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, n + (-NUMERATOR * n // DENOMINATOR) + 1, 0)
 
 
-def cells(docs: DataFrame, firsts: DataFrame, sketch) -> DataFrame:
-    """The rows of all cells (``CELL``), for every node at its first place.  ``docs``: (doc, text); ``firsts``: (node, doc, line)."""
+def keyed(docs: DataFrame, sketch) -> DataFrame:
+    """(node, doc, line, n, bits, wide, prefix, counts): each node at its first place, with its shared prefix words' values, positions and counters."""
+    fields = "node long, doc long, line int, n int, bits long, wide binary, prefix binary, pos binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -77,48 +88,80 @@ def cells(docs: DataFrame, firsts: DataFrame, sketch) -> DataFrame:
             row = np.repeat(np.arange(len(n)), take)
             pos = np.arange(cuts[-1]) - cuts[:-1][row]
             at = starts[:-1][row] + pos
-            p, q = parity(tokens, starts)
-            shared = count[at] > 1
+            shared = count[at] > 1  # a word of one line alone is no key
             row, pos, at = row[shared], pos[shared], at[shared]
-            blocks = -(-count[at].astype(np.int64) // BLOCK)
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(n)))])
+            doc = batch.column(0).to_numpy()[owner]
+            yield pa.record_batch(
+                [pa.array(node), pa.array(doc), pa.array(number), pa.array(n.astype(np.int32)), pa.array(parity(tokens, starts)), wide_parity(tokens, starts)]
+                + [S.blobs(ordered[at], cuts), S.blobs(pos.astype("<i4"), cuts), S.blobs(count[at].astype("<u4"), cuts)],
+                names=[c.split(" ")[0] for c in fields.split(", ")],
+            )
+
+    rest = ["n", "bits", "wide", "prefix", "pos", "counts"]
+    found = docs.select("doc", "text").mapInArrow(run, fields)
+    # rows of one node differ in their place alone, so the first place decides
+    return found.groupBy("node").agg(F.min(F.struct("doc", "line", *rest)).alias("f")).select("node", "f.*")
+
+
+def cells(nodes: DataFrame) -> DataFrame:
+    """The rows of all cells (``CELL``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, doc, line, n, bits = (batch.column(i).to_numpy() for i in range(5))
+            key, starts = S.flat(batch.column(6), "<u8")
+            pos, count = S.flat(batch.column(7), "<i4")[0].astype(np.int64), S.flat(batch.column(8), "<u4")[0].astype(np.int64)
+            row = np.repeat(np.arange(len(node)), np.diff(starts))
+            blocks = np.minimum(-(-count // BLOCK), 32_767)
             own = (node[row].view(np.uint64) % blocks.astype(np.uint64)).astype(np.int64)
             many = np.repeat(np.arange(len(row)), blocks)
-            other = np.arange(len(many)) - np.repeat(np.concatenate([[0], np.cumsum(blocks)[:-1]]), blocks) if len(row) else np.zeros(0, np.int64)
-            own, row, pos, key = own[many], row[many], pos[many], ordered[at][many]
+            other = np.arange(len(many)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            own, row, pos, key, blocks = own[many], row[many], pos[many], key[many], blocks[many]
             low, high = np.minimum(own, other), np.maximum(own, other)
-            place = np.where(blocks[many] > 1, (low * 1_000_003 + high + 1).astype(np.uint64), np.uint64(0))
+            place = np.where(blocks > 1, (low * 1_000_003 + high + 1).astype(np.uint64), np.uint64(0))
             cell = (key ^ S.mix(place)).view(np.int64)
-            doc = batch.column(0).to_numpy()[owner]
-            columns = [cell, node[row], n[row].astype(np.int32), pos.astype(np.int32), doc[row], number[row], p[row], q[row], own.astype(np.int32), np.where(low == high, own, high + low - own).astype(np.int32)]
-            yield pa.record_batch([pa.array(c) for c in columns], names=[c.split(" ")[0] for c in CELL.split(", ")])
+            columns = [cell, node[row], n[row].astype(np.int64) << 32 | pos, doc[row], line[row].astype(np.int64) << 32 | own << 16 | np.where(low == high, own, low + high - own), bits[row]]
+            for i in range(0, len(row), 1 << 18):
+                part = slice(i, i + (1 << 18))
+                yield pa.record_batch([*(pa.array(c[part]) for c in columns), batch.column(5).take(pa.array(row[part]))], names=NAMES)
 
-    found = docs.select("doc", "text").mapInArrow(run, CELL)
-    return found.join(firsts.select("node", "doc", "line"), ["node", "doc", "line"], "left_semi").select([c.split(" ")[0] for c in CELL.split(", ")])
+    return nodes.select("node", "doc", "line", "n", "bits", "wide", "prefix", "pos", "counts").mapInArrow(run, CELL)
 
 
 def earlier(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Is row a's place before row b's?"""
-    doc, line, node = rows["doc"], rows["line"], rows["node"]
+    doc, line, node = rows["doc"], rows["line"] >> 32, rows["node"]
     same_doc, same_line = doc[a] == doc[b], line[a] == line[b]
     return (doc[a] < doc[b]) | (same_doc & ((line[a] < line[b]) | (same_line & (node[a] < node[b]))))
 
 
 def possible(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs of rows pass the length, positional and parity filters, and how many parity bits differ."""
-    na, nb, pa_, pb = (rows[c][i].astype(np.int64) for c, i in (("n", a), ("n", b), ("pos", a), ("pos", b)))
-    differ = sum(np.bitwise_count((rows[c][a] ^ rows[c][b]).view(np.uint64)).astype(np.int64) for c in ("p", "q"))
+    """Places, among the pairs (a, b) of rows, of those that pass all filters; and how many parity bits these differ in."""
+    na, nb = rows["size"][a] >> 32, rows["size"][b] >> 32
+    at = np.flatnonzero((NUMERATOR * np.maximum(na, nb) <= DENOMINATOR * np.minimum(na, nb)) & (rows["node"][a] != rows["node"][b]))
+    a, b, na, nb = a[at], b[at], na[at], nb[at]
     need = -(-NUMERATOR * (na + nb) // (NUMERATOR + DENOMINATOR))
-    fine = (NUMERATOR * np.maximum(na, nb) <= DENOMINATOR * np.minimum(na, nb)) & (na + nb - differ >= 2 * need)
-    fine &= np.minimum(pa_, pb) + 1 + np.minimum(na - pa_, nb - pb) - 1 >= need
-    return fine & (rows["node"][a] != rows["node"][b]), differ
-
-
-def pairs_of(cell: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one cell, in bulk; in a cell of two blocks, the pairs across."""
-    size = len(cell)
+    differ = np.bitwise_count((rows["bits"][a] ^ rows["bits"][b]).view(np.uint64)).astype(np.int64)
+    p, q = rows["size"][a] & 0xFFFFFFFF, rows["size"][b] & 0xFFFFFFFF
+    block, other = rows["line"] >> 16 & 0xFFFF, rows["line"] & 0xFFFF
+    fine = (na + nb - differ >= 2 * need) & (np.minimum(p, q) + np.minimum(na - p, nb - q) >= need)
+    fine &= (block[a] != block[b]) | (block[a] == other[a])  # in a cell of two blocks, pairs across
+    keep = np.flatnonzero(fine)
+    large = keep[(rows["place"][a[keep]] >= 0) & (rows["place"][b[keep]] >= 0)]
+    if len(large):
+        x = rows["table"][rows["place"][a[large]]] ^ rows["table"][rows["place"][b[large]]]
+        differ[large] = np.maximum(differ[large], np.bitwise_count(x).sum(1, dtype=np.int64))
+        fine[large] = na[large] + nb[large] - differ[large] >= 2 * need[large]
+        keep = np.flatnonzero(fine)
+    return at[keep], differ[keep]
+
+
+def pairs_of(cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one cell, in bulk: rows a given number of steps apart, over all cells at once."""
     end = np.searchsorted(cell, cell, "right")
-    left, step = np.arange(size), 1
-    while True:  # rows a given number of steps apart, over all cells at once
+    left, step = np.arange(len(cell)), 1
+    while True:
         left = left[left + step < end[left]]
         if not len(left):
             return
@@ -128,71 +171,104 @@ def pairs_of(cell: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray,
         step += 1
 
 
+FOUND = "x long, y long, " + CELL.replace("cell long", "cell long, more boolean, asks boolean")
+
+
 def candidates(rows: DataFrame, every: bool) -> DataFrame:
-    """(x, y, cell, more): node x and an earlier node y that may match it.
+    """(x, y, cell, more, ...): node x and an earlier node y that may match it; ``more``: the cell has others for x.
 
-    ``every``: all of them; otherwise in each cell the one that differs in the fewest parity bits, and whether there are more.
+    Unless ``every``, the ``FIRST`` ones that differ in the fewest parity bits, and, without x and y, the rows of the cells that have more.  With ``every``, only
+    nodes that ask (``asks``) are x.
     """
-    names = [c.split(" ")[0] for c in CELL.split(", ")]
-
-    def work(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
-        found: list[np.ndarray] = []
-        for a, b in pairs_of(rows["cell"], rows["block"]):
-            fine, differ = possible(rows, a, b)
-            fine &= (rows["block"][a] != rows["block"][b]) | (rows["block"][a] == rows["other"][a])
-            a, b, differ = a[fine], b[fine], differ[fine]
+    names = [*NAMES, "asks"] if every else NAMES
+
+    def work(rows: dict[str, np.ndarray], wide: list) -> pa.RecordBatch | None:
+        lengths = np.array([w is not None for w in wide], bool)
+        rows["place"] = np.where(lengths, np.cumsum(lengths) - 1, -1)
+        rows["table"] = np.frombuffer(b"".join(w for w in wide if w is not None), np.uint64).reshape(-1, WIDE_BITS // 64)
+        found = [np.zeros((0, 3), np.int64)]
+        for a, b in pairs_of(rows["cell"]):
+            at, differ = possible(rows, a, b)
+            a, b = a[at], b[at]
             first = earlier(rows, a, b)
-            found.append(np.column_stack([np.where(first, b, a), np.where(first, a, b), differ]))
-        got = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
+            x, y = np.where(first, b, a), np.where(first, a, b)
+            keep = rows["asks"][x] if every else slice(None)
+            found.append(np.column_stack([x, y, differ])[keep])
+        got = np.concatenate(found)
         if not len(got):
             return None
-        more = np.zeros(len(got), bool)
-        if not every:
-            got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
-            new = np.concatenate([[True], got[1:, 0] != got[:-1, 0]])
-            times = np.diff(np.append(np.flatnonzero(new), len(got)))
-            got, more = got[new], times > 1
-        return pa.record_batch([pa.array(rows["node"][got[:, 0]]), pa.array(rows["node"][got[:, 1]]), pa.array(rows["cell"][got[:, 0]]), pa.array(more)], names=["x", "y", "cell", "more"])
+        if every:
+            pairs = np.unique(np.column_stack([rows["node"][got[:, 0]], rows["node"][got[:, 1]]]), axis=0)
+            none = pa.nulls(len(pairs))
+            return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *(none.cast(t) for t in schema.types[2:])], schema=schema)
+        got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
+        new = np.concatenate([[True], got[1:, 0] != got[:-1, 0]])
+        begin = np.flatnonzero(new)
+        times = np.diff(np.append(begin, len(got)))
+        rank = np.arange(len(got)) - np.repeat(begin, times)
+        more = np.repeat(times > FIRST, times)
+        crowded = np.isin(rows["cell"], np.unique(rows["cell"][got[more, 0]]))
+        got, more = got[rank < FIRST], more[rank < FIRST]
+        x, y, members = got[:, 0], got[:, 1], np.flatnonzero(crowded)
+        both = lambda p, q, t: pa.concat_arrays([p if isinstance(p, pa.Array) else pa.nulls(p, t), q if isinstance(q, pa.Array) else pa.nulls(q, t)])
+        k, m = len(got), len(members)
+        columns = [both(pa.array(rows["node"][x]), m, pa.int64()), both(pa.array(rows["node"][y]), m, pa.int64()), pa.array(np.concatenate([rows["cell"][x], rows["cell"][members]]))]
+        columns += [both(pa.array(more), m, pa.bool_()), pa.nulls(k + m, pa.bool_())]
+        columns += [both(k, pa.array(rows[c][members]), pa.int64()) for c in NAMES[1:-1]]
+        columns.append(pa.array([None] * k + [wide[i] for i in members.tolist()], pa.binary()))
+        return pa.record_batch(columns, schema=schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = to_arrow_schema(_parse_datatype_string(FOUND))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []  # the rows of a cell that may go on in the next batch
+        held: list[tuple[dict[str, np.ndarray], list]] = []  # the rows of a cell that may go on in the next batch
         size = 0
+
+        def joined() -> tuple[dict[str, np.ndarray], list]:
+            return {c: np.concatenate([h[c] for h, _ in held]) for c in held[0][0]}, [w for _, ws in held for w in ws]
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = {c: batch.column(i).to_numpy() for i, c in enumerate(names)}
-            held.append(own)
+            own = {c: np.asarray(batch.column(i)) for i, c in enumerate(names) if c != "wide"}
+            held.append((own, batch.column(names.index("wide")).to_pylist()))
             size += batch.num_rows
             cut = int(np.searchsorted(own["cell"], own["cell"][-1])) if own["cell"][0] != own["cell"][-1] else 0
-            if cut and size >= 100_000 or cut and len(held) > 1:
-                joined = {c: np.concatenate([h[c] for h in held]) for c in names}
-                whole = size - batch.num_rows + cut
-                if (out := work({c: v[:whole] for c, v in joined.items()})) is not None:
+            if cut and (size >= 100_000 or len(held) > 1):
+                rows, wide = joined()
+                until = size - batch.num_rows + cut
+                if (out := work({c: v[:until] for c, v in rows.items()}, wide[:until])) is not None:
                     yield out
-                held, size = [{c: v[whole:] for c, v in joined.items()}], size - whole
-        if held and (out := work({c: np.concatenate([h[c] for h in held]) for c in names})) is not None:
+                held, size = [({c: v[until:] for c, v in rows.items()}, wide[until:])], size - until
+        if held and (out := work(*joined())) is not None:
             yield out
 
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "x long, y long, cell long, more boolean")
+    return rows.select(names).repartition("cell").sortWithinPartitions("cell").mapInArrow(run, FOUND)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, tokens), one row for each wanted node, from the texts."""
-    bits = docs.sparkSession.sparkContext.broadcast(S.bloom(wanted))
+    """(node, tokens), one row for each wanted node (node, doc), from the texts of their documents."""
+    context = docs.sparkSession.sparkContext
+    bits, within = context.broadcast(S.bloom(wanted)), context.broadcast(S.bloom(wanted.select(F.col("doc").alias("node"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            _, _, tokens, starts = line_sets(batch.column(0))
+            batch = batch.filter(pa.array(S.in_bloom(within.value, batch.column(0).to_numpy())))
+            owner, _, tokens, starts = line_sets(batch.column(1))
             node, n = S.signatures(tokens, starts), np.diff(starts)
             use = S.in_bloom(bits.value, node)
             _, first = np.unique(node, return_index=True)
             single = np.zeros(len(node), bool)
             single[first] = True
             use &= single
-            yield pa.record_batch([pa.array(node[use]), S.blobs(tokens[np.repeat(use, n)], np.concatenate([[0], np.cumsum(n[use])]))], names=["node", "tokens"])
+            doc = batch.column(0).to_numpy()[owner]
+            yield pa.record_batch([pa.array(node[use]), pa.array(doc[use]), S.blobs(tokens[np.repeat(use, n)], np.concatenate([[0], np.cumsum(n[use])]))], names=["node", "doc", "tokens"])
 
-    found = docs.select("text").mapInArrow(run, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    return found.join(wanted.select("node").distinct(), "node", "left_semi")
+    found = docs.select("doc", "text").mapInArrow(run, "node long, doc long, tokens binary")
+    return found.join(wanted.select("node", "doc").distinct(), ["node", "doc"], "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,22 +282,28 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     lines, sketch = S.split_rows(spark, units, ["doc", "hash", "line"], "doc long, hash long, line int", docs)
     held = spark.sparkContext.broadcast(sketch)
-    firsts = kept(lines.groupBy("node").agg(F.min(F.struct("doc", "line")).alias("f")).select("node", "f.doc", "f.line"))
-    rows = cells(docs, firsts, held)
-    found = kept(candidates(rows, False))
+    nodes = kept(keyed(docs, held))
+    firsts = nodes.select("node", "doc", "line")
+    release(spark)
+    found = kept(candidates(cells(nodes), False))
+    release(spark)
 
     def settle(pairs: DataFrame) -> DataFrame:
+        """Nodes x of the pairs (x, y) that match their y."""
         pairs = kept(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        return kept(S.verified(pairs, kept(sets_of(docs, wanted)), NUMERATOR, DENOMINATOR).select(F.col("a").alias("node")).distinct())
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        own = kept(sets_of(docs, firsts.join(wanted, "node", "left_semi").select("node", "doc")))
+        out = kept(S.verified(pairs, own, NUMERATOR, DENOMINATOR).select(F.col("a").alias("node")).distinct())
+        forget(spark, own, pairs)
+        return out
 
-    gone = settle(found)
+    gone = settle(found.where("x is not null"))
     # nodes with more candidates in some cell, none of whose first ones matched
     unsettled = kept(found.where("more").select("cell", F.col("x").alias("node")).distinct().join(gone, "node", "left_anti"))
     if unsettled.limit(1).count():
-        again = candidates(rows.join(unsettled.select("cell").distinct(), "cell", "left_semi"), True)
-        again = again.join(unsettled.select(F.col("node").alias("x"), "cell"), ["x", "cell"], "left_semi")
-        gone = gone.unionByName(settle(again)).distinct()
+        members = found.where("x is null").join(unsettled.select("cell").distinct(), "cell", "left_semi").drop("asks")
+        asking = members.join(unsettled.withColumn("asks", F.lit(True)), ["cell", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+        gone = gone.unionByName(settle(candidates(asking, True))).distinct()
     told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), "gone")
     out = lines.join(told, "node").where(F.col("gone").isNotNull() | (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")))
     return out.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
