@@ -55,6 +55,10 @@ class Index:
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest - (x**2).sum(1), 0))
         return np.column_stack([x, more]) @ self.rotation
 
+    def ranked(self, x: np.ndarray) -> np.ndarray:
+        """All lists of each vector, nearest first."""
+        return np.argsort((self.centroids**2).sum(1) - 2 * x @ self.centroids.T, axis=1, kind="stable")
+
     def near(self, x: np.ndarray, n: int) -> np.ndarray:
         """The ``n`` nearest lists of each vector."""
         n = min(n, len(self.centroids))
@@ -168,17 +172,24 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
     listed = kept(rows.mapInPandas(assign, "vec_id long, e array<double>, list int"))
     counts = [(r["list"], r["count"]) for r in listed.groupBy("list").count().collect()]  # a row for each list
     dealt = cells(counts, cell)
+    sizes = np.zeros(len(index.centroids), np.int64)
+    for name, many in counts:
+        sizes[name] = many
     where = spark.sparkContext.broadcast({name: range(first, first + own) for name, first, own in dealt})
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
                 e = np.array(b["e"].tolist())
-                near = held.value.near(held.value.lifted(e, True), n_probe)
+                order = held.value.ranked(held.value.lifted(e, True))
+                near = order[:, :n_probe]
+                # lists enough for k candidates and more, even where the nearest ones are almost empty
+                enough = (np.cumsum(sizes[order], 1) < 2 * k + 2).sum(1) + 1
+                lists_of = [o[: max(n_probe, m)] for o, m in zip(order.tolist(), enough.tolist(), strict=True)]
                 # of the 2 k-th: should the test abandon a few of those by mistake, k are left still
                 least = held.value.kth(e, b["vec_id"].to_numpy(), near, 2 * k) - 1e-9
                 to: list[dict[int, list[int]]] = []
-                for lists in near.tolist():
+                for lists in lists_of:
                     own: dict[int, list[int]] = {}
                     for name in lists:
                         for c in where.value.get(name, ()):

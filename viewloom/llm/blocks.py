@@ -284,8 +284,8 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def fit(pages: list[list[Block]], hidden: int = 16, copies: int = 3, rounds: int = 6, batch: int = 32, most_blocks: int = 128, seed: int = 0) -> Labeller:
-    """Train on the pages' own telling blocks and on ``copies`` varied copies of each, in windows of ``most_blocks``."""
+def fit(pages: list[list[Block]], hidden: int = 16, copies: int = 3, rounds: int = 6, least_steps: int = 300, batch: int = 32, most_blocks: int = 128, seed: int = 0) -> Labeller:
+    """Train on the pages' own telling blocks and on ``copies`` varied copies of each, in windows of ``most_blocks``; ``rounds`` over all, or more for few pages."""
     rng = np.random.default_rng(seed)
     examples = []
     for page in pages:
@@ -300,7 +300,8 @@ def fit(pages: list[list[Block]], hidden: int = 16, copies: int = 3, rounds: int
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     step, examples = 0, sorted(examples, key=lambda e: len(e[0]))
     groups = [examples[i : i + batch] for i in range(0, len(examples), batch)]
-    for r in range(rounds):
+    total = max(rounds, -(-least_steps // len(groups))) * len(groups) if groups else 0
+    while step < total:
         for g in rng.permutation(len(groups)):
             x, mask = padded([e[0] for e in groups[g]])
             y = np.full(mask.shape, -1)
@@ -310,7 +311,7 @@ def fit(pages: list[list[Block]], hidden: int = 16, copies: int = 3, rounds: int
             for w, grad, (m, v) in zip(weights, model.gradients(x, y, mask)[1], moments, strict=True):
                 m += 0.1 * (grad - m)
                 v += 0.01 * (grad**2 - v)
-                w -= 0.02 * 0.6**r * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+                w -= 0.02 * 0.06 ** (step / total) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
     return model
 
 

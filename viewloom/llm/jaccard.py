@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import distinct, forget, kept, release, slices, windows, word_values
+from viewloom.llm.text import distinct, forget, kept, release, slices, trim, windows, word_values
 
 GROUPS = 256
 NUMERATOR, DENOMINATOR = 75, 100
@@ -282,6 +282,7 @@ def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
                 if (out := work(whole)) is not None:
                     yield out
             held = {c: v[cut:].copy() for c, v in rows.items()}
+            trim()
         if held is not None:
             held["cell"] = np.zeros(len(held["key"]), np.int64)
             if (out := work(held)) is not None:

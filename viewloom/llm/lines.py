@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import _hash_spans, column_bytes, distinct, forget, kept, release, slices, word_spans
+from viewloom.llm.text import _hash_spans, column_bytes, distinct, forget, kept, release, slices, trim, word_spans
 
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
@@ -242,7 +242,8 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
                 until = size - batch.num_rows + cut
                 if (out := work({c: v[:until] for c, v in rows.items()}, wide[:until])) is not None:
                     yield out
-                held, size = [({c: v[until:] for c, v in rows.items()}, wide[until:])], size - until
+                held, size = [({c: v[until:].copy() for c, v in rows.items()}, wide[until:])], size - until
+                trim()
         if held and (out := work(*joined())) is not None:
             yield out
 
@@ -257,18 +258,17 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             batch = batch.filter(pa.array(S.in_bloom(within.value, batch.column(0).to_numpy())))
-            owner, _, tokens, starts = line_sets(batch.column(1))
+            _, _, tokens, starts = line_sets(batch.column(1))
             node, n = S.signatures(tokens, starts), np.diff(starts)
             use = S.in_bloom(bits.value, node)
             _, first = np.unique(node, return_index=True)
             single = np.zeros(len(node), bool)
             single[first] = True
             use &= single
-            doc = batch.column(0).to_numpy()[owner]
-            yield pa.record_batch([pa.array(node[use]), pa.array(doc[use]), S.blobs(tokens[np.repeat(use, n)], np.concatenate([[0], np.cumsum(n[use])]))], names=["node", "doc", "tokens"])
+            yield pa.record_batch([pa.array(node[use]), S.blobs(tokens[np.repeat(use, n)], np.concatenate([[0], np.cumsum(n[use])]))], names=["node", "tokens"])
 
-    found = docs.select("doc", "text").mapInArrow(run, "node long, doc long, tokens binary")
-    return found.join(wanted.select("node", "doc").distinct(), ["node", "doc"], "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    found = docs.select("doc", "text").mapInArrow(run, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    return found.join(wanted.select("node").distinct(), "node", "left_semi")
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ All helpers work on the raw buffers of an Arrow batch, so no Python object is ma
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import uuid
@@ -142,6 +143,14 @@ def _row_sort(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return order
 
 
+def trim() -> None:
+    """Give freed memory back to the system, where the C library knows how to: a worker outlives its tasks."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text, one row at least."""
     for batch in batches:
@@ -153,6 +162,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22) ->
             j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+        trim()
 
 
 def sample(rows: DataFrame, most: int, seed: int = 0) -> DataFrame:
