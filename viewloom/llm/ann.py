@@ -83,7 +83,7 @@ def build(vectors: DataFrame, lists: int, k: int, reach: float, most: int = 20_0
     longest = vectors.agg(F.max(F.aggregate("e", F.lit(0.0), lambda a, v: a + v * v)).alias("m")).first()["m"]
     rows = [(np.array(r["e"]), r["vec_id"]) for r in vectors.join(F.broadcast(ids), "vec_id").orderBy("vec_id").limit(2 * most).collect()]
     sizes = np.bincount([len(r) for r, _ in rows]) if rows else np.zeros(2, int)
-    width = int(sizes.argmax())
+    width = max(1, int(sizes.argmax()))
     x = np.array([r for r, _ in rows if len(r) == width]).reshape(-1, width)
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((width + 1, width + 1)))

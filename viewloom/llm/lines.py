@@ -24,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import _hash_spans, column_bytes, distinct, forget, kept, release, slices, trim, word_spans
+from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget, kept, release, shared_folder, slices, trim, word_spans
 
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
 BLOCK = 8192
 FIRST = 3
+PARTS = 3
 WIDE, WIDE_BITS = 96, 512
 #: n and position, line and both blocks are packed in one number each: rows are many.
 CELL = "cell long, node long, size long, doc long, line long, bits long, wide binary"
@@ -46,7 +47,7 @@ def line_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     owner, begin = owner[order], begin[order]
     number = np.arange(len(owner)) - np.searchsorted(owner, owner)
     start, end = word_spans(raw, at)
-    words, starts = distinct(_hash_spans(raw, start, end, True), np.append(np.searchsorted(start, begin), len(start)))
+    words, starts = distinct_short(_hash_spans(raw, start, end, True), np.append(np.searchsorted(start, begin), len(start)))
     n = np.diff(starts)
     use = n >= LEAST
     keep = np.repeat(use, n)
@@ -104,8 +105,8 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
     return found.groupBy("node").agg(F.min(F.struct("doc", "line", *rest)).alias("f")).select("node", "f.*")
 
 
-def cells(nodes: DataFrame) -> DataFrame:
-    """The rows of all cells (``CELL``)."""
+def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """The rows of all cells (``CELL``), or of one of ``parts`` parts of the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,6 +114,9 @@ def cells(nodes: DataFrame) -> DataFrame:
             key, starts = S.flat(batch.column(6), "<u8")
             pos, count = S.flat(batch.column(7), "<i4")[0].astype(np.int64), S.flat(batch.column(8), "<u4")[0].astype(np.int64)
             row = np.repeat(np.arange(len(node)), np.diff(starts))
+            if parts > 1:
+                mine = np.flatnonzero(S.mix(key) % np.uint64(parts) == part)
+                key, pos, count, row = key[mine], pos[mine], count[mine], row[mine]
             blocks = np.minimum(-(-count // BLOCK), 32_767)
             own = (node[row].view(np.uint64) % blocks.astype(np.uint64)).astype(np.int64)
             many = np.repeat(np.arange(len(row)), blocks)
@@ -123,8 +127,8 @@ def cells(nodes: DataFrame) -> DataFrame:
             cell = (key ^ S.mix(place)).view(np.int64)
             columns = [cell, node[row], n[row].astype(np.int64) << 32 | pos, doc[row], line[row].astype(np.int64) << 32 | own << 16 | np.where(low == high, own, low + high - own), bits[row]]
             for i in range(0, len(row), 1 << 18):
-                part = slice(i, i + (1 << 18))
-                yield pa.record_batch([*(pa.array(c[part]) for c in columns), batch.column(5).take(pa.array(row[part]))], names=NAMES)
+                cut = slice(i, i + (1 << 18))
+                yield pa.record_batch([*(pa.array(c[cut]) for c in columns), batch.column(5).take(pa.array(row[cut]))], names=NAMES)
 
     return nodes.select("node", "doc", "line", "n", "bits", "wide", "prefix", "pos", "counts").mapInArrow(run, CELL)
 
@@ -182,10 +186,8 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
     """
     names = [*NAMES, "asks"] if every else NAMES
 
-    def work(rows: dict[str, np.ndarray], wide: list) -> pa.RecordBatch | None:
-        lengths = np.array([w is not None for w in wide], bool)
-        rows["place"] = np.where(lengths, np.cumsum(lengths) - 1, -1)
-        rows["table"] = np.frombuffer(b"".join(w for w in wide if w is not None), np.uint64).reshape(-1, WIDE_BITS // 64)
+    def work(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+        rows["place"] = np.where(rows["has"], np.cumsum(rows["has"]) - 1, -1)
         found = [np.zeros((0, 3), np.int64)]
         for a, b in pairs_of(rows["cell"]):
             at, differ = possible(rows, a, b)
@@ -215,7 +217,7 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
         columns = [both(pa.array(rows["node"][x]), m, pa.int64()), both(pa.array(rows["node"][y]), m, pa.int64()), pa.array(np.concatenate([rows["cell"][x], rows["cell"][members]]))]
         columns += [both(pa.array(more), m, pa.bool_()), pa.nulls(k + m, pa.bool_())]
         columns += [both(k, pa.array(rows[c][members]), pa.int64()) for c in NAMES[1:-1]]
-        columns.append(pa.array([None] * k + [wide[i] for i in members.tolist()], pa.binary()))
+        columns.append(pa.array([None] * k + [rows["table"][i].tobytes() if i >= 0 else None for i in rows["place"][members].tolist()], pa.binary()))
         return pa.record_batch(columns, schema=schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -224,27 +226,26 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
     schema = to_arrow_schema(_parse_datatype_string(FOUND))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[dict[str, np.ndarray], list]] = []  # the rows of a cell that may go on in the next batch
+        held: list[dict[str, np.ndarray]] = []  # the rows of a cell that may go on in the next batch
         size = 0
-
-        def joined() -> tuple[dict[str, np.ndarray], list]:
-            return {c: np.concatenate([h[c] for h, _ in held]) for c in held[0][0]}, [w for _, ws in held for w in ws]
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             own = {c: np.asarray(batch.column(i)) for i, c in enumerate(names) if c != "wide"}
-            held.append((own, batch.column(names.index("wide")).to_pylist()))
+            wide, at = S.flat(batch.column(names.index("wide")), "<u8")
+            own["has"], own["table"] = np.diff(at) > 0, wide.reshape(-1, WIDE_BITS // 64)
+            held.append(own)
             size += batch.num_rows
             cut = int(np.searchsorted(own["cell"], own["cell"][-1])) if own["cell"][0] != own["cell"][-1] else 0
             if cut and (size >= 100_000 or len(held) > 1):
-                rows, wide = joined()
+                rows = {c: np.concatenate([h[c] for h in held]) for c in own}
                 until = size - batch.num_rows + cut
-                if (out := work({c: v[:until] for c, v in rows.items()}, wide[:until])) is not None:
+                wides = int(rows["has"][:until].sum())
+                if (out := work({c: v[: wides if c == "table" else until] for c, v in rows.items()})) is not None:
                     yield out
-                held, size = [({c: v[until:].copy() for c, v in rows.items()}, wide[until:])], size - until
+                held, size = [{c: v[wides if c == "table" else until :].copy() for c, v in rows.items()}], size - until
                 trim()
-        if held and (out := work(*joined())) is not None:
+        if held and (out := work({c: np.concatenate([h[c] for h in held]) for c in held[0]})) is not None:
             yield out
 
     return rows.select(names).repartition("cell").sortWithinPartitions("cell").mapInArrow(run, FOUND)
@@ -285,8 +286,11 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     nodes = kept(keyed(docs, held))
     firsts = nodes.select("node", "doc", "line")
     release(spark)
-    found = kept(candidates(cells(nodes), False))
-    release(spark)
+    folder = shared_folder(spark)
+    for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
+        candidates(cells(nodes, i, PARTS), False).write.mode("append").parquet(folder)
+        release(spark)
+    found = spark.read.schema(FOUND).parquet(folder)
 
     def settle(pairs: DataFrame) -> DataFrame:
         """Nodes x of the pairs (x, y) that match their y."""

@@ -65,10 +65,19 @@ def frequency(parts: DataFrame) -> np.ndarray:
 def rare_first(tokens: np.ndarray, starts: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of each row, given ascending, from rare to frequent (ties by value), and their counters."""
     count = sketch[slots(tokens)]
-    key = (np.minimum(count, (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (tokens >> np.uint64(20))
     order = np.empty(len(tokens), np.int64)
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        order[a:b] = np.argsort(key[a:b], kind="stable") + a
+    for i in range(0, len(starts) - 1, 1 << 16):
+        own = starts[i : i + (1 << 16) + 1]
+        a, b = own[0], own[-1]
+        owner = np.repeat(np.arange(len(own) - 1, dtype=np.uint64), np.diff(own))
+        key = (owner << np.uint64(48)) | (np.minimum(count[a:b], 65_535).astype(np.uint64) << np.uint64(32)) | (tokens[a:b] >> np.uint64(32))
+        place = np.argsort(key)
+        key = key[place]
+        tied = np.flatnonzero(key[1:] == key[:-1])
+        if len(tied):  # the whole tokens decide, so that all rows agree
+            among = np.unique(np.concatenate([tied, tied + 1]))
+            place[among] = place[among][np.lexsort((tokens[a:b][place[among]], key[among]))]
+        order[a:b] = place + a
     return tokens[order], count[order]
 
 

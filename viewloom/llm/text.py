@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -136,6 +137,25 @@ def distinct(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return v[keep], np.concatenate([[0], np.cumsum(counts)])
 
 
+TOKEN_BITS = 48
+
+
+def distinct_short(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``distinct`` for many short rows: of the first ``TOKEN_BITS`` bits of the values, as rows are sorted together with these behind their number."""
+    shift, most = np.uint64(64 - TOKEN_BITS), 1 << (64 - TOKEN_BITS)
+    out, counts = [], []
+    for i in range(0, len(starts) - 1, most):
+        own = starts[i : i + most + 1]
+        owner = np.repeat(np.arange(len(own) - 1, dtype=np.uint64), np.diff(own))
+        key = np.sort((owner << np.uint64(TOKEN_BITS)) | (values[own[0] : own[-1]] >> shift))
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        out.append(key << shift)
+        counts.append(np.bincount((key >> np.uint64(TOKEN_BITS)).astype(np.int64), minlength=len(own) - 1))
+    if not out:
+        return values[:0], np.zeros(1, np.int64)
+    return np.concatenate(out), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+
 def _row_sort(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     order = np.empty(len(values), np.int64)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -198,6 +218,7 @@ def release(spark: SparkSession) -> None:
     """Let go of what Spark keeps for plans that nothing refers to any more, shuffle files above all."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)  # the cleaner works beside
 
 
 def forget(spark: SparkSession, *frames: DataFrame) -> None:
