@@ -139,8 +139,8 @@ def test_toxicity_query(spark):
 def test_pu_risk_stays_above_zero():
     rng = np.random.default_rng(0)
     background = lambda: np.unique(rng.integers(100, 400, 30))
-    pos = [np.unique(np.append(background(), rng.integers(0, 5, 2))) for _ in range(60)]
-    unl = [np.unique(np.append(background(), rng.integers(0, 5, 2))) if i % 5 == 0 else background() for i in range(300)]
+    pos = [np.unique(np.append(background(), rng.integers(0, 5, 2))) for _ in range(240)]
+    unl = [np.unique(np.append(background(), rng.integers(0, 5, 2))) if i % 5 == 0 else background() for i in range(900)]
     model = toxicity.fit(pos, unl, 0.2, size=400)
     assert min(model.loss) >= 0 and model.loss[-1] < model.loss[0]
     hidden = [model.weights[u].sum() + model.offset for i, u in enumerate(unl) if i % 5 == 0]
