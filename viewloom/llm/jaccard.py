@@ -24,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import distinct, forget, kept, release, slices, trim, windows, word_values
+from viewloom.llm.text import distinct, forget, kept, release, shared_folder, slices, trim, windows, word_values
 
 GROUPS = 256
+#: Sets of so many shingles and more have a second, finer point.
+LARGE, FINE = 768, 1536
+PARTS = 3
 NUMERATOR, DENOMINATOR = 75, 100
-LEADERS = 2
+LEADERS = 3
 BLOCK = 2048
 
 
@@ -49,6 +52,26 @@ def points(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8)
 
 
+def fine_points(tokens: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Counts by ``FINE`` groups of the rows of ``LARGE`` tokens and more, null for smaller ones."""
+    out: list[bytes | None] = [None] * (len(starts) - 1)
+    for i in np.flatnonzero(np.diff(starts) >= LARGE).tolist():
+        group = ((tokens[starts[i] : starts[i + 1]] >> np.uint64(9)) % np.uint64(FINE)).astype(np.int64)
+        out[i] = np.minimum(np.bincount(group, minlength=FINE), 255).astype(np.uint8).tobytes()
+    return pa.array(out, pa.binary())
+
+
+class Points:
+    """Points of rows: coarse ones of all, fine ones of the large sets (``place``: the row's place among these, or -1)."""
+
+    def __init__(self, n: np.ndarray, coarse: pa.Array, fine: pa.Array):
+        self.n = n.astype(np.int64)
+        self.coarse = S.flat(coarse, np.uint8)[0].reshape(-1, GROUPS)
+        table, at = S.flat(fine, np.uint8)
+        has = np.diff(at) > 0
+        self.fine, self.place = table.reshape(-1, FINE), np.where(has, np.cumsum(has) - 1, -1)
+
+
 def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The most that the sets of two points can share: the sum of coordinate minima."""
     least = np.minimum(x, y)
@@ -65,9 +88,9 @@ class CountTree:
 
     LEAF = 32
 
-    def __init__(self, x: np.ndarray, n: np.ndarray):
-        self.x, self.n = x, n
-        self.root = self._pack(np.arange(len(x))) if len(x) else None
+    def __init__(self, points_: Points, own: np.ndarray):
+        self.points, self.x, self.n = points_, points_.coarse, points_.n
+        self.root = self._pack(own) if len(own) else None
 
     def _pack(self, own: np.ndarray) -> tuple:
         top, sizes = self.x[own].max(0), (int(self.n[own].min()), int(self.n[own].max()))
@@ -77,15 +100,15 @@ class CountTree:
         own = own[np.argsort(some[:, (some.max(0) - some.min(0)).argmax()], kind="stable")]
         return top, sizes, None, (self._pack(own[: len(own) // 2]), self._pack(own[len(own) // 2 :]))
 
-    def search(self, points_: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, member) that may be similar enough; all queries go down the tree together."""
-        low, high = -(-NUMERATOR * sizes // DENOMINATOR), sizes * DENOMINATOR // NUMERATOR
+        low, high = -(-NUMERATOR * self.n // DENOMINATOR), self.n * DENOMINATOR // NUMERATOR
         first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        stack = [(self.root, np.arange(len(sizes)))] if self.root else []
+        stack = [(self.root, queries)] if self.root else []
         while stack:
             (top, (least, most), own, below), q = stack.pop()
             q = q[(most >= low[q]) & (least <= high[q])]
-            q = q[bound(points_[q], top) >= needed(np.maximum(least, low[q]), sizes[q])]
+            q = q[bound(self.x[q], top) >= needed(np.maximum(least, low[q]), self.n[q])]
             if not len(q):
                 continue
             if below:
@@ -93,24 +116,29 @@ class CountTree:
                 continue
             for i in range(0, len(q), 1024):
                 a, b = (v.ravel() for v in np.meshgrid(q[i : i + 1024], own, indexing="ij"))
-                fine = possible(points_, sizes, a, self.x, self.n, b)
+                fine = possible(self.points, a, self.points, b)
                 first.append(a[fine])
                 second.append(b[fine])
         return np.concatenate(first), np.concatenate(second)
 
 
-def possible(x: np.ndarray, n: np.ndarray, a: np.ndarray, y: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs (a of x, b of y) pass the length filter and the bound."""
-    fine = NUMERATOR * np.maximum(n[a], m[b]) <= DENOMINATOR * np.minimum(n[a], m[b])
+def possible(x: Points, a: np.ndarray, y: Points, b: np.ndarray) -> np.ndarray:
+    """Which pairs (a of x, b of y) pass the length filter and the bounds."""
+    n, m = x.n[a], y.n[b]
+    fine = NUMERATOR * np.maximum(n, m) <= DENOMINATOR * np.minimum(n, m)
     rest = np.flatnonzero(fine)
     for i in range(0, len(rest), 1 << 14):
         at = rest[i : i + (1 << 14)]
-        fine[at] = bound(x[a[at]], y[b[at]]) >= needed(n[a[at]], m[b[at]])
+        fine[at] = bound(x.coarse[a[at]], y.coarse[b[at]]) >= needed(n[at], m[at])
+    rest = np.flatnonzero(fine & (x.place[a] >= 0) & (y.place[b] >= 0))
+    for i in range(0, len(rest), 1 << 12):
+        at = rest[i : i + (1 << 12)]
+        fine[at] = bound(x.fine[x.place[a[at]]], y.fine[y.place[b[at]]]) >= needed(n[at], m[at])
     return fine
 
 
 def keyed(docs: DataFrame, sketch) -> DataFrame:
-    """(node, n, prefix, point) of every row of (text), one row a node: its prefix of rare shingles and its group counts."""
+    """(node, n, prefix, point, fine) of every row of (text), one row a node: its prefix of rare shingles and its group counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -129,26 +157,33 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
             cuts = np.concatenate([[0], np.cumsum(take[rows])])
             at = np.repeat(starts[rows] - cuts[:-1], take[rows]) + np.arange(cuts[-1])
             x = points(tokens, starts)[rows]
-            yield pa.record_batch(
-                [pa.array(node[rows]), pa.array(n[rows]), S.blobs(ordered[at], cuts), S.blobs(x.ravel(), np.arange(len(rows) + 1) * GROUPS)], names=["node", "n", "prefix", "point"]
-            )
+            columns = [pa.array(node[rows]), pa.array(n[rows]), S.blobs(ordered[at], cuts), S.blobs(x.ravel(), np.arange(len(rows) + 1) * GROUPS)]
+            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "fine"])
+
+    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, fine binary")
+    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "fine")))
 
-    return docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point")))
 
+LED = [f"{c}{i}" for i in range(1, LEADERS + 1) for c in "ln"]
+CELL = "key long, node long, n int, " + ", ".join(f"{c} {'long' if c[0] == 'l' else 'int'}" for c in LED)
 
-def cells(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, l1, n1, l2, n2) of all keys that two nodes or more share, with the key's first two nodes and their sizes."""
+
+def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """(key, node, n, l1, n1, ...) of all keys that two nodes or more share, with the key's first ``LEADERS`` nodes and their sizes; of one of ``parts`` parts of the keys."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, starts = S.flat(batch.column(2), "<i8")
-            times = np.diff(starts)
-            yield pa.record_batch([pa.array(keys), pa.array(batch.column(0).to_numpy().repeat(times)), pa.array(batch.column(1).to_numpy().astype(np.int32).repeat(times))], names=["key", "node", "n"])
+            row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            if parts > 1:
+                mine = np.flatnonzero(S.mix(keys.view(np.uint64)) % np.uint64(parts) == part)
+                keys, row = keys[mine], row[mine]
+            yield pa.record_batch([pa.array(keys), pa.array(batch.column(0).to_numpy()[row]), pa.array(batch.column(1).to_numpy()[row].astype(np.int32))], names=["key", "node", "n"])
 
-    names = ["key", "node", "n", "l1", "n1", "l2", "n2"]
+    names = ["key", "node", "n", *LED]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by key; of a batch's last run its first two rows are remembered, as it may go on in the next batch
+        # rows come sorted by key; of a batch's last run the first rows are remembered, as it may go on in the next batch
         before: list[np.ndarray] = []
         shown = True  # have all remembered rows been given out?
         for batch in batches:
@@ -158,25 +193,24 @@ def cells(nodes: DataFrame) -> DataFrame:
             goes_on = bool(before) and before[0][0] == rows[0][0]
             if goes_on:  # put the remembered rows before the batch's own
                 rows = [np.concatenate([[b[i] for b in before], r]) for i, r in enumerate(rows)]
-            extra = len(before) if goes_on else 0
+            given = len(before) if goes_on and shown else 0
             key, node, n = rows
             edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
             size = np.diff(np.append(edge, len(key)))
             run = np.repeat(np.arange(len(edge)), size)
-            one, two = edge[run], np.minimum(edge[run] + 1, len(key) - 1)
+            led = [np.minimum(edge[run] + i, edge[run] + size[run] - 1) for i in range(LEADERS)]
             give = size[run] > 1
-            if extra and shown:
-                give[:extra] = False
+            give[:given] = False
             at = np.flatnonzero(give)
             last = edge[-1]
             before = [np.array([key[i], node[i], n[i]]) for i in range(last, min(last + LEADERS, len(key)))]
             shown = len(key) - last > 1
             if len(at):
-                columns = [key[at], node[at], n[at].astype(np.int32), node[one[at]], n[one[at]].astype(np.int32), node[two[at]], n[two[at]].astype(np.int32)]
+                columns = [key[at], node[at], n[at].astype(np.int32), *(v for i in led for v in (node[i[at]], n[i[at]].astype(np.int32)))]
                 yield pa.record_batch([pa.array(c) for c in columns], names=names)
 
     spread_out = nodes.select("node", "n", "prefix").mapInArrow(spread, "key long, node long, n int")
-    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "key long, node long, n int, l1 long, n1 int, l2 long, n2 int")
+    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(runs, CELL)
 
 
 def stars(cell: DataFrame) -> DataFrame:
@@ -186,13 +220,13 @@ def stars(cell: DataFrame) -> DataFrame:
         for batch in batches:
             node, n, *leaders = (c.to_numpy() for c in batch.columns)
             found = []
-            for leader, m in ((leaders[0], leaders[1]), (leaders[2], leaders[3])):
+            for leader, m in zip(leaders[::2], leaders[1::2], strict=True):
                 fine = (node != leader) & (NUMERATOR * np.maximum(n, m).astype(np.int64) <= DENOMINATOR * np.minimum(n, m).astype(np.int64))
                 found.append(np.column_stack([np.maximum(node, leader), np.minimum(node, leader)])[fine])
             pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
-    return cell.select("node", "n", "l1", "n1", "l2", "n2").mapInArrow(run, "a long, b long").distinct()
+    return cell.select("node", "n", *LED).mapInArrow(run, "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -215,16 +249,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose points allow the similarity."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "pa", "pb")
+    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("point").alias(f"p{s}"), F.col("fine").alias(f"f{s}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "pa", "fa", "nb", "pb", "fb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (S.flat(batch.column(k), np.uint8)[0].reshape(-1, GROUPS) for k in (4, 5))
+                x, y = (Points(batch.column(k).to_numpy(), batch.column(k + 1), batch.column(k + 2)) for k in (2, 5))
                 each = np.arange(batch.num_rows)
-                keep = pa.array(possible(x, batch.column(2).to_numpy(), each, y, batch.column(3).to_numpy(), each))
+                keep = pa.array(possible(x, each, y, each))
                 yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return joined.mapInArrow(run, "a long, b long")
@@ -236,59 +269,53 @@ def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = cell.join(sizes, "key").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-    rows = rows.join(nodes.select("node", "n", "point"), "node")
+    rows = rows.join(nodes.select("node", "n", "point", "fine"), "node")
 
-    names = ["key", "i", "j", "block", "node", "root", "n", "point"]
+    names = ["key", "i", "j", "block", "node", "root"]
 
-    def work(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
-        cell, block, root, node, n, x = (rows[c] for c in ("cell", "block", "root", "node", "n", "point"))
-        begin = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
-        size = np.diff(np.append(begin, len(cell)))
+    def work(table: pa.Table) -> pa.RecordBatch | None:
+        key, i, j, block, node, root = (table.column(c).to_numpy() for c in names)
+        points_ = Points(table.column("n").to_numpy(), table.column("point").combine_chunks(), table.column("fine").combine_chunks())
+        begin = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1])
+        size = np.diff(np.append(begin, len(key)))
         found = [np.zeros((0, 2), np.int64)]
-        # cells of one leaf: all their pairs, cells by cells of equal size
-        for s in np.unique(size[size <= CountTree.LEAF]):
+        # cells of one leaf: all their pairs, cells of equal size together
+        for s in np.unique(size[size <= CountTree.LEAF]).tolist():
             own = begin[size == s]
-            for p in range(int(s)):
+            for p in range(s):
                 for q in range(p):
                     found.append(np.column_stack([own + p, own + q]))
         for b, s in zip(begin[size > CountTree.LEAF].tolist(), size[size > CountTree.LEAF].tolist(), strict=True):
             own = np.arange(b, b + s)
-            across = rows["i"][b] != rows["j"][b]
-            inside, asking = (own[block[own] == rows[c][b]] for c in ("i", "j"))
-            q, m = CountTree(x[inside], n[inside]).search(x[asking], n[asking])
-            a, c = asking[q], inside[m]
-            found.append(np.column_stack([a, c])[across | (c < a)])
+            a, c = CountTree(points_, own[block[own] == i[b]]).search(own[block[own] == j[b]])
+            found.append(np.column_stack([a, c])[(i[b] != j[b]) | (c < a)])
         pairs = np.concatenate(found)
         a, b = pairs[:, 0], pairs[:, 1]
-        fine = (root[a] != root[b]) & ((block[a] != block[b]) | (rows["i"][a] == rows["j"][a]))
+        fine = (root[a] != root[b]) & ((block[a] != block[b]) | (i[a] == j[a]))
         a, b = a[fine], b[fine]
-        fine = possible(x, n, a, x, n, b)
-        pairs = np.unique(np.column_stack([np.maximum(node[a], node[b]), np.minimum(node[a], node[b])])[fine], axis=0)
+        pairs = np.unique(np.column_stack([np.maximum(node[a], node[b]), np.minimum(node[a], node[b])])[possible(points_, a, points_, b)], axis=0)
         return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"]) if len(pairs) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None
+        held: pa.Table | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = {c: batch.column(i).to_numpy() for i, c in enumerate(names[:-1])} | {"point": S.flat(batch.column(len(names) - 1), np.uint8)[0].reshape(-1, GROUPS)}
-            own["cell"] = np.stack([own["key"], own["i"].astype(np.int64) << 32 | own["j"].astype(np.int64)], 1)
-            rows = own if held is None else {c: np.concatenate([held[c], own[c]]) for c in own}
-            new = np.flatnonzero((rows["cell"][1:] != rows["cell"][:-1]).any(1)) + 1
-            cut = int(new[-1]) if len(new) else 0
+            own = pa.Table.from_batches([batch])
+            rows = own if held is None else pa.concat_tables([held, own])
+            key, i, j = (rows.column(c).to_numpy() for c in names[:3])
+            last = (key == key[-1]) & (i == i[-1]) & (j == j[-1])
+            cut = int(last.argmax())  # rows are sorted: the last cell's first row
             if cut:
-                whole = {c: v[:cut] for c, v in rows.items()}
-                whole["cell"] = np.cumsum(np.concatenate([[0], (whole["cell"][1:] != whole["cell"][:-1]).any(1)]))
-                if (out := work(whole)) is not None:
+                if (out := work(rows.slice(0, cut))) is not None:
                     yield out
-            held = {c: v[cut:].copy() for c, v in rows.items()}
-            trim()
-        if held is not None:
-            held["cell"] = np.zeros(len(held["key"]), np.int64)
-            if (out := work(held)) is not None:
-                yield out
+                trim()
+            held = rows.slice(cut)
+        if held is not None and (out := work(held)) is not None:
+            yield out
 
-    return rows.select(names).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select(*names, "n", "point", "fine")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
@@ -307,8 +334,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     held = spark.sparkContext.broadcast(sketch)
     nodes = kept(keyed(docs, held))
     release(spark)
-    cell = kept(cells(nodes))
-    release(spark)
+    folder = shared_folder(spark)
+    for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
+        cells(nodes, i, PARTS).write.mode("append").parquet(folder)
+        release(spark)
+    cell = spark.read.schema(CELL).parquet(folder)
     candidates = kept(passing(stars(cell), nodes))
     wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
     own = kept(sets_of(docs, wanted))
