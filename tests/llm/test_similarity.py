@@ -122,15 +122,27 @@ def test_kept_text(spark):
     assert sorted(r["t"] for r in df.select(lines.kept_text().alias("t")).collect()) == ["a b c d e f\nkeep\n", "keep too"]
 
 
-def test_tree_finds_all_that_pass(spark):
+def test_tree_finds_all_that_pass():
+    import pyarrow as pa
+
     rng = np.random.default_rng(1)
-    x = rng.poisson(1.0, (300, jaccard.GROUPS)).astype(np.uint8)
-    x[100:200] = np.maximum(x[:100].astype(int) - (rng.random((100, jaccard.GROUPS)) < 0.05), 0)
-    n = x.sum(1).astype(np.int64)
-    q, m = jaccard.CountTree(x, n).search(x, n)
-    every = np.array([(a, b) for a in range(300) for b in range(300)])
-    fine = jaccard.possible(x, n, every[:, 0], x, n, every[:, 1])
-    assert set(zip(q.tolist(), m.tolist(), strict=True)) == {tuple(p) for p in every[fine].tolist()}
+    sets = [np.unique(rng.integers(0, 2**63, int(m), dtype=np.uint64)) for m in rng.integers(50, 1200, 100)]
+    sets += [np.unique(np.concatenate([s[: int(len(s) * f)], rng.integers(0, 2**63, int(len(s) * (1 - f)), dtype=np.uint64)])) for s, f in zip(sets, rng.random(100), strict=True)]
+    tokens, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    n = np.diff(starts)
+    coarse = S.blobs(jaccard.points(tokens, starts).ravel(), np.arange(len(n) + 1) * jaccard.GROUPS)
+    p = jaccard.Points(n, coarse, jaccard.fine_points(tokens, starts))
+    q, m = jaccard.CountTree(p, np.arange(200)).search(np.arange(200))
+    found = set(zip(q.tolist(), m.tolist(), strict=True))
+    a, b = (v.ravel() for v in np.meshgrid(np.arange(200), np.arange(200), indexing="ij"))
+    fine = jaccard.possible(p, a, p, b)
+    assert found == set(zip(a[fine].tolist(), b[fine].tolist(), strict=True))
+    for i in range(200):
+        for j in range(200):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                assert (i, j) in found
+    assert len(found) < 2000
 
 
 def test_components_of_a_long_chain(spark):
