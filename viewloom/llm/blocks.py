@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.text import sample, slices
+from viewloom.llm.text import narrow, sample, slices
 
 PATH, WORDS, MEASURES = 256, 32, 6
 WIDTH = PATH + WORDS + MEASURES
@@ -325,6 +325,7 @@ def train(pages: DataFrame, most: int = 400, most_chars: int = 200_000, seed: in
 
 def extract(pages: DataFrame, model: Labeller | None, columns: list[str | Column], html: str = "html") -> DataFrame:
     """The named columns and ``text``, the main text of every whole page."""
+    narrow(pages.sparkSession)
     chosen = pages.select(*columns, F.col(html).alias("_html"))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("text", T.StringType())])
     held = pages.sparkSession.sparkContext.broadcast(model)

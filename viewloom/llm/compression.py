@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.text import column_bytes, sample, slices
+from viewloom.llm.text import column_bytes, narrow, sample, slices
 
 BLOCK = 2048
 
@@ -115,6 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 4000, most_chars: int
 
 def score(docs: DataFrame, model: Model, columns: list[str | Column], text: str = "text") -> DataFrame:
     """The named columns of ``docs``, ``difference`` and ``score`` (probability of label 1) for every whole text."""
+    narrow(docs.sparkSession)
     chosen = docs.select(*columns, F.col(text).alias("_text"))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("difference", T.DoubleType()), T.StructField("score", T.DoubleType())])
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.text import kept, slices, value_of, word_values
+from viewloom.llm.text import kept, narrow, slices, value_of, word_values
 
 #: The end token's value; a word can't hold a space.
 END = np.uint64(value_of(b"end") ^ 0x5DEECE66D5DEECE6)
@@ -407,6 +407,7 @@ def score(docs: DataFrame, train_rows, k: int = 12, rounds: int = 6, n_frequent:
     """
     spark = docs.sparkSession
     context = spark.sparkContext
+    narrow(spark)
     marked = docs.select("doc_id", F.coalesce(train_rows, F.lit(True)).alias("train"), "text")
     counts = kept(word_counts(marked.where("train")))
     vocab = vocabulary(counts, n_frequent, n_buckets, n_known)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import distinct, forget, kept, release, shared_folder, slices, trim, windows, word_values
+from viewloom.llm.text import distinct, forget, kept, narrow, release, shared_folder, slices, trim, windows, word_values
 
 GROUPS = 256
 #: Sets of so many shingles and more have a second, finer point.
@@ -324,6 +324,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     ``keys``: further whole-number columns to carry.
     """
     spark = docs.sparkSession
+    narrow(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *(F.col(k).cast("long").alias(k) for k in keys), F.col(text).alias("text"))
 
     def units(batch: pa.RecordBatch) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:

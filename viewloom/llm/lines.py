@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget, kept, release, shared_folder, slices, trim, word_spans
+from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget, kept, narrow, release, shared_folder, slices, trim, word_spans
 
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
@@ -275,6 +275,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, hash, removed): for each id and text hash with any, the numbers of its removed lines, ascending."""
     spark = docs.sparkSession
+    narrow(spark)
     docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
 
     def units(batch: pa.RecordBatch) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from viewloom.llm.text import column_bytes, slices
+from viewloom.llm.text import CACHES, column_bytes, narrow, slices
 
 PIECES = T.StructType(
     [
@@ -37,7 +37,6 @@ PIECES = T.StructType(
     ]
 )
 MARK = "\x00"
-_KEPT: dict[str, WordIds] = {}
 
 
 class WordIds:
@@ -54,7 +53,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most_words
+        self.path, self.tokenizer, self.most = path, Tokenizer.from_file(path), most_words
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
@@ -65,9 +64,10 @@ class WordIds:
     @classmethod
     def kept(cls, path: str) -> WordIds:
         """The one of this Python worker, which later tasks find filled."""
-        if path not in _KEPT:
-            _KEPT[path] = cls(path)
-        return _KEPT[path]
+        held = CACHES.get("packing")
+        if not isinstance(held, cls) or held.path != path:
+            held = CACHES["packing"] = cls(path)
+        return held
 
     def clear(self) -> None:
         class Index(dict):
@@ -212,7 +212,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, d
             rows.clear()
             return out
 
-        for batch in slices(batches, text, 1 << 21):
+        for batch in slices(batches, text, 1 << 21, "packing"):
             raw, at = column_bytes(batch.column(batch.schema.get_field_index(text)))
             body = raw.tobytes()
             names = batch.column(batch.schema.get_field_index(doc_id)).to_pylist()
@@ -243,4 +243,5 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, d
         if rows:
             yield flush()
 
+    narrow(docs.sparkSession)
     return docs.select(docs[doc_id].cast("long").alias(doc_id), docs[text].alias(text)).mapInArrow(run, PIECES)

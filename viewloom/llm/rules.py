@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.text import _SPACE, _hash_spans, column_bytes, sample, slices, windows, word_spans
+from viewloom.llm.text import _SPACE, _hash_spans, column_bytes, narrow, sample, slices, windows, word_spans
 
 LONGS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATIOS = ["symbols_per_word", "pipes_per_word", "shouts_per_word", "upper_share", "digit_share", "distinct_share", "repeat_share", "dup_line_share", "chars_per_word", "stops_per_word"]
@@ -76,6 +76,7 @@ def dup_lines(text: bytes) -> tuple[int, int]:
 
 def statistics(docs: DataFrame, columns: list[str | Column], text: str = "text") -> DataFrame:
     """The named columns and the statistics ``LONGS`` and ``RATIOS`` of every whole text."""
+    narrow(docs.sparkSession)
     chosen = docs.select(*columns, F.col(text).alias("_text"))
     schema = T.StructType([*chosen.schema.fields[:-1], *(T.StructField(x, T.LongType()) for x in LONGS), *(T.StructField(x, T.DoubleType()) for x in RATIOS)])
 

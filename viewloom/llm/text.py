@@ -171,8 +171,21 @@ def trim() -> None:
         return
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+#: What a worker keeps from one task to the next, by the operator that keeps it; tasks of other operators let it go.
+CACHES: dict[str, object] = {}
+
+
+def narrow(spark: SparkSession, rows: int = 2000) -> None:
+    """Rows of whole texts are wide: Arrow batches of ``rows`` at most keep a task's memory small.  A smaller number that is set stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 22, keep: str = "") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text, one row at least."""
+    for name in [x for x in CACHES if x != keep]:
+        del CACHES[name]
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.text import _hash_spans, column_bytes, kept, sample, slices, word_spans
+from viewloom.llm.text import _hash_spans, column_bytes, kept, narrow, sample, slices, word_spans
 
 BITS = 20
 #: Bytes that part letter runs: all of ASCII but letters, digits and the apostrophe.
@@ -206,6 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 6000, most_un
 
 def score(docs: DataFrame, model: Model, columns: list[str | Column], text: str = "text") -> DataFrame:
     """The named columns of ``docs`` and ``score``, the probability that the whole text is toxic."""
+    narrow(docs.sparkSession)
     chosen = docs.select(*columns, F.col(text).alias("_text"))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType())])
     held = docs.sparkSession.sparkContext.broadcast(model)
