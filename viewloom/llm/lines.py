@@ -7,8 +7,8 @@ number, signature of the set), null ids first.
 Equal sets are one node with its first place.  Each node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
 that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from parity bits of
 each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the ``FIRST`` most similar
-earlier ones alone, so groups of near copies don't list their pairs; the members of cells that hold more are kept, and a node that its first candidates don't settle
-is searched there for all of them.  Candidates are verified on the sets.
+earlier ones alone, so groups of near copies don't list their pairs; a node that its first candidates don't settle is searched again for all of them in the cells that hold more.
+Candidates are verified on the sets.
 
 Defined results: null and empty texts have no lines that take part and stay as they are; repeated rows (same id and text) lose the same lines, rows of one id and different texts are told apart by a hash of the text;
 an empty table gives no rows.
@@ -29,7 +29,7 @@ from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget,
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
 BLOCK = 8192
-FIRST = 3
+FIRST = 2
 PARTS = 3
 WIDE, WIDE_BITS = 96, 512
 #: n and position, line and both blocks are packed in one number each: rows are many.
@@ -105,8 +105,8 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
     return found.groupBy("node").agg(F.min(F.struct("doc", "line", *rest)).alias("f")).select("node", "f.*")
 
 
-def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
-    """The rows of all cells (``CELL``), or of one of ``parts`` parts of the keys."""
+def cells(nodes: DataFrame, part: int = 0, parts: int = 1, only=None) -> DataFrame:
+    """The rows of all cells (``CELL``), or of one of ``parts`` parts of the keys, or of the cells in the broadcast Bloom filter ``only``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,6 +125,9 @@ def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
             low, high = np.minimum(own, other), np.maximum(own, other)
             place = np.where(blocks > 1, (low * 1_000_003 + high + 1).astype(np.uint64), np.uint64(0))
             cell = (key ^ S.mix(place)).view(np.int64)
+            if only is not None:
+                mine = np.flatnonzero(S.in_bloom(only.value, cell))
+                cell, row, pos, own, other, low, high = (v[mine] for v in (cell, row, pos, own, other, low, high))
             columns = [cell, node[row], n[row].astype(np.int64) << 32 | pos, doc[row], line[row].astype(np.int64) << 32 | own << 16 | np.where(low == high, own, low + high - own), bits[row]]
             for i in range(0, len(row), 1 << 18):
                 cut = slice(i, i + (1 << 18))
@@ -175,14 +178,13 @@ def pairs_of(cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         step += 1
 
 
-FOUND = "x long, y long, " + CELL.replace("cell long", "cell long, more boolean, asks boolean")
+FOUND = "x long, y long, cell long, more boolean"
 
 
 def candidates(rows: DataFrame, every: bool) -> DataFrame:
-    """(x, y, cell, more, ...): node x and an earlier node y that may match it; ``more``: the cell has others for x.
+    """(x, y, cell, more): node x and an earlier node y that may match it; ``more``: the cell, null without, has others for x.
 
-    Unless ``every``, the ``FIRST`` ones that differ in the fewest parity bits, and, without x and y, the rows of the cells that have more.  With ``every``, only
-    nodes that ask (``asks``) are x.
+    Unless ``every``, the ``FIRST`` ones that differ in the fewest parity bits.  With ``every``, only nodes that ask (``asks``) are x.
     """
     names = [*NAMES, "asks"] if every else NAMES
 
@@ -201,29 +203,16 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
             return None
         if every:
             pairs = np.unique(np.column_stack([rows["node"][got[:, 0]], rows["node"][got[:, 1]]]), axis=0)
-            none = pa.nulls(len(pairs))
-            return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *(none.cast(t) for t in schema.types[2:])], schema=schema)
-        got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
-        new = np.concatenate([[True], got[1:, 0] != got[:-1, 0]])
-        begin = np.flatnonzero(new)
-        times = np.diff(np.append(begin, len(got)))
-        rank = np.arange(len(got)) - np.repeat(begin, times)
-        more = np.repeat(times > FIRST, times)
-        crowded = np.isin(rows["cell"], np.unique(rows["cell"][got[more, 0]]))
-        got, more = got[rank < FIRST], more[rank < FIRST]
-        x, y, members = got[:, 0], got[:, 1], np.flatnonzero(crowded)
-        both = lambda p, q, t: pa.concat_arrays([p if isinstance(p, pa.Array) else pa.nulls(p, t), q if isinstance(q, pa.Array) else pa.nulls(q, t)])
-        k, m = len(got), len(members)
-        columns = [both(pa.array(rows["node"][x]), m, pa.int64()), both(pa.array(rows["node"][y]), m, pa.int64()), pa.array(np.concatenate([rows["cell"][x], rows["cell"][members]]))]
-        columns += [both(pa.array(more), m, pa.bool_()), pa.nulls(k + m, pa.bool_())]
-        columns += [both(k, pa.array(rows[c][members]), pa.int64()) for c in NAMES[1:-1]]
-        columns.append(pa.array([None] * k + [rows["table"][i].tobytes() if i >= 0 else None for i in rows["place"][members].tolist()], pa.binary()))
-        return pa.record_batch(columns, schema=schema)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = to_arrow_schema(_parse_datatype_string(FOUND))
+            x, y, cell, more = pairs[:, 0].copy(), pairs[:, 1].copy(), np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+        else:
+            got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
+            begin = np.flatnonzero(np.concatenate([[True], got[1:, 0] != got[:-1, 0]]))
+            times = np.diff(np.append(begin, len(got)))
+            rank = np.arange(len(got)) - np.repeat(begin, times)
+            more = np.repeat(times > FIRST, times)[rank < FIRST]
+            got = got[rank < FIRST]
+            x, y, cell = rows["node"][got[:, 0]], rows["node"][got[:, 1]], rows["cell"][got[:, 0]]
+        return pa.record_batch([pa.array(x), pa.array(y), pa.array(cell, mask=~more), pa.array(more)], names=["x", "y", "cell", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []  # the rows of a cell that may go on in the next batch
@@ -302,13 +291,15 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         forget(spark, own, pairs)
         return out
 
-    gone = settle(found.where("x is not null"))
+    gone = settle(found)
     # nodes with more candidates in some cell, none of whose first ones matched
     unsettled = kept(found.where("more").select("cell", F.col("x").alias("node")).distinct().join(gone, "node", "left_anti"))
     if unsettled.limit(1).count():
-        members = found.where("x is null").join(unsettled.select("cell").distinct(), "cell", "left_semi").drop("asks")
+        only = spark.sparkContext.broadcast(S.bloom(unsettled.select(F.col("cell").alias("node"))))
+        members = cells(nodes, only=only).join(unsettled.select("cell").distinct(), "cell", "left_semi")
         asking = members.join(unsettled.withColumn("asks", F.lit(True)), ["cell", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
         gone = gone.unionByName(settle(candidates(asking, True))).distinct()
+    forget(spark, found)
     told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), "gone")
     out = lines.join(told, "node").where(F.col("gone").isNotNull() | (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")))
     return out.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
