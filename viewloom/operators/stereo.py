@@ -111,7 +111,6 @@ def gaze_vector(left_iris: list[Column], right_iris: list[Column], forehead: lis
     norm = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
     apart = norm([a - b for a, b in zip(left_iris, right_iris, strict=True)])
     centres = [[forehead[0] + s * apart / 2.0, forehead[1], forehead[2]] for s in (-1.0, 1.0)]
-    mean = []
     eyes = []
     for iris, centre in zip((left_iris, right_iris), centres, strict=True):
         v = [a - b for a, b in zip(iris, centre, strict=True)]
