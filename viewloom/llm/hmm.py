@@ -147,9 +147,9 @@ def vocabulary(counts: DataFrame, n_frequent: int, n_buckets: int, n_known: int)
 
 
 def encoded(docs: DataFrame, held) -> DataFrame:
-    """(doc_id, train, classes, plain, n_tokens, n_known, base, inside): classes as 32-bit bytes; ``plain`` marks tokens that are not among the known words.
+    """(row, doc_id, train, classes, rare, n_tokens, n_known, base, inside): classes as 32-bit bytes, and the values of the words that are not among the known ones.
 
-    base and inside are the sums of the known words' log10 shares; the rare words' values are in ``rare``.
+    n_known, base and inside are the number of the known words' tokens and the sums of their log10 shares.
     """
     schema = "row long, doc_id long, train boolean, classes binary, rare binary, n_tokens long, n_known long, base double, inside double"
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "train", "text")
