@@ -56,7 +56,7 @@ def line_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def parity(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """64 bits of each set: each token flips one.  Sets differ in as many tokens as bits, at least."""
-    run = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.uint64(1) << ((tokens >> np.uint64(7)) & np.uint64(63)))]) if len(tokens) else np.zeros(1, np.uint64)
+    run = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.uint64(1) << ((tokens >> np.uint64(40)) & np.uint64(63)))]) if len(tokens) else np.zeros(1, np.uint64)
     return (run[starts[1:]] ^ run[starts[:-1]]).view(np.int64)
 
 
