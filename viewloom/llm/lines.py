@@ -6,8 +6,8 @@ number, signature of the set), null ids first.
 
 Equal sets are one node with its first place.  Each node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
 that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from parity bits of
-each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the ``FIRST`` most similar
-earlier ones alone, so groups of near copies don't list their pairs; a node that its first candidates don't settle is searched again for all of them in the cells that hold more.
+each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the 4 most similar
+earlier ones alone, so groups of near copies don't list their pairs; a node that these don't settle is searched again in the cells that hold more, for 64, and then for all of them.
 Candidates are verified on the sets.
 
 Defined results: null and empty texts have no lines that take part and stay as they are; repeated rows (same id and text) lose the same lines, rows of one id and different texts are told apart by a hash of the text;
@@ -29,7 +29,7 @@ from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget,
 NUMERATOR, DENOMINATOR = 4, 5
 LEAST = 5
 BLOCK = 8192
-FIRST = 2
+FIRST = (4, 64)
 PARTS = 3
 WIDE, WIDE_BITS = 96, 512
 #: n and position, line and both blocks are packed in one number each: rows are many.
@@ -144,36 +144,41 @@ def earlier(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nda
 
 
 def possible(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places, among the pairs (a, b) of rows, of those that pass all filters; and how many parity bits these differ in."""
-    na, nb = rows["size"][a] >> 32, rows["size"][b] >> 32
-    at = np.flatnonzero((NUMERATOR * np.maximum(na, nb) <= DENOMINATOR * np.minimum(na, nb)) & (rows["node"][a] != rows["node"][b]))
-    a, b, na, nb = a[at], b[at], na[at], nb[at]
-    need = -(-NUMERATOR * (na + nb) // (NUMERATOR + DENOMINATOR))
-    differ = np.bitwise_count((rows["bits"][a] ^ rows["bits"][b]).view(np.uint64)).astype(np.int64)
+    """Places, among the pairs (a, b) of rows of like sizes, of those that pass all filters; and how many parity bits these differ in."""
+    total = rows["n"][a] + rows["n"][b]
+    differ = np.bitwise_count(rows["odd"][a] ^ rows["odd"][b])
+    # two sets of which need ones are shared differ in total - 2 need, or fewer
+    at = np.flatnonzero(9 * differ.astype(np.int32) <= total)
+    a, b, total, differ = a[at], b[at], total[at].astype(np.int64), differ[at].astype(np.int64)
+    need = -(-NUMERATOR * total // (NUMERATOR + DENOMINATOR))
     p, q = rows["size"][a] & 0xFFFFFFFF, rows["size"][b] & 0xFFFFFFFF
+    fine = (total - differ >= 2 * need) & (np.minimum(p, q) + np.minimum(rows["n"][a] - p, rows["n"][b] - q) >= need) & (rows["node"][a] != rows["node"][b])
     block, other = rows["line"] >> 16 & 0xFFFF, rows["line"] & 0xFFFF
-    fine = (na + nb - differ >= 2 * need) & (np.minimum(p, q) + np.minimum(na - p, nb - q) >= need)
     fine &= (block[a] != block[b]) | (block[a] == other[a])  # in a cell of two blocks, pairs across
     keep = np.flatnonzero(fine)
     large = keep[(rows["place"][a[keep]] >= 0) & (rows["place"][b[keep]] >= 0)]
     if len(large):
         x = rows["table"][rows["place"][a[large]]] ^ rows["table"][rows["place"][b[large]]]
         differ[large] = np.maximum(differ[large], np.bitwise_count(x).sum(1, dtype=np.int64))
-        fine[large] = na[large] + nb[large] - differ[large] >= 2 * need[large]
+        fine[large] = total[large] - differ[large] >= 2 * need[large]
         keep = np.flatnonzero(fine)
     return at[keep], differ[keep]
 
 
-def pairs_of(cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one cell, in bulk: rows a given number of steps apart, over all cells at once."""
+def pairs_of(cell: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one cell that pass the length filter, in bulk: rows a given number of steps apart, over all cells at once.
+
+    Rows are sorted by cell and size, so a row whose partner is too large has no further ones.
+    """
     end = np.searchsorted(cell, cell, "right")
     left, step = np.arange(len(cell)), 1
     while True:
         left = left[left + step < end[left]]
+        left = left[NUMERATOR * n[left + step] <= DENOMINATOR * n[left]]
         if not len(left):
             return
-        for i in range(0, len(left), 1 << 18):
-            a = left[i : i + (1 << 18)]
+        for i in range(0, len(left), 1 << 16):
+            a = left[i : i + (1 << 16)]
             yield a, a + step
         step += 1
 
@@ -181,37 +186,34 @@ def pairs_of(cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 FOUND = "x long, y long, cell long, more boolean"
 
 
-def candidates(rows: DataFrame, every: bool) -> DataFrame:
+def candidates(rows: DataFrame, first: int | None) -> DataFrame:
     """(x, y, cell, more): node x and an earlier node y that may match it; ``more``: the cell, null without, has others for x.
 
-    Unless ``every``, the ``FIRST`` ones that differ in the fewest parity bits.  With ``every``, only nodes that ask (``asks``) are x.
+    ``first``: so many that differ in the fewest parity bits; None: all.  Where rows have ``asks``, only nodes that ask are x.
     """
-    names = [*NAMES, "asks"] if every else NAMES
+    names = [*NAMES, "asks"] if "asks" in rows.columns else NAMES
 
     def work(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
         rows["place"] = np.where(rows["has"], np.cumsum(rows["has"]) - 1, -1)
+        rows["n"], rows["odd"] = (rows["size"] >> 32).astype(np.int32), rows["bits"].view(np.uint64)
         found = [np.zeros((0, 3), np.int64)]
-        for a, b in pairs_of(rows["cell"]):
+        for a, b in pairs_of(rows["cell"], rows["n"]):
             at, differ = possible(rows, a, b)
             a, b = a[at], b[at]
-            first = earlier(rows, a, b)
-            x, y = np.where(first, b, a), np.where(first, a, b)
-            keep = rows["asks"][x] if every else slice(None)
+            before = earlier(rows, a, b)
+            x, y = np.where(before, b, a), np.where(before, a, b)
+            keep = rows["asks"][x] if "asks" in rows else slice(None)
             found.append(np.column_stack([x, y, differ])[keep])
         got = np.concatenate(found)
         if not len(got):
             return None
-        if every:
-            pairs = np.unique(np.column_stack([rows["node"][got[:, 0]], rows["node"][got[:, 1]]]), axis=0)
-            x, y, cell, more = pairs[:, 0].copy(), pairs[:, 1].copy(), np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
-        else:
-            got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
-            begin = np.flatnonzero(np.concatenate([[True], got[1:, 0] != got[:-1, 0]]))
-            times = np.diff(np.append(begin, len(got)))
-            rank = np.arange(len(got)) - np.repeat(begin, times)
-            more = np.repeat(times > FIRST, times)[rank < FIRST]
-            got = got[rank < FIRST]
-            x, y, cell = rows["node"][got[:, 0]], rows["node"][got[:, 1]], rows["cell"][got[:, 0]]
+        got = got[np.lexsort((rows["node"][got[:, 1]], got[:, 2], got[:, 0]))]
+        begin = np.flatnonzero(np.concatenate([[True], got[1:, 0] != got[:-1, 0]]))
+        times = np.diff(np.append(begin, len(got)))
+        most = len(got) if first is None else first
+        keep = np.arange(len(got)) - np.repeat(begin, times) < most
+        more, got = np.repeat(times > most, times)[keep], got[keep]
+        x, y, cell = rows["node"][got[:, 0]], rows["node"][got[:, 1]], rows["cell"][got[:, 0]]
         return pa.record_batch([pa.array(x), pa.array(y), pa.array(cell, mask=~more), pa.array(more)], names=["x", "y", "cell", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +239,7 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
         if held and (out := work({c: np.concatenate([h[c] for h in held]) for c in held[0]})) is not None:
             yield out
 
-    return rows.select(names).repartition("cell").sortWithinPartitions("cell").mapInArrow(run, FOUND)
+    return rows.select(names).repartition("cell").sortWithinPartitions("cell", "size").mapInArrow(run, FOUND)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -278,7 +280,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     release(spark)
     folder = shared_folder(spark)
     for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
-        candidates(cells(nodes, i, PARTS), False).write.mode("append").parquet(folder)
+        candidates(cells(nodes, i, PARTS), FIRST[0]).write.mode("append").parquet(folder)
         release(spark)
     found = spark.read.schema(FOUND).parquet(folder)
 
@@ -292,14 +294,16 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         return out
 
     gone = settle(found)
-    # nodes with more candidates in some cell, none of whose first ones matched
-    unsettled = kept(found.where("more").select("cell", F.col("x").alias("node")).distinct().join(gone, "node", "left_anti"))
-    if unsettled.limit(1).count():
+    for first in (*FIRST[1:], None):
+        # nodes with more candidates in some cell, none of whose first ones matched
+        unsettled = kept(found.where("more").select("cell", F.col("x").alias("node")).distinct().join(gone, "node", "left_anti"))
+        if not unsettled.limit(1).count():
+            break
         only = spark.sparkContext.broadcast(S.bloom(unsettled.select(F.col("cell").alias("node"))))
         members = cells(nodes, only=only).join(unsettled.select("cell").distinct(), "cell", "left_semi")
         asking = members.join(unsettled.withColumn("asks", F.lit(True)), ["cell", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
-        gone = gone.unionByName(settle(candidates(asking, True))).distinct()
-    forget(spark, found)
+        found = kept(candidates(asking, first))
+        gone = kept(gone.unionByName(settle(found)).distinct())
     told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), "gone")
     out = lines.join(told, "node").where(F.col("gone").isNotNull() | (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")))
     return out.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
