@@ -17,17 +17,16 @@ _SEGMENT = r"^([^-/]+)-([^-/]+)-([^-/]+)-([^-/]+)-(\d+(?:\.\d+)?)_(\d+(?:\.\d+)?
 
 def parse_segment_name(name: Name) -> Column:
     """participant-view-task-subtask-start_end.ext as a struct; null for a name of another form.  Folders before the name are dropped."""
-    base = F.element_at(F.split(_c(name), "/"), -1)
-    part = lambda i: F.regexp_extract(base, _SEGMENT, i)
+    base = F.substring_index(_c(name), "/", -1)
+    part = F.split(base, "-")
+    times = F.split(F.element_at(part, 5), "_")
+    end = F.regexp_extract(F.get(times, F.lit(1)), r"^(\d+(?:\.\d+)?)\.\w+$", 1)
     found = F.struct(
-        part(1).alias("participant"),
-        part(2).alias("view"),
-        part(3).alias("task"),
-        part(4).alias("subtask"),
-        part(5).try_cast("double").alias("start_s"),
-        part(6).try_cast("double").alias("end_s"),
-        F.concat_ws("_", part(5), part(6)).alias("times"),
-        part(7).alias("ext"),
+        *(F.get(part, F.lit(i)).alias(c) for i, c in enumerate(("participant", "view", "task", "subtask"))),
+        F.get(times, F.lit(0)).try_cast("double").alias("start_s"),
+        end.try_cast("double").alias("end_s"),
+        F.concat_ws("_", F.get(times, F.lit(0)), end).alias("times"),
+        F.substring_index(base, ".", -1).alias("ext"),
     )
     return F.when(base.rlike(_SEGMENT), found)
 

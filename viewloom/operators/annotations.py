@@ -41,18 +41,24 @@ def subtask_durations(train: DataFrame, valid: DataFrame) -> DataFrame:
     return g.select("split", "subtask", "n", F.col("lo").cast("double").alias("min_s"), mean.alias("mean_s"), F.col("hi").cast("double").alias("max_s"))
 
 
-def frame_count_consistency(segments: DataFrame, name: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Clips (participant, task, subtask, raw times) by their views' frame counts: equal ones, unequal ones with a view to count map, and single views.
+def view_groups(segments: DataFrame, name: str = "path") -> DataFrame:
+    """Clips (participant, task, subtask, raw times) with their views, the least and the greatest frame count, and the counts by view.
 
     A view that stands twice counts once, with its greatest frame count.
     """
     key = ["participant", "task", "subtask", "times"]
-    parsed = segments.withColumn("p", parse_segment_name(name)).where("p is not null").select("p.*", "frame_count")
+    # equal names are merged before they are parsed
+    named = segments.groupBy(name).agg(F.max("frame_count").alias("frame_count"))
+    parsed = named.withColumn("p", parse_segment_name(name)).where("p is not null").select("p.*", "frame_count")
     per_view = parsed.groupBy(*key, "view").agg(F.max("frame_count").alias("frame_count"))
-    g = per_view.groupBy(*key).agg(
+    return per_view.groupBy(*key).agg(
         F.count("*").alias("views"), F.min("frame_count").alias("lo"), F.max("frame_count").alias("hi"), F.array_sort(F.collect_list(F.struct("view", "frame_count"))).alias("by_view")
     )
-    g = g.withColumn("by_view", F.map_from_entries("by_view"))
+
+
+def frame_count_consistency(segments: DataFrame, name: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``view_groups`` with equal counts, with unequal ones, and of single views; the counts as a map by view."""
+    g = view_groups(segments, name).withColumn("by_view", F.map_from_entries("by_view"))
     equal = F.col("lo") == F.col("hi")
     return g.where((F.col("views") > 1) & equal), g.where((F.col("views") > 1) & ~equal), g.where("views = 1")
 

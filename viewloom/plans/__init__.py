@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions.arrays import is_present
-from viewloom.operators.annotations import frame_count_consistency
+from viewloom.operators.annotations import view_groups
 from viewloom.operators.stereo import join_stereo_frames, projection_matrices, triangulate
 from viewloom.operators.sync import match_length, pair_views, sync_frames
 from viewloom.schemas import PARTS
@@ -14,12 +14,9 @@ from viewloom.schemas import PARTS
 
 def consistency_statistics(segments: DataFrame) -> DataFrame:
     """Clips by subtask: with equal counts across views, with unequal ones, and in a single view."""
-    kinds = dict(zip(("equal", "unequal", "single"), frame_count_consistency(segments), strict=True))
-    rows = None
-    for kind, df in kinds.items():
-        own = df.select("subtask", F.lit(kind).alias("kind"))
-        rows = own if rows is None else rows.unionByName(own)
-    return rows.groupBy("subtask").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
+    several, equal = F.col("views") > 1, F.col("lo") == F.col("hi")
+    kinds = {"equal": several & equal, "unequal": several & ~equal, "single": F.col("views") == 1}
+    return view_groups(segments).groupBy("subtask").agg(*(F.count_if(c).alias(k) for k, c in kinds.items()))
 
 
 def synchronised(frames: DataFrame, left: str = "CAM_LL", right: str = "CAM_LR", tolerance_ms: int = 3_600_000) -> DataFrame:
