@@ -291,6 +291,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         own = kept(sets_of(docs, firsts.join(wanted, "node", "left_semi").select("node", "doc")))
         out = kept(S.verified(pairs, own, NUMERATOR, DENOMINATOR).select(F.col("a").alias("node")).distinct())
         forget(spark, own, pairs)
+        release(spark)
         return out
 
     gone = settle(found)
@@ -302,8 +303,12 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         only = spark.sparkContext.broadcast(S.bloom(unsettled.select(F.col("cell").alias("node"))))
         members = cells(nodes, only=only).join(unsettled.select("cell").distinct(), "cell", "left_semi")
         asking = members.join(unsettled.withColumn("asks", F.lit(True)), ["cell", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
-        found = kept(candidates(asking, first))
-        gone = kept(gone.unionByName(settle(found)).distinct())
+        again = kept(candidates(asking, first))
+        forget(spark, found, unsettled)
+        found, settled = again, settle(again)
+        both = kept(gone.unionByName(settled).distinct())
+        forget(spark, gone, settled)
+        gone = both
     told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), "gone")
     out = lines.join(told, "node").where(F.col("gone").isNotNull() | (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")))
     return out.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
