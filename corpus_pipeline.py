@@ -42,7 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked documents, and all that are linked with none."""
     hashed = docs.select(*COLUMNS, F.xxhash64("text").alias("_hash"))
     found = kept(jaccard.join(hashed, keys=["_hash"]))
-    stays = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "_hash")).alias("f")).select("f.*")
+    stays = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc_id", "_hash")).alias("f")).select("f.*")
     stays = stays.unionByName(found.where("n_shingles = 0").select("doc_id", "_hash").distinct())
     out = hashed.join(stays.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
     equal = found.where("n_shingles > 0").groupBy("doc_id", "_hash").count().where("count > 1")

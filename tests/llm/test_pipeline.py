@@ -81,3 +81,12 @@ def test_awkward_rows(spark):
     for _, f in P.STAGES:
         empty = kept(f(spark, empty, SF))
     assert empty.count() == 0
+
+
+def test_unlike_rows_without_an_id_of_their_own(spark):
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(12)) for x in "abcde")
+    rows = [(None, a, None), (None, b, None), (None, c, None), (None, c + " more", None), (3, d, None), (3, e, None), (4, e, None)]
+    got = kept(P.near_duplicates(spark, docs(spark, rows, clashing=False), SF)).collect()
+    texts = Counter(r["text"] for r in got)
+    assert texts[c] + texts[c + " more"] == 1
+    assert {t: texts[t] for t in (a, b, d, e)} == dict.fromkeys((a, b, d, e), 1) and len(got) == 5

@@ -319,8 +319,9 @@ def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    """(doc_id, keys, n_shingles, node, component_id) for every row: exact components of the links of similarity 0.75 and more.
+    """(doc_id, keys, n_shingles, node, root, component_id) for every row: exact components of the links of similarity 0.75 and more.
 
+    ``root``: the component itself, null for the empty set; components whose rows have no id, or share one, differ in it alone.
     ``keys``: further whole-number columns to carry.
     """
     spark = docs.sparkSession
@@ -369,7 +370,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     labels = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     smallest = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root")).join(smallest, "root").select("node", "component_id")
+    named = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root")).join(smallest, "root").select("node", "root", "component_id")
     return rows.join(named, "node", "left").select(
-        *names, F.col("n").alias("n_shingles"), "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        *names, F.col("n").alias("n_shingles"), "node", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
