@@ -117,6 +117,14 @@ def test_lines_of_near_copies(spark, near, block, monkeypatch):
     assert got == removed(rows)
 
 
+def test_short_lines(spark):
+    long = " ".join(f"w{k}" for k in range(9))
+    rows = [(1, "all rights reserved.\nx\na b c d\np q r"), (2, "X\nAll rights reserved.\n\nd c b a e\np q r s"), (3, f"the the the\n{long}"), (4, "the\n漢字漢字\n \n1 2 3 4 5"), (5, "漢字漢字\nx x\n4 3 2 1\n1 2 3")]
+    got = removed_by(lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(3)))
+    # four words match five of which they are; three don't match four
+    assert got == {(2, 0), (2, 1), (2, 3), (4, 0), (5, 0), (5, 1), (5, 2)}
+
+
 def test_kept_text(spark):
     df = lines.dedup(docs(spark, [(1, "a b c d e f\nkeep\n", None), (2, "keep too\nf e d c b a", None)], clashing=False))
     assert sorted(r["t"] for r in df.select(lines.kept_text().alias("t")).collect()) == ["a b c d e f\nkeep\n", "keep too"]

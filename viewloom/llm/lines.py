@@ -1,10 +1,10 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its words (A-Z lower-cased).  Lines of ``LEAST`` distinct words and more take part.  Two lines match when the Jaccard similarity of
+A line is the set of its words (A-Z lower-cased).  Every line with a word takes part.  Two lines match when the Jaccard similarity of
 their sets is 0.8 or more; a line is removed when it matches a line in an earlier place, removed itself or not.  Places are ordered by (doc_id, line
 number, signature of the set), null ids first.
 
-Equal sets are one node with its first place.  Each node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
+Equal sets are one node with its first place.  Sets of fewer than ``LEAST`` words match equal ones alone, so their node is all they need.  Each larger node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
 that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from parity bits of
 each set; a very frequent key's nodes are cut into blocks, and each pair of blocks is compared in a cell of its own.  From each key a node takes the 4 most similar
 earlier ones alone, so groups of near copies don't list their pairs; a node that these don't settle is searched again in the cells that hold more, for 64, and then for all of them.
@@ -27,7 +27,7 @@ from viewloom.llm import sets as S
 from viewloom.llm.text import _hash_spans, column_bytes, distinct_short, forget, kept, narrow, release, shared_folder, slices, trim, word_spans
 
 NUMERATOR, DENOMINATOR = 4, 5
-LEAST = 5
+LEAST = DENOMINATOR - 1  # a set of n words and one of n + 1 match from here on
 BLOCK = 8192
 FIRST = (4, 64)
 PARTS = 3
@@ -49,7 +49,7 @@ def line_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     start, end = word_spans(raw, at)
     words, starts = distinct_short(_hash_spans(raw, start, end, True), np.append(np.searchsorted(start, begin), len(start)))
     n = np.diff(starts)
-    use = n >= LEAST
+    use = n > 0
     keep = np.repeat(use, n)
     return owner[use], number[use].astype(np.int32), words[keep], np.concatenate([[0], np.cumsum(n[use])])
 
@@ -72,7 +72,7 @@ def wide_parity(tokens: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 
 def prefix_lengths(n: np.ndarray) -> np.ndarray:
-    return np.where(n > 0, n + (-NUMERATOR * n // DENOMINATOR) + 1, 0)
+    return np.where(n >= LEAST, n + (-NUMERATOR * n // DENOMINATOR) + 1, 0)
 
 
 def keyed(docs: DataFrame, sketch) -> DataFrame:
