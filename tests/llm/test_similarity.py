@@ -125,6 +125,15 @@ def test_short_lines(spark):
     assert got == {(2, 0), (2, 1), (2, 3), (4, 0), (5, 0), (5, 1), (5, 2)}
 
 
+def test_texts_of_one_id_that_share_a_line(spark):
+    rows = [(None, "a b c d e f\none own line of this text"), (None, "f e d c b a\nsomething else that stands here"), (7, "u v w x y z\nmore"), (7, "u v w x y z\nother"), (7, "u v w x y z\nother")]
+    got = lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(2)).collect()
+    nulls, sevens = ([(r["text"], r["removed"]) for r in got if r["doc_id"] == i] for i in (None, 7))
+    assert sorted(x for _, x in nulls) == [[], [0]]
+    # equal rows share a fate
+    assert len({(t, tuple(x)) for t, x in sevens}) == 2 and sorted(x for _, x in {t: x for t, x in sevens}.items()) == [[], [0]]
+
+
 def test_kept_text(spark):
     df = lines.dedup(docs(spark, [(1, "a b c d e f\nkeep\n", None), (2, "keep too\nf e d c b a", None)], clashing=False))
     assert sorted(r["t"] for r in df.select(lines.kept_text().alias("t")).collect()) == ["a b c d e f\nkeep\n", "keep too"]

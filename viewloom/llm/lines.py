@@ -2,7 +2,7 @@
 
 A line is the set of its words (A-Z lower-cased).  Every line with a word takes part.  Two lines match when the Jaccard similarity of
 their sets is 0.8 or more; a line is removed when it matches a line in an earlier place, removed itself or not.  Places are ordered by (doc_id, line
-number, signature of the set), null ids first.
+number, signature of the set, hash of the text), null ids first.
 
 Equal sets are one node with its first place.  Sets of fewer than ``LEAST`` words match equal ones alone, so their node is all they need.  Each larger node sends the first n - ceil(0.8 n) + 1 of its words, rare first, as keys; words
 that no other line holds are left out, as they can't be shared.  Nodes that share a key are compared under the length filter, the positional filter and a bound from parity bits of
@@ -76,12 +76,12 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, sketch) -> DataFrame:
-    """(node, doc, line, n, bits, wide, prefix, counts): each node at its first place, with its shared prefix words' values, positions and counters."""
-    fields = "node long, doc long, line int, n int, bits long, wide binary, prefix binary, pos binary, counts binary"
+    """(node, doc, line, hash, n, bits, wide, prefix, counts): each node at its first place, with its shared prefix words' values, positions and counters."""
+    fields = "node long, doc long, line int, hash long, n int, bits long, wide binary, prefix binary, pos binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            owner, number, tokens, starts = line_sets(batch.column(1))
+            owner, number, tokens, starts = line_sets(batch.column(2))
             node, n = S.signatures(tokens, starts), np.diff(starts)
             ordered, count = S.rare_first(tokens, starts, sketch.value)
             take = prefix_lengths(n)
@@ -92,17 +92,17 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
             shared = count[at] > 1  # a word of one line alone is no key
             row, pos, at = row[shared], pos[shared], at[shared]
             cuts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(n)))])
-            doc = batch.column(0).to_numpy()[owner]
+            doc, text = (batch.column(k).to_numpy()[owner] for k in (0, 1))
             yield pa.record_batch(
-                [pa.array(node), pa.array(doc), pa.array(number), pa.array(n.astype(np.int32)), pa.array(parity(tokens, starts)), wide_parity(tokens, starts)]
+                [pa.array(node), pa.array(doc), pa.array(number), pa.array(text), pa.array(n.astype(np.int32)), pa.array(parity(tokens, starts)), wide_parity(tokens, starts)]
                 + [S.blobs(ordered[at], cuts), S.blobs(pos.astype("<i4"), cuts), S.blobs(count[at].astype("<u4"), cuts)],
                 names=[c.split(" ")[0] for c in fields.split(", ")],
             )
 
     rest = ["n", "bits", "wide", "prefix", "pos", "counts"]
-    found = docs.select("doc", "text").mapInArrow(run, fields)
+    found = docs.select("doc", "hash", "text").mapInArrow(run, fields)
     # rows of one node differ in their place alone, so the first place decides
-    return found.groupBy("node").agg(F.min(F.struct("doc", "line", *rest)).alias("f")).select("node", "f.*")
+    return found.groupBy("node").agg(F.min(F.struct("doc", "line", "hash", *rest)).alias("f")).select("node", "f.*")
 
 
 def cells(nodes: DataFrame, part: int = 0, parts: int = 1, only=None) -> DataFrame:
@@ -276,7 +276,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     lines, sketch = S.split_rows(spark, units, ["doc", "hash", "line"], "doc long, hash long, line int", docs)
     held = spark.sparkContext.broadcast(sketch)
     nodes = kept(keyed(docs, held))
-    firsts = nodes.select("node", "doc", "line")
+    firsts = nodes.select("node", "doc", "line", "hash")
     release(spark)
     folder = shared_folder(spark)
     for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
@@ -309,8 +309,9 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         both = kept(gone.unionByName(settled).distinct())
         forget(spark, gone, settled)
         gone = both
-    told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), "gone")
-    out = lines.join(told, "node").where(F.col("gone").isNotNull() | (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")))
+    told = firsts.join(gone.withColumn("gone", F.lit(True)), "node", "left").select("node", F.col("doc").alias("fd"), F.col("line").alias("fl"), F.col("hash").alias("fh"), "gone")
+    later = (F.col("doc") != F.col("fd")) | (F.col("line") != F.col("fl")) | (F.col("hash") != F.col("fh"))
+    out = lines.join(told, "node").where(F.col("gone").isNotNull() | later)
     return out.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
