@@ -208,6 +208,31 @@ def test_blocks_of_a_page():
     assert blocks.blocks("") == [] and [b.text for b in blocks.blocks("a < b")] == ["a < b"]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<p><a title="5"" href="x">one</a> two</p><p>three</p>', ["one two", "three"]),
+        ('<p><a title="5"" href="x">one</a></p><p>say "two"</p><p>three</p>', ["one", 'say "two"', "three"]),
+        ("<p>x <y, it's so</p><p>three</p>", ["x", "three"]),
+        ('<p><a href="x>one</a></p><p>three</p>', ["one", "three"]),
+        ("<p>love </3 this</p><p>three</p>", ["love", "three"]),
+        ('<p title = "a > b" lang=\'>\'>one</p>', ["one"]),
+        ("<p>one</p><p title='a", ["one"]),
+        ("<html><head><title>no</title><meta name=a><body><p>one</p></body></html>", ["one"]),
+        ("<head><title>no</title><script>no</script><style>no</style><p>one</p>", ["one"]),
+        ("<head><title>no</title><img src=a>one<p>two</p>", ["one", "two"]),
+        ("<head><title>no</title>\none <b>two</b>", ["one two"]),
+        ("<head><title>no</title></head><body><p>one</p>", ["one"]),
+    ],
+)
+def test_blocks_of_careless_pages(page, want):
+    assert [b.text for b in blocks.blocks(page)] == want
+
+
+def test_a_tag_of_many_values_that_breaks_off():
+    assert [b.text for b in blocks.blocks("<p>one</p><p " + 'a="b" ' * 5000)] == ["one"]
+
+
 def test_gradients_of_the_labeller():
     rng = np.random.default_rng(0)
     model = blocks.Labeller.new(3, rng)

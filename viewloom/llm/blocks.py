@@ -7,7 +7,7 @@ place in the page is telling (inside an article; in a menu, a footer, an advert)
 containers renamed or boilerplate inserted show it the other ways in which pages say the same.  Scripts, styles and comments of the markup never become blocks.
 
 Defined results: null and empty html, and pages without a block of main text, give the empty string; repeated rows are extracted each
-on their own; markup that breaks off ends where it breaks off; without any page to learn from every block counts as main text.
+on their own; a stray quote in a tag is an ordinary character, a head without its end ends where the body begins; markup that breaks off ends where it breaks off; without any page to learn from every block counts as main text.
 """
 
 from __future__ import annotations
@@ -28,12 +28,14 @@ from viewloom.llm.text import narrow, sample, slices
 
 PATH, WORDS, MEASURES = 256, 32, 6
 WIDTH = PATH + WORDS + MEASURES
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+#: A quote counts after '=' alone; where the quoted values leave no '>', a tag ends at its first one.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+(?:"[^"]*"|'[^']*')|[^>])*+|[^>]*+)>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # Names of HTML elements.
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title", "select", "textarea", "button"}
+HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 MAIN = ("article", "main", "#content", "#post", "#entry", "#story", "#article", "#body")
@@ -85,11 +87,22 @@ def blocks(page: str) -> list[Block]:
             if piece[0] == "<" and len(piece) > 1:
                 continue
             if piece == "<" and (page[at : at + 1].isalpha() or page[at : at + 1] in "/!?"):
-                break  # a tag that breaks off
+                end = page.find(">", at)
+                if end < 0:
+                    break  # a tag that breaks off
+                at = end + 1
+                continue
+            if skipping and stack[-1][0] == "head" and piece.strip():
+                close(len(stack) - 1)
             if not skipping:
                 held.append((piece, links > 0))
             continue
         tag = tag.lower()
+        if not slash and tag not in HEAD:  # what belongs into the body ends a head that is still open
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == "head":
+                    close(k)
+                    break
         if tag in VOID:
             if tag == "br":
                 held.append((" ", links > 0))
