@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from viewloom import fixtures, queries
 from viewloom.operators import annotations, catalog, planning, stereo, sync
 
 
@@ -27,6 +28,31 @@ def test_assign_segments_matches_plain_range_join(spark):
     assert sorted(got) == sorted(plain) and len(got) == len(set(got))
 
 
+def test_all_clips_get_their_frames(spark, sf_dir):
+    own = lambda df: sorted((r["event_id"], r["participant"], r["subtask"], r["start_s"], r["end_s"]) for r in df.collect())
+    clips = {tuple(r) for r in fixtures.segments(spark, sf_dir).select("participant", "subtask", "start_s", "end_s").collect()}
+    of = {}
+    for c in clips:
+        of.setdefault(c[0], []).append(c)
+    frames = fixtures.frames(spark, sf_dir).select("event_id", "participant", "media_t").collect()
+    want = sorted((r["event_id"], *c) for r in frames for c in of.get(r["participant"], []) if c[2] <= r["media_t"] < c[3])
+    got = own(queries.queries()["j3_assign_segments_all"](spark, sf_dir))
+    assert got == want and len({g[2] for g in got}) > 3
+
+
+def test_all_videos_of_a_camera_are_checked(spark, sf_dir):
+    whole = queries.queries()["a5_camera_integrity_all"](spark, sf_dir)
+    assert sum(r["videos"] for r in whole.collect()) == fixtures.videos(spark, sf_dir).count()
+
+
+def test_cameras_of_one_value(spark):
+    rows = [(p, v, f"{k}.mp4", fps, d) for p, v, fps, d in (("p1", "CAM_LL", 50.0, 10.0), ("p1", "CAM_LR", 50.0, 10.0), ("p2", "CAM_LL", 50.0, 10.0), ("p2", "CAM_LR", 25.0, 10.0)) for k in range(3)]
+    df = spark.createDataFrame([*rows, ("p3", "CAM_LL", "0.mp4", 50.0, 10.0), ("p3", "CAM_LL", "1.mp4", 50.0, 11.0), ("p3", "CAM_LR", "0.mp4", 50.0, 10.0)], "participant string, view string, video string, fps double, duration_s double")
+    status = {(r["participant"], r["view"]): (r["videos"], r["status"]) for r in catalog.camera_integrity(df).collect()}
+    assert status["p1", "CAM_LL"] == (3, "single") and status["p3", "CAM_LL"] == (2, "review")
+    assert {r["participant"]: r["outcome"] for r in catalog.compare_cameras(df).select("participant", "outcome").collect()} == {"p1": "none", "p2": "fps", "p3": "review"}
+
+
 def test_sync_is_one_to_one_and_near(spark):
     left, right = frame_rows(spark, [("p", "L", 50, 33)]), frame_rows(spark, [("p", "R", 40, 41)])
     got = sync.sync_frames(left, right, ["participant"], 20).collect()

@@ -266,6 +266,13 @@ def j3_assign_segments(spark, sf_dir):
     return ann.assign_segments(fx.frames(spark, sf_dir).select("event_id", "participant", "media_t"), clips, ["participant"]).select("event_id", "participant", "subtask", "media_t", "start_s", "end_s")
 
 
+@query()
+def j3_assign_segments_all(spark, sf_dir):
+    """The clips of all subtasks; a range join without time buckets is too slow for SQL here."""
+    clips = fx.segments(spark, sf_dir).select("participant", "subtask", "start_s", "end_s").distinct()
+    return ann.assign_segments(fx.frames(spark, sf_dir).select("event_id", "participant", "media_t"), clips, ["participant"]).select("event_id", "participant", "subtask", "media_t", "start_s", "end_s")
+
+
 _TOLERANCE = 3_600_000
 _NEAR = f"""SELECT l.participant, l.frame_idx AS l_idx, r.frame_idx AS r_idx, l.t_ms AS l_t, r.t_ms AS r_t, abs(l.t_ms - r.t_ms) AS dt FROM fx_frames l JOIN fx_frames r ON l.participant = r.participant
   AND abs(l.t_ms - r.t_ms) <= {_TOLERANCE} WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'"""
@@ -449,6 +456,23 @@ def a6_compare_cameras(spark, sf_dir):
     return catalog.compare_cameras(frames.with_duration(_coarse(spark, sf_dir)))
 
 
+_CAMERA_ALL = _CAMERA.replace(_COARSE, "SELECT *, CASE WHEN fps <> 0 THEN frame_count / fps ELSE 0.0::DOUBLE END AS duration_s FROM fx_videos")
+
+
+@query(_CAMERA_ALL, "fx_videos")
+def a5_camera_integrity_all(spark, sf_dir):
+    return catalog.camera_integrity(frames.with_duration(fx.videos(spark, sf_dir)))
+
+
+@query(
+    f"""WITH c AS ({_CAMERA_ALL}) SELECT a.participant, CASE WHEN a.status = 'review' OR b.status = 'review' THEN 'review' WHEN a.fps <> b.fps AND a.duration_s <> b.duration_s THEN 'both' WHEN a.fps <> b.fps THEN 'fps'
+  WHEN a.duration_s <> b.duration_s THEN 'duration' ELSE 'none' END AS outcome FROM c a JOIN c b USING (participant) WHERE a.view = 'CAM_LL' AND b.view = 'CAM_LR'""",
+    "fx_videos",
+)
+def a6_compare_cameras_all(spark, sf_dir):
+    return catalog.compare_cameras(frames.with_duration(fx.videos(spark, sf_dir)))
+
+
 @query("SELECT participant, view, count(*) AS videos, CASE WHEN count(*) < 8 THEN '<8' WHEN count(*) > 8 THEN '>8' ELSE 'ok' END AS status FROM fx_videos GROUP BY ALL", "fx_videos")
 def a7_video_count_status(spark, sf_dir):
     return catalog.video_count_status(fx.videos(spark, sf_dir), 8)
