@@ -125,6 +125,17 @@ def test_short_lines(spark):
     assert got == {(2, 0), (2, 1), (2, 3), (4, 0), (5, 0), (5, 1), (5, 2)}
 
 
+def test_line_query_with_short_lines(spark, sf_dir):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    seen, gone = [], set()
+    for i, k, s in sorted((i, k, frozenset(x.encode().lower().split())) for i, t in rows for k, x in enumerate((t or "").split("\n"))):
+        if s:
+            if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
+                gone.add((i, k))
+            seen.append(s)
+    assert removed_by(op10_line_dedup(spark, sf_dir)) == gone
+
+
 def test_texts_of_one_id_that_share_a_line(spark):
     rows = [(None, "a b c d e f\none own line of this text"), (None, "f e d c b a\nsomething else that stands here"), (7, "u v w x y z\nmore"), (7, "u v w x y z\nother"), (7, "u v w x y z\nother")]
     got = lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(2)).collect()
