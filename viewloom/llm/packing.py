@@ -14,7 +14,6 @@ rows; other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from viewloom.llm.text import CACHES, column_bytes, narrow, slices
+from viewloom.llm.text import CACHES, _hash_spans, column_bytes, narrow, slices, word_spans
 
 PIECES = T.StructType(
     [
@@ -40,14 +39,17 @@ MARK = "\x00"
 
 
 class WordIds:
-    """Token ids of whole texts from a cache of white-space words.
+    """Token ids of whole texts from a table of white-space words.
 
     For a tokenizer whose pre-tokenizer drops white space and never joins across it, the ids of a text are
-    those of its words one after the other.  New words are encoded many at a time and parted again by the ids that end
-    a piece; where their number is not the expected one, a mark between the words parts them.
+    those of its words one after the other.  Words are known by 64-bit values in an open-addressing table of numpy arrays.  New words are encoded
+    many at a time and parted again by the ids that end a piece; where their number is not the expected one, a mark between the words parts them.
+    When the table is full, words that were not met since it was last thinned out leave it.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    GROUP = 256
+
+    def __init__(self, path: str, most_words: int = 1_500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,7 +61,7 @@ class WordIds:
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.clear()
+        self._fill(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32))
 
     @classmethod
     def kept(cls, path: str) -> WordIds:
@@ -69,42 +71,63 @@ class WordIds:
             held = CACHES["packing"] = cls(path)
         return held
 
-    def clear(self) -> None:
-        class Index(dict):
-            def __missing__(self, word: bytes) -> int:
-                self[word] = at = len(self)
-                return at
-
-        self.index, self.flat, self.used = Index(), np.zeros(1 << 16, np.uint32), 0
-        self.begin = np.zeros(1, np.int64)
-
-    def _many(self, texts: list[str], pieces: list[int]) -> list[list[int]] | None:
-        """Ids of words that have so many pieces each, encoded as one text; None if their total number is another."""
-        ids = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids
-        ends = np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1
-        last = np.cumsum(pieces)
-        if len(ends) != last[-1] or ends[-1] != len(ids):
-            return None
-        cut = [0, *ends[last - 1].tolist()]
-        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-    def _marked(self, texts: list[str]) -> list[list[int]]:
+    def _fill(self, values: np.ndarray, begin: np.ndarray, flat: np.ndarray) -> None:
+        """The table of these words alone: their values, where their ids begin, and their ids."""
+        self.values, self.begin, self.flat = values, begin, flat
+        self.met = np.zeros(len(values), bool)
+        self.bits = max(12, int(2 * len(values)).bit_length())
+        self.keys, self.number = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+        self._insert(values, 0)
+
+    def _slots(self, values: np.ndarray) -> np.ndarray:
+        return (values >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _insert(self, values: np.ndarray, first: int) -> None:
+        at, rest = self._slots(values), np.arange(len(values))
+        while len(rest):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = values[rest[free]]
+            mine = self.keys[at] == values[rest]
+            self.number[at[mine]] = first + rest[mine]
+            at, rest = (at[~mine] + 1) & ((1 << self.bits) - 1), rest[~mine]
+
+    def _find(self, values: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 for unknown ones."""
+        at = self._slots(values)
+        key = self.keys[at]
+        out = np.where(key == values, self.number[at], -1)
+        rest = np.flatnonzero((key != values) & (key != 0))
+        at = at[rest]
+        while len(rest):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            key = self.keys[at]
+            hit = key == values[rest]
+            out[rest[hit]] = self.number[at[hit]]
+            on = ~hit & (key != 0)
+            at, rest = at[on], rest[on]
+        return out
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _marked(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of any words, a mark between them, or each by itself where a word holds the mark or a special token may be meant."""
-        out: list[list[int]] = [[]] * len(texts)
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         plain = [i for i, w in enumerate(texts) if "<|" not in w and MARK not in w] if self.mark is not None else []
         if plain:
-            ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(texts[i] for i in plain)], add_special_tokens=False)[0].ids
+            ids = self._ids([f" {MARK} ".join(texts[i] for i in plain)])[0]
             at = 0
-            for i, end in zip(plain, [*np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)], strict=True):
+            for i, end in zip(plain, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
                 out[i] = ids[at:end]
                 at = end + 1
         rest = sorted(set(range(len(texts))) - set(plain))
-        for i, found in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = found.ids
+        for i, ids in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
+            out[i] = ids
         return out
 
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        texts, out = [w.decode("utf-8", "replace") for w in words], [[]] * len(words)
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The order in which the words were encoded, the number of ids of each in that order, and all ids."""
+        texts = b" ".join(words).decode("utf-8", "replace").split(" ") if words else []
         letters, pieces, others = [], [], []
         for i, w in enumerate(texts):
             if w.isalpha():
@@ -115,40 +138,73 @@ class WordIds:
                 pieces.append(2)
             else:
                 others.append(i)
-        for k in range(0, len(letters), 256):
-            group = letters[k : k + 256]
-            own = [texts[i] for i in group]
-            for i, ids in zip(group, self._many(own, pieces[k : k + 256]) or self._marked(own), strict=True):
-                out[i] = ids
-        for k in range(0, len(others), 256):
-            group = others[k : k + 256]
-            for i, ids in zip(group, self._marked([texts[i] for i in group]), strict=True):
-                out[i] = ids
-        return out
-
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.index) > self.most:
-            self.clear()
-        known = len(self.index)
-        lookup = self.index.__getitem__
-        split = [text.split() for text in texts]
-        found = [np.fromiter(map(lookup, w), np.int64, len(w)) for w in split]
-        if len(self.index) > known:
-            new = self._encode(list(itertools.islice(self.index, known, None)))
-            lengths = np.fromiter(map(len, new), np.int64, len(new))
-            flat = np.fromiter((x for ids in new for x in ids), np.uint32, int(lengths.sum()))
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(flat)] = flat
-            self.begin = np.concatenate([self.begin, self.used + np.cumsum(lengths)])
-            self.used += len(flat)
-        out = []
-        for words in found:
-            first, length = self.begin[words], self.begin[words + 1] - self.begin[words]
-            ends = np.cumsum(length)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.flat[np.repeat(first - ends + length, length) + np.arange(total)])
-        return out
+        lengths, flat = [], []
+        cuts = range(0, len(letters), self.GROUP)
+        for k, ids in zip(cuts, self._ids([" ".join(texts[i] for i in letters[k : k + self.GROUP]) for k in cuts]), strict=True):
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum(pieces[k : k + self.GROUP])
+            if len(ends) == last[-1] and ends[-1] == len(ids):
+                lengths.append(np.diff(ends[last - 1], prepend=0))
+                flat.append(ids)
+            else:
+                own = self._marked([texts[i] for i in letters[k : k + self.GROUP]])
+                lengths.append(np.array([len(x) for x in own], np.int64))
+                flat.extend(own)
+        for k in range(0, len(others), self.GROUP):
+            own = self._marked([texts[i] for i in others[k : k + self.GROUP]])
+            lengths.append(np.array([len(x) for x in own], np.int64))
+            flat.extend(own)
+        none = np.zeros(0, np.int64)
+        return np.array(letters + others, np.int64), np.concatenate([none, *lengths]), np.concatenate([none.astype(np.uint32), *flat])
+
+    def _learn(self, values: np.ndarray, words: list[bytes]) -> None:
+        order, lengths, flat = self._encode(words)
+        if len(self.values) + len(values) > self.most:
+            stay = np.flatnonzero(self.met)
+            stay = stay[: max(0, self.most // 2)]
+            n = np.diff(self.begin)[stay]
+            at = np.repeat(self.begin[stay] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            self._fill(self.values[stay], np.concatenate([[0], np.cumsum(n)]), self.flat[at])
+        known, own = len(self.values), values[order]
+        begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lengths)])
+        both = np.concatenate([self.values, own])
+        if 2 * len(both) > 1 << self.bits:
+            met = np.concatenate([self.met, np.zeros(len(own), bool)])
+            self._fill(both, begin, np.concatenate([self.flat, flat]))
+            self.met = met
+        else:
+            self.values, self.begin, self.flat = both, begin, np.concatenate([self.flat, flat])
+            self.met = np.concatenate([self.met, np.zeros(len(own), bool)])
+            self._insert(own, known)
+
+    def __call__(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
+        raw, at = column_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+        start, end = word_spans(raw, at)
+        values = _hash_spans(raw, start, end, False)
+        values[values == 0] = 1  # 0 is an empty slot
+        row = np.searchsorted(start, at)
+        number = self._find(values)
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new, first = np.unique(values[unknown], return_index=True)
+            place = unknown[first]
+            body = raw.tobytes()
+            self._learn(new, [body[a:b] for a, b in zip(start[place].tolist(), end[place].tolist(), strict=True)])
+            number = self._find(values)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):  # thinned out while the batch was read: these words come in again
+            new, first = np.unique(values[missing], return_index=True)
+            body, place = raw.tobytes(), missing[first]
+            most, self.most = self.most, len(self.values) + len(new)
+            self._learn(new, [body[a:b] for a, b in zip(start[place].tolist(), end[place].tolist(), strict=True)])
+            self.most = most
+            number = self._find(values)
+        self.met[number] = True
+        first, length = self.begin[number], self.begin[number + 1] - self.begin[number]
+        ends = np.cumsum(length)
+        flat = self.flat[np.repeat(first - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        edge = np.concatenate([[0], ends])[row]
+        return [flat[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
 
 
 class Levels:
@@ -213,10 +269,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, d
             return out
 
         for batch in slices(batches, text, 1 << 21, "packing"):
-            raw, at = column_bytes(batch.column(batch.schema.get_field_index(text)))
-            body = raw.tobytes()
             names = batch.column(batch.schema.get_field_index(doc_id)).to_pylist()
-            for doc, ids in zip(names, words([body[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]), strict=True):
+            for doc, ids in zip(names, words(batch.column(batch.schema.get_field_index(text))), strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 total = len(ids)
                 full = total - total % window
