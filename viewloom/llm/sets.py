@@ -81,6 +81,51 @@ def rare_first(tokens: np.ndarray, starts: np.ndarray, sketch: np.ndarray) -> tu
     return tokens[order], count[order]
 
 
+def rare_sets(values: np.ndarray, starts: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values of each row, from rare to frequent (ties by value), where each row's begin, and their counters.  One sort does both."""
+    found, cuts, counts = [], [np.zeros(1, np.int64)], []
+    for i in range(0, len(starts) - 1, 1 << 16):
+        own = starts[i : i + (1 << 16) + 1]
+        tokens = values[own[0] : own[-1]]
+        owner = np.repeat(np.arange(len(own) - 1, dtype=np.uint64), np.diff(own))
+        count = sketch[slots(tokens)]
+        key = (owner << np.uint64(48)) | (np.minimum(count, 65_535).astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
+        place = np.argsort(key)
+        key, t = key[place], tokens[place]
+        tied = key[1:] == key[:-1]
+        if (odd := tied & (t[1:] != t[:-1])).any():  # unlike values that the key doesn't tell apart
+            group = np.concatenate([[0], np.cumsum(~tied)])
+            among = np.flatnonzero(np.isin(group, group[1:][odd]))
+            place[among] = place[among][np.lexsort((t[among], group[among]))]
+            t = tokens[place]
+        keep = np.ones(len(t), bool)
+        keep[1:] = ~tied | (t[1:] != t[:-1])
+        found.append(t[keep])
+        counts.append(count[place[keep]])
+        cuts.append(cuts[-1][-1] + np.cumsum(np.bincount(owner[place[keep]].astype(np.int64), minlength=len(own) - 1)))
+    none = values[:0]
+    return np.concatenate([none, *found]), np.concatenate(cuts), np.concatenate([np.zeros(0, sketch.dtype), *counts])
+
+
+def ascending(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each row, ascending, and where each row's begin."""
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    order = np.lexsort((values, owner))
+    v = values[order]
+    keep = np.ones(len(v), bool)
+    keep[1:] = (v[1:] != v[:-1]) | (owner[1:] != owner[:-1])  # rows keep their order, so owner is sorted as it is
+    return v[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(starts) - 1))])
+
+
+def signatures_128(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit signatures of each row's set."""
+    out = []
+    for k in (0x51ED270B9F652295, 0xA0761D6478BD642F):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens ^ np.uint64(k)), dtype=np.uint64)])
+        out.append(mix(total[starts[1:]] - total[starts[:-1]] + np.diff(starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return out[0], out[1]
+
+
 def signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A 64-bit signature of each row's set: sums of mixed values, mixed with the set's size; 0 for the empty set."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens ^ np.uint64(0x51ED270B9F652295)), dtype=np.uint64)])
@@ -103,49 +148,49 @@ def flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return raw.view(kind), at // np.dtype(kind).itemsize
 
 
-BLOOM_BITS = 1 << 24
+#: Bits of a Bloom filter: 24 for each row, a power of two between these.
+BLOOM_LEAST, BLOOM_MOST = 20, 27
 
 
-def bloom(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``BLOOM_BITS`` bits over (node): it spares work where few nodes are wanted and is right at any fill."""
+def bloom(nodes: DataFrame, rows: int = 1 << 20) -> np.ndarray:
+    """A Bloom filter over (node) for about so many rows, packed: it spares work where few nodes are wanted and is right at any fill."""
+    import zstandard as zstd
+
+    n = 1 << min(max(BLOOM_LEAST, (24 * rows).bit_length()), BLOOM_MOST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM_BITS, bool)
+        bits = np.zeros(n // 8, np.uint8)
         for batch in batches:
-            for x in _bits(batch.column(0).to_numpy()):
-                bits[x] = True
+            for x in _bits(batch.column(0).to_numpy(), n):
+                np.bitwise_or.at(bits, x >> 3, (1 << (x & 7)).astype(np.uint8))
         if bits.any():
-            import zstandard as zstd
-
-            yield pa.record_batch([pa.array([zstd.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
+            yield pa.record_batch([pa.array([zstd.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
     def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard as zstd
-
-        bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+        bits = np.zeros(n // 8, np.uint8)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
                 bits |= np.frombuffer(zstd.decompress(raw), np.uint8)
         if bits.any():
             yield pa.record_batch([pa.array([zstd.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
-    import zstandard as zstd
-
-    out = np.zeros(BLOOM_BITS // 8, np.uint8)
-    # 2 MB a task at most, added in a few tasks before the driver sees them
+    out = np.zeros(n // 8, np.uint8)
+    # a filter a task at most, added in a few tasks before the driver sees them
     for r in nodes.select("node").mapInArrow(run, "bits binary").repartition(8).mapInArrow(either, "bits binary").collect():
         out |= np.frombuffer(zstd.decompress(bytes(r["bits"])), np.uint8)
-    return np.unpackbits(out).view(bool)
+    return out
 
 
-def _bits(nodes: np.ndarray) -> list[np.ndarray]:
-    v = nodes.view(np.uint64)
-    return [(mix(v + np.uint64(k)) >> np.uint64(40)).astype(np.int64) for k in (1, 2, 3)]
+def _bits(nodes: np.ndarray, n: int) -> list[np.ndarray]:
+    v, shift = nodes.view(np.uint64), np.uint64(64 - (n.bit_length() - 1))
+    return [(mix(v + np.uint64(k)) >> shift).astype(np.int64) for k in (1, 2, 3)]
 
 
 def in_bloom(bits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    a, b, c = _bits(nodes)
-    return bits[a] & bits[b] & bits[c]
+    out = np.ones(len(nodes), bool)
+    for x in _bits(nodes, 8 * len(bits)):
+        out &= (bits[x >> 3] >> (x & 7)).astype(np.uint8) & 1 == 1
+    return out
 
 
 def overlaps(pairs: pa.RecordBatch, a: int, b: int) -> np.ndarray:
