@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
-from viewloom.llm.packs import bucket_count, dealt, pack, packs, take_runs
+from viewloom.llm.packs import bucket_count, dealt, fields_first, pack, packs, records, take_runs
 from viewloom.llm.text import _hash_spans, column_bytes, forget, kept, narrow, release, shared_folder, slices, trim, word_spans, word_values
 
 NUMERATOR, DENOMINATOR = 4, 5
@@ -34,7 +34,7 @@ BLOCK = 4096
 CELL_FIRST, FIRST = 2, 3
 #: Keys that are cut into blocks, at most; those beyond it, the least crowded, are compared as one cell.
 MOST_CROWDED = 1_000_000
-PARTS = 2
+PARTS = 3
 WIDE, WIDE_WORDS = 192, 8
 HELD = 150_000
 
@@ -182,7 +182,7 @@ def nodes_of(docs: DataFrame, sketch, buckets: int) -> DataFrame:
             crowd = np.empty(len(key), COUNT)
             crowd["key"], crowd["count"] = key, n
             values = [own[0][0], *(x[0] for x in own[1:]), np.concatenate([rest, places(table[others])]), crowd]
-            yield pa.record_batch([pa.array([bucket], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names=names)
+            yield pa.record_batch([pa.array([bucket], pa.int32()), *(pa.array([fields_first(v, np.array([0, len(v)])) if v.dtype.names else v.tobytes()], pa.binary()) for v in values)], names=names)
 
     sent = docs.select("doc", "hash", "text").mapInArrow(run, FIRSTS.rsplit(", ", 1)[0])
     return dealt(sent).mapInArrow(first, FIRSTS)
@@ -193,8 +193,8 @@ def unpacked(packed: DataFrame, column: str, kind: np.dtype) -> DataFrame:
     types = {"<i8": "long", "<u8": "long", "<i4": "int"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = column_bytes(batch.column(0))[0].view(kind)
+        for raw in (x for batch in batches for x in batch.column(0)):
+            got = records(np.frombuffer(raw.as_buffer(), np.uint8), kind)
             for i in range(0, len(got), 1 << 16):
                 own = got[i : i + (1 << 16)]
                 yield pa.record_batch([pa.array(own[c].astype(np.int32 if kind[c].itemsize == 4 else np.int64)) for c in kind.names], names=list(kind.names))
@@ -365,11 +365,11 @@ def candidates(nodes: DataFrame, crowd, buckets: int, part: int, parts: int) ->
     return dealt(sent).mapInArrow(match, "bucket int, pairs binary")
 
 
-PAIRS = "xd long, xh long, xl int, yd long, yh long, yl int, more boolean"
+PAIRS = "xd long, xh long, xl int, yd long, yh long, yl int, rank int, more boolean"
 
 
 def best(found: DataFrame) -> DataFrame:
-    """(x, y, more) of packed pairs, as rows: the ``FIRST`` most similar y of each x over all cells; ``more``: it has others."""
+    """(x, y, rank, more) of packed pairs, as rows: the ``FIRST`` most similar y of each x over all cells; ``more``: it has others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (p,) in packs(batches, [PAIR]):
@@ -384,7 +384,8 @@ def best(found: DataFrame) -> DataFrame:
             p, group = p[new], group[new]
             at, others = leading((group,), p["differ"], FIRST)
             own = p[at]
-            yield pa.record_batch([*(pa.array(own[c].copy()) for c in ("xd", "xh", "xl", "yd", "yh", "yl")), pa.array(others | more[group[at]])], names=[c.split(" ")[0] for c in PAIRS.split(", ")])
+            rank = at - np.searchsorted(group, group[at])
+            yield pa.record_batch([*(pa.array(own[c].copy()) for c in ("xd", "xh", "xl", "yd", "yh", "yl")), pa.array(rank.astype(np.int32)), pa.array(others | more[group[at]])], names=[c.split(" ")[0] for c in PAIRS.split(", ")])
 
     return dealt(found).mapInArrow(run, PAIRS)
 
@@ -436,7 +437,7 @@ GONE = "doc long, hash long, line int"
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The places x of pairs whose sets match."""
     side = lambda s: sets.select(*(F.col(c).alias(f"{s}{c[0]}") for c in PLACE.names), F.col("tokens").alias(f"t{s}"))
-    joined = pairs.drop("more").join(side("x"), ["xd", "xh", "xl"]).join(side("y"), ["yd", "yh", "yl"]).select("xd", "xh", "xl", "tx", "ty")
+    joined = pairs.drop("rank", "more").join(side("x"), ["xd", "xh", "xl"]).join(side("y"), ["yd", "yh", "yl"]).select("xd", "xh", "xl", "tx", "ty")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -536,17 +537,26 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         release(spark)
     found = spark.read.schema("bucket int, pairs binary").parquet(folder)
     pairs = kept(best(found))
-    side = lambda s: pairs.select(*(F.col(f"{s}{c[0]}").alias(c) for c in PLACE.names))
-    sets = kept(sets_of(docs, side("x").unionByName(side("y")), 2 * pairs.count()))
-    gone = kept(verified(pairs, sets))
-    forget(spark, found, sets)
-    release(spark)
+    forget(spark, found)
+    side = lambda p, s: p.select(*(F.col(f"{s}{c[0]}").alias(c) for c in PLACE.names))
+
+    def settle(some: DataFrame) -> DataFrame:
+        sets = kept(sets_of(docs, side(some, "x").unionByName(side(some, "y")), 2 * some.count()))
+        out = kept(verified(some, sets))
+        forget(spark, sets)
+        release(spark)
+        return out
+
     places_ = list(PLACE.names)
-    asking = kept(side("x").where(pairs["more"]).distinct().join(gone, places_, "left_anti"))
-    every = unpacked(nodes, "rest", PLACE).unionByName(gone)
+    gone = settle(pairs.where("rank = 0"))  # the most similar one settles most of the nodes
+    left = kept(pairs.where("rank > 0").join(gone.toDF("xd", "xh", "xl"), ["xd", "xh", "xl"], "left_anti").select(pairs.columns))
+    if left.limit(1).count():
+        gone = gone.unionByName(settle(left))
+    asking = kept(side(pairs.where("more"), "x").distinct().join(gone, places_, "left_anti"))
     if asking.limit(1).count():
-        every = every.unionByName(settled(docs, nodes, crowd, asking))
-    forget(spark, pairs, asking)
+        gone = gone.unionByName(settled(docs, nodes, crowd, asking))
+    every = unpacked(nodes, "rest", PLACE).unionByName(gone)
+    forget(spark, pairs, left, asking)
     return every.groupBy("doc", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 

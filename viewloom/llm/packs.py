@@ -1,7 +1,7 @@
 """Many narrow rows as few packed ones, for shuffles in which a text gives hundreds of rows.
 
 A task sorts its rows by bucket and sends one row a bucket, (bucket, binary, binary, ...), each binary column being a numpy array of all the bucket's
-values.  Spark deals the buckets out and sorts them; a receiving task reads one bucket at a time, so the number of buckets bounds what it holds.
+values; records are laid out field by field, as they compress better so.  Spark deals the buckets out and sorts them; a receiving task reads one bucket at a time, so the number of buckets bounds what it holds.
 """
 
 from __future__ import annotations
@@ -39,10 +39,30 @@ def pack(bucket: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray | None]],
             values, n = take_runs(values, lengths, order)
             cut = np.concatenate([[0], np.cumsum(n)])[edge]
         offsets = (cut * values.dtype.itemsize).astype(np.int32)
-        columns.append(pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(values).view(np.uint8) if len(values) else b"")]))
+        data = fields_first(values, cut) if values.dtype.names else np.ascontiguousarray(values).view(np.uint8) if len(values) else b""
+        columns.append(pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]))
     return pa.record_batch(columns, names=names)
 
 
+def fields_first(values: np.ndarray, cut: np.ndarray) -> bytes:
+    """The records of each of the pieces between ``cut``, one field of all of them after the other."""
+    fields = [np.ascontiguousarray(values[c]) for c in values.dtype.names]
+    return b"".join(f[a:b].tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) for f in fields)
+
+
+def records(raw: np.ndarray, kind) -> np.ndarray:
+    """The array of one packed piece."""
+    kind = np.dtype(kind)
+    if not kind.names:
+        return raw.view(kind).copy()
+    out, at = np.empty(len(raw) // kind.itemsize, kind), 0
+    for c in kind.names:
+        size = len(out) * kind[c].itemsize
+        out[c] = raw[at : at + size].view(kind[c])
+        at += size
+    return out
+
+
 def packs(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Each bucket of rows that come sorted by bucket, with its arrays of the given types; null is empty."""
     held: list[list[np.ndarray]] = []
@@ -58,7 +78,7 @@ def packs(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple[int,
                 yield current, [np.concatenate(x) for x in zip(*held, strict=True)]
                 held = []
             current = int(bucket[a])
-            held.append([raw[at[a] : at[b]].view(kind).copy() for (raw, at), kind in zip(raws, kinds, strict=True)])
+            held.extend([records(raw[at[i] : at[i + 1]], kind) for (raw, at), kind in zip(raws, kinds, strict=True)] for i in range(a, b))
     if held:
         yield current, [np.concatenate(x) for x in zip(*held, strict=True)]
 
