@@ -8,7 +8,9 @@ One R-tree over all points would compare every document with a fixed share of al
 dimensions.  So the search space is first cut by the prefix filter: two sets of the wanted similarity share one of their first (rare first) n - ceil(0.75 n) + 1 shingles,
 and only documents that share such a key meet, in that key's cell.  Linking goes in two rounds.  The first links each cell's members to its first members (stars), so that
 a large group of near copies becomes one component without its pairs being listed.  In the second, each cell that still holds several components
-is searched by an R-tree for pairs of different components; large cells are searched in pairs of blocks.
+is searched by an R-tree, large cells in pairs of blocks.  Pairs that the tree finds are checked in the task by the same bound over ``SPARSE`` groups, which is all but exact,
+one pair of components after another until they are linked, so a task gives out links between components and no lists of pairs.  The links are verified on the sets;
+if one should fail, its cells are searched once more with the sets themselves in the task.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing (their component is their own id); a text of fewer than five words is one shingle; repeated rows are equal
 sets and so linked; rows with a null id share their component's smallest id, null if it has none; an empty table gives no rows.
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm import sets as S
+from viewloom.llm.packs import take_runs
 from viewloom.llm.text import distinct, forget, kept, narrow, release, shared_folder, slices, trim, windows, word_values
 
 GROUPS = 256
@@ -33,6 +36,10 @@ PARTS = 3
 NUMERATOR, DENOMINATOR = 75, 100
 LEADERS = 3
 BLOCK = 2048
+#: Groups of the bound that is checked before a link is given out; kept as a list of groups, a number for each shingle.
+SPARSE, DENSE = 1 << 16, 1 << 12
+#: A key of more documents, by the sketch, has leaders of its own in each of several parts.
+CROWDED = 1 << 17
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +144,56 @@ def possible(x: Points, a: np.ndarray, y: Points, b: np.ndarray) -> np.ndarray:
     return fine
 
 
+def sparse(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The group, of ``SPARSE``, of each token, ascending in each row."""
+    owner = np.repeat(np.arange(len(starts) - 1, dtype=np.uint64), np.diff(starts))
+    return (np.sort(owner << np.uint64(16) | (tokens >> np.uint64(24) & np.uint64(SPARSE - 1))) & np.uint64(SPARSE - 1)).astype("<u2")
+
+
+def shared(x: np.ndarray, y: np.ndarray) -> int:
+    """The sum of coordinate minima of two lists of groups."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return 0
+    once = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1])
+    value, times = x[once], np.diff(np.append(once, len(x)))
+    return int(np.minimum(times, np.searchsorted(y, value, "right") - np.searchsorted(y, value, "left")).sum())
+
+
+def linked(root: np.ndarray, a: np.ndarray, b: np.ndarray, check) -> np.ndarray:
+    """Which of the pairs (a, b) of rows link different components: a spanning set of all pairs that ``check`` lets pass.
+
+    ``check(a, b)`` is asked for one pair of two components at first, then for twice as many each time, until the two are linked or have no pairs left.
+    """
+    comp = np.unique(root, return_inverse=True)[1]
+    parent = np.arange(comp.max() + 1 if len(comp) else 0)
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    pair, most, edges = np.arange(len(a)), 1, []
+    while len(pair):
+        now = np.array([find(x) for x in range(len(parent))])[comp]
+        low, high = np.minimum(now[a[pair]], now[b[pair]]), np.maximum(now[a[pair]], now[b[pair]])
+        still = low != high
+        pair, key = pair[still], low[still] * len(parent) + high[still]
+        order = np.argsort(key, kind="stable")
+        pair, key = pair[order], key[order]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        chosen = np.arange(len(key)) - np.repeat(begin, np.diff(np.append(begin, len(key)))) < most
+        fine = pair[chosen][check(a[pair[chosen]], b[pair[chosen]])] if len(pair) else pair
+        for i in fine.tolist():
+            x, y = find(comp[a[i]]), find(comp[b[i]])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                edges.append(i)
+        pair, most = pair[~chosen], 2 * most
+    return np.array(edges, np.int64)
+
+
 def keyed(docs: DataFrame, sketch) -> DataFrame:
     """(node, n, prefix, point, fine) of every row of (text), one row a node: its prefix of rare shingles and its group counts."""
 
@@ -158,29 +215,40 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
             at = np.repeat(starts[rows] - cuts[:-1], take[rows]) + np.arange(cuts[-1])
             x = points(tokens, starts)[rows]
             columns = [pa.array(node[rows]), pa.array(n[rows]), S.blobs(ordered[at], cuts), S.blobs(x.ravel(), np.arange(len(rows) + 1) * GROUPS)]
-            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "fine"])
+            own, cut = take_runs(sparse(tokens, starts), n, rows)
+            columns += [S.blobs(own, np.concatenate([[0], np.cumsum(cut)])), S.blobs(crowd_parts(sketch.value, ordered[at]), cuts)]
+            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "groups", "parts", "fine"])
+
+    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, groups binary, parts binary, fine binary")
+    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "groups", "parts", "fine")))
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, fine binary")
-    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "fine")))
+
+def crowd_parts(sketch: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Into how many parts, 250 at most, each key is cut for its leaders' sake."""
+    return np.minimum(sketch[S.slots(keys)] // CROWDED, 250).astype(np.uint8)
 
 
 LED = [f"{c}{i}" for i in range(1, LEADERS + 1) for c in "ln"]
-CELL = "key long, node long, n int, " + ", ".join(f"{c} {'long' if c[0] == 'l' else 'int'}" for c in LED)
+CELL = "key long, part int, node long, n int, " + ", ".join(f"{c} {'long' if c[0] == 'l' else 'int'}" for c in LED)
 
 
 def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
-    """(key, node, n, l1, n1, ...) of all keys that two nodes or more share, with the key's first ``LEADERS`` nodes and their sizes; of one of ``parts`` parts of the keys."""
+    """(key, part, node, n, l1, n1, ...) of all keys that two nodes or more share, with the first ``LEADERS`` nodes and their sizes of the key, or of the node's
+    part of it where the key may be crowded; of one of ``parts`` parts of the keys."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, starts = S.flat(batch.column(2), "<i8")
             row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            cut = S.flat(batch.column(3), np.uint8)[0]
             if parts > 1:
                 mine = np.flatnonzero(S.mix(keys.view(np.uint64)) % np.uint64(parts) == part)
-                keys, row = keys[mine], row[mine]
-            yield pa.record_batch([pa.array(keys), pa.array(batch.column(0).to_numpy()[row]), pa.array(batch.column(1).to_numpy()[row].astype(np.int32))], names=["key", "node", "n"])
+                keys, row, cut = keys[mine], row[mine], cut[mine]
+            node = batch.column(0).to_numpy()[row]
+            own = np.where(cut > 0, (S.mix(node.view(np.uint64)) % (cut.astype(np.uint64) + np.uint64(1))).astype(np.int64), -1)
+            yield pa.record_batch([pa.array(keys), pa.array(own.astype(np.int32)), pa.array(node), pa.array(batch.column(1).to_numpy()[row].astype(np.int32))], names=["key", "part", "node", "n"])
 
-    names = ["key", "node", "n", *LED]
+    names = ["key", "part", "node", "n", *LED]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by key; of a batch's last run the first rows are remembered, as it may go on in the next batch
@@ -190,27 +258,27 @@ def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = [c.to_numpy().astype(np.int64) for c in batch.columns]
-            goes_on = bool(before) and before[0][0] == rows[0][0]
+            goes_on = bool(before) and before[0][0] == rows[0][0] and before[0][1] == rows[1][0]
             if goes_on:  # put the remembered rows before the batch's own
                 rows = [np.concatenate([[b[i] for b in before], r]) for i, r in enumerate(rows)]
             given = len(before) if goes_on and shown else 0
-            key, node, n = rows
-            edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+            key, own, node, n = rows
+            edge = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (own[1:] != own[:-1])) + 1])
             size = np.diff(np.append(edge, len(key)))
             run = np.repeat(np.arange(len(edge)), size)
             led = [np.minimum(edge[run] + i, edge[run] + size[run] - 1) for i in range(LEADERS)]
-            give = size[run] > 1
+            give = (size[run] > 1) | (own >= 0)  # a part may have one node, its key has others
             give[:given] = False
             at = np.flatnonzero(give)
             last = edge[-1]
-            before = [np.array([key[i], node[i], n[i]]) for i in range(last, min(last + LEADERS, len(key)))]
-            shown = len(key) - last > 1
+            before = [np.array([key[i], own[i], node[i], n[i]]) for i in range(last, min(last + LEADERS, len(key)))]
+            shown = len(key) - last > 1 or own[last] >= 0
             if len(at):
-                columns = [key[at], node[at], n[at].astype(np.int32), *(v for i in led for v in (node[i[at]], n[i[at]].astype(np.int32)))]
+                columns = [key[at], own[at].astype(np.int32), node[at], n[at].astype(np.int32), *(v for i in led for v in (node[i[at]], n[i[at]].astype(np.int32)))]
                 yield pa.record_batch([pa.array(c) for c in columns], names=names)
 
-    spread_out = nodes.select("node", "n", "prefix").mapInArrow(spread, "key long, node long, n int")
-    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(runs, CELL)
+    spread_out = nodes.select("node", "n", "prefix", "parts").mapInArrow(spread, "key long, part int, node long, n int")
+    return spread_out.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(runs, CELL)
 
 
 def stars(cell: DataFrame) -> DataFrame:
@@ -231,7 +299,8 @@ def stars(cell: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, tokens), one row for each wanted node, from the texts."""
-    bits = docs.sparkSession.sparkContext.broadcast(S.bloom(wanted))
+    wanted = wanted.select("node")
+    bits = docs.sparkSession.sparkContext.broadcast(S.bloom(wanted, wanted.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -263,59 +332,110 @@ def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def searched(cell: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that R-trees find in the cells (key, node, root); large cells as pairs of blocks."""
+def searched(cell: DataFrame, nodes: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Links (a, b, key) between different components that R-trees find in the cells (key, node, root); large cells as pairs of blocks.
+
+    With ``sets`` (node, tokens) the links are exact; without, they hold by the bound over ``SPARSE`` groups.
+    """
     sizes = cell.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = cell.join(sizes, "key").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-    rows = rows.join(nodes.select("node", "n", "point", "fine"), "node")
+    rows = rows.join(nodes.select("node", "n", "point", "fine", "groups"), "node")
+    if sets is not None:
+        rows = rows.drop("groups").join(sets.select("node", F.col("tokens").alias("groups")), "node")
 
     names = ["key", "i", "j", "block", "node", "root"]
+    exact = sets is not None
 
     def work(table: pa.Table) -> pa.RecordBatch | None:
         key, i, j, block, node, root = (table.column(c).to_numpy() for c in names)
         points_ = Points(table.column("n").to_numpy(), table.column("point").combine_chunks(), table.column("fine").combine_chunks())
+        groups, at = S.flat(table.column("groups").combine_chunks(), "<u8" if exact else "<u2")
         begin = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1])
         size = np.diff(np.append(begin, len(key)))
-        found = [np.zeros((0, 2), np.int64)]
-        # cells of one leaf: all their pairs, cells of equal size together
+        found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def check_in(first: int, members: int):
+            """A check of pairs of the rows from ``first`` on: over ``DENSE`` groups in bulk, then over all groups, or the sets."""
+            dense = None
+            if members > CountTree.LEAF:
+                owner = np.repeat(np.arange(members), np.diff(at[first : first + members + 1]))
+                cell_groups = (groups[at[first] : at[first + members]].astype(np.uint64) % np.uint64(DENSE)).astype(np.int64)
+                dense = np.minimum(np.bincount(owner * DENSE + cell_groups, minlength=members * DENSE), 255).astype(np.uint8).reshape(members, DENSE)
+
+            def check(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                need, fine = needed(points_.n[a], points_.n[b]), np.ones(len(a), bool)
+                if dense is not None:
+                    for k in range(0, len(a), 1 << 11):
+                        cut = slice(k, k + (1 << 11))
+                        fine[cut] = bound(dense[a[cut] - first], dense[b[cut] - first]) >= need[cut]
+                for k in np.flatnonzero(fine).tolist():
+                    fine[k] = shared(groups[at[a[k]] : at[a[k] + 1]], groups[at[b[k]] : at[b[k] + 1]]) >= need[k]
+                return fine
+
+            return check
+
+        # cells of one leaf: all their pairs pass the bound together, cells of equal size at once
+        small = [np.zeros((0, 2), np.int64)]
         for s in np.unique(size[size <= CountTree.LEAF]).tolist():
             own = begin[size == s]
-            for p in range(s):
-                for q in range(p):
-                    found.append(np.column_stack([own + p, own + q]))
-        for b, s in zip(begin[size > CountTree.LEAF].tolist(), size[size > CountTree.LEAF].tolist(), strict=True):
-            own = np.arange(b, b + s)
-            a, c = CountTree(points_, own[block[own] == i[b]]).search(own[block[own] == j[b]])
-            found.append(np.column_stack([a, c])[(i[b] != j[b]) | (c < a)])
-        pairs = np.concatenate(found)
-        a, b = pairs[:, 0], pairs[:, 1]
+            small.extend(np.column_stack([own + p, own + q]) for p in range(s) for q in range(p))
+        a, b = np.concatenate(small).T
         fine = (root[a] != root[b]) & ((block[a] != block[b]) | (i[a] == j[a]))
         a, b = a[fine], b[fine]
-        pairs = np.unique(np.column_stack([np.maximum(node[a], node[b]), np.minimum(node[a], node[b])])[possible(points_, a, points_, b)], axis=0)
-        return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"]) if len(pairs) else None
+        fine = possible(points_, a, points_, b)
+        a, b = a[fine], b[fine]
+        if len(a):  # components are told apart by cell as well
+            number = np.repeat(np.arange(len(begin)), size)
+            _, within = np.unique(np.column_stack([number, root]), axis=0, return_inverse=True)
+            edge = linked(within.reshape(-1), a, b, check_in(0, 0))
+            found[0].append(a[edge])
+            found[1].append(b[edge])
+        for first, s in zip(begin[size > CountTree.LEAF].tolist(), size[size > CountTree.LEAF].tolist(), strict=True):
+            own = np.arange(first, first + s)
+            a, b = CountTree(points_, own[block[own] == i[first]]).search(own[block[own] == j[first]])
+            fine = (root[a] != root[b]) & ((i[first] != j[first]) | (b < a))
+            a, b = a[fine], b[fine]
+            if len(a):
+                edge = linked(root[own], a - first, b - first, lambda x, y, f=first, c=check_in(first, s): c(x + f, y + f))
+                found[0].append(a[edge])
+                found[1].append(b[edge])
+        a, b = (np.concatenate(x) for x in found)
+        return pa.record_batch([pa.array(np.maximum(node[a], node[b])), pa.array(np.minimum(node[a], node[b])), pa.array(key[a])], names=["a", "b", "key"]) if len(a) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = pa.Table.from_batches([batch])
-            rows = own if held is None else pa.concat_tables([held, own])
-            key, i, j = (rows.column(c).to_numpy() for c in names[:3])
-            last = (key == key[-1]) & (i == i[-1]) & (j == j[-1])
-            cut = int(last.argmax())  # rows are sorted: the last cell's first row
+            key, i, j = (batch.column(k).to_numpy() for k in range(3))
+            cut = int(((key == key[-1]) & (i == i[-1]) & (j == j[-1])).argmax())  # rows are sorted: the last cell's first row
+            ended = bool(held) and (cut > 0 or tuple(held[-1].column(k)[-1].as_py() for k in range(3)) != (key[0], i[0], j[0]))
             if cut:
-                if (out := work(rows.slice(0, cut))) is not None:
+                held.append(batch.slice(0, cut))
+                ended = True
+            if ended:
+                if (out := work(pa.Table.from_batches(held))) is not None:
                     yield out
+                held = []
                 trim()
-            held = rows.slice(cut)
-        if held is not None and (out := work(held)) is not None:
+            held.append(batch.slice(cut))
+        if held and (out := work(pa.Table.from_batches(held))) is not None:
             yield out
 
-    rows = rows.select(*names, "n", "point", "fine")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select(*names, "n", "point", "fine", "groups")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long, key long")
+
+
+def checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough."""
+    pairs = pairs.select("a", "b").distinct()
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    own = kept(sets_of(docs, wanted))
+    out = kept(S.verified(pairs, own, NUMERATOR, DENOMINATOR))
+    forget(docs.sparkSession, own)
+    return out
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
@@ -342,10 +462,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
         release(spark)
     cell = spark.read.schema(CELL).parquet(folder)
     candidates = kept(passing(stars(cell), nodes))
-    wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
-    own = kept(sets_of(docs, wanted))
-    links = kept(S.verified(candidates, own, NUMERATOR, DENOMINATOR))
-    forget(spark, own, candidates)
+    links = checked(docs, candidates)
+    forget(spark, candidates)
     release(spark)
     first = S.components(links)
 
@@ -359,14 +477,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
         .agg(F.min("key").alias("key"))
     )
     rest = kept(member.join(open_keys.select("key"), "key"))
+    forget(spark, cell)
     more = kept(searched(rest, nodes))
-    forget(spark, cell, rest)
     release(spark)
-    wanted = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node")))
-    own = kept(sets_of(docs, wanted))
-    added = kept(S.verified(more, own, NUMERATOR, DENOMINATOR))
-    forget(spark, own, more, nodes)
-    final = S.components(links.unionByName(added))
+    added, exact = checked(docs, more), None
+    refuted = kept(more.join(added, ["a", "b"], "left_anti").select("key").distinct())
+    if refuted.limit(1).count():
+        now = S.components(links.unionByName(added))
+        again = kept(rest.join(refuted, "key").drop("root").join(now, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+        own = kept(sets_of(docs, again))
+        exact = kept(searched(again, nodes, own).select("a", "b").distinct())
+        forget(spark, own, again)
+    forget(spark, rest, more, refuted, nodes)
+    final = S.components(links.unionByName(added) if exact is None else links.unionByName(added).unionByName(exact))
     labels = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = labels.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     smallest = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
