@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from viewloom.llm import jaccard, lines
 from viewloom.llm import sets as S
@@ -91,7 +92,7 @@ def test_awkward_rows(spark):
 def removed(rows):
     seen, gone = [], set()
     for i, k, s in sorted((i, k, frozenset(x.encode().lower().split())) for i, t in rows for k, x in enumerate((t or "").split("\n"))):
-        if len(s) >= 5:
+        if s:
             if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
                 gone.add((i, k))
             seen.append(s)
@@ -99,7 +100,8 @@ def removed(rows):
 
 
 def removed_by(df):
-    return {(r["doc_id"], k) for r in df.collect() for k in r["removed"]}
+    numbers = lambda x: [int(k) for k in x.split(",") if k] if isinstance(x, str) else x
+    return {(r["doc_id"], k) for r in df.collect() for k in numbers(r["removed"])}
 
 
 def test_line_query(spark, sf_dir):
@@ -145,6 +147,85 @@ def test_texts_of_one_id_that_share_a_line(spark):
     assert len({(t, tuple(x)) for t, x in sevens}) == 2 and sorted(x for _, x in {t: x for t, x in sevens}.items()) == [[], [0]]
 
 
+def test_lines_that_their_first_candidates_do_not_settle(spark, near, monkeypatch):
+    # without bits to tell sets apart, and one candidate a node, most nodes are searched to the end
+    rng = np.random.default_rng(7)
+    nothing = lambda tokens, starts: (np.zeros(len(starts) - 1, np.uint64),) * 2
+    monkeypatch.setattr(lines, "parity", nothing)
+    monkeypatch.setattr(lines, "CELL_FIRST", 1)
+    monkeypatch.setattr(lines, "FIRST", 1)
+    asked = []
+    whole = lines.settled
+    monkeypatch.setattr(lines, "settled", lambda docs, nodes, crowd, asking: asked.append(asking.count()) or whole(docs, nodes, crowd, asking))
+    rows = [(i, "\n".join([t, " ".join(rng.choice(list("abcdefghijklm"), 14))])) for i, t in near]
+    assert removed_by(lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(3))) == removed(rows)
+    assert asked and asked[0] > 10
+
+
+def test_lines_with_clashing_columns(spark):
+    got = lines.dedup(docs(spark, [(1, "a b c d e f\nb", None), (2, "x\nf e d c b a", None)]).withColumns({"n_lines": F.lit("clash"), "_doc0": F.lit("kept"), "_hash": F.lit("kept")}))
+    assert sorted((r["doc_id"], r["n_lines"], r["removed"], r["node"], r["_doc0"], r["_hash"]) for r in got.collect()) == [(1, 2, [], "clash", "kept", "kept"), (2, 2, [1], "clash", "kept", "kept")]
+
+
+def test_long_lines_and_texts(spark):
+    rng = np.random.default_rng(8)
+    long = [f"w{k}" for k in rng.integers(0, 10**6, 60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-6000] + ["other"] * 9)), (3, " ".join(long[:40_000])), (4, "\n".join(f"line {k} of many {k * 7}" for k in range(20_000))), (5, " ".join(long))]
+    df = docs(spark, [(i, t, None) for i, t in rows], clashing=False)
+    assert {k for k in removed_by(lines.dedup(df)) if k[0] != 4} == {(2, 0), (5, 0)}
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.join(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+
+
+def test_links_that_the_sets_refute(spark, near, monkeypatch):
+    # a bound that lets all pairs pass: the sets themselves have to find the links
+    bound = jaccard.shared
+    monkeypatch.setattr(jaccard, "shared", lambda x, y: bound(x, y) if x.dtype.itemsize == 8 else 1 << 40)
+    monkeypatch.setattr(jaccard, "LEADERS", 1)
+    again = []
+    checked = jaccard.searched
+    monkeypatch.setattr(jaccard, "searched", lambda cell, members, exact=False: again.append(exact) or checked(cell, members, exact))
+    assert rounds(jaccard.join(docs(spark, [(i, t, None) for i, t in near]).repartition(3))) == components(near)
+    assert True in again
+
+
+def test_crowded_keys(spark, near, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWDED", 8)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    assert rounds(jaccard.join(docs(spark, [(i, t, None) for i, t in near]).repartition(3))) == components(near)
+
+
+@pytest.mark.parametrize("name", ["op8_jaccard_join", "op10_line_dedup"])
+def test_matches_sql(spark, sf_dir, name):
+    import duckdb
+
+    from viewloom.llm.queries import ORACLE_SQL, QUERIES
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = c.execute(ORACLE_SQL[name]).fetchdf()
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got[sorted(got.columns)].values.tolist())) == sorted(map(tuple, want[sorted(got.columns)].values.tolist()))
+
+
+def test_packed_rows():
+    import pyarrow as pa
+
+    from viewloom.llm.packs import pack, packs
+
+    rng = np.random.default_rng(2)
+    kind = np.dtype([("a", "<u8"), ("b", "<i4")])
+    bucket, table, n = rng.integers(0, 5, 40), np.zeros(40, kind), rng.integers(0, 4, 40)
+    table["a"], table["b"] = rng.integers(0, 99, 40), np.arange(40)
+    values = rng.integers(0, 99, n.sum()).astype("<u4")
+    cuts = np.concatenate([[0], np.cumsum(n)])
+    rows = pack(bucket, [(table, None), (values, n)], ["bucket", "t", "v"])
+    for k, (t, v) in packs(iter([rows.slice(0, 2), rows.slice(2)]), [kind, "<u4"]):
+        own = np.flatnonzero(bucket == k)
+        assert t.tolist() == table[own].tolist() and v.tolist() == np.concatenate([values[cuts[i] : cuts[i + 1]] for i in own]).tolist()
+    assert not list(packs(iter([pa.record_batch([pa.array([], pa.int32())], names=["bucket"])]), []))
+
+
 def test_kept_text(spark):
     df = lines.dedup(docs(spark, [(1, "a b c d e f\nkeep\n", None), (2, "keep too\nf e d c b a", None)], clashing=False))
     assert sorted(r["t"] for r in df.select(lines.kept_text().alias("t")).collect()) == ["a b c d e f\nkeep\n", "keep too"]

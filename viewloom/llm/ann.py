@@ -4,9 +4,10 @@ Largest inner products become smallest distances by one more dimension that lift
 Vectors are rotated by a random orthogonal matrix and dealt to lists around k-means centroids, which are fitted on a bounded sample; every
 vector is indexed.  A query scans the lists whose centroids are nearest, one block of columns at a time: after each block, a candidate's partial
 distance, scaled to all dimensions, is tested against the distance of the worst neighbour so far, and the candidate is abandoned when the hypothesis that it
-belongs among the neighbours is rejected.  Survivors get their score from the original vectors in double precision.
+belongs among the neighbours is rejected.  Lists are scanned one after the other, nearest first, and the worst neighbour so far is carried from list to list; it starts from a bound that
+at most ``BOUND`` of the sampled vectors give.  Survivors get their score from the original vectors in double precision.
 
-A list is cut into blocks of bounded size by a hash of the id, so a crowded list is many tasks' work; each block gives its own nearest, which are merged by query.
+A list is cut into blocks of bounded size by a hash of the id, so a crowded list is many tasks' work, and the queries of a cell into blocks of about ``QUERIES``; each pair of blocks gives its own nearest, which are merged by query.
 
 Defined results: vectors that are null, zero, of another length than most of the sample's, or with null or non-finite components take no part; ties go to the smaller id; repeated ids are
 candidates each on their own (a query leaves out its own id); an empty table gives no rows.
@@ -25,6 +26,10 @@ from pyspark.sql import functions as F
 from viewloom.llm.text import kept
 
 
+#: Sampled vectors that give queries their first bound, and queries that meet a cell's vectors in one task.
+BOUND, QUERIES = 1000, 2048
+
+
 @dataclass
 class Index:
     rotation: np.ndarray  # dimensions + 1, squared
@@ -40,14 +45,15 @@ class Index:
         At least k of the vectors that the query scans are no worse, so whatever is worse can't be among its k nearest.
         """
         out = np.full(len(q), -np.inf)
-        if len(self.sample) <= k:
+        sample, ids, lists = self.sample[:BOUND], self.ids[:BOUND], self.lists[:BOUND]
+        if len(sample) <= k:
             return out
         for i in range(0, len(q), 256):
             probed = np.zeros((len(q[i : i + 256]), len(self.centroids)), bool)
             np.put_along_axis(probed, near[i : i + 256], True, 1)
-            inner = q[i : i + 256] @ self.sample.T
-            inner[~probed[:, self.lists] | (own[i : i + 256, None] == self.ids)] = -np.inf
-            out[i : i + 256] = np.partition(inner, len(self.sample) - k, axis=1)[:, len(self.sample) - k]
+            inner = q[i : i + 256] @ sample.T
+            inner[~probed[:, lists] | (own[i : i + 256, None] == ids)] = -np.inf
+            out[i : i + 256] = np.partition(inner, len(sample) - k, axis=1)[:, len(sample) - k]
         return out
 
     def lifted(self, x: np.ndarray, query: bool = False) -> np.ndarray:
@@ -111,17 +117,18 @@ def build(vectors: DataFrame, lists: int, k: int, reach: float, most: int = 20_0
 
 
 def scanned(x: np.ndarray, q: np.ndarray, k: int, most: float = np.inf, cut: int = 16, strict: float = 2.1) -> np.ndarray:
-    """Adaptive dimension scan of rotated candidates for one rotated query: the candidates that were never abandoned.
+    """Adaptive dimension scan of one list's rotated candidates for one rotated query: the candidates that were never abandoned.
 
     The hypothesis that a candidate is within the k-th distance so far is rejected when its partial distance over d of D
     dimensions exceeds d / D * (1 + strict / sqrt(d))**2 times that distance.  ``most``: a distance that the k-th is known not to exceed.
     """
     alive, width = np.arange(len(x)), x.shape[1]
-    if len(alive) <= 2 * k:
+    if not len(alive):
         return alive
-    part = ((x[:, :cut] - q[:cut]) ** 2).sum(1)
-    some = np.argpartition(part, 2 * k - 1)[: 2 * k]  # those nearest so far, in full, give the first k-th distance
-    worst = min(most, np.partition(((x[some] - q) ** 2).sum(1), k - 1)[k - 1])
+    part, worst = ((x[:, :cut] - q[:cut]) ** 2).sum(1), most
+    if len(alive) > 2 * k and not np.isfinite(most):
+        some = np.argpartition(part, 2 * k - 1)[: 2 * k]  # those nearest so far, in full, give the first k-th distance
+        worst = np.partition(((x[some] - q) ** 2).sum(1), k - 1)[k - 1]
     for d in range(cut, width + cut, cut):
         d = min(d, width)
         limit = worst if d == width else worst * d / width * (1 + strict / np.sqrt(d)) ** 2
@@ -212,18 +219,28 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
             z, q = held.value.lifted(x), np.array(right["q"].tolist())
             least, asking, u = right["least"].to_numpy(), right["query"].to_numpy(), held.value.lifted(np.array(right["q"].tolist()), True)
             for i, lists in enumerate(right["lists"]):
-                spans = [np.arange(*np.searchsorted(of, [name, name + 1])) for name in lists]
-                inside = np.concatenate(spans)
-                inside = inside[ids[inside] != asking[i]]
-                most = held.value.longest + q[i] @ q[i] - 2 * least[i]
-                j = inside[scanned(z[inside], u[i], k, most)]
-                score = x[j] @ q[i]
-                j, score = j[score >= least[i]], score[score >= least[i]]
-                best = np.lexsort((ids[j], -score))[:k]
-                found.append((np.full(len(best), asking[i]), ids[j[best]], score[best]))
+                far = held.value.longest + q[i] @ q[i]  # a squared distance is this less twice the inner product
+                j, score, worst = np.zeros(0, np.int64), np.zeros(0), least[i]
+                for name in lists:  # nearest first
+                    a, b = np.searchsorted(of, [name, name + 1])
+                    inside = np.arange(a, b)[ids[a:b] != asking[i]]
+                    new = inside[scanned(z[inside], u[i], k, far - 2 * worst)]
+                    own = x[new] @ q[i]
+                    new, own = new[own >= worst], own[own >= worst]
+                    if len(new):
+                        j, score = np.concatenate([j, new]), np.concatenate([score, own])
+                        best = np.lexsort((ids[j], -score))[:k]
+                        j, score = j[best], score[best]
+                        if len(j) == k:
+                            worst = max(worst, score[-1])  # the k-th so far: what is worse can't be among the nearest
+                found.append((np.full(len(j), asking[i]), ids[j], score))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [[], [], []]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True))).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = placed.groupBy("cell").cogroup(asked.groupBy("to_cell")).applyInPandas(scan, "query_id long, vec_id long, score double")
+    asked = kept(asked)
+    blocks = asked.groupBy("to_cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+    asked = asked.join(blocks, "to_cell").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int")).drop("blocks")
+    placed = placed.join(blocks.withColumnRenamed("to_cell", "cell"), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    found = placed.groupBy("cell", "block").cogroup(asked.groupBy("to_cell", "block")).applyInPandas(scan, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

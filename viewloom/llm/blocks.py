@@ -331,8 +331,10 @@ def fit(pages: list[list[Block]], hidden: int = 16, copies: int = 3, rounds: int
 def train(pages: DataFrame, most: int = 400, most_chars: int = 200_000, seed: int = 0) -> Labeller | None:
     """Fit on a sample of at most ``most`` pages of ``most_chars`` characters at most, first in a seeded hash order."""
     rows = pages.select(F.col("page_id").alias("doc_id"), "html").where(F.length("html") <= most_chars)
-    found = sorted((r["doc_id"], r["html"]) for r in sample(rows.where("html is not null"), most, seed).collect())
-    own = [b for b in (blocks(page) for _, page in found[: 2 * most]) if b]
+    # an id that stands in many rows gives its smallest page alone
+    some = sample(rows.where("html is not null"), most, seed).groupBy("doc_id").agg(F.min("html").alias("html"))
+    found = sorted((r["doc_id"], r["html"]) for r in some.collect())
+    own = [b for b in (blocks(page) for _, page in found) if b]
     return fit(own, seed=seed) if own else None
 
 

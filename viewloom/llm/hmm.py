@@ -7,8 +7,8 @@ count, one unseen word included, so
     P(text) = P_hmm(classes of the text) * product of P(word | its class)
 
 is one distribution over all texts.  Training counts every word of every training text.  Baum-Welch's expected counts
-are gathered in numpy in each task, from windows of ``WINDOW`` tokens that begin from the model's starting distribution, summed
-over partitions by Spark, and re-estimated on the driver; the parameters (states x classes) do not grow with the corpus.  States
+are gathered in numpy in each task, from windows of ``WINDOW`` tokens, summed over partitions by Spark.  Windows of one text share a token, so every move is counted once; a text's first
+window begins from the model's starting distribution, which is learned from first tokens alone, later ones from its stationary distribution.  The counts are re-estimated on the driver; the parameters (states x classes) do not grow with the corpus.  States
 begin from a clustering of the classes by their neighbours, again counted over all partitions.  Scoring runs the scaled forward
 recursion over the whole text, so its likelihood is exact, whatever the text's length.
 
@@ -198,27 +198,42 @@ def sequences(batches: Iterator[pa.RecordBatch], at: int, most: int = 1 << 20) -
             yield np.concatenate(held), np.concatenate([[0], np.cumsum([len(h) for h in held])])
 
 
-def in_windows(flat: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-    """Matrices of windows of equal length that together hold every token once."""
-    lengths = np.diff(starts)
-    full = lengths // WINDOW
-    first = np.repeat(starts[:-1] - np.concatenate([[0], np.cumsum(full)[:-1]]) * WINDOW, full) + np.arange(full.sum()) * WINDOW
-    for i in range(0, len(first), 4096):
-        yield flat[first[i : i + 4096, None] + np.arange(WINDOW)]
-    rest, begin = lengths % WINDOW, starts[:-1] + full * WINDOW
+def in_windows(flat: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Matrices of windows of equal length, and whether each begins its row; a row's windows share one token, so they hold every move once."""
+    lengths, step = np.diff(starts), WINDOW - 1
+    full = np.maximum(lengths - 1, 0) // step
+    place = np.arange(full.sum()) - np.repeat(np.cumsum(full) - full, full)
+    begin = np.repeat(starts[:-1], full) + place * step
+    for i in range(0, len(begin), 4096):
+        yield flat[begin[i : i + 4096, None] + np.arange(WINDOW)], place[i : i + 4096] == 0
+    rest, begin = lengths - full * step, starts[:-1] + full * step
+    rest = np.where((rest == 1) & (full > 0), 0, rest)
     for n in np.unique(rest[rest > 0]):
-        yield flat[begin[rest == n][:, None] + np.arange(n)]
+        yield flat[begin[rest == n][:, None] + np.arange(n)], full[rest == n] == 0
+
+
+def stationary(move: np.ndarray) -> np.ndarray:
+    """The distribution that the moves leave as it is."""
+    p = np.full(len(move), 1 / len(move))
+    for _ in range(200):
+        p = p @ move
+    return (p / p.sum()).astype(move.dtype)
 
 
-def expected(model: Hmm, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch expected counts of start states, moves and posteriors (tokens x K, in the order of ``ids.T``), and the log likelihood."""
+def expected(model: Hmm, ids: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch expected counts of start states, moves and posteriors (tokens x K, in the order of ``ids.T``), and the log likelihood.
+
+    ``first``: whether each window begins its text (None: all do); the first token of one that doesn't is the last of the window before and counts there.
+    """
     n, length = ids.shape
+    later = np.zeros(n, bool) if first is None else ~first
+    begin = np.where(later[:, None], stationary(model.move), model.start) if later.any() else model.start
     k = len(model.start)
     b = model.emit[ids.T]  # length x n x K
     alpha = np.empty((length, n, k), b.dtype)
     scale = np.empty((length, n), b.dtype)
     for t in range(length):
-        a = b[t] * (model.start if t == 0 else alpha[t - 1] @ model.move)
+        a = b[t] * (begin if t == 0 else alpha[t - 1] @ model.move)
         scale[t] = a.sum(1)
         alpha[t] = a / scale[t][:, None]
     beta = np.ones((n, k), b.dtype)
@@ -232,6 +247,7 @@ def expected(model: Hmm, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     # posterior: alpha * beta; beta of t is (weighted of t + 1) @ move.T
     for t in range(length - 1):
         alpha[t] *= b[t + 1] @ back
+    alpha[0][later], scale[0][later] = 0, 1
     return alpha[0].sum(0), moves * model.move, alpha.reshape(-1, k), float(np.log10(scale).sum(dtype=np.float64))
 
 
@@ -244,12 +260,12 @@ def expectation(rows: DataFrame, held, size: int, k: int) -> DataFrame:
         model: Hmm = held.value
         emit, start, move, likelihood, seen = np.zeros((size, k)), np.zeros(k), np.zeros((k, k)), 0.0, 0
         for flat, starts in sequences(batches, 0):
-            for ids in in_windows(flat, starts):
-                s, m, posterior, like = expected(model, ids)
+            for ids, first in in_windows(flat, starts):
+                s, m, posterior, like = expected(model, ids, first)
                 order = ids.T.ravel()
                 for j in range(k):
                     emit[:, j] += np.bincount(order, posterior[:, j], size)
-                start, move, likelihood, seen = start + s, move + m, likelihood + like, seen + ids.size
+                start, move, likelihood, seen = start + s, move + m, likelihood + like, seen + ids.size - int((~first).sum())
         if not seen:
             return
         parts = [emit[i : i + step] for i in range(0, size, step)] + [np.concatenate([start, move.ravel(), [likelihood, seen]])]

@@ -215,12 +215,11 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
             at = np.repeat(starts[rows] - cuts[:-1], take[rows]) + np.arange(cuts[-1])
             x = points(tokens, starts)[rows]
             columns = [pa.array(node[rows]), pa.array(n[rows]), S.blobs(ordered[at], cuts), S.blobs(x.ravel(), np.arange(len(rows) + 1) * GROUPS)]
-            own, cut = take_runs(sparse(tokens, starts), n, rows)
-            columns += [S.blobs(own, np.concatenate([[0], np.cumsum(cut)])), S.blobs(crowd_parts(sketch.value, ordered[at]), cuts)]
-            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "groups", "parts", "fine"])
+            columns.append(S.blobs(crowd_parts(sketch.value, ordered[at]), cuts))
+            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "parts", "fine"])
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, groups binary, parts binary, fine binary")
-    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "groups", "parts", "fine")))
+    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, parts binary, fine binary")
+    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "parts", "fine")))
 
 
 def crowd_parts(sketch: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -297,8 +296,8 @@ def stars(cell: DataFrame) -> DataFrame:
     return cell.select("node", "n", *LED).mapInArrow(run, "a long, b long").distinct()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, tokens), one row for each wanted node, from the texts."""
+def sets_of(docs: DataFrame, wanted: DataFrame, groups: bool = False) -> DataFrame:
+    """(node, tokens), one row for each wanted node, from the texts; ``groups``: (node, groups), the group of each token instead."""
     wanted = wanted.select("node")
     bits = docs.sparkSession.sparkContext.broadcast(S.bloom(wanted, wanted.count()))
 
@@ -310,9 +309,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = [i for i in np.flatnonzero(S.in_bloom(bits.value, node) & (np.diff(starts) > 0)).tolist() if not (node[i] in seen or seen.add(node[i]))]
             cut = np.concatenate([[0], np.cumsum(np.diff(starts)[rows])])
             own = np.concatenate([tokens[starts[i] : starts[i + 1]] for i in rows]) if rows else np.zeros(0, np.uint64)
-            yield pa.record_batch([pa.array(node[rows]), S.blobs(own, cut)], names=["node", "tokens"])
+            yield pa.record_batch([pa.array(node[rows]), S.blobs(sparse(own, cut) if groups else own, cut)], names=["node", name])
 
-    found = docs.select("text").mapInArrow(run, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    name = "groups" if groups else "tokens"
+    found = docs.select("text").mapInArrow(run, f"node long, {name} binary").groupBy("node").agg(F.first(name).alias(name))
     return found.join(wanted.select("node").distinct(), "node", "left_semi")
 
 
@@ -332,25 +332,43 @@ def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def searched(cell: DataFrame, nodes: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+def opened(cell: DataFrame, first: DataFrame) -> DataFrame:
+    """(key, node, root) of the cells that still hold several components.
+
+    Cells with the same smallest and the same largest node, as the shingles of a shared passage give by the dozen, become one cell; where that would be more than twice as large as the
+    largest of them, they stay as they are.
+    """
+    member = cell.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = (
+        member.groupBy("key")
+        .agg(F.count("*").alias("c"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("root").alias("r"), F.max("root").alias("s"))
+        .where("r <> s")
+        .select("key", "lo", "hi", "c")
+    )
+    rows = kept(member.join(several, "key"))
+    merged = rows.groupBy("lo", "hi", "node").agg(F.min("root").alias("root"), F.max("c").alias("c"))
+    wide = kept(merged.groupBy("lo", "hi").agg(F.count("*").alias("u"), F.max("c").alias("c")).where("u > 2 * c + 8").select("lo", "hi"))
+    one = merged.join(wide, ["lo", "hi"], "left_anti").select(F.xxhash64("lo", "hi").alias("key"), "node", "root").groupBy("key", "node").agg(F.min("root").alias("root"))
+    out = kept(one.unionByName(rows.join(wide, ["lo", "hi"], "left_semi").select("key", "node", "root")))
+    forget(cell.sparkSession, rows, wide)
+    return out
+
+
+def searched(cell: DataFrame, members: DataFrame, exact: bool = False) -> DataFrame:
     """Links (a, b, key) between different components that R-trees find in the cells (key, node, root); large cells as pairs of blocks.
 
-    With ``sets`` (node, tokens) the links are exact; without, they hold by the bound over ``SPARSE`` groups.
+    ``members``: (node, n, point, groups).  The links hold by the bound over ``SPARSE`` groups; they are exact if the groups are the tokens themselves (``exact``).
     """
     sizes = cell.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = cell.join(sizes, "key").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-    rows = rows.join(nodes.select("node", "n", "point", "fine", "groups"), "node")
-    if sets is not None:
-        rows = rows.drop("groups").join(sets.select("node", F.col("tokens").alias("groups")), "node")
-
+    rows = rows.join(members.select("node", "n", "point", "groups"), "node")
     names = ["key", "i", "j", "block", "node", "root"]
-    exact = sets is not None
 
     def work(table: pa.Table) -> pa.RecordBatch | None:
         key, i, j, block, node, root = (table.column(c).to_numpy() for c in names)
-        points_ = Points(table.column("n").to_numpy(), table.column("point").combine_chunks(), table.column("fine").combine_chunks())
+        points_ = Points(table.column("n").to_numpy(), table.column("point").combine_chunks(), pa.nulls(len(table), pa.binary()))
         groups, at = S.flat(table.column("groups").combine_chunks(), "<u8" if exact else "<u2")
         begin = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1])
         size = np.diff(np.append(begin, len(key)))
@@ -424,7 +442,7 @@ def searched(cell: DataFrame, nodes: DataFrame, sets: DataFrame | None = None) -
         if held and (out := work(pa.Table.from_batches(held))) is not None:
             yield out
 
-    rows = rows.select(*names, "n", "point", "fine", "groups")
+    rows = rows.select(*names, "n", "point", "groups")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long, key long")
 
 
@@ -467,26 +485,22 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     release(spark)
     first = S.components(links)
 
-    # second round: cells of several components, one cell for each set of members
-    member = cell.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = (
-        member.groupBy("key")
-        .agg(F.count("*").alias("c"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), F.min("root").alias("r"), F.max("root").alias("s"))
-        .where("r <> s")
-        .groupBy("c", "x", "y")
-        .agg(F.min("key").alias("key"))
-    )
-    rest = kept(member.join(open_keys.select("key"), "key"))
+    # second round: cells of several components
+    rest = opened(cell, first)
     forget(spark, cell)
-    more = kept(searched(rest, nodes))
+    release(spark)
+    points_ = nodes.select("node", "n", "point")
+    own = kept(points_.join(sets_of(docs, rest.select("node").distinct(), True), "node"))
+    more = kept(searched(rest, own))
+    forget(spark, own)
     release(spark)
     added, exact = checked(docs, more), None
     refuted = kept(more.join(added, ["a", "b"], "left_anti").select("key").distinct())
     if refuted.limit(1).count():
         now = S.components(links.unionByName(added))
         again = kept(rest.join(refuted, "key").drop("root").join(now, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-        own = kept(sets_of(docs, again))
-        exact = kept(searched(again, nodes, own).select("a", "b").distinct())
+        own = kept(points_.join(sets_of(docs, again.select("node").distinct()).withColumnRenamed("tokens", "groups"), "node"))
+        exact = kept(searched(again, own, True).select("a", "b").distinct())
         forget(spark, own, again)
     forget(spark, rest, more, refuted, nodes)
     final = S.components(links.unionByName(added) if exact is None else links.unionByName(added).unionByName(exact))

@@ -111,12 +111,14 @@ def counted(docs: DataFrame) -> np.ndarray:
 
 
 def first_of(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of nodes at places: the rows of the nodes' first places, and all others."""
+    """Of nodes at places: the rows of the nodes' first places, and those of their other places (a repeated row has the same places again)."""
     order = np.lexsort((table["hash"], table["line"], table["doc"], table["b"], table["a"]))
     own = table[order]
     new = np.ones(len(own), bool)
     new[1:] = (own["a"][1:] != own["a"][:-1]) | (own["b"][1:] != own["b"][:-1])
-    return np.sort(order[new]), order[~new]
+    first = own[new][np.cumsum(new) - 1] if len(own) else own
+    other = (own["doc"] != first["doc"]) | (own["line"] != first["line"]) | (own["hash"] != first["hash"])
+    return np.sort(order[new]), order[other]
 
 
 def places(table: np.ndarray) -> np.ndarray:
@@ -565,10 +567,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     docs = docs.drop(*({"n_lines", "removed"} - {doc_id, text}))
     own = [next(f"_{c}{i}" for i in range(len(docs.columns) + 1) if f"_{c}{i}" not in docs.columns) for c in ("doc", "hash")]
     gone = kept(removed_lines(docs, doc_id, text)).toDF(*own, "removed")
-    marked = docs.withColumns({own[0]: F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), own[1]: F.xxhash64(text)})
+    # lines are counted before the join, so that a query that doesn't ask for the text doesn't shuffle it
     n_lines = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1, F.lit(0)).cast("long")
+    marked = docs.withColumns({own[0]: F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), own[1]: F.xxhash64(text), "n_lines": n_lines})
     none = F.array().cast("array<int>")
-    return marked.join(gone, own, "left").withColumns({"n_lines": n_lines, "removed": F.coalesce("removed", none)}).drop(*own)
+    return marked.join(gone, own, "left").withColumn("removed", F.coalesce("removed", none)).drop(*own)
 
 
 def kept_text(text: str = "text", removed: str = "removed") -> Column:

@@ -84,8 +84,39 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 
 QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing, op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+#: The two set joins for DuckDB; ids are taken to be unique, as in ``documents``.  The other operators train models, pack with a tokenizer or choose by seeds.
+ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM documents),
+  at AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
+  s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM at),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+  l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+  e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+  r AS (SELECT DISTINCT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other),
+  c AS (SELECT doc_id, min(other) AS component FROM r GROUP BY doc_id)
+  SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
+    "op10_line_dedup": f"""WITH d AS (SELECT doc_id, text IS NULL AS absent, string_split({_LOWER}, chr(10)) AS ls FROM documents),
+  l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM d),
+  s AS (SELECT doc_id, k, list_sort(list_distinct(regexp_extract_all(line, {_WORD}))) AS ws FROM l),
+  f AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY doc_id, k) AS place FROM s WHERE len(ws) > 0),
+  node AS (SELECT doc_id, k, ws, len(ws) AS n, row_number() OVER (ORDER BY doc_id, k) AS id FROM f WHERE place = 1),
+  word AS (SELECT id, n, unnest(ws) AS t FROM node WHERE n >= 4),
+  df AS (SELECT t, count(*) AS c FROM word GROUP BY t),
+  ranked AS (SELECT id, n, t, row_number() OVER (PARTITION BY id ORDER BY c, t) AS pos FROM word JOIN df USING (t) WHERE c > 0),
+  key AS (SELECT id, n, t FROM ranked WHERE pos <= n - CAST(ceil(0.8 * n) AS BIGINT) + 1),
+  pair AS (SELECT DISTINCT x.id AS x, y.id AS y FROM key x JOIN key y ON x.t = y.t AND y.id < x.id AND 4 * greatest(x.n, y.n) <= 5 * least(x.n, y.n)),
+  both_ AS (SELECT x, a.n AS n, b.n AS m, len(list_intersect(a.ws, b.ws)) AS c FROM pair JOIN node a ON a.id = x JOIN node b ON b.id = y),
+  gone AS (SELECT DISTINCT x FROM both_ WHERE 5 * c >= 4 * (n + m - c)),
+  removed AS (SELECT doc_id, k FROM f WHERE place > 1 UNION ALL SELECT doc_id, k FROM node JOIN gone ON x = id),
+  r AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS removed FROM removed GROUP BY doc_id)
+  SELECT doc_id, CASE WHEN absent THEN 0 ELSE len(ls) END AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN r USING (doc_id)""",
+}

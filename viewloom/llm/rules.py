@@ -184,7 +184,9 @@ def learn(x: np.ndarray, label: np.ndarray, names: list[str], most_rules: int =
 def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, seed: int = 0) -> list[Rule]:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, label): a seeded sample of at most ``most`` labelled ids."""
     ids = sample(labels.where("label in (0, 1)"), most, seed).dropDuplicates(["doc_id"])
-    rows = statistics(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), ["doc_id", "label"]).collect()
+    # an id that stands in many rows gives its smallest text alone, so the sample is bounded in rows too
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    rows = statistics(texts, ["doc_id", "label"]).collect()
     rows = [r for r in rows if not (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])]
     if not rows:
         return []

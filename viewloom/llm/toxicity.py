@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 6000, most_un
         rows = rows.distinct().select("doc_id", F.lit(kind).alias("kind"))
         ids = rows if ids is None else ids.unionByName(rows)
     ids = ids.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
-    chosen = kept(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))
+    # an id that stands in many rows gives its smallest text alone, so the sample is bounded in rows too
+    chosen = kept(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("kinds").alias("kinds")))
     number = {k: chosen.where(F.array_contains("kinds", k)).count() for k in (1, -1)}
     use = telling(chosen, max(1, number[1]), max(1, number[-1]))
     found = with_features(chosen, ["doc_id", "kinds"], use).collect()
@@ -196,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 6000, most_un
         raw = lambda rs: np.array([model.weights[r].sum() + model.offset for r in rs])
         x = np.concatenate([raw(rows[1][:cut]), raw(rows[0])])
         y = np.concatenate([np.ones(cut), np.zeros(len(rows[0]))])
-        (slope,), shift = logistic(x[:, None], y, 1e-4)
+        slope, shift = logistic(x, y, 1e-4)
         # from the sample's share of label 1 to its share among all labelled rows
         shift += float(np.log(prior / (1 - prior)) - np.log(cut / len(rows[0])))
         if slope > 0:
