@@ -1,10 +1,15 @@
 """Corpus preparation as five stages over ``documents``, each written as Parquet and read again by the next.
 
 1. quality: documents go whose chance to be good is below a half by the compression classifier.
-2. line dedup: lines that match an earlier line go; a document that loses all of its words goes with them.
+2. line dedup: lines that match an earlier line go; a document that loses all of its words goes with them, and so does one that loses three quarters of its characters or more, as what
+   is left of a near copy is a few changed lines, in which the next stage could not see the copy any more.
 3. near duplicates: of each group of linked documents the one with the smallest id stays, of equal ids the smallest text.
 4. mixing: documents are taken as often as the target weights of their sources ask, as whole repeated rows; those not taken go.
 5. packing: what is left becomes windows of token ids.
+
+Defined results: rows with null or empty text pass the first three stages as they are (quality gives them the score of no difference) and end in mixing, whose sizes are words; rows with a null id are
+documents of their own, grouped by their texts alone; repeated rows (same id and text) are copies of each other, one of which stays; null languages, sources and counts are kept; further columns
+are dropped, whatever their names; an empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from viewloom.llm.queries import remainder, tokenizer_path
 from viewloom.llm.text import kept, shared_folder, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document of which so many parts of a hundred are left, or fewer, once its repeated lines are gone, is a near copy.
+LEAST_LEFT = 25
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +38,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that match an earlier one; those that lose their last word go."""
-    found = lines.dedup(docs.select(COLUMNS))
-    left = found.withColumn("text", lines.kept_text()).where((F.size("removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    """Documents without the lines that match an earlier one; those that lose their last word, or all but a quarter, go."""
+    found = lines.dedup(docs.select(COLUMNS)).withColumn("_whole", F.length("text")).withColumn("text", lines.kept_text())
+    enough = F.col("text").rlike("[^\\x20\\x09-\\x0D]") & (100 * F.length("text") > LEAST_LEFT * F.col("_whole"))
+    left = found.where((F.size("removed") == 0) | enough)
     n_chars = F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return left.withColumn("n_chars", n_chars).select(COLUMNS)
 
