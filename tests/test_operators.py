@@ -1,7 +1,9 @@
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from viewloom import fixtures, queries
+from viewloom import fixtures, plans, queries
+from viewloom.functions import frames
 from viewloom.operators import annotations, catalog, planning, stereo, sync
 
 
@@ -20,11 +22,11 @@ def test_consistency_counts_a_repeated_view_once(spark):
 
 def test_assign_segments_matches_plain_range_join(spark):
     rng = np.random.default_rng(1)
-    frames = spark.createDataFrame([("p", i, float(t)) for i, t in enumerate(rng.integers(0, 400, 200) / 4)], "k string, i long, media_t double")
+    rows = spark.createDataFrame([("p", i, float(t)) for i, t in enumerate(rng.integers(0, 400, 200) / 4)], "k string, i long, media_t double")
     clips = [("p", j, float(s), float(s + d)) for j, (s, d) in enumerate(zip(rng.integers(0, 400, 40) / 4, rng.integers(0, 200, 40) / 4, strict=True))] + [("p", 99, 5.0, 5.0)]
     clips = spark.createDataFrame(clips, "k string, j long, start_s double, end_s double")
-    got = annotations.assign_segments(frames, clips, ["k"]).select("i", "j").collect()
-    plain = frames.join(clips, "k").where("media_t >= start_s and media_t < end_s").select("i", "j").collect()
+    got = annotations.assign_segments(rows, clips, ["k"]).select("i", "j").collect()
+    plain = rows.join(clips, "k").where("media_t >= start_s and media_t < end_s").select("i", "j").collect()
     assert sorted(got) == sorted(plain) and len(got) == len(set(got))
 
 
@@ -34,8 +36,8 @@ def test_all_clips_get_their_frames(spark, sf_dir):
     of = {}
     for c in clips:
         of.setdefault(c[0], []).append(c)
-    frames = fixtures.frames(spark, sf_dir).select("event_id", "participant", "media_t").collect()
-    want = sorted((r["event_id"], *c) for r in frames for c in of.get(r["participant"], []) if c[2] <= r["media_t"] < c[3])
+    seen = fixtures.frames(spark, sf_dir).select("event_id", "participant", "media_t").collect()
+    want = sorted((r["event_id"], *c) for r in seen for c in of.get(r["participant"], []) if c[2] <= r["media_t"] < c[3])
     got = own(queries.queries()["j3_assign_segments_all"](spark, sf_dir))
     assert got == want and len({g[2] for g in got}) > 3
 
@@ -67,6 +69,52 @@ def test_greedy_sync_uses_a_frame_once(spark):
     assert len({r["l_idx"] for r in got}) == len({r["r_idx"] for r in got}) == len(got)
 
 
+def test_greedy_sync_is_the_sequential_rule(spark):
+    rng = np.random.default_rng(3)
+    make = lambda n: [(k, i, int(t)) for k in "pq" for i, t in enumerate(np.sort(rng.integers(0, 900, n)))]
+    left, right = make(60), make(45)
+
+    def plain(k, tolerance):
+        a, b = ([(i, t) for p, i, t in rows if p == k] for rows in (left, right))
+        i = j = 0
+        while i < len(a) and j < len(b):
+            d = a[i][1] - b[j][1]
+            if abs(d) <= tolerance:
+                yield k, a[i][0], b[j][0]
+                i, j = i + 1, j + 1
+            elif d < 0:
+                i += 1
+            else:
+                j += 1
+
+    df = lambda rows: spark.createDataFrame(rows, "participant string, frame_idx long, t_ms long").repartition(3)
+    got = sync.sync_frames_greedy(df(left), df(right), ["participant"], 9).select("participant", "l_idx", "r_idx").collect()
+    assert sorted(map(tuple, got)) == sorted([*plain("p", 9), *plain("q", 9)])
+
+
+def test_renumbering_needs_no_order_without_gaps(spark):
+    f = frame_rows(spark, [("p", "A", 200, 20), ("p", "B", 120, 33)])
+    rates = spark.createDataFrame([("p", "A", 50.0), ("p", "B", 30.0)], "participant string, view string, fps double")
+    stream = ["participant", "view"]
+    gaps = f.where("view = 'B' or frame_idx % 7 <> 3")
+    for rows in (f, gaps):
+        got = sync.harmonize_fps(rows, rates, ["participant"], stream)
+        order = Window.partitionBy(*stream).orderBy("frame_idx")
+        assert got.withColumn("want", F.row_number().over(order) - 1).where("new_idx <> want").count() == 0
+        third = frames.sample_every_n(rows, 3, stream)
+        assert third.withColumn("want", F.row_number().over(order) - 1).where("sample_idx <> want").count() == 0
+    assert "Window" not in sync.harmonize_fps(f, rates, ["participant"], stream)._jdf.queryExecution().toString()
+
+
+def test_synchronised_workload_pairs_by_name_and_rate(spark):
+    rows = [("p", v, name, i, int(i * step)) for v, step in (("CAM_LL", 20), ("CAM_LR", 33)) for name, n in (("a.mp4", 100), ("b.mp4", 50)) for i in range(n) if (v, name) != ("CAM_LR", "b.mp4")]
+    f = spark.createDataFrame(rows, "participant string, view string, video string, frame_idx long, t_ms long")
+    videos = spark.createDataFrame([("p", "CAM_LL", "a.mp4", 50.0, 100), ("p", "CAM_LL", "b.mp4", 50.0, 50), ("p", "CAM_LR", "a.mp4", 30.0, 100)], "participant string, view string, video string, fps double, frame_count long")
+    got = plans.synchronised(f, videos=videos, keys=("participant", "video")).collect()
+    assert {r["video"] for r in got} == {"a.mp4"} and max(r["dt"] for r in got) <= 34 and len(got) > 40
+    assert plans.frame_ms(videos) == 34
+
+
 def test_fifty_to_thirty_keeps_thirty(spark):
     f = frame_rows(spark, [("p", "A", 50, 20), ("p", "B", 30, 33)])
     rates = spark.createDataFrame([("p", "A", 50.0), ("p", "B", 30.0)], "participant string, view string, fps double")
@@ -98,6 +146,20 @@ def test_triangulation_recovers_points(spark):
     assert np.allclose([[p["x"], p["y"], p["z"]] for p in got[0]["face"]], x, atol=1e-6)
 
 
+def test_stereo_keeps_pairs_and_segments_apart(spark):
+    eye, zero = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0], [-1.0, 0.0, 0.0]
+    cal = spark.createDataFrame([("p", "LL_LR", eye, eye, eye, zero), ("p", "UL_UR", eye, eye, eye, [-5.0, 0.0, 0.0])], "participant string, pair string, left_mtx array<double>, right_mtx array<double>, R array<double>, T array<double>")
+    see = lambda z, base: ([[0.5, 0.25]], [[0.5 - base / z, 0.25]])
+    rows = []
+    for views, base in ((("CAM_LL", "CAM_LR"), 1.0), (("CAM_UL", "CAM_UR"), 5.0)):
+        for k, z in ((0, 4.0), (1, 8.0)):
+            rows += [("p", v, "TOWER_HO", f"S{k}", float(k), k + 1.0, 0, pts) for v, pts in zip(views, see(z, base), strict=True)]
+    lm = spark.createDataFrame(rows, "participant string, view string, task string, subtask string, start_s double, end_s double, frame_idx long, face array<array<double>>")
+    for pair in (("CAM_LL", "CAM_LR"), ("CAM_UL", "CAM_UR")):
+        got = {r["subtask"]: r["face"][0]["z"] for r in plans.reconstructed(lm, cal, ["face"], *pair).collect()}
+        assert got.keys() == {"S0", "S1"} and np.allclose([got["S0"], got["S1"]], [4, 8])
+
+
 def test_zero_disparity_is_guarded(spark):
     d = spark.range(1).select(stereo.depth(F.array(F.lit(0.0), F.lit(2.0)), F.lit(10.0), F.lit(1.0)).alias("z")).first()["z"]
     assert d == [10.0 / 1e-5, 5.0]

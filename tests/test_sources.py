@@ -54,3 +54,30 @@ def test_incremental_runs_add_nothing_twice(spark, tmp_path):
     spark.range(2).write.mode("append").parquet(src)
     run()
     assert spark.read.parquet(sink).count() == 5
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    for k, folder in enumerate("ab"):
+        spark.range(k, k + 1).coalesce(1).write.parquet(str(tmp_path / "made" / folder))
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        part = next((tmp_path / "made" / folder).glob("part-*.parquet"))
+        (tmp_path / "in" / folder / "part-0.parquet").write_bytes(part.read_bytes())
+    sink, state = str(tmp_path / "out"), str(tmp_path / "state")
+    run = lambda where, work=lambda b: b: streaming.incremental_features(spark, str(tmp_path / "in"), spark.range(1).schema, work, sink, where, per_run=1).awaitTermination()
+    run(state)
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [0, 1]
+    run(str(tmp_path / "other"))  # another checkpoint reads all files again; those in the sink are left out
+    assert spark.read.parquet(sink).count() == 2
+    with pytest.raises(Exception, match="keep the column file"):
+        run(str(tmp_path / "third"), lambda b: b.drop("file"))
+
+
+def test_all_calibration_fields(spark, tmp_path):
+    whole = {c: np.arange(9.0).reshape(3, 3) + i for i, c in enumerate(("left_mtx", "right_mtx", "R", "E", "F", "R1", "R2"))} | {c: np.arange(12.0).reshape(3, 4) + i for i, c in enumerate(("P1", "P2"))}
+    whole |= {"Q": np.eye(4), "T": np.zeros((3, 1)), "left_dist": np.zeros((1, 5)), "right_dist": np.zeros((1, 5)), "retval": 0.5, "left_count": 12, "right_count": 14}
+    np.savez(tmp_path / "p01_LL_LR.npz", **whole)
+    np.savez(tmp_path / "p02_UL_UR.npz", left_mtx=np.eye(3))
+    rows = {r["participant"]: r.asDict() for r in sources.read_calibrations(spark, f"{tmp_path}/*.npz").collect()}
+    for c, v in whole.items():
+        assert rows["p01"][c] == (np.asarray(v, float).ravel().tolist() if np.ndim(v) else v)
+    assert rows["p02"]["P1"] is None and rows["p02"]["left_count"] is None and rows["p02"]["retval"] is None

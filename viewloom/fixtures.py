@@ -61,6 +61,32 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("frame_idx", (F.row_number().over(order) - 1).cast("long"))
 
 
+def video_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, participant, view, video, frame_idx, t_ms) from events: frames of CAM_LL at 50 and of CAM_LR at 30 fps, a little off their times."""
+    from pyspark.sql import Window
+
+    f = frames(spark, sf_dir).where("view in ('CAM_LL', 'CAM_LR')").select("event_id", "participant", "view", F.concat(pick(TASKS, F.col("event_id") % 3), F.lit(".mp4")).alias("video"))
+    order = Window.partitionBy("participant", "view", "video").orderBy("event_id")
+    f = f.withColumn("frame_idx", (F.row_number().over(order) - 1).cast("long"))
+    step = F.when(F.col("view") == "CAM_LL", 20.0).otherwise(33.0)
+    return f.withColumn("t_ms", (F.col("frame_idx") * step).cast("long") + F.col("event_id") % 5)
+
+
+def video_list(frames_: DataFrame) -> DataFrame:
+    """(participant, view, video, fps, frame_count) of ``video_frames``."""
+    n = frames_.groupBy("participant", "view", "video").agg(F.count("*").alias("frame_count"))
+    return n.withColumn("fps", F.when(F.col("view") == "CAM_LL", 50.0).otherwise(30.0))
+
+
+def clip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, bytes, frame_count) of the clips of ``annotations`` that have been cut, three of four."""
+    from viewloom.operators.annotations import segments_per_view
+
+    clips = segments_per_view(annotations(spark, sf_dir)).dropDuplicates(["name"])
+    turn = F.floor(F.col("start_s") / 2).cast("long") + F.array_position(F.array(*map(F.lit, VIEWS)), F.col("view"))
+    return clips.where(turn % 4 != 0).select("path", (99_000 + F.floor("start_s").cast("long") * 500).alias("bytes"), (100 + turn % 3).alias("frame_count"))
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per clip and view from lineitem, with the clip's file name."""
     li = read(spark, sf_dir, "lineitem")
@@ -123,10 +149,53 @@ def landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Camera pairs of the stereo fixtures.
+STEREO_PAIRS = [("CAM_LL", "CAM_LR"), ("CAM_UL", "CAM_UR")]
+
+
+def stereo_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``landmarks``, of two camera pairs and two segments a participant, whose frames are numbered from 0 each."""
+    e = read(spark, sf_dir, "embeddings")
+    group = _div("vec_id", 4)
+    segment = _div(group, 10) % 2
+    value = lambda i: (F.element_at("embedding", i + 1).cast("double") + 1.0) / 2.0
+    part = {
+        p: F.when(F.col("label") != 0, F.transform(F.sequence(F.lit(a), F.lit(b - 1)), lambda i: F.array(value(2 * i), value(2 * i + 1)))).alias(p)
+        for p, (a, b) in SPAN.items()
+    }
+    return e.select(
+        participant(group % 10 + 1).alias("participant"), pick([v for p in STEREO_PAIRS for v in p], F.col("vec_id") % 4).alias("view"), pick(TASKS, segment).alias("task"),
+        pick(SUBTASKS, segment + 8).alias("subtask"), (segment * 2.5).alias("start_s"), (segment * 2.5 + 2.0).alias("end_s"), _div(group, 20).alias("frame_idx"), *part.values(),
+    )
+
+
+def known_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landmarks of both cameras of both pairs that are the images of known points, as ``fx_known`` has them: for each calibration, two segments of three frames of four points."""
+    from viewloom.operators.stereo import projection_matrices
+
+    c = projection_matrices(calibration(spark, sf_dir)).select("participant", "pair", "number", "P1", "P2", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("at"))
+    x = lambda j: ((F.col("number") + F.col("at") + j) % 9 - 4) / 8.0
+    y = lambda j: ((F.col("number") + 2 * F.col("at") + 3 * j) % 7 - 3) / 8.0
+    z = lambda j: 4.0 + ((F.col("at") + j) % 5) / 4.0
+
+    def image(p: str, j: int) -> Column:
+        row = lambda r: sum((F.col(p)[4 * r + k] * v for k, v in enumerate((x(j), y(j), z(j)))), F.col(p)[4 * r + 3])
+        return F.array(row(0) / row(2), row(1) / row(2))
+
+    sides = F.inline(F.array(*(F.struct(F.lit(s).alias("side"), F.array(*(image(p, j) for j in range(4))).alias("face")) for s, p in ((0, "P1"), (1, "P2")))))
+    rows = c.select("participant", "pair", "at", sides)
+    views = F.create_map(*[F.lit(v) for pair in STEREO_PAIRS for s in (0, 1) for v in (f"{pair[0][4:]}_{pair[1][4:]}{s}", pair[s])])
+    segment = _div("at", 3)
+    return rows.select(
+        "participant", views[F.concat("pair", F.col("side").cast("string"))].alias("view"), pick(TASKS, segment).alias("task"), pick(SUBTASKS, segment + 8).alias("subtask"), (segment * 2.5).alias("start_s"),
+        (segment * 2.5 + 2.0).alias("end_s"), (F.col("at") % 3).cast("long").alias("frame_idx"), "face",
+    )
+
+
 def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stereo calibrations of the pair CAM_LL, CAM_LR from supplier; every seventh participant has none."""
-    s = read(spark, sf_dir, "supplier").where("s_suppkey > 0 and s_suppkey % 7 <> 0")
-    i = (F.col("s_suppkey") % 50).cast("double")
+    """Stereo calibrations of two camera pairs from supplier; every seventh participant has none."""
+    s = read(spark, sf_dir, "supplier").where("s_suppkey > 0 and s_suppkey % 7 <> 0").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
+    i = ((F.col("s_suppkey") + 7 * F.col("k")) % 50).cast("double")
     t = i / 100.0
     c, n = (1.0 - t * t) / (1.0 + t * t), 2.0 * t / (1.0 + t * t)
     zero, one = F.lit(0.0), F.lit(1.0)
@@ -136,7 +205,7 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     dist = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
     return s.select(
         participant(key).alias("participant"),
-        F.lit("LL_LR").alias("pair"),
+        pick(["LL_LR", "UL_UR"], F.col("k")).alias("pair"),
         key.alias("number"),
         (i / 8.0).alias("retval"),
         mtx.alias("left_mtx"),
@@ -221,10 +290,22 @@ SQL = {
   CASE WHEN i < 16 THEN i WHEN i < 20 THEN i - 16 WHEN i < 24 THEN i - 20 ELSE i - 24 END AS point, label <> 0 AS present,
   (CAST(embedding[2 * i + 1] AS DOUBLE) + 1.0::DOUBLE) / 2.0::DOUBLE AS x, (CAST(embedding[2 * i + 2] AS DOUBLE) + 1.0::DOUBLE) / 2.0::DOUBLE AS y
   FROM embeddings, range(32) AS r(i)""",
-    "fx_calibration": """SELECT printf('p%02d', s_suppkey) AS participant, s_suppkey AS number, i / 8.0::DOUBLE AS retval, 900.0::DOUBLE + 10.0::DOUBLE * i AS f, 480.0::DOUBLE AS cx, 270.0::DOUBLE AS cy,
+    "fx_video_frames": f"""SELECT *, CAST(frame_idx * CASE view WHEN 'CAM_LL' THEN 20 ELSE 33 END AS BIGINT) + event_id % 5 AS t_ms, CASE view WHEN 'CAM_LL' THEN 50.0::DOUBLE ELSE 30.0::DOUBLE END AS fps FROM (SELECT *, row_number() OVER (PARTITION BY participant, view, video ORDER BY event_id) - 1 AS frame_idx
+  FROM (SELECT event_id, participant, view, {_list(TASKS)}[event_id % 3 + 1] || '.mp4' AS video FROM fx_frames WHERE view IN ('CAM_LL', 'CAM_LR')))""",
+    "fx_clips": rf"""SELECT *, participant || '-' || view || '-' || task || '-' || abbreviation || '-' || CAST(start_s AS VARCHAR) || '_' || CAST(end_s AS VARCHAR) || '.mp4' AS name FROM (SELECT DISTINCT regexp_extract(video_url, '(p\d+)_CAM', 1) AS participant,
+  regexp_extract(video_url, 'CAM_AV_P_(\w+)\.mp4', 1) AS task, view, start_s, end_s, nullif(regexp_extract(label, '\((.*?)\)', 1), '') AS abbreviation, start_s // 2 + v AS turn FROM fx_tricks, (VALUES ('CAM_AV', 1), ('CAM_LL', 2), ('CAM_LR', 3), ('CAM_UL', 4), ('CAM_UR', 5)) x(view, v)) WHERE abbreviation IS NOT NULL""",
+    "fx_stereo": f"""SELECT printf('p%02d', (vec_id // 4) % 10 + 1) AS participant, {_list([v for p in STEREO_PAIRS for v in p])}[vec_id % 4 + 1] AS view, {_list(TASKS)}[(vec_id // 40) % 2 + 1] AS task,
+  {_list(SUBTASKS)}[(vec_id // 40) % 2 + 9] AS subtask, ((vec_id // 40) % 2) * 2.5::DOUBLE AS start_s, ((vec_id // 40) % 2) * 2.5::DOUBLE + 2.0::DOUBLE AS end_s, vec_id // 80 AS frame_idx,
+  CASE WHEN i < 16 THEN 'face' WHEN i < 20 THEN 'left_hand' WHEN i < 24 THEN 'right_hand' ELSE 'pose' END AS part,
+  CASE WHEN i < 16 THEN i WHEN i < 20 THEN i - 16 WHEN i < 24 THEN i - 20 ELSE i - 24 END AS point, label <> 0 AS present,
+  (CAST(embedding[2 * i + 1] AS DOUBLE) + 1.0::DOUBLE) / 2.0::DOUBLE AS x, (CAST(embedding[2 * i + 2] AS DOUBLE) + 1.0::DOUBLE) / 2.0::DOUBLE AS y
+  FROM embeddings, range(32) AS r(i)""",
+    "fx_known": f"""SELECT participant, pair, {_list(TASKS)}[a // 3 + 1] AS task, {_list(SUBTASKS)}[a // 3 + 9] AS subtask, a // 3 * 2.5::DOUBLE AS start_s, a % 3 AS frame_idx, j AS point,
+  ((number + a + j) % 9 - 4) / 8.0::DOUBLE AS x, ((number + 2 * a + 3 * j) % 7 - 3) / 8.0::DOUBLE AS y, 4.0::DOUBLE + ((a + j) % 5) / 4.0::DOUBLE AS z FROM fx_calibration, range(6) q(a), range(4) r(j)""",
+    "fx_calibration": """SELECT printf('p%02d', s_suppkey) AS participant, CASE k WHEN 0 THEN 'LL_LR' ELSE 'UL_UR' END AS pair, s_suppkey AS number, i / 8.0::DOUBLE AS retval, 900.0::DOUBLE + 10.0::DOUBLE * i AS f, 480.0::DOUBLE AS cx, 270.0::DOUBLE AS cy,
   (1.0::DOUBLE - t * t) / (1.0::DOUBLE + t * t) AS c, 2.0::DOUBLE * t / (1.0::DOUBLE + t * t) AS s, -0.1::DOUBLE - 0.01::DOUBLE * i AS tx, 4 + s_suppkey % 2 AS left_dist, 4 + (s_suppkey // 2) % 2 AS right_dist,
   10 + s_suppkey % 3 AS left_count, 10 + (s_suppkey // 3) % 3 AS right_count
-  FROM (SELECT s_suppkey, CAST(s_suppkey % 50 AS DOUBLE) AS i, CAST(s_suppkey % 50 AS DOUBLE) / 100.0::DOUBLE AS t FROM supplier WHERE s_suppkey > 0 AND s_suppkey % 7 <> 0)""",
+  FROM (SELECT s_suppkey, k, CAST((s_suppkey + 7 * k) % 50 AS DOUBLE) AS i, CAST((s_suppkey + 7 * k) % 50 AS DOUBLE) / 100.0::DOUBLE AS t FROM supplier, range(2) r(k) WHERE s_suppkey > 0 AND s_suppkey % 7 <> 0)""",
     "fx_observations": f"""SELECT printf('p%02d', (o_orderkey // 1600) % 70 + 1) AS participant, {_list(["_".join(x[4:] for x in p) for p in PAIRS])}[(o_orderkey // 2) % 8 + 1] AS pair,
   CASE WHEN o_orderkey % 2 = 0 THEN 'left' ELSE 'right' END AS side, o_orderkey // 16 AS frame_idx, o_custkey % 10 + 10 AS n, CAST(o_custkey % 7 AS DOUBLE) AS shift FROM orders""",
     "fx_plan": f"""SELECT printf('p%02d', c_custkey + 1) AS participant, j + 1 AS position, CASE WHEN j = 0 THEN 'CALIBRATION' ELSE {_list(FAMILIES)}[(c_custkey + j - 1) % 4 + 1] END AS task
@@ -243,4 +324,4 @@ def sql(body: str, *views: str) -> str:
     return f"WITH {head}, {body.strip()[5:]}" if body.strip().upper().startswith("WITH ") else f"WITH {head} {body}"
 
 
-__all__ = ["LABELS", "PARTS", "SPAN", "SQL", "sql"]
+__all__ = ["LABELS", "PARTS", "SPAN", "SQL", "STEREO_PAIRS", "sql"]

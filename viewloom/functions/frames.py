@@ -62,8 +62,25 @@ def look_direction(x: Column, y: Column) -> Column:
     )
 
 
-def sample_every_n(frames: DataFrame, n: int, keys: list[str], index: str = "frame_idx") -> DataFrame:
-    """Every n-th frame, renumbered as ``sample_idx`` and named after its stream; by arithmetic where frames are dense from 0."""
+def renumbered(frames: DataFrame, kept: DataFrame, keys: list[str], index: str, name: str, number: Column, gaps: bool | None = None) -> DataFrame:
+    """``kept`` frames with their place (``name``) among the kept ones of their stream: ``number`` where the stream's ``frames`` have no gap, by order elsewhere."""
+    if gaps is False:
+        return kept.withColumn(name, number.cast("long"))
+    count = frames.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_distinct(index).alias("_d"), F.max(index).alias("_last"), F.min(index).alias("_first"))
+    odd = count.where((F.col("_n") != F.col("_last") + 1) | (F.col("_n") != F.col("_d")) | (F.col("_first") != 0)).select(*keys)
+    if gaps is None and not odd.limit(1).count():
+        return kept.withColumn(name, number.cast("long"))
     order = Window.partitionBy(*keys).orderBy(index)
-    kept = frames.where(F.col(index) % n == 0).withColumn("sample_idx", (F.row_number().over(order) - 1).cast("long"))
+    even = kept.join(odd, keys, "left_anti").withColumn(name, number.cast("long"))
+    return even.unionByName(kept.join(odd, keys, "left_semi").withColumn(name, (F.row_number().over(order) - 1).cast("long")))
+
+
+def sample_every_n(frames: DataFrame, n: int, keys: list[str], index: str = "frame_idx", gaps: bool | None = None) -> DataFrame:
+    """Every n-th frame, renumbered as ``sample_idx`` and named after its stream.
+
+    Where a stream's frames are numbered 0, 1, 2 ... without a gap, the new number is the old one divided by n, and no frame is shuffled; ``gaps`` (None: counted first) says that some aren't,
+    and their frames alone are put in order.
+    """
+    kept = frames.where(F.col(index) % n == 0)
+    kept = renumbered(frames, kept, keys, index, "sample_idx", F.floor(F.col(index) / n), gaps)
     return kept.withColumn("image", F.concat(F.concat_ws("_", *keys), F.format_string("_%04d", "sample_idx")))

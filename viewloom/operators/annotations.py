@@ -33,9 +33,20 @@ def shared_subtasks(valid: DataFrame, train: DataFrame) -> DataFrame:
     return valid.join(train.select("subtask").distinct(), "subtask", "left_semi")
 
 
+def segment_durations(train: DataFrame, valid: DataFrame) -> DataFrame:
+    """(split, subtask, start_s, end_s, duration_s): one row for each segment of either split."""
+    both = combine_splits(train, valid)
+    return both.select("split", "subtask", "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"))
+
+
 def subtask_durations(train: DataFrame, valid: DataFrame) -> DataFrame:
     """Count, least, mean and greatest duration of each split's segments by subtask."""
-    both = combine_splits(train, valid).withColumn("d", (F.col("end_s") - F.col("start_s")).cast("decimal(18,6)"))
+    return duration_summary(segment_durations(train, valid))
+
+
+def duration_summary(durations: DataFrame) -> DataFrame:
+    """Count, least, mean and greatest ``duration_s`` by split and subtask."""
+    both = durations.withColumn("d", F.col("duration_s").cast("decimal(18,6)"))
     g = both.groupBy("split", "subtask").agg(F.count("*").alias("n"), F.min("d").alias("lo"), F.sum("d").alias("total"), F.max("d").alias("hi"))
     mean = F.round(F.col("total").cast("double") / F.col("n"), 6)
     return g.select("split", "subtask", "n", F.col("lo").cast("double").alias("min_s"), mean.alias("mean_s"), F.col("hi").cast("double").alias("max_s"))
@@ -63,8 +74,11 @@ def frame_count_consistency(segments: DataFrame, name: str = "path") -> tuple[Da
     return g.where((F.col("views") > 1) & equal), g.where((F.col("views") > 1) & ~equal), g.where("views = 1")
 
 
-def segments_per_view(annotations: DataFrame, views: list[str] | None = None) -> DataFrame:
-    """Each labelled trick once for every view, with its clip's name; participant and task come from the video's URL."""
+def segments_per_view(annotations: DataFrame, views: list[str] | None = None, root: str = "segments") -> DataFrame:
+    """Each labelled trick once for every view, with its clip's name and output path (``root``/subtask/view/name), by which clips that exist are found.
+
+    Participant and task come from the video's URL.
+    """
     who = F.regexp_extract("video_url", r"(p\d+)_CAM", 1)
     task = F.regexp_extract("video_url", r"CAM_AV_P_(\w+)\.mp4", 1)
     tricks = annotations.select(who.alias("participant"), task.alias("task"), F.explode("tricks").alias("t")).select(
@@ -72,7 +86,8 @@ def segments_per_view(annotations: DataFrame, views: list[str] | None = None) ->
     )
     # the views are a handful of literals: no join is needed
     spread = tricks.withColumn("abbreviation", label_abbreviation("label")).withColumn("view", F.explode(F.array(*map(F.lit, views or VIEWS))))
-    return spread.where("abbreviation is not null").withColumn("name", segment_name("participant", "view", "task", "abbreviation", "start_s", "end_s"))
+    named = spread.where("abbreviation is not null").withColumn("name", segment_name("participant", "view", "task", "abbreviation", "start_s", "end_s"))
+    return named.withColumn("path", F.concat_ws("/", F.lit(root), "abbreviation", "view", "name"))
 
 
 def assign_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str = "media_t", bucket_s: float = 16.0) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.schemas import PAIRS, PARTS, POINTS_3D
+from viewloom.schemas import PAIRS, PARTS, POINTS_3D, SEGMENT_KEYS
 
 _BROADCAST = 64 << 20
 
@@ -31,12 +31,19 @@ def projection_matrices(calibration: DataFrame) -> DataFrame:
     return calibration.withColumns({"P1": F.array(*first), "P2": F.array(*second)})
 
 
+def pair_name(left: str, right: str) -> str:
+    """The name of two cameras' calibration: CAM_LL and CAM_LR are LL_LR."""
+    return f"{left.removeprefix('CAM_')}_{right.removeprefix('CAM_')}"
+
+
 def join_stereo_frames(landmarks: DataFrame, calibration: DataFrame, left: str = "CAM_LL", right: str = "CAM_LR", keys: list[str] | None = None, parts: list[str] | None = None) -> DataFrame:
-    """Left and right landmarks of one frame with the participant's calibration; frames without one are dropped.
+    """Left and right landmarks of one frame with the participant's calibration of these two cameras; frames without one are dropped.
 
+    A frame is known by its participant, its segment (``SEGMENT_KEYS``, where the landmarks have them) and its index.
     Frames without a detection on either side and parts not asked for don't reach the shuffle.
     """
-    keys, parts = keys or ["participant", "frame_idx"], parts or PARTS
+    keys, parts = keys or ["participant", *(c for c in SEGMENT_KEYS if c in landmarks.columns), "frame_idx"], parts or PARTS
+    calibration = calibration.where(F.col("pair") == pair_name(left, right))
     some = F.greatest(*(F.col(p).isNotNull().cast("int") for p in parts)) == 1 if len(parts) > 1 else F.col(parts[0]).isNotNull()
     side = lambda v, s: landmarks.where((F.col("view") == v) & some).select(*keys, *(F.col(p).alias(f"{s}_{p}") for p in parts))
     return side(left, "left").join(side(right, "right"), keys).join(small(calibration), "participant")

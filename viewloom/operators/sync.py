@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.functions.frames import renumbered
+
 
 def pair_views(videos: DataFrame, reference: str, targets: list[str]) -> tuple[DataFrame, DataFrame]:
     """Each reference video with the one of the same name of every target view; and the targets that are missing."""
@@ -21,18 +23,18 @@ def _counts(frames: DataFrame, stream: list[str]) -> DataFrame:
     return frames.groupBy(*stream).agg((F.max("frame_idx") + 1).alias("frames"))
 
 
-def harmonize_fps(frames: DataFrame, videos: DataFrame, group: list[str], stream: list[str]) -> DataFrame:
+def harmonize_fps(frames: DataFrame, videos: DataFrame, group: list[str], stream: list[str], gaps: bool | None = None) -> DataFrame:
     """Keep frames at the group's lowest fps: those with idx % (fps / target) < 1, renumbered as ``new_idx``.
 
-    The rate is decided on the table of videos and joined to frames.  The remainder of doubles decides at its own rounding, so the new index is
-    counted in each stream's order.
+    The rate is decided on the table of videos and joined to frames.  The remainder of doubles is exact, so just one frame is kept in each step of fps / target, and the step's number is the
+    new index; frames of streams with gaps (``gaps``, None: counted first) are put in order for it.
     """
     rates = videos.select(*stream, "fps").where("fps > 0")
     least = rates.groupBy(*group).agg(F.min("fps").alias("target_fps"))
     decided = rates.join(least, group).select(*stream, (F.col("fps") / F.col("target_fps")).alias("ratio"), "target_fps")
     kept = frames.join(decided, stream).where(F.col("frame_idx") % F.col("ratio") < 1)
-    order = Window.partitionBy(*stream).orderBy("frame_idx")
-    return kept.withColumn("new_idx", (F.row_number().over(order) - 1).cast("long")).drop("ratio")
+    step = F.round((F.col("frame_idx") - F.col("frame_idx") % F.col("ratio")) / F.col("ratio"))
+    return renumbered(frames.join(decided.select(*stream), stream, "left_semi"), kept, stream, "frame_idx", "new_idx", step, gaps).drop("ratio")
 
 
 def match_length(frames: DataFrame, group: list[str], stream: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -64,47 +66,56 @@ def time_candidates(left: DataFrame, right: DataFrame, keys: list[str], toleranc
 def sync_frames(left: DataFrame, right: DataFrame, keys: list[str], tolerance_ms: int) -> DataFrame:
     """Pairs of frames that are each other's nearest within the tolerance; ties go to the earlier frame.
 
-    The nearest of each side is found by aggregation, which combines before the shuffle, rather than by ordering candidates.
+    Candidates are made once.  One aggregation, which combines before the shuffle, finds the nearest of the frames of both sides; pairs that were found
+    from either side are left by a second, of two rows a frame.
     """
     near = time_candidates(left, right, keys, tolerance_ms)
-    best_r = near.groupBy(*keys, "l_idx").agg(F.min(F.struct("dt", "r_t", "r_idx", "l_t")).alias("r"))
-    best_l = near.groupBy(*keys, "r_idx").agg(F.min(F.struct("dt", "l_t", "l_idx")).alias("l"))
-    a = best_r.select(*keys, "l_idx", F.col("r.r_idx").alias("r_idx"), F.col("r.l_t").alias("l_t"), F.col("r.r_t").alias("r_t"), F.col("r.dt").alias("dt"))
-    b = best_l.select(*keys, F.col("l.l_idx").alias("l_idx"), "r_idx")
-    return a.join(b, [*keys, "l_idx", "r_idx"])
+    own = lambda s, o: F.struct(F.lit(s).alias("side"), F.col(f"{s}_idx").alias("idx"), F.struct("dt", F.col(f"{o}_t").alias("other_t"), F.col(f"{o}_idx").alias("other"), F.col(f"{s}_t").alias("t")).alias("best"))
+    ends = near.select(*keys, F.inline(F.array(own("l", "r"), own("r", "l"))))
+    best = ends.groupBy(*keys, "side", "idx").agg(F.min("best").alias("b"))
+    from_left = F.col("side") == "l"
+    pick = lambda a, b: F.when(from_left, F.col(a)).otherwise(F.col(b))
+    pair = best.select(*keys, pick("idx", "b.other").alias("l_idx"), pick("b.other", "idx").alias("r_idx"), pick("b.t", "b.other_t").alias("l_t"), pick("b.other_t", "b.t").alias("r_t"), F.col("b.dt").alias("dt"))
+    return pair.groupBy(*keys, "l_idx", "r_idx").agg(*(F.min(c).alias(c) for c in ("l_t", "r_t", "dt")), F.count("*").alias("_n")).where("_n = 2").drop("_n")
 
 
 def sync_frames_greedy(left: DataFrame, right: DataFrame, keys: list[str], tolerance_ms: int) -> DataFrame:
     """The sequential pairing: both sides in time order, each frame used once, the side that is behind moves on.
 
-    It needs a stream's frames in one place, so it is for streams that fit a task; ``sync_frames`` has no such limit.
+    A stream's frames pass one task in order, as the rule asks; it holds no more of them than wait for a partner inside the tolerance.
     """
+    from collections import deque
+    from collections.abc import Iterator
+
     from pyspark.sql import types as T
 
     a = left.select(*keys, F.col("frame_idx").alias("idx"), "t_ms", F.lit(0).alias("side"))
     b = right.select(*keys, F.col("frame_idx").alias("idx"), "t_ms", F.lit(1).alias("side"))
     out = T.StructType([a.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in ("l_idx", "r_idx", "l_t", "r_t", "dt")])
 
-    def pair(part):
+    def pair(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        l, r = (part[part["side"] == s].sort_values(["t_ms", "idx"])[["t_ms", "idx"]].to_numpy() for s in (0, 1))
-        i = j = 0
-        rows = []
-        while i < len(l) and j < len(r):
-            d = int(l[i][0] - r[j][0])
-            if abs(d) <= tolerance_ms:
-                rows.append((int(l[i][1]), int(r[j][1]), int(l[i][0]), int(r[j][0]), abs(d)))
-                i, j = i + 1, j + 1
-            elif d < 0:
-                i += 1
-            else:
-                j += 1
-        found = pd.DataFrame(rows, columns=["l_idx", "r_idx", "l_t", "r_t", "dt"])
-        for n, k in enumerate(keys):
-            found.insert(n, k, part[k].iat[0])
-        return found
-
-    return a.unionByName(b).groupBy(*keys).applyInPandas(pair, out)
-
-
+        waiting: deque = deque()  # frames of one side, none of which has a partner yet
+        stream = side = None
+        for batch in batches:
+            rows = []
+            for *own, idx, t, s in zip(*(batch[c].tolist() for c in [*keys, "idx", "t_ms", "side"]), strict=True):
+                if own != stream:
+                    stream, side = own, s
+                    waiting.clear()
+                if s == side or not waiting:
+                    side = s
+                    waiting.append((idx, t))
+                    continue
+                while waiting and t - waiting[0][1] > tolerance_ms:
+                    waiting.popleft()
+                if waiting:
+                    other, u = waiting.popleft()
+                    rows.append((*own, *((other, idx, u, t) if s else (idx, other, t, u)), t - u))
+                else:
+                    side = s
+                    waiting.append((idx, t))
+            yield pd.DataFrame(rows, columns=out.names)
+
+    return a.unionByName(b).repartition(*keys).sortWithinPartitions(*keys, "t_ms", "side", "idx").mapInPandas(pair, out)

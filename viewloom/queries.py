@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,57 @@ def s1_read_catalog(spark, sf_dir):
     return c.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
 
 
+@query("SELECT video_url, start_s, end_s, label FROM fx_tricks", "fx_tricks")
+def s2_read_annotations(spark, sf_dir):
+    """Label exports, written as JSON arrays of a few hundred videos each, and read."""
+    records = fx.annotations(spark, sf_dir).groupBy(F.floor(F.col("item") / 256).alias("part")).agg(F.to_json(F.collect_list(F.struct("video_url", "tricks"))).alias("value"))
+    path = sources.shared_folder(spark)
+    records.write.partitionBy("part").text(path)
+    good, _ = sources.read_annotations(spark, f"{path}/*/*.txt")
+    rows = good.select("video_url", F.explode("tricks").alias("t"))
+    return rows.select("video_url", F.col("t.start").alias("start_s"), F.col("t.end").alias("end_s"), F.explode("t.labels").alias("label"))
+
+
+@query("SELECT participant, position, task FROM fx_plan", "fx_plan")
+def s3_read_task_plan(spark, sf_dir):
+    """Plans as JSON maps from participants to tasks, a few hundred participants each, written and read."""
+    long = sources.unpivot_task_plan(fx.plan_wide(spark, sf_dir)).groupBy("participant").agg(F.array_sort(F.collect_list(F.struct("position", "task"))).alias("t"))
+    number = F.floor(F.substring("participant", 2, 12).cast("long") / 256)
+    maps = long.groupBy(number.alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("participant", "t.task")))).alias("value"))
+    path = sources.shared_folder(spark)
+    maps.write.partitionBy("part").text(path)
+    return sources.read_task_plan(spark, f"{path}/*/*.txt")
+
+
+@query(
+    "SELECT participant, pair, retval, f AS f, cx, cy, c, s, tx, left_dist, right_dist, left_count, right_count, f AS p1, 4 * f AS q FROM fx_calibration",
+    "fx_calibration",
+)
+def s5_decode_calibrations(spark, sf_dir):
+    """Calibrations as npz files with all their fields, packed and read again."""
+    c = fx.calibration(spark, sf_dir).withColumns({"P1": F.col("left_mtx"), "Q": F.transform("left_mtx", lambda x: 4.0 * x), "E": F.col("R"), "F": F.col("R"), "R1": F.col("R"), "R2": F.col("R"), "P2": F.col("right_mtx")})
+    arrays_ = ["left_mtx", "right_mtx", "left_dist", "right_dist", "R", "T", "E", "F", "R1", "R2", "P1", "P2", "Q"]
+    chosen = c.select("participant", "pair", "retval", "left_count", "right_count", *arrays_)
+
+    def packed(batches):
+        import io
+
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for r in batch.to_dict("records"):
+                out = io.BytesIO()
+                np.savez(out, **{k: np.asarray(r[k], float) for k in arrays_}, retval=r["retval"], left_count=r["left_count"], right_count=r["right_count"])
+                rows.append((f"x/{r['participant']}_{r['pair']}.npz", out.getvalue()))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    got = sources.decode_calibrations(chosen.mapInPandas(packed, "path string, content binary"))
+    value = {"f": "left_mtx[0]", "cx": "right_mtx[2]", "cy": "right_mtx[5]", "c": "R[0]", "s": "R1[2]", "tx": "T[0]", "left_dist": "cast(size(left_dist) as bigint)", "right_dist": "cast(size(right_dist) as bigint)", "left_count": "left_count", "right_count": "right_count", "p1": "P1[0]", "q": "Q[0]"}
+    return got.select("participant", "pair", "retval", *(F.expr(e).alias(k) for k, e in value.items()))
+
+
 @query("SELECT participant, position, task FROM fx_plan", "fx_plan")
 def s3_unpivot_task_plan(spark, sf_dir):
     return sources.unpivot_task_plan(fx.plan_wide(spark, sf_dir)).select("participant", F.col("position").cast("long").alias("position"), "task")
@@ -240,21 +293,24 @@ def j1_missing_views(spark, sf_dir):
     return sync.pair_views(fx.videos(spark, sf_dir), "CAM_AV", VIEWS[1:])[1]
 
 
-_STEREO = """SELECT l.participant, l.frame_idx, l.part, l.point, l.x AS lx, l.y AS ly, r.x AS rx, r.y AS ry, c.* EXCLUDE (participant) FROM fx_points l JOIN fx_points r USING (participant, frame_idx, part, point)
-  JOIN fx_calibration c ON c.participant = l.participant WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR' AND l.present AND r.present"""
+_STEREO = """SELECT l.participant, l.subtask, l.start_s, l.frame_idx, l.part, l.point, l.x AS lx, l.y AS ly, r.x AS rx, r.y AS ry, c.* EXCLUDE (participant) FROM fx_stereo l
+  JOIN fx_stereo r USING (participant, task, subtask, start_s, end_s, frame_idx, part, point)
+  JOIN fx_calibration c ON c.participant = l.participant AND c.pair = replace(l.view, 'CAM_', '') || '_' || replace(r.view, 'CAM_', '') WHERE l.present AND r.present"""
+_FRAME = ["participant", "pair", "subtask", "start_s", "frame_idx"]
 
 
 def _stereo(spark, sf_dir, parts=None):
-    lm = fx.landmarks(spark, sf_dir)
-    return stereo.join_stereo_frames(lm, stereo.projection_matrices(fx.calibration(spark, sf_dir)), parts=parts)
+    lm, matrices = fx.stereo_landmarks(spark, sf_dir), stereo.projection_matrices(fx.calibration(spark, sf_dir))
+    first, *others = (stereo.join_stereo_frames(lm, matrices, *pair, parts=parts) for pair in fx.STEREO_PAIRS)
+    return functools.reduce(DataFrame.unionByName, others, first)
 
 
-@query(f"SELECT participant, frame_idx, part, point, lx, ly, rx, ry, retval FROM ({_STEREO})", "fx_points", "fx_calibration")
+@query(f"SELECT participant, pair, subtask, start_s, frame_idx, part, point, lx, ly, rx, ry, retval FROM ({_STEREO})", "fx_stereo", "fx_calibration")
 def j2_join_stereo_frames(spark, sf_dir):
     j = _stereo(spark, sf_dir)
     stacked = F.array(*(F.struct(F.lit(p).alias("part"), F.arrays_zip(F.col(f"left_{p}").alias("l"), F.col(f"right_{p}").alias("r")).alias("pts")) for p in PARTS))
-    rows = j.select("participant", "frame_idx", "retval", F.inline(stacked)).select("participant", "frame_idx", "retval", "part", F.posexplode("pts").alias("point", "p"))
-    return rows.select("participant", "frame_idx", "part", "point", F.expr("p.l[0]").alias("lx"), F.expr("p.l[1]").alias("ly"), F.expr("p.r[0]").alias("rx"), F.expr("p.r[1]").alias("ry"), "retval")
+    rows = j.select(*_FRAME, "retval", F.inline(stacked)).select(*_FRAME, "retval", "part", F.posexplode("pts").alias("point", "p"))
+    return rows.select(*_FRAME, "part", "point", F.expr("p.l[0]").alias("lx"), F.expr("p.l[1]").alias("ly"), F.expr("p.r[0]").alias("rx"), F.expr("p.r[1]").alias("ry"), "retval")
 
 
 _CLIPS = "SELECT DISTINCT participant, subtask, start_s, end_s FROM fx_segments WHERE subtask IN ('CG', 'CS', 'FO')"
@@ -345,7 +401,7 @@ def j9_stereo_correspondences(spark, sf_dir):
 
 
 @query(
-    "SELECT participant, 'LL_LR' AS pair, left_dist = right_dist AS same, '9x' || left_dist AS left_shape, '9x' || right_dist AS right_shape, least(left_count, right_count) AS views FROM fx_calibration",
+    "SELECT participant, pair, left_dist = right_dist AS same, '9x' || left_dist AS left_shape, '9x' || right_dist AS right_shape, least(left_count, right_count) AS views FROM fx_calibration",
     "fx_calibration",
 )
 def j10_calibration_shape_check(spark, sf_dir):
@@ -404,6 +460,14 @@ def a3_subtask_durations(spark, sf_dir):
     return ann.subtask_durations(*_splits(spark, sf_dir))
 
 
+@query(
+    f"""SELECT 'train' AS split, subtask, start_s, end_s, end_s - start_s AS duration_s FROM fx_segments WHERE {_TRAIN} UNION ALL SELECT 'valid', subtask, start_s, end_s, end_s - start_s FROM fx_segments WHERE {_VALID}""",
+    "fx_segments",
+)
+def a3_segment_durations(spark, sf_dir):
+    return ann.segment_durations(*_splits(spark, sf_dir)).select("split", "subtask", "start_s", "end_s", "duration_s")
+
+
 _GROUPS = """WITH v AS (SELECT participant, task, subtask, CAST(start_s AS VARCHAR) || '_' || CAST(end_s AS VARCHAR) AS times, view, max(frame_count) AS frame_count FROM fx_segments GROUP BY ALL),
   g AS (SELECT participant, task, subtask, times, count(*) AS views, min(frame_count) AS lo, max(frame_count) AS hi, string_agg(view || '=' || frame_count, ',' ORDER BY view) AS by_view FROM v GROUP BY ALL)"""
 
@@ -705,7 +769,18 @@ def g1_projection_matrices(spark, sf_dir):
 
 @query()
 def g2_triangulate(spark, sf_dir):
-    return plans.reconstructed(fx.landmarks(spark, sf_dir), fx.calibration(spark, sf_dir))
+    lm, c = fx.stereo_landmarks(spark, sf_dir), fx.calibration(spark, sf_dir)
+    first, *others = (plans.reconstructed(lm, c, None, *pair) for pair in fx.STEREO_PAIRS)
+    return functools.reduce(DataFrame.unionByName, others, first)
+
+
+@query("SELECT participant, pair, task, subtask, start_s, frame_idx, point, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM fx_known", "fx_calibration", "fx_known")
+def g2_triangulate_known(spark, sf_dir):
+    """Points whose images are made with the projection matrices come out of them again; rounded, as the images are doubles."""
+    lm, c = fx.known_points(spark, sf_dir), fx.calibration(spark, sf_dir)
+    first, *others = (plans.reconstructed(lm, c, ["face"], *pair) for pair in fx.STEREO_PAIRS)
+    rows = functools.reduce(DataFrame.unionByName, others, first).select("participant", "pair", "task", "subtask", "start_s", "frame_idx", F.posexplode("face").alias("point", "p"))
+    return rows.select("participant", "pair", "task", "subtask", "start_s", "frame_idx", "point", *((F.round(f"p.{a}", 6) + 0.0).alias(a) for a in "xyz"))
 
 
 def _focal():
@@ -717,39 +792,39 @@ def _with_depth(spark, sf_dir):
     return j.withColumn("z", stereo.depth(F.col("d"), _focal()[0], F.abs(F.col("T")[0])))
 
 
-@query(f"SELECT participant, frame_idx, point, lx - rx AS disparity FROM ({_STEREO}) WHERE part = 'pose'", "fx_points", "fx_calibration")
+@query(f"SELECT participant, pair, subtask, start_s, frame_idx, point, lx - rx AS disparity FROM ({_STEREO}) WHERE part = 'pose'", "fx_stereo", "fx_calibration")
 def g3_disparity(spark, sf_dir):
-    return _with_depth(spark, sf_dir).select("participant", "frame_idx", F.posexplode("d").alias("point", "disparity"))
+    return _with_depth(spark, sf_dir).select(*_FRAME, F.posexplode("d").alias("point", "disparity"))
 
 
 _Z = "f * abs(tx) / CASE WHEN lx - rx = 0 THEN 1e-5::DOUBLE ELSE lx - rx END"
 
 
-@query(f"SELECT participant, frame_idx, point, {_Z} AS depth FROM ({_STEREO}) WHERE part = 'pose'", "fx_points", "fx_calibration")
+@query(f"SELECT participant, pair, subtask, start_s, frame_idx, point, {_Z} AS depth FROM ({_STEREO}) WHERE part = 'pose'", "fx_stereo", "fx_calibration")
 def g4_depth(spark, sf_dir):
-    return _with_depth(spark, sf_dir).select("participant", "frame_idx", F.posexplode("z").alias("point", "depth"))
+    return _with_depth(spark, sf_dir).select(*_FRAME, F.posexplode("z").alias("point", "depth"))
 
 
-_XYZ = f"SELECT participant, frame_idx, point, (lx - cx) * ({_Z}) / f AS px, (ly - cy) * ({_Z}) / f AS py, {_Z} AS pz, c, s, tx FROM ({_STEREO}) WHERE part = 'pose'"
+_XYZ = f"SELECT participant, pair, subtask, start_s, frame_idx, point, (lx - cx) * ({_Z}) / f AS px, (ly - cy) * ({_Z}) / f AS py, {_Z} AS pz, c, s, tx FROM ({_STEREO}) WHERE part = 'pose'"
 
 
 def _xyz(spark, sf_dir):
     return _with_depth(spark, sf_dir).withColumn("xyz", stereo.back_project(F.col("left_pose"), F.col("z"), *_focal()))
 
 
-@query(f"SELECT participant, frame_idx, point, px AS x, py AS y, pz AS z FROM ({_XYZ})", "fx_points", "fx_calibration")
+@query(f"SELECT participant, pair, subtask, start_s, frame_idx, point, px AS x, py AS y, pz AS z FROM ({_XYZ})", "fx_stereo", "fx_calibration")
 def g5_back_project(spark, sf_dir):
-    return _xyz(spark, sf_dir).select("participant", "frame_idx", F.posexplode("xyz").alias("point", "p")).select("participant", "frame_idx", "point", "p.*")
+    return _xyz(spark, sf_dir).select(*_FRAME, F.posexplode("xyz").alias("point", "p")).select(*_FRAME, "point", "p.*")
 
 
 @query(
-    f"""SELECT participant, frame_idx, point, c * px + 0.0::DOUBLE * py + s * pz + tx AS x, 0.0::DOUBLE * px + 1.0::DOUBLE * py + 0.0::DOUBLE * pz + 0.0::DOUBLE AS y, (-s) * px + 0.0::DOUBLE * py + c * pz + 0.0::DOUBLE AS z FROM ({_XYZ})""",
-    "fx_points",
+    f"""SELECT participant, pair, subtask, start_s, frame_idx, point, c * px + 0.0::DOUBLE * py + s * pz + tx AS x, 0.0::DOUBLE * px + 1.0::DOUBLE * py + 0.0::DOUBLE * pz + 0.0::DOUBLE AS y, (-s) * px + 0.0::DOUBLE * py + c * pz + 0.0::DOUBLE AS z FROM ({_XYZ})""",
+    "fx_stereo",
     "fx_calibration",
 )
 def g6_to_world(spark, sf_dir):
     w = _xyz(spark, sf_dir).withColumn("w", stereo.to_world(F.col("xyz"), F.col("R"), F.col("T")))
-    return w.select("participant", "frame_idx", F.posexplode("w").alias("point", "p")).select("participant", "frame_idx", "point", "p.*")
+    return w.select(*_FRAME, F.posexplode("w").alias("point", "p")).select(*_FRAME, "point", "p.*")
 
 
 @query("SELECT participant, round(sqrt(tx * tx), 9) AS baseline FROM fx_calibration", "fx_calibration")
@@ -774,10 +849,13 @@ def g8_gaze_vector(spark, sf_dir):
 # --- streams
 
 
-def _stream_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """A file stream over rows written to the shared folder."""
+def _stream_of(spark: SparkSession, rows: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """A file stream over rows written to the shared folder, with those of ``last`` in the latest file."""
     path = sources.shared_folder(spark)
     rows.write.parquet(path)
+    if last is not None:
+        time.sleep(1.1)  # files are read in the order of their times, which are whole seconds in some stores
+        last.coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
 
 
@@ -811,12 +889,13 @@ def t2_live_look_direction(spark, sf_dir):
 
 @query(_LIVE, "fx_angles")
 def t2_live_look_direction_stream(spark, sf_dir):
-    stream = _stream_of(spark, fx.angles(spark, sf_dir).withColumn("ts", _utc("ts")))
     sink, state = sources.shared_folder(spark), sources.shared_folder(spark)
-    out = streaming.live_look_direction(stream, window="1 minute")
-    job = out.writeStream.outputMode("complete").option("checkpointLocation", state).trigger(availableNow=True)
-    job.foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(sink)).start().awaitTermination()
-    return _start(spark.read.parquet(sink))
+    # files come in no order of time here, so the watermark waits for 40 days; windows that it closes are appended once, the last ones by a row that comes 80 days later
+    end = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts")).select(F.lit(-1).cast("long").alias("frame_id"), (_utc("max(ts)") + F.expr("interval 80 days")).alias("ts"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    out = streaming.live_look_direction(_stream_of(spark, fx.angles(spark, sf_dir).withColumn("ts", _utc("ts")), end), "40 days", "1 minute")
+    job = out.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
+    job.format("parquet").option("path", sink).start().awaitTermination()
+    return _start(spark.read.schema("start timestamp, label string, frames long").parquet(sink))
 
 
 _PAIRED = "SELECT l.participant, l.frame_idx AS l_idx, r.frame_idx AS r_idx FROM fx_frames l JOIN fx_frames r ON l.participant = r.participant AND r.ts BETWEEN l.ts - INTERVAL '1 hour' AND l.ts + INTERVAL '1 hour' WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'"
@@ -824,8 +903,8 @@ _PAIRED = "SELECT l.participant, l.frame_idx AS l_idx, r.frame_idx AS r_idx FROM
 
 def _live(spark, sf_dir, stream: bool) -> DataFrame:
     sides = [s.select("participant", "frame_idx", _utc("ts").alias("ts")) for s in _sides(spark, sf_dir)]
-    if stream:
-        sides = [_stream_of(spark, s.coalesce(1)) for s in sides]
+    if stream:  # the fixture's events are of 30 days and its files in no order of time, so the watermark of this query waits for them all
+        sides = [_stream_of(spark, s) for s in sides]
     return streaming.stream_sync(*sides, ["participant"], "1 hour", "40 days").select("participant", "l_idx", "r_idx")
 
 
@@ -861,4 +940,59 @@ def workload_consistency_statistics(spark, sf_dir):
     "fx_frames",
 )
 def workload_synchronised(spark, sf_dir):
-    return plans.synchronised(fx.frames(spark, sf_dir))
+    return plans.synchronised(fx.frames(spark, sf_dir), tolerance_ms=_TOLERANCE)
+
+
+@query(
+    """WITH vids AS (SELECT participant, video FROM fx_video_frames GROUP BY ALL HAVING count(DISTINCT view) = 2), kept AS (SELECT f.*, row_number() OVER (PARTITION BY participant, view, video ORDER BY frame_idx) - 1 AS i FROM fx_video_frames f JOIN vids USING (participant, video)
+  WHERE frame_idx % (fps / 30.0::DOUBLE) < 1), n AS (SELECT participant, view, video, max(i) + 1 AS frames FROM kept GROUP BY ALL), m AS (SELECT *, min(frames) OVER (PARTITION BY participant, video) AS keep FROM n), t AS (SELECT k.* FROM kept k JOIN m USING (participant, view, video) WHERE i < keep),
+  near AS (SELECT l.participant, l.video, l.i AS l_idx, r.i AS r_idx, l.t_ms AS l_t, r.t_ms AS r_t, abs(l.t_ms - r.t_ms) AS dt FROM t l JOIN t r ON l.participant = r.participant AND l.video = r.video AND abs(l.t_ms - r.t_ms) <= 34 WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY participant, video, l_idx ORDER BY dt, r_t, r_idx) AS a, row_number() OVER (PARTITION BY participant, video, r_idx ORDER BY dt, l_t, l_idx) AS b FROM near)
+  SELECT participant, video, l_idx, r_idx, l_t, r_t, dt FROM ranked WHERE a = 1 AND b = 1""",
+    "fx_frames",
+    "fx_video_frames",
+)
+def workload_paired_synchronised(spark, sf_dir):
+    """Videos paired by name, brought to the pair's lower rate, cut to the shorter length and paired frame by frame, a frame's length apart at most."""
+    f = fx.video_frames(spark, sf_dir)
+    return plans.synchronised(f, videos=fx.video_list(f), keys=("participant", "video"))
+
+
+_HAVE = """have AS (SELECT *, 99000 + CAST(floor(start_s) AS BIGINT) * 500 AS bytes, 100 + CAST(turn AS BIGINT) % 3 AS frame_count FROM fx_clips WHERE CAST(turn AS BIGINT) % 4 <> 0)"""
+
+
+def _segmented(spark, sf_dir, what: str) -> DataFrame:
+    valid = fx.segments(spark, sf_dir).where(_VALID).select("subtask", "start_s", "end_s")
+    return plans.segmented_statistics(fx.annotations(spark, sf_dir), fx.clip_files(spark, sf_dir), valid)[what]
+
+
+@query("SELECT 'segments/' || abbreviation || '/' || view || '/' || name AS path FROM fx_clips WHERE CAST(turn AS BIGINT) % 4 = 0", "fx_tricks", "fx_clips")
+def workload_segments_missing(spark, sf_dir):
+    """Label exports spread over views: the clips that are still to be cut."""
+    return _segmented(spark, sf_dir, "missing").select("path")
+
+
+@query(f"WITH {_HAVE} SELECT v.view, count(name) AS corrupt FROM (VALUES ('CAM_AV'), ('CAM_LL'), ('CAM_LR'), ('CAM_UL'), ('CAM_UR')) v(view) LEFT JOIN have ON have.view = v.view AND bytes < 100000 GROUP BY v.view", "fx_tricks", "fx_clips")
+def workload_segments_corrupt(spark, sf_dir):
+    return _segmented(spark, sf_dir, "corrupt")
+
+
+@query(
+    f"""WITH {_HAVE}, g AS (SELECT participant, task, abbreviation, start_s, end_s, count(*) AS views, min(frame_count) AS lo, max(frame_count) AS hi FROM have GROUP BY ALL)
+  SELECT abbreviation AS subtask, count(*) FILTER (views > 1 AND lo = hi) AS equal, count(*) FILTER (views > 1 AND lo <> hi) AS unequal, count(*) FILTER (views = 1) AS single FROM g GROUP BY ALL""",
+    "fx_tricks",
+    "fx_clips",
+)
+def workload_segments_consistency(spark, sf_dir):
+    return _segmented(spark, sf_dir, "consistency")
+
+
+@query(
+    f"""WITH {_HAVE}, b AS (SELECT 'train' AS split, abbreviation AS subtask, start_s, end_s FROM have UNION ALL SELECT 'valid', subtask, start_s, end_s FROM fx_segments WHERE {_VALID} AND subtask IN (SELECT abbreviation FROM have))
+  SELECT split, subtask, count(*) AS n, min(end_s - start_s) AS min_s, round(sum(end_s - start_s) / count(*), 6) AS mean_s, max(end_s - start_s) AS max_s FROM b GROUP BY ALL""",
+    "fx_tricks",
+    "fx_clips",
+    "fx_segments",
+)
+def workload_segments_durations(spark, sf_dir):
+    return _segmented(spark, sf_dir, "summary")

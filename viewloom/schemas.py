@@ -40,9 +40,13 @@ VIDEO = fields(participant=_S, view=_S, video=_S, fps=_D, frame_count=_L)
 SEGMENT = fields(participant=_S, view=_S, task=_S, subtask=_S, start_s=_D, end_s=_D)
 ANNOTATION = fields(video_url=_S, tricks=T.ArrayType(fields(start=_D, end=_D, labels=T.ArrayType(_S))))
 TASK_PLAN = T.MapType(_S, T.ArrayType(_S))
-LANDMARKS = T.StructType([*fields(participant=_S, view=_S, frame_idx=_L).fields, *(T.StructField(p, POINTS) for p in PARTS)])
-CALIBRATION = fields(participant=_S, pair=_S, retval=_D, left_mtx=DOUBLES, right_mtx=DOUBLES, left_dist=DOUBLES, right_dist=DOUBLES, R=DOUBLES, T=DOUBLES)
-POINTS_TABLE = T.StructType([*fields(participant=_S, pair=_S, frame_idx=_L).fields, *(T.StructField(p, POINTS_3D) for p in PARTS)])
+SEGMENT_KEYS = ["task", "subtask", "start_s", "end_s"]
+LANDMARKS = T.StructType([*fields(participant=_S, view=_S, task=_S, subtask=_S, start_s=_D, end_s=_D, frame_idx=_L).fields, *(T.StructField(p, POINTS) for p in PARTS)])
+CALIBRATION = fields(
+    participant=_S, pair=_S, retval=_D, left_mtx=DOUBLES, right_mtx=DOUBLES, left_dist=DOUBLES, right_dist=DOUBLES, R=DOUBLES, T=DOUBLES,
+    E=DOUBLES, F=DOUBLES, R1=DOUBLES, R2=DOUBLES, P1=DOUBLES, P2=DOUBLES, Q=DOUBLES, left_count=_L, right_count=_L,
+)
+POINTS_TABLE = T.StructType([*fields(participant=_S, pair=_S, task=_S, subtask=_S, start_s=_D, end_s=_D, frame_idx=_L).fields, *(T.StructField(p, POINTS_3D) for p in PARTS)])
 FRAME_RECORD = fields(timestamp=_D, frame_index=_L, face_presence=_I, gaze_vector=DOUBLES, head=fields(x=_D, y=_D), facial=POINTS, left_hand=POINTS, right_hand=POINTS, body=POINTS)
 OBSERVATION = fields(participant=_S, pair=_S, side=_S, frame_idx=_L, ids=T.ArrayType(_I), corners=POINTS)
 EXTENSION_VIDEO = (".mp4", ".mkv", ".avi", ".mov")

@@ -10,12 +10,18 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.schemas import ANNOTATION, CALIBRATION, EXTENSION_VIDEO, TASK_PLAN
+from viewloom.schemas import ANNOTATION, CALIBRATION, DOUBLES, EXTENSION_VIDEO, TASK_PLAN
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(os.environ.get("TMPDIR", "/tmp"), "viewloom-checkpoints")
+    """A new folder under the cluster's ``spark.checkpoint.dir``, or the context's checkpoint folder; a local one only where neither is set and the session is a local one."""
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if not root and context._jsc.sc().getCheckpointDir().isDefined():
+        root = context._jsc.sc().getCheckpointDir().get()
+    if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: tables between steps need a folder that all executors share")
+        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "viewloom-checkpoints")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -74,9 +80,13 @@ def write_landmarks(frames: DataFrame, path: str, sizes: dict[str, int]) -> None
 
 
 def read_calibrations(spark: SparkSession, glob: str) -> DataFrame:
-    """npz calibration files ``participant_pair.npz`` as one row each; arrays are flattened row by row."""
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    columns = {"left_mtx": "left_mtx", "right_mtx": "right_mtx", "left_dist": "left_dist", "right_dist": "right_dist", "R": "R", "T": "T"}
+    """npz calibration files ``participant_pair.npz`` as one row each with all their fields; arrays are flattened row by row, fields that a file lacks are null."""
+    return decode_calibrations(spark.read.format("binaryFile").load(glob).select("path", "content"))
+
+
+def decode_calibrations(files: DataFrame) -> DataFrame:
+    """``CALIBRATION`` rows of npz files (path, content)."""
+    arrays = [f.name for f in CALIBRATION if f.dataType == DOUBLES]
 
     def decode(batches: Iterator) -> Iterator:
         import numpy as np
@@ -89,8 +99,9 @@ def read_calibrations(spark: SparkSession, glob: str) -> DataFrame:
                     stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
                     who, _, pair = stem.partition("_")
                     row = {"participant": who, "pair": pair.removesuffix("_stereo"), "retval": float(z["retval"]) if "retval" in z else None}
-                    rows.append(row | {c: z[k].astype(float).ravel().tolist() if k in z else None for c, k in columns.items()})
-            yield pd.DataFrame(rows, columns=CALIBRATION.names)
+                    row |= {c: int(z[c]) if c in z else None for c in ("left_count", "right_count")}
+                    rows.append(row | {c: z[c].astype(float).ravel().tolist() if c in z else None for c in arrays})
+            yield pd.DataFrame(rows, columns=CALIBRATION.names).astype({c: "Int64" for c in ("left_count", "right_count")})
 
     return files.mapInPandas(decode, CALIBRATION)
 

@@ -4,30 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from viewloom.functions.frames import look_direction
-from viewloom.operators.catalog import pending
 
 
-def incremental_features(spark: SparkSession, source: str, schema, work: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, per_run: int = 100) -> StreamingQuery:
-    """Process the files that are new since the last run, ``per_run`` at a time, and append the results with their ``file``.
+def incremental_features(
+    spark: SparkSession, source: str, schema, work: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, per_run: int = 100, manifest: str | None = None
+) -> StreamingQuery:
+    """Process the files that are new since the last run, ``per_run`` at a time, and append the results with their ``file``, its whole path.
 
-    A run that is repeated after a failure appends nothing twice: files that the sink has already are left out.
+    Files are known by their paths, so equal names in different folders are different files.  The files done are listed in ``manifest`` (``sink`` + "_manifest"), so no batch reads the
+    sink as a whole; a run that is repeated after a failure between the two writes finds its own files in the sink and appends nothing twice.  ``work`` has to keep the column ``file``.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_run).parquet(source).withColumn("file", F.col("_metadata.file_name"))
+    manifest = manifest or sink.rstrip("/") + "_manifest"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_run).option("recursiveFileLookup", True).parquet(source).withColumn("file", F.col("_metadata.file_path"))
 
-    def write(batch: DataFrame, number: int) -> None:
-        own = batch.sparkSession
+    def files_in(session: SparkSession, path: str) -> DataFrame:
         try:
-            done = own.read.parquet(sink).select("file")
-        except Exception as e:  # the first run finds no sink
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
+            return session.read.schema("file string").parquet(path)
+        except AnalysisException as e:  # the first run finds nothing
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            done = own.createDataFrame([], "file string")
-        work(pending(batch, done)).write.mode("append").parquet(sink)
+            return session.createDataFrame([], "file string")
+
+    def write(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        listed = batch.select("file").distinct()
+        new = listed.join(files_in(own, manifest), "file", "left_anti")
+        new = new.join(files_in(own, sink).join(F.broadcast(listed), "file", "left_semi").distinct(), "file", "left_anti").persist()  # at most ``per_run`` paths
+        out = work(batch.join(F.broadcast(new), "file", "left_semi"))
+        if "file" not in out.columns:
+            raise ValueError("work has to keep the column file")
+        out.write.mode("append").parquet(sink)
+        listed.join(files_in(own, manifest), "file", "left_anti").write.mode("append").parquet(manifest)
+        new.unpersist()
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
