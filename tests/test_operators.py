@@ -38,12 +38,12 @@ def test_all_clips_get_their_frames(spark, sf_dir):
         of.setdefault(c[0], []).append(c)
     seen = fixtures.frames(spark, sf_dir).select("event_id", "participant", "media_t").collect()
     want = sorted((r["event_id"], *c) for r in seen for c in of.get(r["participant"], []) if c[2] <= r["media_t"] < c[3])
-    got = own(queries.queries()["j3_assign_segments_all"](spark, sf_dir))
+    got = own(queries.queries()["j3_assign_segments"](spark, sf_dir))
     assert got == want and len({g[2] for g in got}) > 3
 
 
 def test_all_videos_of_a_camera_are_checked(spark, sf_dir):
-    whole = queries.queries()["a5_camera_integrity_all"](spark, sf_dir)
+    whole = queries.queries()["a5_camera_integrity"](spark, sf_dir)
     assert sum(r["videos"] for r in whole.collect()) == fixtures.videos(spark, sf_dir).count()
 
 

@@ -313,18 +313,8 @@ def j2_join_stereo_frames(spark, sf_dir):
     return rows.select(*_FRAME, "part", "point", F.expr("p.l[0]").alias("lx"), F.expr("p.l[1]").alias("ly"), F.expr("p.r[0]").alias("rx"), F.expr("p.r[1]").alias("ry"), "retval")
 
 
-_CLIPS = "SELECT DISTINCT participant, subtask, start_s, end_s FROM fx_segments WHERE subtask IN ('CG', 'CS', 'FO')"
-
-
-@query(f"SELECT event_id, f.participant, subtask, media_t, start_s, end_s FROM fx_frames f JOIN ({_CLIPS}) s ON s.participant = f.participant AND media_t >= start_s AND media_t < end_s", "fx_frames", "fx_segments")
+@query("SELECT event_id, f.participant, subtask, media_t, start_s, end_s FROM fx_frames f JOIN (SELECT DISTINCT participant, subtask, start_s, end_s FROM fx_segments) s ON s.participant = f.participant AND media_t >= start_s AND media_t < end_s", "fx_frames", "fx_segments")
 def j3_assign_segments(spark, sf_dir):
-    clips = fx.segments(spark, sf_dir).where(F.col("subtask").isin("CG", "CS", "FO")).select("participant", "subtask", "start_s", "end_s").distinct()
-    return ann.assign_segments(fx.frames(spark, sf_dir).select("event_id", "participant", "media_t"), clips, ["participant"]).select("event_id", "participant", "subtask", "media_t", "start_s", "end_s")
-
-
-@query()
-def j3_assign_segments_all(spark, sf_dir):
-    """The clips of all subtasks; a range join without time buckets is too slow for SQL here."""
     clips = fx.segments(spark, sf_dir).select("participant", "subtask", "start_s", "end_s").distinct()
     return ann.assign_segments(fx.frames(spark, sf_dir).select("event_id", "participant", "media_t"), clips, ["participant"]).select("event_id", "participant", "subtask", "media_t", "start_s", "end_s")
 
@@ -492,23 +482,14 @@ def a4_single_views(spark, sf_dir):
     return _by_view(ann.frame_count_consistency(fx.segments(spark, sf_dir))[2])
 
 
-_CAMERA = f"""SELECT participant, view, count(*) AS videos, count(DISTINCT fps) AS fps_values, count(DISTINCT duration_s) AS duration_values, CASE WHEN count(DISTINCT fps) = 1 THEN min(fps) END AS fps,
-  CASE WHEN count(DISTINCT duration_s) = 1 THEN min(duration_s) END AS duration_s, CASE WHEN count(DISTINCT fps) = 1 AND count(DISTINCT duration_s) = 1 THEN 'single' ELSE 'review' END AS status FROM {_DURATION} GROUP BY participant, view"""
-
-
-def _coarse(spark, sf_dir):
-    """Videos whose frame counts are few, so that cameras with one value exist."""
-    v = fx.videos(spark, sf_dir)
-    return v.where("video in ('BIAH_BS.mp4', 'BIAH_BV.mp4')").withColumns({"frame_count": F.col("frame_count") % 2 * 30 + 300, "fps": F.col("fps")})
-
-
-_COARSE = """SELECT participant, view, video, fps, frame_count, frame_count / fps AS duration_s FROM (SELECT participant, view, video, fps, frame_count % 2 * 30 + 300 AS frame_count FROM fx_videos WHERE video IN ('BIAH_BS.mp4', 'BIAH_BV.mp4'))"""
-_CAMERA = _CAMERA.replace(_DURATION, f"({_COARSE})")
+_CAMERA = """SELECT participant, view, count(*) AS videos, count(DISTINCT fps) AS fps_values, count(DISTINCT duration_s) AS duration_values, CASE WHEN count(DISTINCT fps) = 1 THEN min(fps) END AS fps,
+  CASE WHEN count(DISTINCT duration_s) = 1 THEN min(duration_s) END AS duration_s, CASE WHEN count(DISTINCT fps) = 1 AND count(DISTINCT duration_s) = 1 THEN 'single' ELSE 'review' END AS status
+  FROM (SELECT *, CASE WHEN fps <> 0 THEN frame_count / fps ELSE 0.0::DOUBLE END AS duration_s FROM fx_videos) GROUP BY participant, view"""
 
 
 @query(_CAMERA, "fx_videos")
 def a5_camera_integrity(spark, sf_dir):
-    return catalog.camera_integrity(frames.with_duration(_coarse(spark, sf_dir)))
+    return catalog.camera_integrity(frames.with_duration(fx.videos(spark, sf_dir)))
 
 
 @query(
@@ -517,23 +498,6 @@ def a5_camera_integrity(spark, sf_dir):
     "fx_videos",
 )
 def a6_compare_cameras(spark, sf_dir):
-    return catalog.compare_cameras(frames.with_duration(_coarse(spark, sf_dir)))
-
-
-_CAMERA_ALL = _CAMERA.replace(_COARSE, "SELECT *, CASE WHEN fps <> 0 THEN frame_count / fps ELSE 0.0::DOUBLE END AS duration_s FROM fx_videos")
-
-
-@query(_CAMERA_ALL, "fx_videos")
-def a5_camera_integrity_all(spark, sf_dir):
-    return catalog.camera_integrity(frames.with_duration(fx.videos(spark, sf_dir)))
-
-
-@query(
-    f"""WITH c AS ({_CAMERA_ALL}) SELECT a.participant, CASE WHEN a.status = 'review' OR b.status = 'review' THEN 'review' WHEN a.fps <> b.fps AND a.duration_s <> b.duration_s THEN 'both' WHEN a.fps <> b.fps THEN 'fps'
-  WHEN a.duration_s <> b.duration_s THEN 'duration' ELSE 'none' END AS outcome FROM c a JOIN c b USING (participant) WHERE a.view = 'CAM_LL' AND b.view = 'CAM_LR'""",
-    "fx_videos",
-)
-def a6_compare_cameras_all(spark, sf_dir):
     return catalog.compare_cameras(frames.with_duration(fx.videos(spark, sf_dir)))
 
 
@@ -555,9 +519,9 @@ def a9_distinct_labels(spark, sf_dir):
     return catalog.distinct_labels(fx.videos(spark, sf_dir))
 
 
-@query("SELECT view, sum(CASE WHEN bytes < 100000 AND view <> 'CAM_UR' THEN 1 ELSE 0 END)::BIGINT AS corrupt FROM fx_segments GROUP BY view", "fx_segments")
+@query("SELECT view, sum(CASE WHEN bytes < 100000 THEN 1 ELSE 0 END)::BIGINT AS corrupt FROM fx_segments GROUP BY view", "fx_segments")
 def a10_corrupt_segments(spark, sf_dir):
-    return catalog.corrupt_segments(fx.segments(spark, sf_dir).where("view <> 'CAM_UR'"))[1]
+    return catalog.corrupt_segments(fx.segments(spark, sf_dir))[1]
 
 
 @query(
