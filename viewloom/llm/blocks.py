@@ -28,6 +28,7 @@ from viewloom.llm.text import narrow, sample, slices
 
 PATH, WORDS, MEASURES = 256, 32, 6
 WIDTH = PATH + WORDS + MEASURES
+HIDDEN = 0.25
 #: A quote counts after '=' alone; where the quoted values leave no '>', a tag ends at its first one.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+(?:"[^"]*"|'[^']*')|[^>])*+|[^>]*+)>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -158,8 +159,9 @@ def vector(block: Block, order: float) -> np.ndarray:
     for k, name in enumerate(reversed(block.path)):
         out[zlib.crc32(name.encode()) % PATH] = max(out[zlib.crc32(name.encode()) % PATH], 1.0 if k < 12 else 0.5)
     words = block.text.split(" ")
-    for w in words[:8] + words[-8:]:
-        out[PATH + zlib.crc32(w.lower().encode()) % WORDS] += 0.125
+    # all words count, by their share; short blocks weigh less
+    hashed = np.bincount([zlib.crc32(w) % WORDS for w in block.text.lower().encode().split(b" ")], minlength=WORDS)
+    out[PATH : PATH + WORDS] = hashed * (2.0 / max(8, len(words)))
     ends = sum(w[-1] in ".!?:;," for w in words)
     out[PATH + WORDS :] = (np.log1p(len(words)) / 5, block.linked, ends / len(words), order, block.text[-1] in ".!?\"'", len(block.text) / len(words) / 20)
     return out
@@ -170,7 +172,11 @@ def vectors(page: list[Block]) -> np.ndarray:
 
 
 def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
-    """A copy of a page with containers renamed and boilerplate put in, and the labels of its blocks."""
+    """A copy of a page with containers renamed and boilerplate put in, and the labels of its blocks.
+
+    In a share ``HIDDEN`` of the copies no container has a telling name, so words, links, measures and neighbours have to decide.
+    """
+    hidden = rng.random() < HIDDEN
     label = [teacher(b) for b in page]
     main = [i for i, y in enumerate(label) if y == 1]
     out, labels = [], []
@@ -178,6 +184,8 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
     outside = [str(rng.choice(OTHER)) for _ in range(4)]
 
     def tags(names: list[str]) -> tuple[str, ...]:
+        if hidden:
+            return ("div",) * len(names)
         return tuple(x for n in names for x in (("div", str(n)) if n[0] == "#" else (str(n),)))
 
     for i, (b, y) in enumerate(zip(page, label, strict=True)):
@@ -190,7 +198,7 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
         else:
             out.append(b)
         labels.append(y)
-    for name in outside[2:]:
+    for name in [] if hidden else outside[2:]:
         # texts that read like main text, in a place that is not: beside it or inside its container
         many = int(rng.integers(1, 6))
         at = int(rng.integers(0, len(out) + 1))
