@@ -274,3 +274,98 @@ def test_other_pages(spark):
     df = spark.createDataFrame([(1, "u", None), (2, "u", ""), (3, "u", page), (3, "u", page)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert [r["text"] for r in blocks.extract(df, model, ["page_id"]).orderBy("page_id").collect()][:2] == ["", ""]
     assert blocks.extract(df.limit(0), None, ["page_id"]).count() == 0 and blocks.train(df.limit(0)) is None
+
+
+def test_quality_scores_by_hand(spark):
+    import zstandard as zstd
+
+    docs_, known = spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    model = compression.train(docs_, known)
+    press = [zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(d), level=3, write_content_size=False, write_dict_id=False) for d in (model.good, model.bad)]
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs_.collect()}
+    for r in compression.score(docs_, model, ["doc_id"]).collect():
+        t = texts[r["doc_id"]]
+        g, b = (sum(len(p.compress(t[i : i + 2048])) for i in range(0, len(t), 2048)) for p in press)
+        difference = (b - g) / (b + g) if t else 0.0
+        assert r["difference"] == pytest.approx(difference, abs=1e-12)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(model.weight * difference + model.offset))), abs=1e-9)
+
+
+def test_toxicity_scores_by_hand(spark, sf_dir):
+    import re
+
+    from viewloom.llm.text import value_of
+
+    docs_ = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    model = toxicity.Model(np.random.default_rng(4).standard_normal(toxicity.LEVELS << toxicity.BITS) / 50, -1.0, 1.5, 0.25)
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs_.collect()}
+    apart = bytes(np.flatnonzero(toxicity.APART).astype(np.uint8))
+    for r in toxicity.score(docs_, model, ["doc_id"]).collect():
+        counts = Counter()
+        for w in re.findall(b"[^" + re.escape(apart) + b"]+", texts[r["doc_id"]]):
+            for k in (None, 4, 5, 6, 7):
+                if k is None or len(w) > k:
+                    counts[value_of(w[:k]) * (2 * (k or 0) + 1) % 2**64 >> 64 - toxicity.BITS] += 1
+        raw = sum(model.weights[f * 3 + n] for f, c in counts.items() for n in range(min(c, 3))) - 1.0
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(1.5 * raw + 0.25))), abs=1e-9)
+
+
+def test_pu_risk_by_hand():
+    rng = np.random.default_rng(1)
+    pos, unl = ([np.unique(rng.integers(0, 30, 5)) for _ in range(n)] for n in (20, 50))
+    prior = 0.3
+    b = float(np.log(prior / (1 - prior)))
+    loss = lambda x: float(np.log1p(np.exp(-x)))
+    first = prior * loss(b) + max(0.0, loss(-b) - prior * loss(-b))  # all weights are 0 at first
+    model = toxicity.fit(pos, unl, prior, size=30, rounds=40, least=1)
+    assert model.loss[0] == pytest.approx(first)
+    # another round would begin from the model's own risk
+    g = lambda rows: [model.weights[u].sum() + model.offset for u in rows]
+    risk = prior * np.mean([loss(x) for x in g(pos)]) + max(0.0, np.mean([loss(-x) for x in g(unl)]) - prior * np.mean([loss(-x) for x in g(pos)]))
+    assert toxicity.fit(pos, unl, prior, size=30, rounds=41, least=1).loss[40] == pytest.approx(risk)
+
+
+def test_windows_hold_every_move_once():
+    flat, starts = np.arange(400), np.array([0, 1, 1, 65, 129, 400])
+    moves, firsts, tokens_ = Counter(), 0, Counter()
+    for ids, first in hmm.in_windows(flat, starts):
+        firsts += int(first.sum())
+        for row, is_first in zip(ids, first, strict=True):
+            assert (np.diff(row) == 1).all()
+            moves.update(row[:-1].tolist())
+            tokens_.update((row if is_first else row[1:]).tolist())
+    assert firsts == 4 and set(tokens_.values()) == {1} and len(tokens_) == 400
+    assert moves == Counter(set(range(400)) - {int(s) - 1 for s in starts[1:]})
+
+
+def test_search_beyond_the_sample(spark):
+    # the index is fitted on, and first bounds come from, far fewer vectors than there are
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((40, 24))
+    x = centres[rng.integers(0, 40, 6000)] + 0.5 * rng.standard_normal((6000, 24))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    build, bound = ann.build, ann.BOUND
+    try:
+        ann.build = lambda *a, **k: build(*a, **k, most=500)
+        ann.BOUND = 100
+        got = ann.search(df, F.col("vec_id") % 20 == 0, cell=256).collect()
+    finally:
+        ann.build, ann.BOUND = build, bound
+    by = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = exact([(i, v) for i, v in enumerate(x)])
+    assert by.keys() == want.keys() and sum(len(set(by[q]) & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_blocks_without_telling_names():
+    rng = np.random.default_rng(3)
+    words = lambda kind, n: " ".join(f"{kind}{k}" for k in rng.integers(0, 30, n))
+    page = lambda: f"<body><nav><li><a>{words('menu', 2)}</a></li></nav><article><h1>{words('Head', 4)}</h1><p>{words('text', 30)}.</p><p>{words('text', 25)}.</p></article><footer>{words('foot', 3)}</footer></body>"
+    model = blocks.fit([blocks.blocks(page()) for _ in range(80)])
+    right = total = 0
+    for _ in range(30):
+        own = blocks.blocks(page().replace("nav", "div").replace("article", "div").replace("footer", "div"))
+        p = model.probabilities([blocks.vectors(own)])[0] >= 0.5
+        right, total = right + int((p == np.array([False, True, True, True, False])).sum()), total + len(own)
+    assert right >= 0.9 * total

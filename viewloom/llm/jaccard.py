@@ -333,12 +333,13 @@ def passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def opened(cell: DataFrame, first: DataFrame) -> DataFrame:
-    """(key, node, root) of the cells that still hold several components.
+    """(key, node, root) of the cells that still hold several components, and pairs that the stars didn't meet: in a cell of ``LEADERS`` + 1 nodes or fewer every pair has a leader.
 
     Cells with the same smallest and the same largest node, as the shingles of a shared passage give by the dozen, become one cell; where that would be more than twice as large as the
     largest of them, they stay as they are.
     """
-    member = cell.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    large = cell.groupBy("key").agg(F.count("*").alias("c"), F.max("part").alias("part")).where((F.col("c") > LEADERS + 1) | (F.col("part") >= 0)).select("key")
+    member = cell.select("key", "node").join(large, "key").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     several = (
         member.groupBy("key")
         .agg(F.count("*").alias("c"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("root").alias("r"), F.max("root").alias("s"))
@@ -473,12 +474,15 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     rows, sketch = S.split_rows(spark, units, names, ", ".join(f"{k} long" for k in names), docs)
     held = spark.sparkContext.broadcast(sketch)
     nodes = kept(keyed(docs, held))
+    held.destroy()
+    del sketch, held
     release(spark)
     folder = shared_folder(spark)
     for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
         cells(nodes, i, PARTS).write.mode("append").parquet(folder)
         release(spark)
     cell = spark.read.schema(CELL).parquet(folder)
+    cell._kept_in = folder
     candidates = kept(passing(stars(cell), nodes))
     links = checked(docs, candidates)
     forget(spark, candidates)

@@ -538,6 +538,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         candidates(nodes, crowd, buckets, i, PARTS).write.mode("append").parquet(folder)
         release(spark)
     found = spark.read.schema("bucket int, pairs binary").parquet(folder)
+    found._kept_in = folder
     pairs = kept(best(found))
     forget(spark, found)
     side = lambda p, s: p.select(*(F.col(f"{s}{c[0]}").alias(c) for c in PLACE.names))

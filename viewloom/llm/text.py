@@ -176,7 +176,10 @@ CACHES: dict[str, object] = {}
 
 
 def narrow(spark: SparkSession, rows: int = 2000) -> None:
-    """Rows of whole texts are wide: Arrow batches of ``rows`` at most keep a task's memory small.  A smaller number that is set stays."""
+    """Rows of whole texts are wide: Arrow batches of ``rows`` at most keep a task's memory small.  A smaller number that is set stays.
+
+    The setting stays for the session, as the operators' results are read after they return.
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > rows:
         spark.conf.set(name, str(rows))
@@ -208,14 +211,16 @@ def sample(rows: DataFrame, most: int, seed: int = 0) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under the cluster's ``spark.checkpoint.dir``, or the context's checkpoint folder; a local one only where neither is set and the session is a local one."""
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        held = context._jsc.sc().getCheckpointDir()
         if held.isDefined():
             root = held.get()
-        else:
+        elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
             root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "viewloom-checkpoints")
+        else:
+            raise RuntimeError("spark.checkpoint.dir is not set: tables between steps need a folder that all executors share")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -224,7 +229,9 @@ def kept(df: DataFrame, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = folder or shared_folder(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept_in = path
+    return out
 
 
 def release(spark: SparkSession) -> None:
@@ -237,9 +244,9 @@ def release(spark: SparkSession) -> None:
 def forget(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove tables written by ``kept`` once nothing reads them any more."""
     jvm = spark.sparkContext._jvm
-    for df in frames:
-        for f in {os.path.dirname(x) for x in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(f)
+    for folder in (getattr(df, "_kept_in", None) for df in frames):
+        if folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
