@@ -338,7 +338,9 @@ def test_windows_hold_every_move_once():
     assert moves == Counter(set(range(400)) - {int(s) - 1 for s in starts[1:]})
 
 
-def test_search_beyond_the_sample(spark):
+@pytest.mark.parametrize("first_lists", [4096, 24])
+def test_search_beyond_the_sample(spark, first_lists, monkeypatch):
+    monkeypatch.setattr(ann, "FIRST_LISTS", first_lists)
     # the index is fitted on, and first bounds come from, far fewer vectors than there are
     rng = np.random.default_rng(11)
     centres = rng.standard_normal((40, 24))

@@ -2,7 +2,8 @@
 
 Largest inner products become smallest distances by one more dimension that lifts every vector to the same length.
 Vectors are rotated by a random orthogonal matrix and dealt to lists around k-means centroids, which are fitted on a bounded sample; every
-vector is indexed.  A query scans the lists whose centroids are nearest, one block of columns at a time: after each block, a candidate's partial
+vector is indexed.  The number of lists grows with the square root of the number of vectors: beyond ``FIRST_LISTS`` centroids, each list is parted by the nearest of several centroids of what
+is left of vectors once their own is taken away, which all lists share.  A query scans the lists whose centroids are nearest, one block of columns at a time: after each block, a candidate's partial
 distance, scaled to all dimensions, is tested against the distance of the worst neighbour so far, and the candidate is abandoned when the hypothesis that it
 belongs among the neighbours is rejected.  Lists are scanned one after the other, nearest first, and the worst neighbour so far is carried from list to list; it starts from a bound that
 at most ``BOUND`` of the sampled vectors give.  Survivors get their score from the original vectors in double precision.
@@ -28,6 +29,8 @@ from viewloom.llm.text import kept
 
 #: Sampled vectors that give queries their first bound, and queries that meet a cell's vectors in one task.
 BOUND, QUERIES = 1000, 2048
+#: Lists around centroids of the vectors themselves, and lists in all.
+FIRST_LISTS, MOST_LISTS = 4096, 1 << 18
 
 
 @dataclass
@@ -38,6 +41,11 @@ class Index:
     sample: np.ndarray  # original vectors, and their ids
     ids: np.ndarray
     lists: np.ndarray  # and the list of each
+    fine: np.ndarray  # centroids of what is left, a row of zeros if lists aren't parted
+
+    @property
+    def n_lists(self) -> int:
+        return len(self.centroids) * len(self.fine)
 
     def kth(self, q: np.ndarray, own: np.ndarray, near: np.ndarray, k: int) -> np.ndarray:
         """For each query the k-th largest inner product among the sampled vectors of the lists it probes, its own row left out; -inf for fewer.
@@ -49,7 +57,7 @@ class Index:
         if len(sample) <= k:
             return out
         for i in range(0, len(q), 256):
-            probed = np.zeros((len(q[i : i + 256]), len(self.centroids)), bool)
+            probed = np.zeros((len(q[i : i + 256]), self.n_lists), bool)
             np.put_along_axis(probed, near[i : i + 256], True, 1)
             inner = q[i : i + 256] @ sample.T
             inner[~probed[:, lists] | (own[i : i + 256, None] == ids)] = -np.inf
@@ -61,15 +69,27 @@ class Index:
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest - (x**2).sum(1), 0))
         return np.column_stack([x, more]) @ self.rotation
 
-    def ranked(self, x: np.ndarray) -> np.ndarray:
-        """All lists of each vector, nearest first."""
-        return np.argsort((self.centroids**2).sum(1) - 2 * x @ self.centroids.T, axis=1, kind="stable")
-
-    def near(self, x: np.ndarray, n: int) -> np.ndarray:
-        """The ``n`` nearest lists of each vector."""
-        n = min(n, len(self.centroids))
-        far = (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
-        return np.argpartition(far, n - 1, axis=1)[:, :n] if n < len(self.centroids) else np.tile(np.arange(n), (len(x), 1))
+    def far(self, x: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Squared distance, less the vector's own length, of each vector to the lists of its given first centroids (vectors x firsts x parts)."""
+        c, f = self.centroids, self.fine
+        own = (c**2).sum(1)[firsts] - 2 * np.take_along_axis(x @ c.T, firsts, 1)
+        return own[:, :, None] + 2 * (c @ f.T)[firsts] + (f**2).sum(1) - 2 * (x @ f.T)[:, None, :]
+
+    def ranked(self, x: np.ndarray, most: int | None = None) -> np.ndarray:
+        """The lists of each vector, nearest first: those of its ``most`` nearest first centroids, or all."""
+        m, n = len(self.fine), len(self.centroids)
+        firsts = np.tile(np.arange(n), (len(x), 1))
+        if most is not None and most < n:
+            firsts = np.argpartition((self.centroids**2).sum(1) - 2 * x @ self.centroids.T, most - 1, axis=1)[:, :most]
+            firsts.sort(1)
+        order = np.argsort(self.far(x, firsts).reshape(len(x), -1), axis=1, kind="stable")
+        return np.take_along_axis((firsts[:, :, None] * m + np.arange(m)).reshape(len(x), -1), order, 1)
+
+    def own_list(self, x: np.ndarray) -> np.ndarray:
+        """The list of each vector: the nearest first centroid, and the nearest of the others to what is left."""
+        first = ((self.centroids**2).sum(1) - 2 * x @ self.centroids.T).argmin(1)
+        left = x - self.centroids[first]
+        return first * len(self.fine) + ((self.fine**2).sum(1) - 2 * left @ self.fine.T).argmin(1)
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -93,25 +113,32 @@ def build(vectors: DataFrame, lists: int, k: int, reach: float, most: int = 20_0
     x = np.array([r for r, _ in rows if len(r) == width]).reshape(-1, width)
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((width + 1, width + 1)))
-    index = Index(rotation, np.zeros((1, width + 1)), float(longest or 0.0), x, np.array([v for r, v in rows if len(r) == width]), np.zeros(len(x), int))
-    if len(x):
-        z = np.unique(index.lifted(x).round(12), axis=0)
-        centres = z[rng.choice(len(z), min(lists, len(z)), replace=False)]
+    index = Index(rotation, np.zeros((1, width + 1)), float(longest or 0.0), x, np.array([v for r, v in rows if len(r) == width]), np.zeros(len(x), int), np.zeros((1, width + 1)))
+
+    def means(z: np.ndarray, many: int) -> np.ndarray:
+        centres = z[rng.choice(len(z), min(many, len(z)), replace=False)]
         for _ in range(rounds):
             of = ((centres**2).sum(1) - 2 * z @ centres.T).argmin(1)
             sums, n = np.zeros_like(centres), np.bincount(of, minlength=len(centres))
             np.add.at(sums, of, z)
             centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
-        index.centroids = centres
+        return centres
+
+    if len(x):
+        z = np.unique(index.lifted(x).round(12), axis=0)
+        index.centroids = means(z, min(lists, FIRST_LISTS))
+        if lists > FIRST_LISTS and len(index.centroids) == FIRST_LISTS:
+            first = ((index.centroids**2).sum(1) - 2 * z @ index.centroids.T).argmin(1)
+            index.fine = means(z - index.centroids[first], -(-lists // FIRST_LISTS))
     if len(x) < 2:
         return index, width, 1
-    z, asked = index.lifted(x), rng.choice(len(x), min(256, len(x)), replace=False)
+    z, asked = index.lifted(x), rng.choice(len(x), min(256, len(x), max(16, (1 << 22) // index.n_lists)), replace=False)
     inner = x[asked] @ x.T
     inner[np.arange(len(asked)), asked] = -np.inf
     k = min(k, len(x) - 1)
     nearest_k = np.argpartition(-inner, k - 1, axis=1)[:, :k]
-    place = np.argsort(np.argsort((index.centroids**2).sum(1) - 2 * index.lifted(x[asked], True) @ index.centroids.T, axis=1), axis=1)
-    of = index.lists = index.near(z, 1)[:, 0]
+    place = np.argsort(index.ranked(index.lifted(x[asked], True)), axis=1)
+    of = index.lists = index.own_list(z)
     ranks = np.sort(np.take_along_axis(place, of[nearest_k], 1).ravel())
     return index, width, int(ranks[min(len(ranks) - 1, int(np.ceil(reach * len(ranks))))]) + 1
 
@@ -160,13 +187,13 @@ def cells(counts: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]
 def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: float = 0.95, vec_id: str = "vec_id", embedding: str = "embedding", seed: int = 0) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for every query row, among all other rows.
 
-    There are twice as many lists as the square root of the number of vectors, 4,096 at most.  Lists share cells of about ``cell`` vectors, and a list of
+    There are twice as many lists as the square root of the number of vectors, ``MOST_LISTS`` at most.  Lists share cells of about ``cell`` vectors, and a list of
     more is cut into several by a hash of the id, so no task holds a crowded list; a query goes to each cell that has a list it probes.
     """
     spark = vectors.sparkSession
     rows = kept(usable(vectors, vec_id, embedding))
     n = rows.count()
-    index, width, n_probe = build(rows, int(np.clip(round(2 * np.sqrt(n)), 1, 4096)), k, reach, seed=seed)
+    index, width, n_probe = build(rows, int(np.clip(round(2 * np.sqrt(n)), 1, MOST_LISTS)), k, reach, seed=seed)
     held = spark.sparkContext.broadcast(index)
     rows = rows.where(F.size("e") == width)
 
@@ -174,12 +201,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
         for b in batches:
             if len(b):
                 x = held.value.lifted(np.array(b["e"].tolist()))
-                yield pd.DataFrame({"vec_id": b["vec_id"], "e": b["e"], "list": held.value.near(x, 1)[:, 0].astype(np.int32)})
+                yield pd.DataFrame({"vec_id": b["vec_id"], "e": b["e"], "list": held.value.own_list(x).astype(np.int32)})
 
     listed = kept(rows.mapInPandas(assign, "vec_id long, e array<double>, list int"))
     counts = [(r["list"], r["count"]) for r in listed.groupBy("list").count().collect()]  # a row for each list
     dealt = cells(counts, cell)
-    sizes = np.zeros(len(index.centroids), np.int64)
+    sizes = np.zeros(index.n_lists, np.int64)
+    # first centroids whose lists a query ranks: enough for several times the lists it probes
+    firsts = max(64, -(-8 * n_probe // len(index.fine))) if len(index.fine) > 1 else None
     for name, many in counts:
         sizes[name] = many
     where = spark.sparkContext.broadcast({name: range(first, first + own) for name, first, own in dealt})
@@ -188,7 +217,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
         for b in batches:
             if len(b):
                 e = np.array(b["e"].tolist())
-                order = held.value.ranked(held.value.lifted(e, True))
+                order = held.value.ranked(held.value.lifted(e, True), firsts)
                 near = order[:, :n_probe]
                 # lists enough for k candidates and more, even where the nearest ones are almost empty
                 enough = (np.cumsum(sizes[order], 1) < 2 * k + 2).sum(1) + 1
