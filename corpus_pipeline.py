@@ -66,7 +66,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     hashed = docs.select(*COLUMNS, F.xxhash64("text").alias("_hash"))
     mixed = mixing.mix(hashed, keys=["_hash"]).where("taken > 0")
     # rows equal in id and text share what they take
-    times = mixed.groupBy("doc_id", "_hash").agg(F.sum(F.expr("taken div size")).cast("int").alias("_times"), F.max("_copy").alias("_of"))
+    times = mixed.groupBy("doc_id", "_hash").agg(F.sum(F.expr("taken div size")).cast("int").alias("_times"), F.count("*").alias("_of"))
     times = kept(times.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "_times", "_of"))
     if times.where("_of > 1").limit(1).count():
         hashed = hashed.dropDuplicates(["doc_id", "_hash"])
