@@ -115,6 +115,7 @@ def test_lines_of_near_copies(spark, near, block, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(i, "\n".join([t, " ".join(rng.choice(list("abcdefghijklm"), 14)), "short line"])) for i, t in near]
     monkeypatch.setattr(lines, "BLOCK", block)
+    monkeypatch.setattr(lines, "FOUND_AT_ONCE", 50 if block == 16 else 1 << 21)
     got = removed_by(lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(3)))
     assert got == removed(rows)
 

@@ -37,6 +37,7 @@ MOST_CROWDED = 1_000_000
 PARTS = 3
 WIDE, WIDE_WORDS = 192, 8
 HELD = 150_000
+FOUND_AT_ONCE = 1 << 21
 
 PLACE = np.dtype([("doc", "<i8"), ("hash", "<i8"), ("line", "<i4")])
 NODE = np.dtype([("a", "<u8"), ("b", "<u8"), *((c, PLACE[c]) for c in PLACE.names), ("n", "<i4"), ("p", "<u8"), ("q", "<u8"), ("k", "<i4")])
@@ -338,13 +339,25 @@ def candidates(nodes: DataFrame, crowd, buckets: int, part: int, parts: int) ->
 
     def work(rows: np.ndarray, wide: np.ndarray) -> pa.RecordBatch | None:
         cells = Cells(rows, wide)
-        found = [np.column_stack(x) for x in cells.pairs()]
+
+        def first(found: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+            got = np.concatenate(found)
+            x, y, differ = got.T
+            got = got[np.lexsort((cells.rows["hash"][y], cells.rows["line"][y], cells.rows["doc"][y], differ, x))]
+            at, more = leading((got[:, 0],), got[:, 2], most)
+            return got[at], more
+
+        found, many = [], 0
+        for pair in cells.pairs():
+            found.append(np.column_stack(pair))
+            many += len(found[-1])
+            if many > FOUND_AT_ONCE:  # of a crowded cell's pairs, those that may count are kept, and one more to tell that there are more
+                found = [first(found, CELL_FIRST + 1)[0]]
+                many = len(found[0])
         if not found:
             return None
-        x, y, differ = np.concatenate(found).T
-        order = np.lexsort((cells.rows["hash"][y], cells.rows["line"][y], cells.rows["doc"][y], differ, x))
-        at, more = leading((x[order],), differ[order], CELL_FIRST)
-        x, y, differ = x[order][at], y[order][at], differ[order][at]
+        got, more = first(found, CELL_FIRST)
+        x, y, differ = got.T
         out = np.empty(len(x), PAIR)
         for c, of in (("x", x), ("y", y)):
             out[f"{c}d"], out[f"{c}h"], out[f"{c}l"] = (cells.rows[k][of] for k in PLACE.names)
