@@ -2,7 +2,7 @@
 
 Two dictionaries are trained on a bounded sample of labelled texts.  A text is cut into blocks; each block is
 compressed alone with either dictionary, so that the dictionary keeps its weight in long texts.  The difference of the two
-summed sizes over their sum is the one input of a logistic regression, on labelled texts that the dictionaries have not seen; its probability of label 1 is the score.
+summed sizes over the text's size is the one input of a logistic regression, on labelled texts that the dictionaries have not seen; its probability of label 1 is the score.
 
 The sample is fitted in one task (it is bounded by ``most`` texts of each label and ``most_chars`` characters a text), so no text goes to the driver.
 
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from viewloom.llm.text import column_bytes, narrow, sample, slices, trim
 
-BLOCK = 2048
+BLOCK = 512
 
 
 @dataclass
@@ -54,7 +54,7 @@ class Model:
                 block = text[i : i + BLOCK]
                 g += len(good.compress(block))
                 b += len(bad.compress(block))
-            return (b - g) / (b + g) if text else 0.0
+            return (b - g) / len(text) if text else 0.0
 
         return normalised
 
