@@ -5,8 +5,8 @@ Vectors are rotated by a random orthogonal matrix and dealt to lists around k-me
 vector is indexed.  The number of lists grows with the square root of the number of vectors: beyond ``FIRST_LISTS`` centroids, each list is parted by the nearest of several centroids of what
 is left of vectors once their own is taken away, which all lists share.  A query scans the lists whose centroids are nearest, one block of columns at a time: after each block, a candidate's partial
 distance, scaled to all dimensions, is tested against the distance of the worst neighbour so far, and the candidate is abandoned when the hypothesis that it
-belongs among the neighbours is rejected.  Lists are scanned one after the other, nearest first, and the worst neighbour so far is carried from list to list; it starts from a bound that
-at most ``BOUND`` of the sampled vectors give.  Survivors get their score from the original vectors in double precision.
+belongs among the neighbours is rejected.  Lists are scanned one after the other, nearest first, and the worst neighbour so far is carried from list to list and from the nearest list's cell to
+the other cells; it starts from a bound that at most ``BOUND`` of the sampled vectors give.  Survivors get their score from the original vectors in double precision.
 
 A list is cut into blocks of bounded size by a hash of the id, so a crowded list is many tasks' work, and the queries of a cell into blocks of about ``QUERIES``; each pair of blocks gives its own nearest, which are merged by query.
 
@@ -233,12 +233,15 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
                     to.append(own)
                 times = [len(x) for x in to]
                 yield pd.DataFrame(
-                    {"to_cell": [c for x in to for c in x], "query": b["vec_id"].repeat(times), "q": b["e"].repeat(times), "least": least.repeat(times), "lists": [v for x in to for v in x.values()]}
-                )
+                    {
+                        "to_cell": [c for x in to for c in x], "query": b["vec_id"].repeat(times), "q": b["e"].repeat(times), "least": least.repeat(times),
+                        "lists": [v for x in to for v in x.values()], "home": [i == 0 for x in to for i in range(len(x))],
+                    }
+                )
 
     places = F.broadcast(spark.createDataFrame(dealt or [(0, 0, 1)], "list int, first int, own int"))
     placed = listed.join(places, "list").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("own"))).cast("int").alias("cell"), "vec_id", "e", "list")
-    asked = rows.where(is_query).mapInPandas(probes, "to_cell int, query long, q array<double>, least double, lists array<int>")
+    asked = rows.where(is_query).mapInPandas(probes, "to_cell int, query long, q array<double>, least double, lists array<int>, home boolean")
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -267,9 +270,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True))).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     asked = kept(asked)
-    blocks = asked.groupBy("to_cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
-    asked = asked.join(blocks, "to_cell").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int")).drop("blocks")
-    placed = placed.join(blocks.withColumnRenamed("to_cell", "cell"), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    found = placed.groupBy("cell", "block").cogroup(asked.groupBy("to_cell", "block")).applyInPandas(scan, "query_id long, vec_id long, score double")
+
+    def meet(asking: DataFrame) -> DataFrame:
+        """The nearest of each cell for the queries that ask it."""
+        blocks = asking.groupBy("to_cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+        own = asking.join(blocks, "to_cell").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int")).drop("blocks", "home")
+        there = placed.join(blocks.withColumnRenamed("to_cell", "cell"), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        return there.groupBy("cell", "block").cogroup(own.groupBy("to_cell", "block")).applyInPandas(scan, "query_id long, vec_id long, score double")
+
+    # the cell of the nearest list first: its k-th score is where the other cells' lists begin
+    near_by = kept(meet(asked.where("home")))
+    kth = near_by.groupBy(F.col("query_id").alias("query")).agg((F.min("score") - 1e-9).alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k).drop("n")
+    others = asked.where("not home").join(kth, "query", "left").withColumn("least", F.greatest("least", "kth")).drop("kth")
+    found = near_by.unionByName(meet(others.select(asked.columns)))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
