@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import ann, blocks, compression, hmm, jaccard, lines, mixing, packing, rules, toxicity
+from viewloom.llm import ann, blocks, compression, hmm, jaccard, lines, merkle, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -87,7 +87,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing, op10_line_dedup)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = {name: F.col(name).cast("string") for name in merkle.FIELDS}
+    more = values | {"n_chars": (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")}
+    shown = F.when(remainder(7) == 0, merkle.leaf(list(more.values())))
+    leaves = docs.select("doc_id", "lang", merkle.leaf(list(values.values())).alias("leaf"), shown.alias("shown"))
+    return merkle.manifest(leaves, "lang", "doc_id", claimed="shown")
+
+
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing, op10_line_dedup, op13_merkle_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -119,4 +128,28 @@ ORACLE_SQL: dict[str, str] = {
   removed AS (SELECT doc_id, k FROM f WHERE place > 1 UNION ALL SELECT doc_id, k FROM node JOIN gone ON x = id),
   r AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS removed FROM removed GROUP BY doc_id)
   SELECT doc_id, CASE WHEN absent THEN 0 ELSE len(ls) END AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN r USING (doc_id)""",
+    "op13_merkle_manifest": """WITH RECURSIVE
+  bits AS (SELECT doc_id, n_chars, lang, source, text, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda s, c: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda t, b: xor(t >> 1, CASE WHEN t & 1 = 1 THEN 3988292384 ELSE 0 END), xor(s, c)), 4294967295) AS s FROM documents),
+  f AS (SELECT *, coalesce(xor(s, 4294967295) % 7 = 0, false) AS bad, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS v,
+    [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars + 1 AS VARCHAR), text] AS w FROM bits),
+  h AS (SELECT doc_id, lang, bad, sha256(array_to_string(list_transform(v, lambda x: coalesce(CAST(strlen(x) AS VARCHAR) || ':' || x, '-')), '')) AS leaf,
+    sha256(array_to_string(list_transform(w, lambda x: coalesce(CAST(strlen(x) AS VARCHAR) || ':' || x, '-')), '')) AS other FROM f),
+  leaves AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM h),
+  low AS (SELECT 0 AS lv, g, i, n, leaf AS d FROM leaves UNION ALL
+    SELECT lv + 1, g, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lv, g, i // 2, n),
+  subroots AS (SELECT g, d FROM low WHERE n = 1),
+  high AS (SELECT 0 AS lv, g - 1 AS i, (SELECT count(*) FROM subroots) AS n, d FROM subroots UNION ALL
+    SELECT lv + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY lv, i // 2, n),
+  steps AS (SELECT x.g, x.i AS leaf_i, s.lv, s.i % 2 AS right_, s.d FROM leaves x JOIN low s ON s.g = x.g AND s.i = xor(x.i // CAST(power(2, s.lv) AS BIGINT), 1) WHERE s.n > 1
+    UNION ALL SELECT x.g, x.i, 100 + s.lv, s.i % 2, s.d FROM leaves x JOIN high s ON s.i = xor((x.g - 1) // CAST(power(2, s.lv) AS BIGINT), 1) WHERE s.n > 1),
+  lone AS (SELECT x.g, x.i AS leaf_i, l.lv, 0 AS right_, '' AS d FROM leaves x JOIN (SELECT g, lv, max(i) AS i FROM low WHERE n > 1 AND n % 2 = 1 GROUP BY g, lv) l
+      ON l.g = x.g AND l.i = x.i // CAST(power(2, l.lv) AS BIGINT)
+    UNION ALL SELECT x.g, x.i, 100 + l.lv, 0, '' FROM leaves x JOIN (SELECT lv, max(i) AS i FROM high WHERE n > 1 AND n % 2 = 1 GROUP BY lv) l ON l.i = (x.g - 1) // CAST(power(2, l.lv) AS BIGINT)),
+  p AS (SELECT g, leaf_i, list({'r': right_, 'd': d} ORDER BY lv) AS steps, string_agg(d, '' ORDER BY lv) AS siblings FROM (SELECT * FROM steps UNION ALL SELECT * FROM lone) GROUP BY g, leaf_i),
+  o AS (SELECT doc_id, leaf, u.d AS subroot, (SELECT d FROM high WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+    list_reduce(list_prepend({'r': CAST(0 AS BIGINT), 'd': CASE WHEN bad THEN coalesce(other, leaf) ELSE leaf END}, list_transform(coalesce(steps, []), lambda t: {'r': CAST(t.r AS BIGINT), 'd': t.d})),
+      lambda a, t: {'r': CAST(0 AS BIGINT), 'd': sha256(CASE WHEN t.r = 1 THEN a.d || t.d ELSE t.d || a.d END)}).d AS folded_root
+    FROM leaves x JOIN subroots u USING (g) LEFT JOIN p ON p.g = x.g AND p.leaf_i = x.i)
+  SELECT *, folded_root = root AS verified FROM o""",
 }
