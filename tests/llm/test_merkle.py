@@ -121,16 +121,15 @@ def test_joins_in_blocks_need_no_exchange(spark):
     own = spark.range(4000).selectExpr("cast(0 as long) as g", "id div 256 as block", "id as idx", "cast(4000 as long) as n", "sha2(cast(id as string), 256) as digest")
     held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    buckets = merkle.Buckets(spark)
     try:
-        level = merkle.siblings(buckets.write(own, spread=True), 2, ["g", "block"])
-        plan = level._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-        nodes = merkle.parents(buckets.write(level), 2)
-        assert "Exchange" not in merkle.siblings(nodes, 2, ["g", "block"])._jdf.queryExecution().executedPlan().toString()
+        with merkle.Buckets(spark) as buckets:
+            level = merkle.siblings(buckets.write(own, spread=True), 2, ["g", "block"])
+            plan = level._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            nodes = merkle.parents(buckets.write(level), 2)
+            assert "Exchange" not in merkle.siblings(nodes, 2, ["g", "block"])._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
-        buckets.drop()
 
 
 def test_tables_between_are_removed(spark, tmp_path):

@@ -67,11 +67,21 @@ def numbered(rows: DataFrame, group: list[str], order: list[str]) -> tuple[DataF
 
 
 class Buckets:
-    """Tables in the shared folder, bucketed by (g, block), so that joins on these and further keys need no exchange."""
+    """Tables in the shared folder, bucketed by (g, block), so that joins on these and further keys need no exchange.
+
+    While it is open, the session lets joins use a partitioning by some of their keys; closing it puts the setting back and removes the tables.
+    """
+
+    SETTING = "spark.sql.requireAllClusterKeysForCoPartition"
 
     def __init__(self, spark: SparkSession):
         self.spark, self.names, self.n = spark, [], int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def __enter__(self) -> Buckets:
+        self.held = self.spark.conf.get(self.SETTING)
+        self.spark.conf.set(self.SETTING, "false")
+        return self
+
     def write(self, rows: DataFrame, spread: bool = False) -> DataFrame:
         name = f"viewloom_{uuid.uuid4().hex}"
         rows = rows.repartition(self.n, "g", "block") if spread else rows
@@ -82,7 +92,8 @@ class Buckets:
         self.names.append((name, out))
         return out
 
-    def drop(self) -> None:
+    def __exit__(self, *_: object) -> None:
+        self.spark.conf.set(self.SETTING, self.held)
         for name, rows in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             forget(self.spark, rows)
@@ -176,40 +187,40 @@ def manifest(leaves: DataFrame, group: str, order: str, claimed: str | None = No
     ranks, more = numbered(used[1].select(F.col("_g__group").alias("_group")).distinct(), [], ["_group"])
     ranks = kept(ranks.select(F.col("_group").alias("_name"), F.col("_idx").alias("g")))
     groups, largest = ranks.count(), used[1].agg(F.max("_n")).first()[0] or 0
-    buckets, block = Buckets(spark), F.expr(f"_idx div {fanout**block_levels}")
+    block = F.expr(f"_idx div {fanout**block_levels}")
     placed = numbers.join(ranks, F.col("_group").eqNullSafe(F.col("_name")))
-    nodes = buckets.write(placed.select("g", block.alias("block"), F.col("_idx").alias("idx"), F.col("_n").alias("n"), F.col("leaf").alias("digest"), "_order", "_shown"), spread=True)
-    levels, n, first = [], largest, nodes
-    for _ in range(min(block_levels, height(largest, fanout))):
-        levels.append(buckets.write(siblings(nodes, fanout, ["g", "block"])))
-        nodes, n = parents(levels[-1], fanout), -(-n // fanout)
-    tops = kept(nodes.select("g", "block", "idx", "n", "digest"))
-    upper, subroots = plain(tops.drop("block"), n, fanout)
-    subroots = kept(subroots)
-    trees = subroots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("idx"), F.lit(groups).cast("long").alias("n"), "digest")
-    over, last = plain(trees, groups, fanout)
-    root = last.select("digest").first()
-    trees = kept(proofs(trees, over, fanout).select(F.col("idx").alias("_tree"), F.col("digest").alias("subroot"), F.col("proof").alias("_over")))
-    down = proofs(tops, upper, fanout).join(trees, F.col("g") == F.col("_tree"))
-    down = buckets.write(down.select("g", "block", "idx", "subroot", F.concat("proof", "_over").alias("proof")), spread=True)
-    if not levels:  # no group has two rows
-        down = first.join(down.select(F.col("g").alias("_g"), "subroot", "proof"), F.col("g") == F.col("_g"))
-    for i in reversed(range(len(levels))):
-        above = down.select(F.col("g").alias("_g"), F.col("block").alias("_block"), F.col("idx").alias("_idx"), F.col("proof").alias("_proof"), "subroot")
-        up = (F.col("g") == F.col("_g")) & (F.col("block") == F.col("_block")) & (F.expr(f"idx div {fanout}") == F.col("_idx"))
-        proof = F.when(F.col("n") > 1, F.concat(step(), F.col("_proof"))).otherwise(F.col("_proof"))
-        down = levels[i].join(above, up).select("g", "block", "idx", "subroot", proof.alias("proof"), *([] if i else ["digest", "_order", "_shown"]))
-    rooted = F.lit(root[0] if root else None).cast("string")
-    out = down.select(
-        F.col("_order").alias(order),
-        F.col("digest").alias("leaf"),
-        "subroot",
-        rooted.alias("root"),
-        flat(F.col("proof")).alias("proof_sha256"),
-        folded(F.coalesce("_shown", "digest"), F.col("proof")).alias("folded_root"),
-        *(["proof"] if with_proofs else []),
-    )
-    out = kept(out.withColumn("verified", F.col("folded_root") == F.col("root")))
-    buckets.drop()
+    with Buckets(spark) as buckets:
+        nodes = buckets.write(placed.select("g", block.alias("block"), F.col("_idx").alias("idx"), F.col("_n").alias("n"), F.col("leaf").alias("digest"), "_order", "_shown"), spread=True)
+        levels, n, first = [], largest, nodes
+        for _ in range(min(block_levels, height(largest, fanout))):
+            levels.append(buckets.write(siblings(nodes, fanout, ["g", "block"])))
+            nodes, n = parents(levels[-1], fanout), -(-n // fanout)
+        tops = kept(nodes.select("g", "block", "idx", "n", "digest"))
+        upper, subroots = plain(tops.drop("block"), n, fanout)
+        subroots = kept(subroots)
+        trees = subroots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("idx"), F.lit(groups).cast("long").alias("n"), "digest")
+        over, last = plain(trees, groups, fanout)
+        root = last.select("digest").first()
+        trees = kept(proofs(trees, over, fanout).select(F.col("idx").alias("_tree"), F.col("digest").alias("subroot"), F.col("proof").alias("_over")))
+        down = proofs(tops, upper, fanout).join(trees, F.col("g") == F.col("_tree"))
+        down = buckets.write(down.select("g", "block", "idx", "subroot", F.concat("proof", "_over").alias("proof")), spread=True)
+        if not levels:  # no group has two rows
+            down = first.join(down.select(F.col("g").alias("_g"), "subroot", "proof"), F.col("g") == F.col("_g"))
+        for i in reversed(range(len(levels))):
+            above = down.select(F.col("g").alias("_g"), F.col("block").alias("_block"), F.col("idx").alias("_idx"), F.col("proof").alias("_proof"), "subroot")
+            up = (F.col("g") == F.col("_g")) & (F.col("block") == F.col("_block")) & (F.expr(f"idx div {fanout}") == F.col("_idx"))
+            proof = F.when(F.col("n") > 1, F.concat(step(), F.col("_proof"))).otherwise(F.col("_proof"))
+            down = levels[i].join(above, up).select("g", "block", "idx", "subroot", proof.alias("proof"), *([] if i else ["digest", "_order", "_shown"]))
+        rooted = F.lit(root[0] if root else None).cast("string")
+        out = down.select(
+            F.col("_order").alias(order),
+            F.col("digest").alias("leaf"),
+            "subroot",
+            rooted.alias("root"),
+            flat(F.col("proof")).alias("proof_sha256"),
+            folded(F.coalesce("_shown", "digest"), F.col("proof")).alias("folded_root"),
+            *(["proof"] if with_proofs else []),
+        )
+        out = kept(out.withColumn("verified", F.col("folded_root") == F.col("root")))
     forget(spark, own, *used, *more, ranks, tops, *upper, subroots, *over, trees)
     return out
