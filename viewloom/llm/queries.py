@@ -1,11 +1,11 @@
-"""The queries op1 to op10 over the given tables, with production parameters."""
+"""The queries op1 to op13 over the given tables, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import ann, blocks, compression, hmm, jaccard, lines, merkle, mixing, packing, rules, toxicity
+from viewloom.llm import align, ann, blocks, compression, hmm, jaccard, leaks, lines, merkle, mixing, packing, rules, toxicity
 from viewloom.llm.text import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -87,6 +87,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        leaks.n_hit(F.col("hits")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    found = align.counted(table(spark, sf_dir, "documents"), a, b, ["doc_id"])
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     values = {name: F.col(name).cast("string") for name in merkle.FIELDS}
@@ -96,12 +114,13 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(leaves, "lang", "doc_id", claimed="shown")
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing, op10_line_dedup, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_hmm_scoring, op2_mixing, op3_adaptive_scan, op4_decision_list, op5_block_labeller, op6_pu_toxicity, op7_compression_quality, op8_jaccard_join, op9_packing, op10_line_dedup, op11_decontamination, op12_token_alignment, op13_merkle_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
-#: The two set joins for DuckDB; ids are taken to be unique, as in ``documents``.  The other operators train models, pack with a tokenizer or choose by seeds.
+#: The set joins, the decontamination and the manifest for DuckDB; ids are taken to be unique, as in ``documents``.  The other operators train models, pack with a tokenizer or choose by seeds.
 ORACLE_SQL: dict[str, str] = {
     "op8_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM documents),
   runs AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
@@ -128,6 +147,16 @@ ORACLE_SQL: dict[str, str] = {
   removed AS (SELECT doc_id, k FROM f WHERE place > 1 UNION ALL SELECT doc_id, k FROM node JOIN gone ON x = id),
   r AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS removed FROM removed GROUP BY doc_id)
   SELECT doc_id, CASE WHEN absent THEN 0 ELSE len(ls) END AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN r USING (doc_id)""",
+    "op11_decontamination": f"""WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_PLAIN}) AS ws FROM documents),
+  b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER}, {_PLAIN}) AS ws FROM benchmark),
+  cut AS (SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0),
+  win AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM cut),
+  runs AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM w, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n),
+  met AS (SELECT doc_id, i, n, item FROM (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM runs) JOIN win USING (n, g)),
+  spots AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, i, n FROM met)) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id)
+  SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM w LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op13_merkle_manifest": """WITH RECURSIVE
   bits AS (SELECT doc_id, n_chars, lang, source, text, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
     lambda s, c: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda t, b: xor(t >> 1, CASE WHEN t & 1 = 1 THEN 3988292384 ELSE 0 END), xor(s, c)), 4294967295) AS s FROM documents),
