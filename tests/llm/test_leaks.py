@@ -86,7 +86,7 @@ def test_spans_and_documents_go(spark, tmp_path):
     rows = sorted((r["doc_id"] or 0, r["text"] or "") for r in cleaned.collect())
     assert len(rows) == len(TEXTS)
     got = dict(r for r in rows if r[0] != 25)
-    assert got[20] == "x. y" and got[22] == " short two" and got[23] == TEXTS[len(AWKWARD) + 3][1] and got[2] == "" and got[24] == " "
+    assert got[20] == "x. y" and got[22] == " short two THÉTA" and got[23] == TEXTS[len(AWKWARD) + 3][1] and got[2] == "" and got[24] == " "
     assert [r["text"] for r in cleaned.where("doc_id = 26").collect()] == ["x" * 2_000_000]
     left = leaks.clean(texts, bench, spans=False)
     dirty = {r[0] for r in plainly(TEXTS, ITEMS) if r[5]}

@@ -96,7 +96,8 @@ def scan(
         own = held.where(F.pmod("key", F.lit(parts)) == part) if parts > 1 else held
         own = F.broadcast(own.select(F.col("key").alias("_k"), "window", "items"))
         same = F.col("_key") == F.col("_k")  # a key alone, as a long is the cheapest to look up; equal words have equal lengths
-        same &= F.array_join(F.slice("_words", F.col("_at") + 1, F.greatest("_length", F.lit(0))), " ") == F.col("window")
+        # not as an equality, which would become a second key, written for every place
+        same &= F.array_join(F.slice("_words", F.col("_at") + 1, F.col("_length")), " ").between(F.col("window"), F.col("window"))
         met = places.join(own, same, "left").where("_at = -1 or window is not null")
         run = F.when(F.col("window").isNotNull(), F.struct(F.col("_at").alias("a"), (F.col("_at") + F.col("_length")).alias("b")))
         met = met.select("_row", *named, "_n", run.alias("_run"), F.when(F.col("window").isNotNull(), F.col("items")).alias("_items"))
@@ -147,11 +148,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, spans: bool = True, doc_id: str
 
     Rows equal in id and text share their hits, by a 64-bit hash of the text; the join's side is the contaminated rows alone.
     """
-    marked = docs.withColumn("_text_hash", F.xxhash64(text))
-    found = scan(marked, benchmark, [doc_id, "_text_hash"], text=text, **more).where("size(hits) > 0")
-    found = kept(found.select(F.col(doc_id).alias("_id"), F.col("_text_hash").alias("_hash"), "hits").dropDuplicates(["_id", "_hash"]))
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+    hashed = docs.withColumn("_leak_of", F.xxhash64(text))
+    found = scan(hashed, benchmark, [doc_id, "_leak_of"], text=text, **more).where("size(hits) > 0")
+    found = kept(found.select(F.col(doc_id).alias("_leak_id"), F.col("_leak_of").alias("_leak_hash"), F.col("hits").alias("_leak_hits")).dropDuplicates(["_leak_id", "_leak_hash"]))
+    same = F.col(doc_id).eqNullSafe(F.col("_leak_id")) & (F.col("_leak_of") == F.col("_leak_hash"))
     if not spans:
-        return marked.join(found, same, "left_anti").select(docs.columns)
-    joined = marked.join(found, same, "left")
-    return joined.withColumn(text, F.when(F.col("hits").isNotNull(), without(F.col(text), F.col("hits"))).otherwise(F.col(text))).select(docs.columns)
+        return hashed.join(found, same, "left_anti").select(docs.columns)
+    cleaned = F.when(F.col("_leak_hits").isNotNull(), without(F.col(text), F.col("_leak_hits"))).otherwise(F.col(text))
+    return hashed.join(found, same, "left").withColumn(text, cleaned).select(docs.columns)

@@ -153,7 +153,7 @@ ORACLE_SQL: dict[str, str] = {
   win AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM cut),
   runs AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM w, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n),
   met AS (SELECT doc_id, i, n, item FROM (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM runs) JOIN win USING (n, g)),
-  spots AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, i, n FROM met)) GROUP BY doc_id),
+  spots AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM (SELECT DISTINCT doc_id, i, n FROM met)) GROUP BY doc_id),
   items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id)
   SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM w LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)""",
