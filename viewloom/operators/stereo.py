@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewloom.schemas import PAIRS, PARTS, POINTS_3D, SEGMENT_KEYS
 
@@ -50,43 +54,80 @@ def join_stereo_frames(landmarks: DataFrame, calibration: DataFrame, left: str =
 
 
 def triangulate(stereo: DataFrame, keys: list[str], parts: list[str] | None = None) -> DataFrame:
-    """3D points of every part by the direct linear transform from P1 and P2; null where a side is absent, null points where w is 0.
+    """3D points of every part by the direct linear transform from P1 and P2; null where a side is absent, null points where w is 0 or a point is null or has no two numbers.
 
-    numpy solves all points of an Arrow batch together.  The right side's points beyond the left's number, and the reverse, are left out.
+    All work is on the flat buffers of Arrow batches, in pieces of ``SOLVED`` points, so no Python object is made for a point.  The right side's points beyond the left's
+    number, and the reverse, are left out.
     """
-    from pyspark.sql import types as T
-
     parts = parts or PARTS
     chosen = stereo.select(*keys, "P1", "P2", *(f"{s}_{p}" for p in parts for s in ("left", "right")))
     schema = T.StructType([*(chosen.schema[k] for k in keys), *(T.StructField(p, POINTS_3D) for p in parts)])
 
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p1, p2 = (np.array(batch[c].tolist(), float).reshape(-1, 3, 4) for c in ("P1", "P2"))
-            out = {k: batch[k] for k in keys}
-            for part in parts:
-                left, right = batch[f"left_{part}"], batch[f"right_{part}"]
-                n = [min(len(a), len(b)) if a is not None and b is not None else -1 for a, b in zip(left, right, strict=True)]
-                row = np.repeat(np.arange(len(n)), np.maximum(n, 0))
-                flat = lambda side, n=n: np.array([p for pts, m in zip(side, n, strict=True) if m > 0 for p in pts[:m]], float).reshape(-1, 2)
-                a, b = flat(left), flat(right)
-                system = np.stack(
-                    [a[:, :1] * p1[row, 2] - p1[row, 0], a[:, 1:] * p1[row, 2] - p1[row, 1], b[:, :1] * p2[row, 2] - p2[row, 0], b[:, 1:] * p2[row, 2] - p2[row, 1]], axis=1
-                ) if len(row) else np.zeros((0, 4, 4))
-                x = np.linalg.svd(system)[2][:, -1] if len(row) else np.zeros((0, 4))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    x = x[:, :3] / x[:, 3:]
-                points, at, result = [{"x": p[0], "y": p[1], "z": p[2]} if np.isfinite(p).all() else None for p in x], 0, []
-                for m in n:
-                    result.append(points[at : at + m] if m >= 0 else None)
-                    at += max(m, 0)
-                out[part] = pd.Series(result, dtype=object)
-            yield pd.DataFrame(out)
-
-    return chosen.mapInPandas(run, schema)
+            p1, p2 = (_numbers(batch.column(c), 12) for c in ("P1", "P2"))
+            points = [_solved(p1, p2, batch.column(f"left_{p}"), batch.column(f"right_{p}")) for p in parts]
+            yield pa.record_batch([*(batch.column(k) for k in keys), *points], names=schema.names)
+
+    return chosen.mapInArrow(run, schema)
+
+
+#: So many points are solved at once: 16 numbers each for the system, and 16 for its decomposition.
+SOLVED = 1 << 16
+
+
+def _numbers(column: pa.Array, n: int) -> np.ndarray:
+    """Lists of doubles as rows of ``n``; NaN for what isn't there."""
+    length = np.minimum(_lengths(column), n)
+    row = np.repeat(np.arange(len(column)), length)
+    place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    out = np.full((len(column), n), np.nan)
+    out[row, place] = _doubles(column.values)[_starts(column)[row] + place]
+    return out
+
+
+def _lengths(column: pa.Array) -> np.ndarray:
+    """The length of each list, 0 for null."""
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _starts(column: pa.Array) -> np.ndarray:
+    """Where each list begins in ``column.values``."""
+    return column.offsets.to_numpy()[: len(column)].astype(np.int64)
+
+
+def _doubles(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(float)
+
+
+def _solved(p1: np.ndarray, p2: np.ndarray, left: pa.Array, right: pa.Array) -> pa.Array:
+    """Lists of points (x, y, z) of frames with matrices ``p1`` and ``p2`` from lists of [x, y] of both sides."""
+    absent = pc.or_(pc.is_null(left), pc.is_null(right)).to_numpy(zero_copy_only=False)
+    n = np.where(absent, 0, np.minimum(_lengths(left), _lengths(right)))
+    begin = np.concatenate([[0], np.cumsum(n)])
+    out = np.empty((begin[-1], 3))
+    sides = [(_starts(c), _starts(c.values), _lengths(c.values), _doubles(c.values.values)) for c in (left, right)]
+    for first in range(0, int(begin[-1]), SOLVED):
+        at = np.arange(first, min(first + SOLVED, int(begin[-1])))
+        row = np.searchsorted(begin, at, "right") - 1
+        system = np.empty((len(at), 4, 4))
+        for k, (outer, inner, width, values) in enumerate(sides):
+            point = outer[row] + at - begin[row]
+            fine = width[point] >= 2
+            spot = np.where(fine, inner[point], 0)
+            xy = [np.where(fine, values[spot + j], np.nan) if len(values) > 1 else np.full(len(at), np.nan) for j in (0, 1)]
+            m = (p1, p2)[k][row].reshape(-1, 3, 4)
+            for j in (0, 1):
+                system[:, 2 * k + j] = xy[j][:, None] * m[:, 2] - m[:, j]
+        bad = ~np.isfinite(system).all((1, 2))
+        system[bad] = 0
+        x = np.linalg.svd(system)[2][:, -1]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[at] = x[:, :3] / x[:, 3:]
+        out[at[bad]] = np.nan
+    gone = pa.array(~np.isfinite(out).all(1))
+    points = pa.StructArray.from_arrays([pa.array(out[:, j]) for j in range(3)], names=["x", "y", "z"], mask=gone)
+    return pa.ListArray.from_arrays(pa.array(begin, pa.int32()), points, mask=pa.array(absent))
 
 
 def disparity(left: Column, right: Column, reverse: bool = False) -> Column:

@@ -15,6 +15,7 @@ from viewloom.functions import arrays, frames, names
 from viewloom.operators import annotations as ann
 from viewloom.operators import catalog, planning, stereo, sync
 from viewloom.schemas import PAIRS, PARTS, VIEWS
+from viewloom.streaming import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -329,11 +330,11 @@ def _sides(spark, sf_dir):
     return f.where("view = 'CAM_LL'"), f.where("view = 'CAM_LR'")
 
 
-@query(
-    f"""WITH near AS ({_NEAR}), ranked AS (SELECT *, row_number() OVER (PARTITION BY participant, l_idx ORDER BY dt, r_t, r_idx) AS a, row_number() OVER (PARTITION BY participant, r_idx ORDER BY dt, l_t, l_idx) AS b FROM near)
-  SELECT participant, l_idx, r_idx, l_t, r_t, dt FROM ranked WHERE a = 1 AND b = 1""",
-    "fx_frames",
-)
+_MUTUAL = f"""WITH near AS ({_NEAR}), ranked AS (SELECT *, row_number() OVER (PARTITION BY participant, l_idx ORDER BY dt, r_t, r_idx) AS a, row_number() OVER (PARTITION BY participant, r_idx ORDER BY dt, l_t, l_idx) AS b FROM near)
+  SELECT participant, l_idx, r_idx, l_t, r_t, dt FROM ranked WHERE a = 1 AND b = 1"""
+
+
+@query(_MUTUAL, "fx_frames")
 def j4_sync_frames(spark, sf_dir):
     return sync.sync_frames(*_sides(spark, sf_dir), ["participant"], _TOLERANCE)
 
@@ -885,6 +886,37 @@ def t3_stream_sync_stream(spark, sf_dir):
     return spark.read.schema("participant string, l_idx long, r_idx long").parquet(sink)
 
 
+def _feed(spark: SparkSession, rows: DataFrame, at: str, slices: int, last: DataFrame) -> str:
+    """A folder of files for a stream, written in ``slices`` groups one after the other in order of ``at``, and ``last`` after them."""
+    whole, path = sources.shared_folder(spark), sources.shared_folder(spark)
+    rows.write.parquet(whole)
+    held = spark.read.schema(rows.schema).parquet(whole)
+    lo, hi = held.agg(F.min(at), F.max(at)).first()
+    for k in range(slices if lo is not None else 0):
+        number = F.least(F.floor((F.col(at) - lo) * slices / max(hi - lo, 1)), F.lit(slices - 1))
+        held.where(number == k).write.mode("append").parquet(path)
+        time.sleep(1.1)  # as in _stream_of
+    last.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query(_MUTUAL, "fx_frames")
+def t3_nearest_stream(spark, sf_dir):
+    """Frames of two views arrive in four parts, each of a quarter of the time; a part's files come in no order of time, so the watermark waits for as long."""
+    f = fx.frames(spark, sf_dir).where("view in ('CAM_LL', 'CAM_LR')").select("participant", "view", "frame_idx", "t_ms")
+    lo, hi = f.agg(F.coalesce(F.min("t_ms"), F.lit(0)), F.coalesce(F.max("t_ms"), F.lit(0))).first()
+    wait = (hi - lo) // 4 + 1000
+    end = spark.createDataFrame([("last", v, 0, hi + 4 * (wait + _TOLERANCE)) for v in ("CAM_LL", "CAM_LR")], f.schema)  # closes what is open
+    path = _feed(spark, f, "t_ms", 4, end)
+    view = lambda v: spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 16).parquet(path).where(F.col("view") == v)
+    pairs = nearest.stream_sync_nearest(view("CAM_LL"), view("CAM_LR"), ["participant"], _TOLERANCE, f"{wait} milliseconds").where("participant <> 'last'")
+    sink, state = sources.shared_folder(spark), sources.shared_folder(spark)
+    with nearest.state_store(spark):
+        job = pairs.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        job.format("parquet").option("path", sink).start().awaitTermination()
+    return spark.read.schema(pairs.schema).parquet(sink)
+
+
 # --- workloads
 
 
