@@ -78,6 +78,27 @@ def video_list(frames_: DataFrame) -> DataFrame:
     return n.withColumn("fps", F.when(F.col("view") == "CAM_LL", 50.0).otherwise(30.0))
 
 
+def rate(view: Column, number: Column) -> Column:
+    """Rates of 30, 50 and 60 fps, by the participant's number, so that all pairs of them occur."""
+    return F.when(view == "CAM_LL", pick_double([50.0, 60.0, 30.0], number % 3)).otherwise(pick_double([30.0, 50.0, 60.0], _div(number, 3) % 3))
+
+
+def pick_double(values: list[float], at: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
+
+
+def rated_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, participant, view, video, frame_idx, t_ms, fps): as ``video_frames``, with rates that differ from participant to participant."""
+    f = video_frames(spark, sf_dir).drop("t_ms")
+    f = f.withColumn("fps", rate(F.col("view"), F.substring("participant", 2, 9).cast("long")))
+    return f.withColumn("t_ms", F.floor(F.col("frame_idx") * 1000.0 / F.col("fps")).cast("long") + F.col("event_id") % 40)
+
+
+def rated_list(frames_: DataFrame) -> DataFrame:
+    """(participant, view, video, fps, frame_count) of ``rated_frames``."""
+    return frames_.groupBy("participant", "view", "video", "fps").agg(F.count("*").alias("frame_count"))
+
+
 def clip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, bytes, frame_count) of the clips of ``annotations`` that have been cut, three of four."""
     from viewloom.operators.annotations import segments_per_view
@@ -292,6 +313,9 @@ SQL = {
   FROM embeddings, range(32) AS r(i)""",
     "fx_video_frames": f"""SELECT *, CAST(frame_idx * CASE view WHEN 'CAM_LL' THEN 20 ELSE 33 END AS BIGINT) + event_id % 5 AS t_ms, CASE view WHEN 'CAM_LL' THEN 50.0::DOUBLE ELSE 30.0::DOUBLE END AS fps FROM (SELECT *, row_number() OVER (PARTITION BY participant, view, video ORDER BY event_id) - 1 AS frame_idx
   FROM (SELECT event_id, participant, view, {_list(TASKS)}[event_id % 3 + 1] || '.mp4' AS video FROM fx_frames WHERE view IN ('CAM_LL', 'CAM_LR')))""",
+    "fx_rated": """SELECT *, CAST(floor(frame_idx * 1000.0::DOUBLE / fps) AS BIGINT) + event_id % 40 AS t_ms FROM (SELECT event_id, participant, view, video, frame_idx,
+  CASE WHEN view = 'CAM_LL' THEN [50.0::DOUBLE, 60.0::DOUBLE, 30.0::DOUBLE][CAST(substr(participant, 2) AS BIGINT) % 3 + 1]
+  ELSE [30.0::DOUBLE, 50.0::DOUBLE, 60.0::DOUBLE][(CAST(substr(participant, 2) AS BIGINT) // 3) % 3 + 1] END AS fps FROM fx_video_frames)""",
     "fx_clips": rf"""SELECT *, participant || '-' || view || '-' || task || '-' || abbreviation || '-' || CAST(start_s AS VARCHAR) || '_' || CAST(end_s AS VARCHAR) || '.mp4' AS name FROM (SELECT DISTINCT regexp_extract(video_url, '(p\d+)_CAM', 1) AS participant,
   regexp_extract(video_url, 'CAM_AV_P_(\w+)\.mp4', 1) AS task, view, start_s, end_s, nullif(regexp_extract(label, '\((.*?)\)', 1), '') AS abbreviation, start_s // 2 + v AS turn FROM fx_tricks, (VALUES ('CAM_AV', 1), ('CAM_LL', 2), ('CAM_LR', 3), ('CAM_UL', 4), ('CAM_UR', 5)) x(view, v)) WHERE abbreviation IS NOT NULL""",
     "fx_stereo": f"""SELECT printf('p%02d', (vec_id // 4) % 10 + 1) AS participant, {_list([v for p in STEREO_PAIRS for v in p])}[vec_id % 4 + 1] AS view, {_list(TASKS)}[(vec_id // 40) % 2 + 1] AS task,

@@ -62,12 +62,24 @@ def look_direction(x: Column, y: Column) -> Column:
     )
 
 
+def irregular(frames: DataFrame, keys: list[str], index: str) -> DataFrame:
+    """Streams whose frames aren't numbered 0, 1, 2 ... each once.
+
+    Indices are gathered as bits of 64-bit words, one word for 64 neighbours, which tasks combine before the shuffle; the bits set are the distinct indices.
+    """
+    word = frames.groupBy(*keys, F.floor(F.col(index) / 64).alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({index}, 64) as int))")).alias("_bits"), F.count("*").alias("_n"), F.min(index).alias("_lo"), F.max(index).alias("_hi")
+    )
+    count = word.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum(F.bit_count("_bits")).alias("_d"), F.max("_hi").alias("_last"), F.min("_lo").alias("_first"), F.count("_word").alias("_words"), F.count("*").alias("_all"))
+    regular = (F.col("_n") == F.col("_last") + 1) & (F.col("_n") == F.col("_d")) & (F.col("_first") == 0) & (F.col("_words") == F.col("_all"))
+    return count.where(~F.coalesce(regular, F.lit(False))).select(*keys)
+
+
 def renumbered(frames: DataFrame, kept: DataFrame, keys: list[str], index: str, name: str, number: Column, gaps: bool | None = None) -> DataFrame:
     """``kept`` frames with their place (``name``) among the kept ones of their stream: ``number`` where the stream's ``frames`` have no gap, by order elsewhere."""
     if gaps is False:
         return kept.withColumn(name, number.cast("long"))
-    count = frames.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_distinct(index).alias("_d"), F.max(index).alias("_last"), F.min(index).alias("_first"))
-    odd = count.where((F.col("_n") != F.col("_last") + 1) | (F.col("_n") != F.col("_d")) | (F.col("_first") != 0)).select(*keys)
+    odd = irregular(frames, keys, index)
     if gaps is None and not odd.limit(1).count():
         return kept.withColumn(name, number.cast("long"))
     order = Window.partitionBy(*keys).orderBy(index)

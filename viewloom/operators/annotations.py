@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions.names import label_abbreviation, parse_segment_name, segment_name
@@ -75,7 +75,7 @@ def frame_count_consistency(segments: DataFrame, name: str = "path") -> tuple[Da
 
 
 def segments_per_view(annotations: DataFrame, views: list[str] | None = None, root: str = "segments") -> DataFrame:
-    """Each labelled trick once for every view, with its clip's name and output path (``root``/subtask/view/name), by which clips that exist are found.
+    """Each labelled trick once for every view, with its clip's name and output path (``root``/subtask/name), by which clips that exist are found.
 
     Participant and task come from the video's URL.
     """
@@ -87,18 +87,39 @@ def segments_per_view(annotations: DataFrame, views: list[str] | None = None, ro
     # the views are a handful of literals: no join is needed
     spread = tricks.withColumn("abbreviation", label_abbreviation("label")).withColumn("view", F.explode(F.array(*map(F.lit, views or VIEWS))))
     named = spread.where("abbreviation is not null").withColumn("name", segment_name("participant", "view", "task", "abbreviation", "start_s", "end_s"))
-    return named.withColumn("path", F.concat_ws("/", F.lit(root), "abbreviation", "view", "name"))
+    return named.withColumn("path", F.concat_ws("/", F.lit(root), "abbreviation", "name"))
 
 
-def assign_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str = "media_t", bucket_s: float = 16.0) -> DataFrame:
+def interval_cover(first: Column, last: Column, short: int = 4) -> Column:
+    """Array of (level, at): the buckets from ``first`` to ``last`` one by one (level 0) if they are ``short`` or fewer, else dyadic runs of 2**level buckets, two a level at most."""
+    end = last + 1
+    levels = F.sequence(F.lit(0), F.ceil(F.log2((end - first).cast("double"))).cast("int"))
+
+    def of(k: Column) -> Column:
+        width = F.pow(F.lit(2.0), k).cast("long")
+        lo, hi = F.ceil(first / width).cast("long"), F.floor(end / width).cast("long")
+        open_ = lo < hi
+        left, right = F.when(open_ & (F.pmod(lo, F.lit(2)) == 1), lo), F.when(open_ & (F.pmod(hi, F.lit(2)) == 1), hi - 1)
+        return F.transform(F.filter(F.array(left, right), lambda x: x.isNotNull()), lambda x: F.struct(k.alias("level"), x.alias("at")))
+
+    plain = F.transform(F.sequence(first, last), lambda x: F.struct(F.lit(0).alias("level"), x.alias("at")))
+    return F.when(end - first <= short, plain).otherwise(F.flatten(F.transform(levels, of)))
+
+
+def assign_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str = "media_t", bucket_s: float = 16.0, levels: list[int] | None = None) -> DataFrame:
     """Every frame inside [start_s, end_s) of a segment of its keys.
 
-    Both sides are keyed by time bucket as well, a segment in each bucket that it touches, so a key with many segments and frames is many keys.
+    Both sides are keyed by time as well, so a key with many segments and frames is many keys: a segment by the dyadic intervals that cover its buckets, some tens for one of hours, and a
+    frame by its interval at each of the ``levels`` that segments have (None: looked up first; level 0 alone where no segment is long).
     """
     cut = lambda c: F.floor(c / bucket_s).cast("long")
-    left = frames.withColumn("_bucket", cut(F.col(time)))
     # a segment ends before end_s: its last bucket is that of the time just below
     last = F.greatest(cut(F.col("start_s")), F.ceil(F.col("end_s") / bucket_s).cast("long") - 1)
-    right = segments.where("start_s < end_s").withColumn("_bucket", F.explode(F.sequence(cut(F.col("start_s")), last)))
+    right = segments.where("start_s < end_s").withColumn("_cover", F.explode(interval_cover(cut(F.col("start_s")), last)))
+    right = right.withColumns({"_level": F.col("_cover.level"), "_bucket": F.col("_cover.at")}).drop("_cover")
+    if levels is None:
+        levels = sorted(r[0] for r in right.select("_level").distinct().collect())  # 64 numbers at most
+    left = frames.withColumn("_level", F.explode(F.array(*(F.lit(k) for k in levels or [0]))))
+    left = left.withColumn("_bucket", F.expr(f"floor({time} / {bucket_s}D)").cast("long")).withColumn("_bucket", F.expr("shiftright(_bucket, _level)"))
     inside = (F.col(time) >= F.col("start_s")) & (F.col(time) < F.col("end_s"))
-    return left.join(right, [*keys, "_bucket"]).where(inside).drop("_bucket")
+    return left.join(right, [*keys, "_level", "_bucket"]).where(inside).drop("_level", "_bucket")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewloom.functions.order import numbered, running_sum
 from viewloom.schemas import VIEWS
 
 CAMERA = ["participant", "view"]
@@ -91,19 +92,16 @@ def fps_conflicts(videos: DataFrame, most_videos: int = 10) -> DataFrame:
 def running_presence(files: DataFrame, token: str, name: str = "file") -> DataFrame:
     """Files with the token by participant and view, and their running number in that order.
 
-    Counted per camera first; the running sum adds offsets of participants to sums inside each, so only one row a participant is ordered globally.
+    Counted per camera first; cameras are then summed in ranges of the order, and the ranges' sums added.
     """
     per = files.groupBy(*CAMERA).agg(F.sum(F.col(name).contains(token).cast("long")).alias("files"))
-    inside = per.withColumn("_in", F.sum("files").over(Window.partitionBy("participant").orderBy("view")))
-    totals = per.groupBy("participant").agg(F.sum("files").alias("_all"))
-    offsets = totals.withColumn("_before", F.sum("_all").over(Window.orderBy("participant")) - F.col("_all")).drop("_all")
-    return inside.join(offsets, "participant").select(*CAMERA, "files", (F.col("_in") + F.col("_before")).alias("running"))
+    return running_sum(per, CAMERA, "files", "running")
 
 
 def batch_groups(ids: DataFrame, size: int, key: str = "participant") -> DataFrame:
-    """Distinct ids in order, cut into groups of ``size`` named first_to_last; one row a group.  Ids are few: one row per participant."""
-    numbered = ids.select(key).distinct().withColumn("group", F.floor((F.row_number().over(Window.orderBy(key)) - 1) / size).cast("long"))
-    g = numbered.groupBy("group").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("members"))
+    """Distinct ids in order, cut into groups of ``size`` named first_to_last; one row a group."""
+    placed = numbered(ids.select(key).distinct(), [key], "_at").withColumn("group", F.floor(F.col("_at") / size).cast("long"))
+    g = placed.groupBy("group").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("members"))
     return g.withColumn("name", F.concat_ws("_to_", "first", "last"))
 
 

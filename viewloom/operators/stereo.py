@@ -43,13 +43,16 @@ def pair_name(left: str, right: str) -> str:
 def join_stereo_frames(landmarks: DataFrame, calibration: DataFrame, left: str = "CAM_LL", right: str = "CAM_LR", keys: list[str] | None = None, parts: list[str] | None = None) -> DataFrame:
     """Left and right landmarks of one frame with the participant's calibration of these two cameras; frames without one are dropped.
 
-    A frame is known by its participant, its segment (``SEGMENT_KEYS``, where the landmarks have them) and its index.
+    A frame is known by its participant, its segment (``SEGMENT_KEYS``, or ``segment`` of a table laid out by ``write_landmark_table``, where the landmarks have them) and its index.
     Frames without a detection on either side and parts not asked for don't reach the shuffle.
     """
-    keys, parts = keys or ["participant", *(c for c in SEGMENT_KEYS if c in landmarks.columns), "frame_idx"], parts or PARTS
+    of_segment, parts = [c for c in SEGMENT_KEYS if c in landmarks.columns], parts or PARTS
+    laid = keys is None and "segment" in landmarks.columns
+    keys = keys or ["participant", *(["segment"] if laid else of_segment), "frame_idx"]
     calibration = calibration.where(F.col("pair") == pair_name(left, right))
     some = F.greatest(*(F.col(p).isNotNull().cast("int") for p in parts)) == 1 if len(parts) > 1 else F.col(parts[0]).isNotNull()
-    side = lambda v, s: landmarks.where((F.col("view") == v) & some).select(*keys, *(F.col(p).alias(f"{s}_{p}") for p in parts))
+    more = {"left": of_segment if laid else []}
+    side = lambda v, s: landmarks.where((F.col("view") == v) & some).select(*keys, *more.get(s, []), *(F.col(p).alias(f"{s}_{p}") for p in parts))
     return side(left, "left").join(side(right, "right"), keys).join(small(calibration), "participant")
 
 
@@ -183,6 +186,14 @@ def calibration_error_report(calibration: DataFrame, first: int, last: int) -> t
     return text, report.agg(F.count("retval").alias("present"), F.avg("retval").alias("mean_error"), F.max("retval").alias("max_error"))
 
 
+def calibration_errors_by_pair(calibration: DataFrame, first: int, last: int, pairs: list[str]) -> DataFrame:
+    """(participant, pair, file, error): the stereo error of every pair of each participant number from first to last with the name of its file, ``N/A`` without one."""
+    who = F.format_string("p%02d", "id")
+    wanted = calibration.sparkSession.range(first, last + 1).select(who.alias("participant"), F.explode(F.array(*map(F.lit, pairs))).alias("pair"))
+    found = wanted.join(calibration.select("participant", "pair", "retval"), ["participant", "pair"], "left")
+    return found.select("participant", "pair", F.concat_ws("_", "participant", "pair", F.lit("stereo.npz")).alias("file"), F.coalesce(F.col("retval").cast("string"), F.lit("N/A")).alias("error"))
+
+
 def stereo_correspondences(observations: DataFrame, step: float = 1.0, columns: int = 7) -> DataFrame:
     """Frame pairs in which both sides saw the same corner ids in the same order, with each corner's board point."""
     keys = ["participant", "pair", "frame_idx"]

@@ -26,21 +26,22 @@ def synchronised(frames: DataFrame, left: str = "CAM_LL", right: str = "CAM_LR",
     """Frame pairs of two views, after both are cut to the shorter length of their group (``keys``: participant, and video where frames have it).
 
     With ``videos`` (the keys, view, video, fps, frame_count) only videos that both views have are paired (``pair_views``), frames are first brought to the pair's lower rate, and the tolerance
-    is, without one given, one frame at the lowest rate of all.
+    of each pair is, without one given, one frame at that rate.
     """
-    group = list(keys)
+    group, tolerance = list(keys), tolerance_ms
     both = frames.where(F.col("view").isin(left, right))
     if videos is not None:
-        pairs, _ = pair_views(videos, left, [right])
-        if tolerance_ms is None:
-            tolerance_ms = frame_ms(videos.where(F.col("view").isin(left, right)))
-        both = both.join(pairs.select(*group).distinct(), group, "left_semi")
-        both = harmonize_fps(both, videos.where(F.col("view").isin(left, right)).select(*group, "view", "fps").distinct(), group, [*group, "view"]).drop("frame_idx").withColumnRenamed("new_idx", "frame_idx")
-    if tolerance_ms is None:
+        rated = videos.where(F.col("view").isin(left, right) & (F.col("fps") > 0))
+        pairs, _ = pair_views(rated, left, [right])
+        width = F.lit(1000.0) / F.min(F.least("ref_fps", "fps"))
+        both = both.join(pairs.groupBy(*group).agg(width.alias("_tolerance")), group)
+        both = harmonize_fps(both, rated.select(*group, "view", "fps").distinct(), group, [*group, "view"]).drop("frame_idx").withColumnRenamed("new_idx", "frame_idx")
+        tolerance = "_tolerance" if tolerance_ms is None else tolerance_ms
+    if tolerance is None:
         raise ValueError("without videos and their rates, tolerance_ms must be given")
     trimmed, _ = match_length(both, group, [*group, "view"])
     side = lambda v: trimmed.where(F.col("view") == v)
-    return sync_frames(side(left), side(right), group, tolerance_ms)
+    return sync_frames(side(left), side(right), group, tolerance)
 
 
 def frame_ms(videos: DataFrame) -> int:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -300,20 +301,34 @@ _STEREO = """SELECT l.participant, l.subtask, l.start_s, l.frame_idx, l.part, l.
 _FRAME = ["participant", "pair", "subtask", "start_s", "frame_idx"]
 
 
-def _stereo(spark, sf_dir, parts=None):
-    lm, matrices = fx.stereo_landmarks(spark, sf_dir), stereo.projection_matrices(fx.calibration(spark, sf_dir))
+def _stereo(spark, sf_dir, parts=None, lm=None):
+    lm, matrices = lm or fx.stereo_landmarks(spark, sf_dir), stereo.projection_matrices(fx.calibration(spark, sf_dir))
     first, *others = (stereo.join_stereo_frames(lm, matrices, *pair, parts=parts) for pair in fx.STEREO_PAIRS)
     return functools.reduce(DataFrame.unionByName, others, first)
 
 
 @query(f"SELECT participant, pair, subtask, start_s, frame_idx, part, point, lx, ly, rx, ry, retval FROM ({_STEREO})", "fx_stereo", "fx_calibration")
 def j2_join_stereo_frames(spark, sf_dir):
-    j = _stereo(spark, sf_dir)
+    return _stereo_points(_stereo(spark, sf_dir))
+
+
+def _stereo_points(j: DataFrame) -> DataFrame:
     stacked = F.array(*(F.struct(F.lit(p).alias("part"), F.arrays_zip(F.col(f"left_{p}").alias("l"), F.col(f"right_{p}").alias("r")).alias("pts")) for p in PARTS))
     rows = j.select(*_FRAME, "retval", F.inline(stacked)).select(*_FRAME, "retval", "part", F.posexplode("pts").alias("point", "p"))
     return rows.select(*_FRAME, "part", "point", F.expr("p.l[0]").alias("lx"), F.expr("p.l[1]").alias("ly"), F.expr("p.r[0]").alias("rx"), F.expr("p.r[1]").alias("ry"), "retval")
 
 
+@query(f"SELECT participant, pair, subtask, start_s, frame_idx, part, point, lx, ly, rx, ry, retval FROM ({_STEREO})", "fx_stereo", "fx_calibration")
+def j2_join_stereo_bucketed(spark, sf_dir):
+    """The same rows from landmarks that lie bucketed by participant, segment and frame, whose sides are joined where they lie."""
+    name, path, joined = f"landmarks_{uuid.uuid4().hex}", sources.shared_folder(spark), sources.shared_folder(spark)
+    lm = sources.write_landmark_table(fx.stereo_landmarks(spark, sf_dir), name, path, _SIZES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = _stereo_points(_stereo(spark, sf_dir, lm=lm))
+    rows.write.parquet(joined)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(rows.schema).parquet(joined)
+
+
 @query("SELECT event_id, f.participant, subtask, media_t, start_s, end_s FROM fx_frames f JOIN (SELECT DISTINCT participant, subtask, start_s, end_s FROM fx_segments) s ON s.participant = f.participant AND media_t >= start_s AND media_t < end_s", "fx_frames", "fx_segments")
 def j3_assign_segments(spark, sf_dir):
     clips = fx.segments(spark, sf_dir).select("participant", "subtask", "start_s", "end_s").distinct()
@@ -346,12 +361,12 @@ def j4_sync_frames_greedy(spark, sf_dir):
 
 @query(
     r"""WITH t AS (SELECT regexp_extract(video_url, '(p\d+)_CAM', 1) AS participant, regexp_extract(video_url, 'CAM_AV_P_(\w+)\.mp4', 1) AS task, start_s, end_s, label, nullif(regexp_extract(label, '\((.*?)\)', 1), '') AS abbreviation FROM fx_tricks)
-  SELECT participant, task, view, abbreviation, start_s, end_s, participant || '-' || view || '-' || task || '-' || abbreviation || '-' || CAST(start_s AS VARCHAR) || '_' || CAST(end_s AS VARCHAR) || '.mp4' AS name
-  FROM t, (VALUES ('CAM_AV'), ('CAM_LL'), ('CAM_LR'), ('CAM_UL'), ('CAM_UR')) v(view) WHERE abbreviation IS NOT NULL""",
+  SELECT *, 'segments/' || abbreviation || '/' || name AS path FROM (SELECT participant, task, view, abbreviation, start_s, end_s, participant || '-' || view || '-' || task || '-' || abbreviation || '-' || CAST(start_s AS VARCHAR) || '_' || CAST(end_s AS VARCHAR) || '.mp4' AS name
+  FROM t, (VALUES ('CAM_AV'), ('CAM_LL'), ('CAM_LR'), ('CAM_UL'), ('CAM_UR')) v(view) WHERE abbreviation IS NOT NULL)""",
     "fx_tricks",
 )
 def j5_segments_per_view(spark, sf_dir):
-    return ann.segments_per_view(fx.annotations(spark, sf_dir)).select("participant", "task", "view", "abbreviation", "start_s", "end_s", "name")
+    return ann.segments_per_view(fx.annotations(spark, sf_dir)).select("participant", "task", "view", "abbreviation", "start_s", "end_s", "name", "path")
 
 
 @query(
@@ -375,6 +390,18 @@ def j8_calibration_error_report(spark, sf_dir):
     return stereo.calibration_error_report(fx.calibration(spark, sf_dir), 1, 70)[0]
 
 
+_PAIR_NAMES = [stereo.pair_name(*p) for p in fx.STEREO_PAIRS]
+
+
+@query(
+    """SELECT participant, pair, participant || '_' || pair || '_stereo.npz' AS file, coalesce(CAST(retval AS VARCHAR), 'N/A') AS error
+  FROM (SELECT printf('p%02d', i) AS participant, p AS pair FROM range(1, 71) r(i), (VALUES ('LL_LR'), ('UL_UR')) v(p)) LEFT JOIN fx_calibration USING (participant, pair)""",
+    "fx_calibration",
+)
+def j8_calibration_errors_by_pair(spark, sf_dir):
+    return stereo.calibration_errors_by_pair(fx.calibration(spark, sf_dir), 1, 70, _PAIR_NAMES)
+
+
 @query("SELECT count(retval) AS present, avg(retval) AS mean_error, max(retval) AS max_error FROM fx_calibration WHERE number BETWEEN 1 AND 70", "fx_calibration")
 def j8_calibration_error_summary(spark, sf_dir):
     return stereo.calibration_error_report(fx.calibration(spark, sf_dir), 1, 70)[1]
@@ -863,6 +890,12 @@ def t2_live_look_direction_stream(spark, sf_dir):
     return _start(spark.read.schema("start timestamp, label string, frames long").parquet(sink))
 
 
+@query("SELECT epoch_ms(time_bucket(INTERVAL '1 minute', ts)) AS start_ms, count(*) AS frames, count(*) / 60.0::DOUBLE AS fps FROM fx_angles GROUP BY ALL", "fx_angles")
+def t2_live_rate(spark, sf_dir):
+    rate = streaming.live_rate(fx.angles(spark, sf_dir).withColumn("ts", _utc("ts")), seconds=60)
+    return rate.select(F.unix_millis("start").alias("start_ms"), "frames", "fps")
+
+
 _PAIRED = "SELECT l.participant, l.frame_idx AS l_idx, r.frame_idx AS r_idx FROM fx_frames l JOIN fx_frames r ON l.participant = r.participant AND r.ts BETWEEN l.ts - INTERVAL '1 hour' AND l.ts + INTERVAL '1 hour' WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'"
 
 
@@ -951,7 +984,26 @@ def workload_synchronised(spark, sf_dir):
 def workload_paired_synchronised(spark, sf_dir):
     """Videos paired by name, brought to the pair's lower rate, cut to the shorter length and paired frame by frame, a frame's length apart at most."""
     f = fx.video_frames(spark, sf_dir)
-    return plans.synchronised(f, videos=fx.video_list(f), keys=("participant", "video"))
+    videos = fx.video_list(f)
+    return plans.synchronised(f, tolerance_ms=plans.frame_ms(videos), videos=videos, keys=("participant", "video"))
+
+
+@query(
+    """WITH v AS (SELECT participant, video, min(fps) AS fps FROM fx_rated GROUP BY ALL HAVING count(DISTINCT view) = 2),
+  kept AS (SELECT f.*, v.fps AS least, row_number() OVER (PARTITION BY participant, view, video ORDER BY frame_idx) - 1 AS i FROM fx_rated f JOIN v USING (participant, video) WHERE frame_idx % (f.fps / v.fps) < 1),
+  m AS (SELECT participant, video, min(frames) AS keep FROM (SELECT participant, view, video, max(i) + 1 AS frames FROM kept GROUP BY ALL) GROUP BY ALL), t AS (SELECT k.* FROM kept k JOIN m USING (participant, video) WHERE i < keep),
+  near AS (SELECT l.participant, l.video, l.i AS l_idx, r.i AS r_idx, l.t_ms AS l_t, r.t_ms AS r_t, abs(l.t_ms - r.t_ms) AS dt FROM t l JOIN t r ON l.participant = r.participant AND l.video = r.video
+    AND abs(l.t_ms - r.t_ms) <= 1000.0::DOUBLE / l.least WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY participant, video, l_idx ORDER BY dt, r_t, r_idx) AS a, row_number() OVER (PARTITION BY participant, video, r_idx ORDER BY dt, l_t, l_idx) AS b FROM near)
+  SELECT participant, video, l_idx, r_idx, l_t, r_t, dt FROM ranked WHERE a = 1 AND b = 1""",
+    "fx_frames",
+    "fx_video_frames",
+    "fx_rated",
+)
+def workload_rated_synchronised(spark, sf_dir):
+    """As before, of videos with 30, 50 and 60 frames a second: frames of a pair are apart by one of its own frames at most."""
+    f = fx.rated_frames(spark, sf_dir)
+    return plans.synchronised(f, videos=fx.rated_list(f), keys=("participant", "video"))
 
 
 _HAVE = """have AS (SELECT *, 99000 + CAST(floor(start_s) AS BIGINT) * 500 AS bytes, 100 + CAST(turn AS BIGINT) % 3 AS frame_count FROM fx_clips WHERE CAST(turn AS BIGINT) % 4 <> 0)"""
@@ -962,7 +1014,7 @@ def _segmented(spark, sf_dir, what: str) -> DataFrame:
     return plans.segmented_statistics(fx.annotations(spark, sf_dir), fx.clip_files(spark, sf_dir), valid)[what]
 
 
-@query("SELECT 'segments/' || abbreviation || '/' || view || '/' || name AS path FROM fx_clips WHERE CAST(turn AS BIGINT) % 4 = 0", "fx_tricks", "fx_clips")
+@query("SELECT 'segments/' || abbreviation || '/' || name AS path FROM fx_clips WHERE CAST(turn AS BIGINT) % 4 = 0", "fx_tricks", "fx_clips")
 def workload_segments_missing(spark, sf_dir):
     """Label exports spread over views: the clips that are still to be cut."""
     return _segmented(spark, sf_dir, "missing").select("path")

@@ -7,10 +7,10 @@ import os
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.schemas import ANNOTATION, CALIBRATION, DOUBLES, EXTENSION_VIDEO, TASK_PLAN
+from viewloom.schemas import ANNOTATION, CALIBRATION, DOUBLES, EXTENSION_VIDEO, SEGMENT_KEYS, TASK_PLAN
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -71,12 +71,38 @@ def read_landmarks(spark: SparkSession, path: str, sizes: dict[str, int]) -> tup
     return check_widths(spark.read.parquet(path), sizes)
 
 
-def write_landmarks(frames: DataFrame, path: str, sizes: dict[str, int]) -> None:
-    """Write frames; a part of another width ends the job with an error."""
+def _of_width(frames: DataFrame, sizes: dict[str, int], width: int) -> DataFrame:
+    """The frames; a part of another size or with a point of another width ends the job with an error."""
     for part, n in sizes.items():
-        bad = F.col(part).isNotNull() & (F.size(part) != n)
-        frames = frames.withColumn(part, F.when(bad, F.raise_error(F.lit(f"{part} is not of {n} points"))).otherwise(F.col(part)))
-    frames.write.mode("overwrite").parquet(path)
+        bad = F.col(part).isNotNull() & ((F.size(part) != n) | ~F.forall(part, lambda p: F.coalesce(F.size(p) == width, F.lit(False))))
+        frames = frames.withColumn(part, F.when(bad, F.raise_error(F.lit(f"{part} is not of {n} points of {width}"))).otherwise(F.col(part)))
+    return frames
+
+
+def write_landmarks(frames: DataFrame, path: str, sizes: dict[str, int], width: int = 2) -> None:
+    """Write frames; a part of another size or width ends the job with an error."""
+    _of_width(frames, sizes, width).write.mode("overwrite").parquet(path)
+
+
+def segment_key() -> Column:
+    """A segment as one text, task-subtask-start_end, as in its file's name; equal where all parts are equal."""
+    second = lambda c: (F.col(c) + F.lit(0.0)).cast("string")  # noqa: E731  no -0.0
+    return F.concat("task", F.lit("-"), "subtask", F.lit("-"), second("start_s"), F.lit("_"), second("end_s"))
+
+
+def write_landmark_table(frames: DataFrame, name: str, path: str, sizes: dict[str, int], buckets: int, width: int = 2) -> DataFrame:
+    """Write frames as the table ``name`` in ``path``, bucketed and sorted by participant, segment and frame, and read it.
+
+    Segments are one column more, ``segment``, as doubles can't be keys of buckets.  Both views of a frame are in buckets of one number, so their join (``join_stereo_frames``) needs no
+    exchange; the frame among the keys spreads a long segment over all buckets.
+    """
+    laid = _of_width(frames, sizes, width)
+    if set(SEGMENT_KEYS) <= set(frames.columns):
+        laid = laid.withColumn("segment", segment_key())
+    by = ["participant", *(c for c in ("segment",) if c in laid.columns), "frame_idx"]
+    laid = laid.repartition(buckets, *by)
+    laid.write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    return frames.sparkSession.table(name)
 
 
 def read_calibrations(spark: SparkSession, glob: str) -> DataFrame:
@@ -106,10 +132,20 @@ def decode_calibrations(files: DataFrame) -> DataFrame:
     return files.mapInPandas(decode, CALIBRATION)
 
 
-def write_by_view_subtask(rows: DataFrame, path: str, most_per_file: int = 100_000, salt: int = 8) -> None:
-    """Laid out as view=../subtask=..; a large subtask is written by ``salt`` tasks, so none holds it alone."""
-    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if dict(rows.dtypes)[c] in ("string", "bigint", "int", "double")]), F.lit(salt))
-    rows.repartition("view", "subtask", spread).write.option("maxRecordsPerFile", most_per_file).partitionBy("view", "subtask").mode("overwrite").parquet(path)
+def write_by_view_subtask(rows: DataFrame, path: str, most_per_file: int = 100_000) -> None:
+    """Laid out as view=../subtask=..; each group in as many files of about equal size as its number of rows asks for, each written by one task.
+
+    The rows of every group are counted first; that table, a row a group, tells each row into how many files its group goes.
+    """
+    counts = rows.groupBy("view", "subtask").agg(F.ceil(F.count("*") / most_per_file).alias("_files"))
+    counts = counts.select(F.col("view").alias("_view"), F.col("subtask").alias("_subtask"), "_files")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), counts.agg(F.max("_files")).first()[0] or 1)
+    same = F.col("view").eqNullSafe(F.col("_view")) & F.col("subtask").eqNullSafe(F.col("_subtask"))
+    placed = rows.withColumn("_at", F.monotonically_increasing_id()).join(counts, same)
+    # a group's files are next to each other, so no two of them meet in one task
+    task = F.pmod(F.hash("view", "subtask") + F.pmod("_at", "_files"), F.lit(tasks)).cast("int")
+    spread = placed.repartitionById(tasks, task).select(rows.columns)
+    spread.write.option("maxRecordsPerFile", 2 * most_per_file).partitionBy("view", "subtask").mode("overwrite").parquet(path)
 
 
 def append_new_rows(existing: DataFrame, new: DataFrame) -> DataFrame:

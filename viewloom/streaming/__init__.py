@@ -15,33 +15,42 @@ from viewloom.functions.frames import look_direction
 def incremental_features(
     spark: SparkSession, source: str, schema, work: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, per_run: int = 100, manifest: str | None = None
 ) -> StreamingQuery:
-    """Process the files that are new since the last run, ``per_run`` at a time, and append the results with their ``file``, its whole path.
+    """Process the files that are new since the last run, ``per_run`` at a time, and write the results with their ``file``, its whole path.
 
-    Files are known by their paths, so equal names in different folders are different files.  The files done are listed in ``manifest`` (``sink`` + "_manifest"), so no batch reads the
-    sink as a whole; a run that is repeated after a failure between the two writes finds its own files in the sink and appends nothing twice.  ``work`` has to keep the column ``file``.
+    Files are known by their paths, so equal names in different folders are different files.  A batch owns the folders ``run=<query's id>/batch=<its number>`` of the sink and of the
+    ``manifest`` (``sink`` + "_manifest"), which lists the files done, and overwrites them: a batch that is repeated after a failure, also one between the two writes, leaves each row once,
+    and reads neither.  The files of runs under other checkpoints are left out; their manifests are looked up when a run begins, and read only where there are any.
+    ``work`` has to keep the column ``file``.
     """
     manifest = manifest or sink.rstrip("/") + "_manifest"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_run).option("recursiveFileLookup", True).parquet(source).withColumn("file", F.col("_metadata.file_path"))
-
-    def files_in(session: SparkSession, path: str) -> DataFrame:
-        try:
-            return session.read.schema("file string").parquet(path)
-        except AnalysisException as e:  # the first run finds nothing
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return session.createDataFrame([], "file string")
+    others: dict[str, DataFrame | None] = {}
+
+    def done_elsewhere(session: SparkSession, run: str) -> DataFrame | None:
+        """Files that runs under other checkpoints have done before this one began; None where there are none."""
+        if run not in others:
+            try:
+                listed = session.read.schema("file string, run string, batch long").parquet(manifest).where(F.col("run") != run)
+                others[run] = listed.select("file") if listed.limit(1).count() else None
+            except AnalysisException as e:  # the first run finds nothing
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                others[run] = None
+        return others[run]
 
     def write(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession
+        run = own.sparkContext.getLocalProperty("sql.streaming.queryId")
         listed = batch.select("file").distinct()
-        new = listed.join(files_in(own, manifest), "file", "left_anti")
-        new = new.join(files_in(own, sink).join(F.broadcast(listed), "file", "left_semi").distinct(), "file", "left_anti").persist()  # at most ``per_run`` paths
-        out = work(batch.join(F.broadcast(new), "file", "left_semi"))
+        done = done_elsewhere(own, run)
+        if done is not None:
+            listed = listed.join(done, "file", "left_anti")
+            batch = batch.join(F.broadcast(listed), "file", "left_semi")  # at most ``per_run`` paths
+        out = work(batch)
         if "file" not in out.columns:
             raise ValueError("work has to keep the column file")
-        out.write.mode("append").parquet(sink)
-        listed.join(files_in(own, manifest), "file", "left_anti").write.mode("append").parquet(manifest)
-        new.unpersist()
+        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/run={run}/batch={number}")
+        listed.write.mode("overwrite").parquet(f"{manifest.rstrip('/')}/run={run}/batch={number}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
@@ -59,6 +68,14 @@ def live_look_direction(angles: DataFrame, watermark: str = "10 seconds", window
     return g.select(F.col("window.start").alias("start"), "label", "frames")
 
 
+def live_rate(frames: DataFrame, watermark: str = "10 seconds", seconds: int = 1) -> DataFrame:
+    """Frames a second in every tumbling window of ``seconds`` of event time ``ts``; the same on a batch and on a stream."""
+    if frames.isStreaming:
+        frames = frames.withWatermark("ts", watermark)
+    g = frames.groupBy(F.window("ts", f"{seconds} seconds")).agg(F.count("*").alias("frames"))
+    return g.select(F.col("window.start").alias("start"), "frames", (F.col("frames") / float(seconds)).alias("fps"))
+
+
 def stream_sync(left: DataFrame, right: DataFrame, keys: list[str], tolerance: str, watermark: str = "1 minute") -> DataFrame:
     """All pairs of two live views at most ``tolerance`` apart in event time ``ts``; both watermarks bound the state."""
     a = left.select(*(F.col(k).alias(f"l_{k}") for k in keys), F.col("frame_idx").alias("l_idx"), F.col("ts").alias("l_ts"))
