@@ -1,10 +1,10 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page becomes its sequence of leaf blocks: runs of text between block-level tags, each with the tags, classes and ids above
-it.  A bidirectional LSTM in numpy reads one vector per block (hashed path, hashed words, a few measures) and classifies
-every block with the whole page as its context.  It is trained on a bounded, seeded sample of the pages themselves: blocks whose
+it.  A bidirectional LSTM in numpy reads one vector per block (path, hashed words, a few measures) and classifies
+every block with the whole page as its context.  HTML's elements and the telling names have an input each; all other names share one, so no name looks like another.  It is trained on a bounded, seeded sample of the pages themselves: blocks whose
 place in the page is telling (inside an article; in a menu, a footer, an advert) label themselves, and copies of the sampled pages with their
-containers renamed or boilerplate inserted show it the other ways in which pages say the same.  Scripts, styles and comments of the markup never become blocks.
+containers renamed or boilerplate inserted show it the other ways in which pages say the same, names among them that it doesn't know.  Scripts, styles and comments of the markup never become blocks.
 
 Defined results: null and empty html, and pages without a block of main text, give the empty string; repeated rows are extracted each
 on their own; a stray quote in a tag is an ordinary character, a head without its end ends where the body begins; markup that breaks off ends where it breaks off; without any page to learn from every block counts as main text.
@@ -26,16 +26,20 @@ from pyspark.sql import types as T
 
 from viewloom.llm.text import narrow, sample, slices
 
-PATH, WORDS, MEASURES = 256, 32, 6
-WIDTH = PATH + WORDS + MEASURES
-HIDDEN = 0.25
+WORDS, MEASURES = 32, 6
+#: Shares of the training copies in which no container has a telling name, and in which one of main text, or one of other things, has an unknown name.
+HIDDEN, UNKNOWN_MAIN, UNKNOWN_OTHER = 0.25, 0.35, 0.25
+UNKNOWN = "#?"
 #: A quote counts after '=' alone; where the quoted values leave no '>', a tag ends at its first one.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+(?:"[^"]*"|'[^']*')|[^>])*+|[^>]*+)>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # Names of HTML elements.
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title", "select", "textarea", "button"}
+INLINE |= {"button", "math", "object"}
+SKIPPED = {"script", "style", "noscript", "template", "svg", "iframe", "canvas", "head", "title", "select", "textarea"}
+#: Of these, those that may stand inside a line of text, which goes on after them.
+WITHIN = {"script", "style", "noscript", "template", "svg", "iframe", "canvas", "select", "textarea"}
 HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
@@ -45,13 +49,21 @@ OTHER = (
     "#sidebar", "#widget", "#footer", "#header", "#cookie", "#notice", "#consent", "#newsletter", "#subscribe", "#popup", "#modal", "#share", "#social", "#related",
     "#recommended", "#comments", "#comment", "#reply", "#disqus", "#copyright", "#legal", "#toolbar", "#search", "#login", "#pagination", "#alert", "#tags",
 )
+# Names of HTML elements that hold blocks.
+ELEMENTS = (
+    "html", "body", "div", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "section",
+    "hgroup", "address", "fieldset", "legend", "details", "summary", "center", "option",
+)
+KNOWN = {name: k for k, name in enumerate((*ELEMENTS, *MAIN, *OTHER))}
+PATH = len(KNOWN) + 2  # unknown names; unknown elements
+WIDTH = PATH + WORDS + MEASURES
 
 
 @dataclass
 class Block:
     text: str
     path: tuple[str, ...]  # tags, and '#' with each class, id or role, outermost first
-    linked: float  # share of characters inside links
+    linked: float  # share of characters inside links and buttons
 
 
 def blocks(page: str) -> list[Block]:
@@ -67,7 +79,7 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(t for t, _ in held)).split())
             if text:
                 total = sum(len(t) for t, _ in held)
-                path = tuple(x for tag, names in stack if tag not in INLINE for x in (tag, *names))
+                path = tuple(x for tag, names in stack if tag not in INLINE and tag not in WITHIN for x in (tag, *names))
                 out.append(Block(text, path, sum(len(t) for t, a in held if a) / total))
             held = []
 
@@ -75,7 +87,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal skipping, links
         for tag, _ in stack[to:]:
             skipping -= tag in SKIPPED
-            links -= tag == "a"
+            links -= tag in ("a", "button")
         del stack[to:]
 
     at = 0
@@ -110,17 +122,18 @@ def blocks(page: str) -> list[Block]:
             elif tag == "hr":
                 flush()
             continue
+        formula = any(x == "math" for x, _ in stack)  # its elements are parts of a line
         if slash:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    if tag not in INLINE:
+                    if tag not in INLINE and tag not in WITHIN and not formula and not skipping:
                         flush()
                     close(k)
                     break
                 if tag in INLINE and stack[k][0] not in INLINE:
                     break
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in WITHIN and not formula and not skipping:
             flush()
             if tag in CLOSES_P or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 ends = ("p",) if tag in CLOSES_P else ("p", "li") if tag == "li" else ("p", "dt", "dd") if tag in ("dt", "dd") else ("p", "td", "th") if tag in ("td", "th") else ("p", tag)
@@ -131,10 +144,10 @@ def blocks(page: str) -> list[Block]:
                         break
         if attributes.endswith("/") and tag not in INLINE and tag not in CLOSES_P:
             continue
-        names = () if tag in INLINE else tuple("#" + w for x in ATTRIBUTE.findall(attributes) for w in re.split(r"[\s_-]+", "".join(x).lower()) if w)
+        names = () if tag in INLINE or formula else tuple("#" + w for x in ATTRIBUTE.findall(attributes) for w in re.split(r"[\s_-]+", "".join(x).lower()) if w)
         stack.append((tag, names))
         skipping += tag in SKIPPED
-        links += tag == "a"
+        links += tag in ("a", "button")
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -157,7 +170,8 @@ def teacher(block: Block) -> int:
 def vector(block: Block, order: float) -> np.ndarray:
     out = np.zeros(WIDTH, np.float32)
     for k, name in enumerate(reversed(block.path)):
-        out[zlib.crc32(name.encode()) % PATH] = max(out[zlib.crc32(name.encode()) % PATH], 1.0 if k < 12 else 0.5)
+        at = KNOWN.get(name, PATH - 2 if name[0] == "#" else PATH - 1)
+        out[at] = max(out[at], 1.0 if k < 12 else 0.5)
     words = block.text.split(" ")
     # all words count, by their share; short blocks weigh less
     hashed = np.bincount([zlib.crc32(w) % WORDS for w in block.text.lower().encode().split(b" ")], minlength=WORDS)
@@ -176,25 +190,27 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
 
     In a share ``HIDDEN`` of the copies no container has a telling name, so words, links, measures and neighbours have to decide.
     """
-    hidden = rng.random() < HIDDEN
+    hidden, unknown_main = rng.random() < HIDDEN, rng.random() < UNKNOWN_MAIN
+    unknown_other = [rng.random() < UNKNOWN_OTHER for _ in range(2)]
     label = [teacher(b) for b in page]
     main = [i for i, y in enumerate(label) if y == 1]
     out, labels = [], []
     new_main = [rng.choice(MAIN)] if rng.random() < 0.8 else [rng.choice(MAIN), rng.choice(MAIN)]
     outside = [str(rng.choice(OTHER)) for _ in range(4)]
 
-    def tags(names: list[str]) -> tuple[str, ...]:
-        if hidden:
-            return ("div",) * len(names)
+    def tags(names: list[str], unknown: bool = False) -> tuple[str, ...]:
+        if hidden or unknown:
+            return tuple(x for _ in names for x in (("div", UNKNOWN) if rng.random() < 0.5 else ("section",) if rng.random() < 0.2 else ("div",)))
         return tuple(x for n in names for x in (("div", str(n)) if n[0] == "#" else (str(n),)))
 
+    over_main, over_other = tags(new_main, unknown_main), [tags([outside[k]], unknown_other[k]) for k in range(2)]
     for i, (b, y) in enumerate(zip(page, label, strict=True)):
         rest = [x for x in b.path if x not in MAIN and x not in OTHER]
         if y == 1:
             inner = rest[2:] if rng.random() < 0.7 else [str(x) for x in rng.choice(["div", "ul", "ol", "li", "h2", "h3", "blockquote", "td", "table", "section", "p", "pre"], 2)]
-            out.append(Block(b.text, (*rest[:2], *tags(new_main), *inner), b.linked))
+            out.append(Block(b.text, (*rest[:2], *over_main, *inner), b.linked))
         elif y == 0:
-            out.append(Block(b.text, (*rest[:2], *tags([outside[i % 2]]), *rest[2:]), b.linked))
+            out.append(Block(b.text, (*rest[:2], *over_other[i % 2], *rest[2:]), b.linked))
         else:
             out.append(b)
         labels.append(y)
@@ -202,7 +218,7 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
         # texts that read like main text, in a place that is not: beside it or inside its container
         many = int(rng.integers(1, 6))
         at = int(rng.integers(0, len(out) + 1))
-        over = tags(new_main) if rng.random() < 0.5 else ()
+        over = over_main if rng.random() < 0.5 else ()
         texts = [page[int(rng.choice(main))].text if main and rng.random() < 0.7 else page[int(rng.integers(len(page)))].text for _ in range(many)] if page else []
         kind = "li" if rng.random() < 0.3 else "p" if rng.random() < 0.7 else "div"
         out[at:at] = [Block(t, ("html", "body", *over, *tags([name]), kind), float(rng.random() < 0.2)) for t in texts]
