@@ -42,7 +42,7 @@ def test_lines(stages):
     for i, t in pairs(stages[1]):
         t = t or ""
         left = "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
-        if left == t or (left.split() and 4 * len(left) > len(t)):  # what is left of a near copy goes
+        if left == t or left.split():
             want.append((i, left))
     assert sorted(pairs(stages[2])) == sorted(want)
     assert all(r["n_chars"] == len(r["text"]) for r in stages[2])
@@ -91,3 +91,20 @@ def test_unlike_rows_without_an_id_of_their_own(spark):
     texts = Counter(r["text"] for r in got)
     assert texts[c] + texts[c + " more"] == 1
     assert {t: texts[t] for t in (a, b, d, e)} == dict.fromkeys((a, b, d, e), 1) and len(got) == 5
+
+
+def test_rows_without_a_word_pass_three_stages_as_they_are(spark):
+    good = "These are lines of plain words, which nothing else in the table has."
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t ", None), (None, None, None), (2, "", "a"), (7, good, "a")]
+    df = docs(spark, rows, clashing=False)
+    for _, f in P.STAGES[:3]:
+        df = kept(f(spark, df, SF))
+        got = Counter((r["doc_id"], r["text"], r["source"], r["n_chars"]) for r in df.collect() if r["doc_id"] != 7)
+        assert got == Counter((i, t, s, len(t) if t is not None else None) for i, t, s in rows[:-1])
+
+
+def test_a_few_own_lines_of_a_large_document_stay(spark):
+    shared = "\n".join(" ".join(f"word{k}of{j}" for j in range(8)) for k in range(60))
+    own = "only one of both documents has this line with its nine and more words"
+    got = {r["doc_id"]: r["text"] for r in P.line_dedup(spark, docs(spark, [(1, shared, "a"), (2, shared + "\n" + own, "a")], clashing=False), SF).collect()}
+    assert got == {1: shared, 2: own}

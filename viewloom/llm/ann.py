@@ -29,6 +29,8 @@ from viewloom.llm.text import kept
 
 #: Sampled vectors that give queries their first bound, and queries that meet a cell's vectors in one task.
 BOUND, QUERIES = 1000, 2048
+#: So many queries' lists are ranked at once.
+RANKED = 256
 #: Lists around centroids of the vectors themselves, and lists in all.
 FIRST_LISTS, MOST_LISTS = 4096, 1 << 18
 
@@ -214,8 +216,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, cell: int = 2048, reach: f
     where = spark.sparkContext.broadcast({name: range(first, first + own) for name, first, own in dealt})
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
+        for whole in batches:
+            for i in range(0, len(whole), RANKED):
+                b = whole.iloc[i : i + RANKED]
                 e = np.array(b["e"].tolist())
                 order = held.value.ranked(held.value.lifted(e, True), firsts)
                 near = order[:, :n_probe]

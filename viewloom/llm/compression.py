@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,15 +100,19 @@ def fit(texts: dict[int, list[bytes]], shares: tuple[int, int], dictionary: int
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 4000, most_chars: int = 100_000, dictionary: int = 64 * 1024, seed: int = 0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 4000, most_chars: int = 100_000, dictionary: int = 64 * 1024, seed: int = 0, most_total: int = 24_000_000) -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label).
 
-    The sample has at most ``most`` ids of each label, those first in a seeded hash order, with texts of ``most_chars`` characters at most (a longer text leaves its id out of the sample, not out of what is scored).
+    The sample has at most ``most`` ids of each label, those first in a seeded hash order, with texts of ``most_chars`` characters at most (a longer text leaves its id out of the sample, not out of what is scored),
+    and of these the first in that order that have ``most_total`` characters together, at most, so that one task can hold them.
     Half of it trains the dictionaries, the other half the calibration.
     """
     clean = labels.where("label in (0, 1)")
     ids = sample(clean.where("label = 0"), most, seed).unionByName(sample(clean.where("label = 1"), most, seed)).select("doc_id", "label").distinct()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= most_chars)
+    lengths = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max(F.length("text")).alias("length"))  # ``most`` rows a label
+    up_to = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    ids = lengths.withColumn("_sum", F.sum("length").over(up_to)).where(F.col("_sum") <= most_total).select("doc_id", "label")
     found = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     counts = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
     shares = counts.get(0, 0), counts.get(1, 0)
