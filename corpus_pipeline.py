@@ -1,8 +1,8 @@
 """Corpus preparation as five stages over ``documents``, each written as Parquet and read again by the next.
 
-1. quality: documents go whose chance to be good is below a half by the compression classifier.
-2. line dedup: lines that match an earlier line go; a document that loses all of its words goes with them, and so does one that loses three quarters of its characters or more, as what
-   is left of a near copy is a few changed lines, in which the next stage could not see the copy any more.
+1. quality: documents with a word go whose chance to be good is below a half by the compression classifier.
+2. line dedup: lines that match an earlier line go; a document that loses all of its words goes with them, one that keeps any keeps them, however few: of a near copy these are the lines
+   that are its own.
 3. near duplicates: of each group of linked documents the one with the smallest id stays, of equal ids the smallest text.
 4. mixing: documents are taken as often as the target weights of their sources ask, as whole repeated rows; those not taken go.
 5. packing: what is left becomes windows of token ids.
@@ -24,24 +24,22 @@ from viewloom.llm.queries import remainder, tokenizer_path
 from viewloom.llm.text import kept, shared_folder, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document of which so many parts of a hundred are left, or fewer, once its repeated lines are gone, is a near copy.
-LEAST_LEFT = 25
+_HAS_WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier doesn't reject; it learns from the labelled documents among those given."""
+    """Documents that the compression classifier doesn't reject, and those without a word, which it can't judge; it learns from the labelled documents among those given."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     model = compression.train(docs, labels.where(remainder(4) != 2))
-    return compression.score(docs, model, [*COLUMNS[:1], *COLUMNS[2:], F.col("text").alias("kept")]).where("score >= 0.5").select(
+    return compression.score(docs, model, [*COLUMNS[:1], *COLUMNS[2:], F.col("text").alias("kept")]).where((F.col("score") >= 0.5) | ~F.coalesce("kept", F.lit("")).rlike(_HAS_WORD)).select(
         "doc_id", F.col("kept").alias("text"), "lang", "source", "n_chars"
     )
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that match an earlier one; those that lose their last word, or all but a quarter, go."""
-    found = lines.dedup(docs.select(COLUMNS)).withColumn("_whole", F.length("text")).withColumn("text", lines.kept_text())
-    enough = F.col("text").rlike("[^\\x20\\x09-\\x0D]") & (100 * F.length("text") > LEAST_LEFT * F.col("_whole"))
-    left = found.where((F.size("removed") == 0) | enough)
+    """Documents without the lines that match an earlier one; those that lose their last word go."""
+    found = lines.dedup(docs.select(COLUMNS)).withColumn("text", lines.kept_text())
+    left = found.where((F.size("removed") == 0) | F.col("text").rlike(_HAS_WORD))
     n_chars = F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return left.withColumn("n_chars", n_chars).select(COLUMNS)
 
@@ -56,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     equal = found.where("n_shingles > 0").groupBy("doc_id", "_hash").count().where("count > 1")
     if equal.limit(1).count():  # equal rows are copies too
         order = Window.partitionBy("doc_id", "_hash").orderBy(*COLUMNS)
-        blank = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+        blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(_HAS_WORD)
         out = out.withColumn("_r", F.row_number().over(order)).where((F.col("_r") == 1) | blank)
     return out.select(COLUMNS)
 
