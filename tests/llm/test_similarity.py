@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from viewloom.llm import jaccard, lines
 from viewloom.llm import sets as S
 from viewloom.llm.queries import op8_jaccard_join, op10_line_dedup
+from viewloom.llm.text import kept, table
 
 from .helpers import AWKWARD, docs
 
@@ -258,3 +259,24 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001)], "a long, b long")
     got = {r["node"]: r["root"] for r in S.components(edges).collect()}
     assert {got.get(i, i) for i in range(201)} == {0} and got[1001] == 1000
+
+
+def test_a_filled_sketch_crowds_no_key(spark, sf_dir):
+    """Where every counter of the sketch is large, keys are still counted: those of a single node give no rows."""
+    texts = table(spark, sf_dir, "documents").select("text")
+    full = spark.sparkContext.broadcast(np.full(S.WIDTH, 10**9, np.uint32))
+    nodes = kept(jaccard.keyed(texts, full))
+    crowd = jaccard.crowded(nodes)
+    assert not len(crowd[0])
+    rows = jaccard.cells(nodes, crowd).groupBy("key").count()
+    assert rows.count() > 0 and rows.where("count < 2").count() == 0
+
+
+def test_crowded_keys_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWDED", 5)
+    shared = "one two three four five"
+    texts = spark.createDataFrame([(f"{shared} own{i} words{i} of{i} text{i}",) for i in range(23)], "text string")
+    nodes = kept(jaccard.keyed(texts, spark.sparkContext.broadcast(np.full(S.WIDTH, 6, np.uint32))))
+    keys, parts = jaccard.crowded(nodes)
+    shown = jaccard.cells(nodes, (keys, parts)).where("part >= 0")
+    assert len(keys) <= 1 and set(parts.tolist()) <= {4} and (shown.count() > 0) == (len(keys) > 0)

@@ -38,7 +38,7 @@ LEADERS = 3
 BLOCK = 2048
 #: Groups of the bound that is checked before a link is given out; kept as a list of groups, a number for each shingle.
 SPARSE, DENSE = 1 << 16, 1 << 12
-#: A key of more documents, by the sketch, has leaders of its own in each of several parts.
+#: A key that more nodes send, by real count, has leaders of its own in each of several parts.
 CROWDED = 1 << 17
 
 
@@ -195,7 +195,8 @@ def linked(root: np.ndarray, a: np.ndarray, b: np.ndarray, check) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, sketch) -> DataFrame:
-    """(node, n, prefix, point, fine) of every row of (text), one row a node: its prefix of rare shingles and its group counts."""
+    """(node, n, prefix, point, maybe, fine) of every row of (text), one row a node: its prefix of rare shingles, its group counts, and which keys may be crowded by the sketch."""
+    most = CROWDED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -215,34 +216,49 @@ def keyed(docs: DataFrame, sketch) -> DataFrame:
             at = np.repeat(starts[rows] - cuts[:-1], take[rows]) + np.arange(cuts[-1])
             x = points(tokens, starts)[rows]
             columns = [pa.array(node[rows]), pa.array(n[rows]), S.blobs(ordered[at], cuts), S.blobs(x.ravel(), np.arange(len(rows) + 1) * GROUPS)]
-            columns.append(S.blobs(crowd_parts(sketch.value, ordered[at]), cuts))
-            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "parts", "fine"])
+            columns.append(S.blobs((sketch.value[S.slots(ordered[at])] > most).astype(np.uint8), cuts))
+            yield pa.record_batch([*columns, fine_points(tokens, starts).take(pa.array(rows))], names=["node", "n", "prefix", "point", "maybe", "fine"])
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, parts binary, fine binary")
-    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "parts", "fine")))
+    found = docs.select("text").mapInArrow(run, "node long, n long, prefix binary, point binary, maybe binary, fine binary")
+    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "point", "maybe", "fine")))
 
 
-def crowd_parts(sketch: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Into how many parts, 250 at most, each key is cut for its leaders' sake."""
-    return np.minimum(sketch[S.slots(keys)] // CROWDED, 250).astype(np.uint8)
+def crowded(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that more than ``CROWDED`` nodes send, ascending, and into how many parts, 250 at most, each is cut for its leaders' sake.
+
+    The sketch only says which keys have to be counted: where its counters have filled these are all keys, and the real counts still tell.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, maybe = S.flat(batch.column(0), "<i8")[0], S.flat(batch.column(1), np.uint8)[0]
+            yield pa.record_batch([pa.array(keys[maybe > 0])], names=["key"])
+
+    counts = nodes.select("prefix", "maybe").mapInArrow(run, "key long").groupBy("key").count().where(F.col("count") > CROWDED).collect()
+    found = sorted((r["key"], min(r["count"] // CROWDED, 250)) for r in counts)
+    return np.array([k for k, _ in found], np.int64), np.array([n for _, n in found], np.int64)
 
 
 LED = [f"{c}{i}" for i in range(1, LEADERS + 1) for c in "ln"]
 CELL = "key long, part int, node long, n int, " + ", ".join(f"{c} {'long' if c[0] == 'l' else 'int'}" for c in LED)
 
 
-def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+def cells(nodes: DataFrame, crowd: tuple[np.ndarray, np.ndarray], part: int = 0, parts: int = 1) -> DataFrame:
     """(key, part, node, n, l1, n1, ...) of all keys that two nodes or more share, with the first ``LEADERS`` nodes and their sizes of the key, or of the node's
-    part of it where the key may be crowded; of one of ``parts`` parts of the keys."""
+    part of it where the key is crowded; of one of ``parts`` parts of the keys."""
+    crowd_keys, crowd_parts = crowd
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, starts = S.flat(batch.column(2), "<i8")
             row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            cut = S.flat(batch.column(3), np.uint8)[0]
             if parts > 1:
                 mine = np.flatnonzero(S.mix(keys.view(np.uint64)) % np.uint64(parts) == part)
-                keys, row, cut = keys[mine], row[mine], cut[mine]
+                keys, row = keys[mine], row[mine]
+            cut = np.zeros(len(keys), np.int64)
+            if len(crowd_keys):
+                at = np.minimum(np.searchsorted(crowd_keys, keys), len(crowd_keys) - 1)
+                cut = np.where(crowd_keys[at] == keys, crowd_parts[at], 0)
             node = batch.column(0).to_numpy()[row]
             own = np.where(cut > 0, (S.mix(node.view(np.uint64)) % (cut.astype(np.uint64) + np.uint64(1))).astype(np.int64), -1)
             yield pa.record_batch([pa.array(keys), pa.array(own.astype(np.int32)), pa.array(node), pa.array(batch.column(1).to_numpy()[row].astype(np.int32))], names=["key", "part", "node", "n"])
@@ -276,7 +292,7 @@ def cells(nodes: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
                 columns = [key[at], own[at].astype(np.int32), node[at], n[at].astype(np.int32), *(v for i in led for v in (node[i[at]], n[i[at]].astype(np.int32)))]
                 yield pa.record_batch([pa.array(c) for c in columns], names=names)
 
-    spread_out = nodes.select("node", "n", "prefix", "parts").mapInArrow(spread, "key long, part int, node long, n int")
+    spread_out = nodes.select("node", "n", "prefix").mapInArrow(spread, "key long, part int, node long, n int")
     return spread_out.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(runs, CELL)
 
 
@@ -477,9 +493,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keys: tupl
     held.destroy()
     del sketch, held
     release(spark)
-    folder = shared_folder(spark)
+    folder, crowd = shared_folder(spark), crowded(nodes)
     for i in range(PARTS):  # a part of the keys at a time, so that a part of their rows is on disk
-        cells(nodes, i, PARTS).write.mode("append").parquet(folder)
+        cells(nodes, crowd, i, PARTS).write.mode("append").parquet(folder)
         release(spark)
     cell = spark.read.schema(CELL).parquet(folder)
     cell._kept_in = folder
