@@ -160,12 +160,13 @@ def sync_frames_greedy(left: DataFrame, right: DataFrame, keys: list[str], toler
         if now:
             yield key, held, now, rest
 
-    def in_turn(rows: list[tuple], names: list[str], most: int = 4096) -> Iterator:
+    def in_turn(rows: list[tuple], names: list[str], least: int = 4096) -> Iterator:
+        """The rows as one frame and none left, once there are ``least``."""
         import pandas as pd
 
-        while len(rows) >= most or rows and most == 1:
-            yield pd.DataFrame(rows[: max(most, 4096)], columns=names)
-            del rows[: max(most, 4096)]
+        if len(rows) >= least:
+            yield pd.DataFrame(rows, columns=names)
+            rows.clear()
 
     def states(batches: Iterator) -> Iterator:
         rows: list[tuple] = []
