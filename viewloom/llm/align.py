@@ -10,8 +10,8 @@ pre-tokenizer whatever follows, and no entry of the piece model holds a space af
 has its texts encoded whole).  All ids are checked to spell the text's bytes; a text that they don't spell is encoded again as a whole.
 
 Counts.  Each document gives its distinct linked id pairs with their numbers.  Pairs are counted over documents by an aggregation with partial sums; the
-``MOST_PAIRS`` most frequent ones go back to the tasks as sorted arrays, the others by a join on the pair, of which no key holds more rows than the documents
-divided by that bound's share, so the result is the same at every size.
+``MOST_PAIRS`` most frequent ones go back to the tasks as sorted arrays, the others by a join on the pair, in which no key holds more than that fraction of all
+rows; the result is the same at every size.
 
 Defined results: texts that are null, empty, or not spelled by their ids have no tokens: numbers of 0, no groups, no links; repeated rows and ids are documents each on
 their own; null ids are kept; texts of any length are aligned whole; an empty table gives no rows; further columns are ignored, whatever their names.
