@@ -9,7 +9,7 @@ number, hash of the text), null ids first.
    A key that more than ``BLOCK`` nodes send, by real count, is cut into blocks, and each pair of blocks meets in a cell of its own.
 3. In a cell, nodes are compared under the length filter, the positional filter and a bound from parity bits of each set.  A node takes its most similar earlier ones alone (``CELL_FIRST`` a cell, ``FIRST`` in all),
    so groups of near copies don't list their pairs.  These are verified on the sets.
-4. A node that none of these settles, and that has more, is compared with all others of its cells, sets in hand, until one matches; only the nodes that go leave the task.
+4. A node that none of these settles, and that has more, is compared with all others of its cells: first by the filters alone, then, of the rows that pass, sets in hand, until one matches; only the nodes that go leave the task.
 
 Defined results: null and empty texts have no lines that take part and stay as they are; repeated rows (same id and text) lose the same lines, rows of one id and different texts are told apart by a hash of the text;
 columns of the input named ``n_lines`` or ``removed`` are replaced by the operator's own, all others are kept; an empty table gives no rows.
@@ -465,35 +465,98 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, GONE).distinct()
 
 
+def row_values(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit value of each row's cell and place."""
+    return S.mix(rows["cell"] ^ S.mix(place_keys(*(np.ascontiguousarray(rows[c]) for c in PLACE.names))))
+
+
+def asking_rows(nodes: DataFrame, crowd, asking: DataFrame) -> DataFrame:
+    """(cell, value) of the cell rows of nodes whose places ask."""
+    within = place_filter(asking, asking.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (table, keys, pos, wide) in packs(batches, [NODE, "<u8", "<u4", "<u8"]):
+            use = np.flatnonzero(S.in_bloom(within.value, place_keys(*(table[c].copy() for c in PLACE.names)).view(np.int64)))
+            k, w = table["k"].astype(np.int64), np.where(table["n"] >= WIDE, WIDE_WORDS, 0)
+            rows, _, _ = spread(table[use], take_runs(keys, k, use)[0], take_runs(pos, k, use)[0], take_runs(wide, w, use)[0], crowd.value)
+            columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (rows["cell"], row_values(rows))]
+            yield pa.record_batch([*columns, *(pa.array(rows[c].copy()) for c in PLACE.names)], names=["cell", "value", *PLACE.names])
+
+    rows = nodes.select("bucket", "nodes", "keys", "pos", "wide").mapInArrow(run, "cell long, value long, doc long, hash long, line int")
+    return rows.join(asking, list(PLACE.names), "left_semi").select("cell", "value")
+
+
+def possible_rows(nodes: DataFrame, crowd, own: DataFrame, buckets: int) -> DataFrame:
+    """The cell rows that ask, of which ``own`` has (cell, value), and those that may match one of them by all filters, with ``asks``."""
+    near = nodes.sparkSession.sparkContext.broadcast(S.bloom(own.select(F.col("cell").alias("node")), own.count()))
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            rows, wide = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            n = np.where(rows["n"] >= WIDE, WIDE_WORDS, 0)
+            return pack((S.mix(rows["cell"]) % np.uint64(buckets)).astype(np.int64), [(rows, None), (wide, n)], ["bucket", "rows", "wide"])
+
+        for _, (table, keys, pos, wide) in packs(batches, [NODE, "<u8", "<u4", "<u8"]):
+            rows, _, bits = spread(table, keys, pos, wide, crowd.value)
+            use = np.flatnonzero(S.in_bloom(near.value, rows["cell"].copy().view(np.int64)))
+            held.append((rows[use], take_runs(bits, np.where(rows["n"] >= WIDE, WIDE_WORDS, 0), use)[0]))
+            if sum(len(h[0]) for h in held) >= HELD:
+                yield flush()
+        if held:
+            yield flush()
+        trim()
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, value = (c.to_numpy().view(np.uint64) for c in batch.columns)
+            yield pack((S.mix(cell) % np.uint64(buckets)).astype(np.int64), [(value, None)], ["bucket", "asked"])
+
+    def work(rows: np.ndarray, wide: np.ndarray, asked: np.ndarray) -> Iterator[pa.RecordBatch]:
+        asks = np.isin(row_values(rows), asked)
+        use = np.flatnonzero(np.isin(rows["cell"], np.unique(rows["cell"][asks])))  # the filter lets some other cells through
+        cells = Cells(rows[use], take_runs(wide, np.where(rows["n"] >= WIDE, WIDE_WORDS, 0), use)[0])
+        asks = asks[use][cells.order]
+        possible = np.zeros(len(asks), bool)
+        for x, y, _ in cells.pairs(asks):
+            possible[x] = possible[y] = True
+        at = np.flatnonzero(possible)
+        for i in range(0, len(at), 1 << 14):
+            own = at[i : i + (1 << 14)]
+            has = cells.place[own] >= 0
+            cut = np.concatenate([[0], np.cumsum(np.where(has, WIDE_WORDS, 0))])
+            columns = [pa.array(cells.rows[c][own].astype(np.int64 if CELL[c].itemsize == 8 else np.int32)) for c in CELL.names]
+            yield pa.record_batch([*columns, S.blobs(cells.wide[cells.place[own[has]]].reshape(-1), cut), pa.array(asks[own])], names=[*CELL.names, "bits", "asks"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for _, arrays in packs(batches, [CELL, "<u8", "<u8"]):
+            held.append(arrays)
+            if sum(len(h[0]) for h in held) >= HELD:  # small buckets go together
+                yield from work(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held = []
+        if held:
+            yield from work(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        trim()
+
+    rows = nodes.select("bucket", "nodes", "keys", "pos", "wide").mapInArrow(members, "bucket int, rows binary, wide binary")
+    sent = rows.unionByName(own.mapInArrow(asked, "bucket int, asked binary"), allowMissingColumns=True)
+    fields = ", ".join(f"{c} {'long' if CELL[c].itemsize == 8 else 'int'}" for c in CELL.names)
+    return dealt(sent).mapInArrow(search, f"{fields}, bits binary, asks boolean")
+
+
 def settled(docs: DataFrame, nodes: DataFrame, crowd, asking: DataFrame) -> DataFrame:
-    """Of the places that ask, those that match an earlier node of one of their cells; the sets are in the cells, and each search ends at its first match."""
+    """Of the places that ask, those that match an earlier node of one of their cells; rows that pass the filters have their sets with them, and each search ends at its first match."""
     spark = docs.sparkSession
-    names = [*CELL.names, "bits"]
-    fields = ", ".join(f"{c} {'long' if CELL[c].itemsize == 8 else 'int'}" for c in CELL.names) + ", bits binary"
-
-    def rows_of(within, by_place: bool) -> DataFrame:
-        """The cell rows of nodes whose place, or whose cell, is in the filter."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, (table, keys, pos, wide) in packs(batches, [NODE, "<u8", "<u4", "<u8"]):
-                rows, _, bits = spread(table, keys, pos, wide, crowd.value)
-                value = place_keys(*(rows[c].copy() for c in PLACE.names)).view(np.int64) if by_place else rows["cell"].copy().view(np.int64)
-                use = np.flatnonzero(S.in_bloom(within.value, value))
-                bits, n = take_runs(bits, np.where(rows["n"] >= WIDE, WIDE_WORDS, 0), use)
-                for i in range(0, len(use), 1 << 14):
-                    own = rows[use[i : i + (1 << 14)]]
-                    cut = np.concatenate([[0], np.cumsum(n)])[i : i + len(own) + 1]
-                    columns = [pa.array(own[c].astype(np.int64 if CELL[c].itemsize == 8 else np.int32)) for c in CELL.names]
-                    yield pa.record_batch([*columns, S.blobs(bits[cut[0] : cut[-1]], cut - cut[0])], names=names)
-
-        return nodes.select("bucket", "nodes", "keys", "pos", "wide").mapInArrow(run, fields)
-
-    own = rows_of(place_filter(asking, asking.count()), True).join(asking, list(PLACE.names), "left_semi")
-    cells = kept(own.select("cell").distinct())
-    near = spark.sparkContext.broadcast(S.bloom(cells.select(F.col("cell").alias("node")), cells.count()))
-    members = kept(rows_of(near, False).join(cells, "cell", "left_semi"))
+    own = kept(asking_rows(nodes, crowd, asking))
+    buckets = nodes.agg(F.max("bucket")).first()[0] + 1
+    members = kept(possible_rows(nodes, crowd, own, buckets))
+    forget(spark, own)
+    release(spark)
     sets = kept(sets_of(docs, members.select(*PLACE.names), members.count()))
-    rows = members.join(asking.withColumn("asks", F.lit(True)), list(PLACE.names), "left").join(sets, list(PLACE.names)).select(*names, F.coalesce("asks", F.lit(False)).alias("asks"), "tokens")
+    rows = members.join(sets, list(PLACE.names)).select(*members.columns, "tokens")
 
     def work(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
@@ -529,7 +592,7 @@ def settled(docs: DataFrame, nodes: DataFrame, crowd, asking: DataFrame) -> Data
             yield work(pa.Table.from_batches(held))
 
     out = kept(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, GONE).distinct())
-    forget(spark, cells, members, sets)
+    forget(spark, members, sets)
     return out
 
 
