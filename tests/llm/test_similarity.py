@@ -280,3 +280,24 @@ def test_crowded_keys_are_counted(spark, monkeypatch):
     keys, parts = jaccard.crowded(nodes)
     shown = jaccard.cells(nodes, (keys, parts)).where("part >= 0")
     assert len(keys) <= 1 and set(parts.tolist()) <= {4} and (shown.count() > 0) == (len(keys) > 0)
+
+
+def test_lines_are_searched_to_the_end_behind_a_full_filter(spark, near, monkeypatch):
+    # filters that let all places and cells pass, as they would on a huge corpus: the same lines go, and only nodes that ask are searched
+    monkeypatch.setattr(lines, "parity", lambda tokens, starts: (np.zeros(len(starts) - 1, np.uint64),) * 2)
+    monkeypatch.setattr(lines, "CELL_FIRST", 1)
+    monkeypatch.setattr(lines, "FIRST", 1)
+    monkeypatch.setattr(S, "in_bloom", lambda bits, nodes: np.ones(len(nodes), bool))
+    seen = []
+    whole = lines.possible_rows
+
+    def counted(nodes, crowd, own, buckets):
+        rows = kept(whole(nodes, crowd, own, buckets))
+        seen.append((rows.where("asks").count(), own.count(), rows.where("not asks").count()))
+        return rows
+
+    monkeypatch.setattr(lines, "possible_rows", counted)
+    rng = np.random.default_rng(7)
+    rows = [(i, "\n".join([t, " ".join(rng.choice(list("abcdefghijklm"), 14))])) for i, t in near[:120]]
+    assert removed_by(lines.dedup(docs(spark, [(i, t, None) for i, t in rows], clashing=False).repartition(2))) == removed(rows)
+    assert seen and 0 < seen[0][0] <= seen[0][1] and seen[0][2] > 0
