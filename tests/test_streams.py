@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from viewloom import streaming
 from viewloom.operators.sync import sync_frames
 from viewloom.streaming import nearest
 
@@ -70,3 +71,16 @@ def test_batches_take_the_batch_form(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     got = nearest.stream_sync_nearest(df, df, ["participant"], 3)
     assert got.count() == min(len(rows), 1)
+
+
+def test_all_pairs_meet_in_buckets_of_time(spark):
+    """A frame is compared with those near it in time, not with its key's whole stream."""
+    rows = [(k, i, int(t)) for k in "pq" for i, t in enumerate(np.random.default_rng(ord(k)).integers(-90_000, 90_000, 80))] + [("p", 900, None)]
+    side = lambda keep: spark.createDataFrame([r for r in rows if r[1] % 2 == keep or r[2] is None], SCHEMA).selectExpr("participant", "frame_idx", "timestamp_millis(t_ms) AS ts")
+    got = streaming.stream_sync(side(0), side(1), ["participant"], "7 seconds")
+    near = sorted((a[0], a[1], b[1]) for a in rows for b in rows if None not in (a[2], b[2]) and a[0] == b[0] and a[1] % 2 == 0 and b[1] % 2 and abs(a[2] - b[2]) <= 7000)
+    assert sorted(tuple(r)[:3] for r in got.collect()) == near and near
+    assert "(_l_bucket" in got._jdf.queryExecution().optimizedPlan().toString()
+    for t in ("0 seconds", "1 day", "2 months"):
+        width = streaming._width(spark, t)
+        assert width >= {"0 seconds": 1, "1 day": 90_000_000_000, "2 months": 62 * 86_400_000_000}[t]

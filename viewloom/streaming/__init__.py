@@ -76,13 +76,26 @@ def live_rate(frames: DataFrame, watermark: str = "10 seconds", seconds: int = 1
     return g.select(F.col("window.start").alias("start"), "frames", (F.col("frames") / float(seconds)).alias("fps"))
 
 
+def _width(spark: SparkSession, tolerance: str) -> int:
+    """Microseconds that no interval of ``tolerance`` exceeds; months and days are of several lengths, so those get a quarter more."""
+    micros = spark.sql(f"SELECT unix_micros(timestamp_seconds(0) + interval {tolerance}) AS m").first()["m"]
+    return max(micros if micros < 86_400_000_000 else micros + micros // 4, 1)
+
+
 def stream_sync(left: DataFrame, right: DataFrame, keys: list[str], tolerance: str, watermark: str = "1 minute") -> DataFrame:
-    """All pairs of two live views at most ``tolerance`` apart in event time ``ts``; both watermarks bound the state."""
+    """All pairs of two live views at most ``tolerance`` apart in event time ``ts``; both watermarks bound the state.
+
+    Frames meet in buckets of time as wide as the tolerance, the right side in its own and both neighbours, so a frame is compared with those of three tolerances, never with a key's whole stream.
+    """
     a = left.select(*(F.col(k).alias(f"l_{k}") for k in keys), F.col("frame_idx").alias("l_idx"), F.col("ts").alias("l_ts"))
     b = right.select(*(F.col(k).alias(f"r_{k}") for k in keys), F.col("frame_idx").alias("r_idx"), F.col("ts").alias("r_ts"))
     if a.isStreaming:
         a, b = a.withWatermark("l_ts", watermark), b.withWatermark("r_ts", watermark)
-    near = F.expr(f"r_ts between l_ts - interval {tolerance} and l_ts + interval {tolerance}")
+    width = _width(left.sparkSession, tolerance)
+    bucket = lambda ts: F.expr(f"cast(unix_micros({ts}) - pmod(unix_micros({ts}), {width}L) as bigint)")
+    a = a.withColumn("_l_bucket", bucket("l_ts"))
+    b = b.withColumn("_r_bucket", F.explode(F.transform(F.array(*(F.lit(n) for n in (-width, 0, width))), lambda n: bucket("r_ts") + n)))
+    near = F.expr(f"r_ts between l_ts - interval {tolerance} and l_ts + interval {tolerance}") & (F.col("_l_bucket") == F.col("_r_bucket"))
     for k in keys:
         near &= F.col(f"l_{k}") == F.col(f"r_{k}")
     return a.join(b, near).select(*(F.col(f"l_{k}").alias(k) for k in keys), "l_idx", "r_idx", "l_ts", "r_ts")
