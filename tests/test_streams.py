@@ -84,3 +84,10 @@ def test_all_pairs_meet_in_buckets_of_time(spark):
     for t in ("0 seconds", "1 day", "2 months"):
         width = streaming._width(spark, t)
         assert width >= {"0 seconds": 1, "1 day": 90_000_000_000, "2 months": 62 * 86_400_000_000}[t]
+
+
+def test_a_stream_meets_in_buckets_of_time_too(spark, tmp_path):
+    spark.createDataFrame([("p", 1, 5)], SCHEMA).selectExpr("participant", "frame_idx", "timestamp_millis(t_ms) AS ts").write.parquet(f"{tmp_path}/in")
+    live = spark.readStream.schema("participant string, frame_idx long, ts timestamp").parquet(f"{tmp_path}/in")
+    got = streaming.stream_sync(live, live, ["participant"], "7 seconds", "1 minute")
+    assert got.isStreaming and "(_l_bucket" in got._jdf.queryExecution().analyzed().toString()
