@@ -81,3 +81,31 @@ def test_all_calibration_fields(spark, tmp_path):
     for c, v in whole.items():
         assert rows["p01"][c] == (np.asarray(v, float).ravel().tolist() if np.ndim(v) else v)
     assert rows["p02"]["P1"] is None and rows["p02"]["left_count"] is None and rows["p02"]["retval"] is None
+
+
+def test_npz_arrays_are_numpys_own():
+    import io
+
+    import numpy as np
+
+    from viewloom.sources import npz_arrays
+
+    fields = {"a": np.arange(6.0).reshape(2, 3), "b": np.asfortranarray(np.arange(6).reshape(2, 3)), "c": np.float64(1.5), "d": np.zeros(0), "e": np.array(["x", "yy"])}
+    headers = {}
+    for save in (np.savez, np.savez_compressed):
+        out = io.BytesIO()
+        save(out, **fields)
+        got = npz_arrays(out.getvalue(), headers)
+        assert got.keys() == fields.keys() and all(np.array_equal(got[k], v) and got[k].dtype == np.asarray(v).dtype for k, v in fields.items())
+    out = io.BytesIO()
+    np.savez(out, a=np.array([{}], object))
+    with pytest.raises(ValueError):
+        npz_arrays(out.getvalue(), {})
+
+
+def test_calibrations_are_dealt_to_all_tasks(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from viewloom.queries import s5_decode_calibrations
+
+    assert len(s5_decode_calibrations(spark, sf_dir).withColumn("at", F.spark_partition_id()).select("at").distinct().collect()) > 1

@@ -100,7 +100,9 @@ def s5_decode_calibrations(spark, sf_dir):
                 rows.append((f"x/{r['participant']}_{r['pair']}.npz", out.getvalue()))
             yield pd.DataFrame(rows, columns=["path", "content"])
 
-    got = sources.decode_calibrations(chosen.mapInPandas(packed, "path string, content binary"))
+    # a row is milliseconds of work, so the few files of a small table are dealt to all tasks
+    spread = chosen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "participant", "pair")
+    got = sources.decode_calibrations(spread.mapInPandas(packed, "path string, content binary"))
     value = {"f": "left_mtx[0]", "cx": "right_mtx[2]", "cy": "right_mtx[5]", "c": "R[0]", "s": "R1[2]", "tx": "T[0]", "left_dist": "cast(size(left_dist) as bigint)", "right_dist": "cast(size(right_dist) as bigint)", "left_count": "left_count", "right_count": "right_count", "p1": "P1[0]", "q": "Q[0]"}
     return got.select("participant", "pair", "retval", *(F.expr(e).alias(k) for k, e in value.items()))
 
