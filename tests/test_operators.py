@@ -209,3 +209,12 @@ def test_empty_inputs(spark):
     assert sync.sync_frames(f, f, ["participant"], 10).count() == 0
     assert sync.match_length(f, ["participant"], ["participant", "view"])[0].count() == 0
     assert catalog.video_count_status(spark.createDataFrame([], "participant string, view string")).count() == 0
+
+
+def test_correspondences_are_dealt_to_tasks_by_their_corners(spark, monkeypatch):
+    rows = [("p01", "LL_LR", s, f, [0, 1], [[0.0, float(f)], [1.0, 0.0]]) for f in range(40) for s in ("left", "right")]
+    df = spark.createDataFrame(rows, "participant string, pair string, side string, frame_idx long, ids array<int>, corners array<array<double>>")
+    monkeypatch.setattr(stereo, "CORNERS", 20)
+    got = stereo.stereo_correspondences(df)
+    assert got.rdd.getNumPartitions() == 12 and got.count() == 40
+    assert stereo.stereo_correspondences(df.limit(0)).count() == 0

@@ -194,11 +194,21 @@ def calibration_errors_by_pair(calibration: DataFrame, first: int, last: int, pa
     return found.select("participant", "pair", F.concat_ws("_", "participant", "pair", F.lit("stereo.npz")).alias("file"), F.coalesce(F.col("retval").cast("string"), F.lit("N/A")).alias("error"))
 
 
+#: Corners of both sides, some 50 bytes each, that a task of ``stereo_correspondences`` joins.
+CORNERS = 2_000_000
+
+
 def stereo_correspondences(observations: DataFrame, step: float = 1.0, columns: int = 7) -> DataFrame:
-    """Frame pairs in which both sides saw the same corner ids in the same order, with each corner's board point."""
+    """Frame pairs in which both sides saw the same corner ids in the same order, with each corner's board point.
+
+    Corners are counted first, and both sides are dealt to as many tasks as these ask for, so the part of the join that a task sorts stays of one size.
+    """
     keys = ["participant", "pair", "frame_idx"]
+    corners = observations.agg(F.sum(F.greatest(F.size("ids"), F.lit(0)) + 1)).first()[0] or 0
+    tasks = max(int(observations.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-corners // CORNERS))
     side = lambda s: observations.where(F.col("side") == s).select(*keys, F.col("ids").alias(f"{s}_ids"), F.col("corners").alias(f"{s}_corners"))
-    both = side("left").join(side("right"), keys).where(F.col("left_ids") == F.col("right_ids"))
+    dealt = lambda s: side(s).repartition(tasks, f"{s}_ids", *keys)  # noqa: E731  by the ids too, which are keys of the join
+    both = dealt("left").join(dealt("right"), keys).where(F.col("left_ids") == F.col("right_ids"))
     board = F.transform("left_ids", lambda i: F.array((i % columns) * step, F.floor(i / columns) * step))
     return both.select(*keys, F.col("left_ids").alias("ids"), "left_corners", "right_corners", board.alias("board"))
 
