@@ -91,3 +91,47 @@ def test_a_stream_meets_in_buckets_of_time_too(spark, tmp_path):
     live = spark.readStream.schema("participant string, frame_idx long, ts timestamp").parquet(f"{tmp_path}/in")
     got = streaming.stream_sync(live, live, ["participant"], "7 seconds", "1 minute")
     assert got.isStreaming and "(_l_bucket" in got._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("most, at_once", [(4096, 200_000), (3, 40)])
+def test_packs_of_a_stream_give_the_pairs_of_the_batch(spark, tmp_path, monkeypatch, most, at_once):
+    """The state's entries are a batch's buckets, not frames, and go once the watermark is past them."""
+    monkeypatch.setattr(streaming, "PACKED", most)
+    monkeypatch.setattr(streaming, "PACKED_AT_ONCE", at_once)
+    with_ts = lambda df: df.selectExpr("participant", "frame_idx", "timestamp_millis(t_ms) AS ts")
+    left, right = made(33, 400, 3), made(41, 320, 4)
+    left += [("p", 10_000 + i, 1_003_000 + i % 7) for i in range(100)]  # a crowded moment
+    sides = [with_ts(feed(spark, f"{tmp_path}/{s}", rows, 6)) for s, rows in (("l", left), ("r", right))]
+    pairs = streaming.stream_sync(*sides, ["participant"], "500 milliseconds", "100 milliseconds")
+    job = pairs.writeStream.option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).format("parquet").option("path", f"{tmp_path}/out").start()
+    job.awaitTermination()
+    got = sorted(map(tuple, spark.read.schema(pairs.schema).parquet(f"{tmp_path}/out").where("participant in ('p', 'q')").collect()))
+    batch = [with_ts(spark.createDataFrame(rows, SCHEMA)) for rows in (left, right)]
+    want = sorted(map(tuple, streaming.stream_sync(*batch, ["participant"], "500 milliseconds").collect()))
+    assert got == want and len(got) > 10_000
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in job.recentProgress if p["stateOperators"]]
+    if most == 4096:
+        assert max(held) < 0.25 * (len(left) + 3 * len(right)) and held[-1] < 20
+
+
+def test_frames_without_time_or_key_are_in_no_pair(spark, tmp_path):
+    rows = [("p", 1, 5), ("p", 2, None), (None, 3, 5), ("q", None, 5)]
+    spark.createDataFrame(rows, SCHEMA).selectExpr("participant", "frame_idx", "timestamp_millis(t_ms) AS ts").write.parquet(f"{tmp_path}/in")
+    live = spark.readStream.schema("participant string, frame_idx long, ts timestamp").parquet(f"{tmp_path}/in")
+    job = streaming.stream_sync(live, live, ["participant"], "1 day").writeStream.option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True)
+    job.format("parquet").option("path", f"{tmp_path}/out").start().awaitTermination()
+    got = spark.read.schema("participant string, l_idx long, r_idx long").parquet(f"{tmp_path}/out").collect()
+    assert sorted(map(tuple, got)) == [("p", 1, 1), ("q", None, None)]
+
+
+def test_state_parts_follow_the_feed_not_the_session(spark, tmp_path):
+    name = "spark.sql.shuffle.partitions"
+    held = spark.conf.get(name)
+    spark.createDataFrame([("p", 1, 5)], SCHEMA).selectExpr("participant", "frame_idx", "timestamp_millis(t_ms) AS ts").write.parquet(f"{tmp_path}/in")
+    live = spark.readStream.schema("participant string, frame_idx long, ts timestamp").parquet(f"{tmp_path}/in")
+    with streaming.state_parts(spark, 7 * streaming.STATE_ROWS):
+        assert spark.conf.get(name) == "7"
+        job = streaming.live_rate(live).writeStream.option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).format("noop").start()
+        job.awaitTermination()
+    assert spark.conf.get(name) == held
+    assert job.recentProgress[0]["stateOperators"][0]["numStateStoreInstances"] == 7

@@ -843,14 +843,16 @@ def g8_gaze_vector(spark, sf_dir):
 # --- streams
 
 
-def _stream_of(spark: SparkSession, rows: DataFrame, last: DataFrame | None = None) -> DataFrame:
-    """A file stream over rows written to the shared folder, with those of ``last`` in the latest file."""
+def _stream_of(spark: SparkSession, rows: DataFrame, last: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """A file stream over rows written to the shared folder, in four batches or fewer, with those of ``last`` in the latest file; and the number of rows."""
     path = sources.shared_folder(spark)
     rows.write.parquet(path)
+    held = spark.read.schema(rows.schema).parquet(path)
+    n, files = held.count(), len(held.inputFiles())
     if last is not None:
         time.sleep(1.1)  # files are read in the order of their times, which are whole seconds in some stores
         last.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(4, -(-files // 4))).parquet(path), n
 
 
 @query("SELECT participant, view, count(*) AS n, sum(bytes)::BIGINT AS bytes FROM fx_segments GROUP BY ALL", "fx_segments")
@@ -886,9 +888,11 @@ def t2_live_look_direction_stream(spark, sf_dir):
     sink, state = sources.shared_folder(spark), sources.shared_folder(spark)
     # files come in no order of time here, so the watermark waits for 40 days; windows that it closes are appended once, the last ones by a row that comes 80 days later
     end = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts")).select(F.lit(-1).cast("long").alias("frame_id"), (_utc("max(ts)") + F.expr("interval 80 days")).alias("ts"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    out = streaming.live_look_direction(_stream_of(spark, fx.angles(spark, sf_dir).withColumn("ts", _utc("ts")), end), "40 days", "1 minute")
-    job = out.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
-    job.format("parquet").option("path", sink).start().awaitTermination()
+    angles, n = _stream_of(spark, fx.angles(spark, sf_dir).withColumn("ts", _utc("ts")), end)
+    out = streaming.live_look_direction(angles, "40 days", "1 minute")
+    with streaming.state_parts(spark, n):
+        job = out.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
+        job.format("parquet").option("path", sink).start().awaitTermination()
     return _start(spark.read.schema("start timestamp, label string, frames long").parquet(sink))
 
 
@@ -901,23 +905,28 @@ def t2_live_rate(spark, sf_dir):
 _PAIRED = "SELECT l.participant, l.frame_idx AS l_idx, r.frame_idx AS r_idx FROM fx_frames l JOIN fx_frames r ON l.participant = r.participant AND r.ts BETWEEN l.ts - INTERVAL '1 hour' AND l.ts + INTERVAL '1 hour' WHERE l.view = 'CAM_LL' AND r.view = 'CAM_LR'"
 
 
-def _live(spark, sf_dir, stream: bool) -> DataFrame:
-    sides = [s.select("participant", "frame_idx", _utc("ts").alias("ts")) for s in _sides(spark, sf_dir)]
-    if stream:  # the fixture's events are of 30 days and its files in no order of time, so the watermark of this query waits for them all
-        sides = [_stream_of(spark, s) for s in sides]
+def _live(frames: DataFrame) -> DataFrame:
+    """The fixture's events are of 30 days and its files in no order of time, so the watermark of this query waits for them all."""
+    sides = (frames.where(F.col("view") == v).select("participant", "frame_idx", "ts") for v in ("CAM_LL", "CAM_LR"))
     return streaming.stream_sync(*sides, ["participant"], "1 hour", "40 days").select("participant", "l_idx", "r_idx")
 
 
+def _two_views(spark, sf_dir) -> DataFrame:
+    return fx.frames(spark, sf_dir).where("view in ('CAM_LL', 'CAM_LR')").select("participant", "view", "frame_idx", _utc("ts").alias("ts"))
+
+
 @query(_PAIRED, "fx_frames")
 def t3_stream_sync(spark, sf_dir):
-    return _live(spark, sf_dir, False)
+    return _live(_two_views(spark, sf_dir))
 
 
 @query(_PAIRED, "fx_frames")
 def t3_stream_sync_stream(spark, sf_dir):
     sink, state = sources.shared_folder(spark), sources.shared_folder(spark)
-    job = _live(spark, sf_dir, True).writeStream.option("checkpointLocation", state).trigger(availableNow=True)
-    job.format("parquet").option("path", sink).start().awaitTermination()
+    frames, n = _stream_of(spark, _two_views(spark, sf_dir))
+    with streaming.state_parts(spark, n):
+        job = _live(frames).writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        job.format("parquet").option("path", sink).start().awaitTermination()
     return spark.read.schema("participant string, l_idx long, r_idx long").parquet(sink)
 
 
@@ -939,14 +948,14 @@ def _feed(spark: SparkSession, rows: DataFrame, at: str, slices: int, last: Data
 def t3_nearest_stream(spark, sf_dir):
     """Frames of two views arrive in four parts, each of a quarter of the time; a part's files come in no order of time, so the watermark waits for as long."""
     f = fx.frames(spark, sf_dir).where("view in ('CAM_LL', 'CAM_LR')").select("participant", "view", "frame_idx", "t_ms")
-    lo, hi = f.agg(F.coalesce(F.min("t_ms"), F.lit(0)), F.coalesce(F.max("t_ms"), F.lit(0))).first()
+    lo, hi, n = f.agg(F.coalesce(F.min("t_ms"), F.lit(0)), F.coalesce(F.max("t_ms"), F.lit(0)), F.count("*")).first()
     wait = (hi - lo) // 4 + 1000
     end = spark.createDataFrame([("last", v, 0, hi + 4 * (wait + _TOLERANCE)) for v in ("CAM_LL", "CAM_LR")], f.schema)  # closes what is open
     path = _feed(spark, f, "t_ms", 4, end)
     view = lambda v: spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 16).parquet(path).where(F.col("view") == v)
     pairs = nearest.stream_sync_nearest(view("CAM_LL"), view("CAM_LR"), ["participant"], _TOLERANCE, f"{wait} milliseconds").where("participant <> 'last'")
     sink, state = sources.shared_folder(spark), sources.shared_folder(spark)
-    with nearest.state_store(spark):
+    with nearest.state_store(spark), streaming.state_parts(spark, n):
         job = pairs.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
         job.format("parquet").option("path", sink).start().awaitTermination()
     return spark.read.schema(pairs.schema).parquet(sink)
